@@ -51,11 +51,12 @@ def _read_text_format(spark, fmt, path, registered, options, corrupt) -> DataFra
     )
     if corrupt == "PERMISSIVE":
         return parsed
-    # The hash makes the filter read every registered column. Otherwise column pruning
-    # would leave the malformed fields unparsed and the dropped set would depend on
-    # what the query selects.
+    # The hash makes the filter read every registered column; its value is not used.
+    # Otherwise column pruning would leave malformed fields unparsed and the dropped set
+    # would depend on what the query selects.
     columns = [F.col(f"`{f.name}`") for f in registered.fields]
-    parses = F.when(F.col(CORRUPT).isNull(), F.xxhash64(*columns)).isNotNull()
+    every_field_read = F.xxhash64(*columns).bitwiseAND(F.lit(0).cast("bigint")) == 0
+    parses = F.col(CORRUPT).isNull() & every_field_read
     return parsed.where(parses).select(*columns)
 
 
