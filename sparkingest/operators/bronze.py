@@ -256,25 +256,31 @@ def read_bronze(
     reader = spark.read.schema(bronze_schema(data, partition_by)).option("basePath", root)
     raw = reader.parquet(*paths).where(F.col(OUTCOME) == CLEAN)
     columns = [*names, "_ingestion_ts", "_source_name", RUN_ID, "ingestion_date", "source_name"]
-    raw = raw.select(*columns)
-    if compacted_root is not None and path_exists(spark, compacted_root):
+    if compacted_root is None or not path_exists(spark, compacted_root):
+        rows = _sealed_rows(raw.select(*columns), seal)
+    else:
         done = read_compactions(spark, compacted_root)
         replaced = done.select(
-            F.col("source_name").alias("_c_source"), F.col("run_id").alias("_c_run")
+            F.col("source_name").alias("_seal_source"), F.col("run_id").alias("_seal_run")
+        ).distinct()
+        # The replaced runs leave the small seal table, so their directories are pruned.
+        open_runs = seal.join(replaced, ["_seal_source", "_seal_run"], "left_anti")
+        merged = _compacted_rows(spark, compacted_root, data, done)
+        rows = _sealed_rows(raw.select(*columns), open_runs).unionByName(
+            _sealed_rows(merged.select(*columns), seal)
         )
-        kept = raw.join(
-            replaced,
-            (F.col("source_name") == F.col("_c_source")) & (F.col(RUN_ID) == F.col("_c_run")),
-            "left_anti",
-        )
-        raw = kept.unionByName(_compacted_rows(spark, compacted_root, data, done).select(*columns))
-    # The date too: an attempt that crashed the day before left files under the same run id.
+    return rows.select(*names, *METADATA, "ingestion_date", "source_name")
+
+
+def _sealed_rows(rows: DataFrame, seal: DataFrame) -> DataFrame:
+    """Rows of sealed runs with their checksum. The date is compared too: an attempt that
+    crashed the day before left files under the same run id."""
     same_run = (
         (F.col(RUN_ID) == F.col("_seal_run"))
         & (F.col("source_name") == F.col("_seal_source"))
         & (F.col("ingestion_date") == F.col("_seal_date"))
     )
-    return raw.join(seal, same_run).select(*names, *METADATA, "ingestion_date", "source_name")
+    return rows.join(seal, same_run)
 
 
 # --- compaction -------------------------------------------------------------------

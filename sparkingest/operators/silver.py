@@ -83,7 +83,7 @@ def merge(
     incoming: DataFrame,
     keys: Sequence[str],
     versions: Sequence[str],
-    part: Column,
+    part: Column | str,
 ) -> int:
     """Upsert ``incoming`` on ``keys``; the greatest row by ``versions`` wins, old or new.
 
@@ -112,6 +112,7 @@ def merge(
             "_replaced": F.max("_old_part").over(window),
         }
     )
+    part = F.col(part) if isinstance(part, str) else part
     label = F.coalesce(F.nullif(part.cast("string"), F.lit("")), F.lit("none"))
     won = ranked.where("_rank = 1 AND _new").select(*data.names, label.alias(PART), "_replaced")
     winners = materialize(won, "silver-winners")

@@ -47,6 +47,8 @@ def fits_broadcast(df: DataFrame) -> bool:
     """True when Catalyst's size estimate is below the session's broadcast limit."""
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    if raw.startswith("-"):
+        return False
     limit = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
     return estimate <= limit
 

@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tests.conftest import plan_of, rows_of
+
+from sparkingest.operators import lake, metrics
+from sparkingest.operators.audit import AUDIT_SCHEMA, run_status
+
+DAY = dt.datetime(2024, 1, 1)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    times=st.lists(
+        st.tuples(st.integers(1, 2), st.integers(-90_000, 90_000)), min_size=1, max_size=40
+    ),
+    width=st.sampled_from([1, 7, 3600]),
+)
+def test_gaps_match_a_sorted_scan(spark, times, width):
+    """Widths so small that the buckets cross many coarse borders, and times before 1970."""
+    epoch = dt.datetime(1970, 1, 1)
+    rows = [(k, epoch + dt.timedelta(seconds=s)) for k, s in times]
+    expected = []
+    for key in (1, 2):
+        ordered = sorted(t for k, t in rows if k == key)
+        for a, b in zip(ordered, ordered[1:], strict=False):
+            if b - a > dt.timedelta(seconds=width):
+                expected.append((key, a, b, (b - a).total_seconds()))
+    df = spark.createDataFrame(rows, "k INT, t TIMESTAMP")
+    gaps = metrics.detect_gaps(df, "k", "t", dt.timedelta(seconds=width))
+    assert rows_of(gaps) == sorted(expected, key=repr)
+
+
+def test_gap_windows_run_over_aggregates(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    plan = plan_of(metrics.detect_gaps(events, "user_id", "ts", dt.timedelta(hours=1)))
+    scans = plan.split("FileScan")
+    assert all("partial_min" in before for before in scans[:-1])
+
+
+def test_reconcile_verdicts(spark):
+    source = spark.createDataFrame(
+        [("a", 1), ("b", 1), ("c", 1), ("c", 2), ("d", 1), (None, 5)], "g STRING, v INT"
+    )
+    target = spark.createDataFrame(
+        [("a", 1), ("b", 2), ("c", 1), ("e", 1), (None, 5)], "g STRING, v INT"
+    )
+    found = {r.g: r.verdict for r in metrics.reconcile(source, target, ["g"], ["v"]).collect()}
+    assert found == {
+        "a": "MATCH",
+        "b": "CONTENT_MISMATCH",
+        "c": "COUNT_MISMATCH",
+        "d": "MISSING_IN_TARGET",
+        "e": "MISSING_IN_SOURCE",
+        None: "MATCH",
+    }
+
+
+def run(run_id, source, start, seconds, read, written, quarantined, status="SUCCESS"):
+    end = start + dt.timedelta(seconds=seconds)
+    return (run_id, source, "file", start, end, read, written, quarantined, "", "", status, None)
+
+
+def test_sla_and_run_metrics(spark):
+    audit = spark.createDataFrame(
+        [
+            run("1", "a", DAY + dt.timedelta(hours=5), 60, 100, 90, 10, "PARTIAL"),
+            run("2", "a", DAY + dt.timedelta(hours=5), 3700, 100, 100, 0),
+            run("3", "b", DAY + dt.timedelta(hours=1), 10, 0, 0, 0, "FAILURE"),
+        ],
+        AUDIT_SCHEMA,
+    )
+    late = metrics.sla_breaches(audit, 3600, "06:00").collect()
+    assert [(r.run_id, r.too_slow, r.past_deadline) for r in late] == [("2", True, True)]
+    assert metrics.sla_breaches(audit).isEmpty()
+    by = {r.source_name: r for r in metrics.run_metrics(audit).collect()}
+    assert (by["a"].runs, by["a"].quality_pass_rate, by["a"].quarantine_rate) == (2, 0.95, 0.05)
+    assert abs(by["a"].rows_per_minute - 190 * 60 / 3760) < 1e-9
+    assert (by["b"].failed_runs, by["b"].quality_pass_rate) == (1, None)
+
+
+def test_run_status(spark):
+    rows = [(True, 5), (False, 5), (False, 0), (None, 0)]
+    df = spark.createDataFrame(rows, "failed BOOLEAN, held BIGINT")
+    found = [r[0] for r in df.select(run_status(F.col("failed"), F.col("held"))).collect()]
+    assert found == ["FAILURE", "PARTIAL", "SUCCESS", "SUCCESS"]
+
+
+def test_coverage_with_repeats_and_strangers(spark):
+    seen = spark.createDataFrame([(1,), (1,), (2,), (99,)], "k INT")
+    expected = spark.createDataFrame(
+        [("x", 1), ("x", 1), ("x", 3), ("y", 4)], "region STRING, k INT"
+    )
+    report = metrics.coverage(seen, expected, "k", ["region"])
+    assert rows_of(report) == [("x", 2, 1, 50.0), ("y", 1, 0, 0.0)]
+
+
+def test_latest_snapshot_is_per_source(spark):
+    df = spark.createDataFrame(
+        [(1, "a", "2024-01-01"), (2, "a", "2024-01-02"), (3, "b", "2024-01-01")],
+        "id INT, source_name STRING, ingestion_date STRING",
+    )
+    assert rows_of(lake.latest_snapshot(df).select("id")) == [(2,), (3,)]
+
+
+def test_retention_boundary(spark):
+    df = spark.createDataFrame([("2024-01-01",), ("2024-01-02",)], "d STRING")
+    old = lake.expired_partitions(df, "d", 90, dt.date(2024, 4, 1))
+    assert rows_of(old) == [("2024-01-01", 1)]
