@@ -27,7 +27,7 @@ from sparkingest.functions.fingerprint import (
 )
 from sparkingest.operators.audit import committed_runs, is_committed
 from sparkingest.operators.quality import CODES, is_clean
-from sparkingest.session import path_exists
+from sparkingest.session import path_exists, small_side
 
 CLEAN = "clean"
 QUARANTINED = "quarantined"
@@ -243,33 +243,45 @@ def read_bronze(
     Compacted days replace the runs they were made of.
     """
     names = [f.name for f in data.fields]
+    seal = _seals(audit, sources)
+    raw = _clean_rows(spark, root, data, partition_by, sources)
+    if compacted_root is None or not path_exists(spark, compacted_root):
+        rows = _sealed_rows(raw, seal)
+    else:
+        done = read_compactions(spark, compacted_root)
+        merged = _compacted_rows(spark, compacted_root, data, done).select(*raw.columns)
+        rows = _sealed_rows(raw, _still_open(seal, done)).unionByName(_sealed_rows(merged, seal))
+    return rows.select(*names, *METADATA, "ingestion_date", "source_name")
+
+
+def _seals(audit: DataFrame, sources: Sequence[str] | None = None) -> DataFrame:
+    """One row per committed run with rows: run, source, date and checksum."""
     wanted = committed_runs(audit).where("checksum <> ''")
     if sources is not None:
         wanted = wanted.where(F.col("source_name").isin(list(sources)))
-    seal = wanted.select(
+    return wanted.select(
         F.col("run_id").alias("_seal_run"),
         F.col("source_name").alias("_seal_source"),
         F.regexp_extract("bronze_path", "ingestion_date=([^/]+)", 1).alias("_seal_date"),
         F.col("checksum").alias("_checksum"),
     )
+
+
+def _still_open(seal: DataFrame, done: DataFrame) -> DataFrame:
+    """Seals of runs no compaction has replaced. Taking the replaced runs out of this small
+    table, not out of the rows, lets the join prune their directories."""
+    replaced = done.select(
+        F.col("source_name").alias("_seal_source"), F.col("run_id").alias("_seal_run")
+    ).distinct()
+    return seal.join(replaced, ["_seal_source", "_seal_run"], "left_anti")
+
+
+def _clean_rows(spark, root, data, partition_by, sources=None) -> DataFrame:
     paths = [root] if sources is None else [f"{root}/source_name={s}" for s in sources]
     reader = spark.read.schema(bronze_schema(data, partition_by)).option("basePath", root)
-    raw = reader.parquet(*paths).where(F.col(OUTCOME) == CLEAN)
-    columns = [*names, "_ingestion_ts", "_source_name", RUN_ID, "ingestion_date", "source_name"]
-    if compacted_root is None or not path_exists(spark, compacted_root):
-        rows = _sealed_rows(raw.select(*columns), seal)
-    else:
-        done = read_compactions(spark, compacted_root)
-        replaced = done.select(
-            F.col("source_name").alias("_seal_source"), F.col("run_id").alias("_seal_run")
-        ).distinct()
-        # The replaced runs leave the small seal table, so their directories are pruned.
-        open_runs = seal.join(replaced, ["_seal_source", "_seal_run"], "left_anti")
-        merged = _compacted_rows(spark, compacted_root, data, done)
-        rows = _sealed_rows(raw.select(*columns), open_runs).unionByName(
-            _sealed_rows(merged.select(*columns), seal)
-        )
-    return rows.select(*names, *METADATA, "ingestion_date", "source_name")
+    names = [f.name for f in data.fields]
+    stored = ["_ingestion_ts", "_source_name", RUN_ID, "ingestion_date", "source_name"]
+    return reader.parquet(*paths).where(F.col(OUTCOME) == CLEAN).select(*names, *stored)
 
 
 def _sealed_rows(rows: DataFrame, seal: DataFrame) -> DataFrame:
@@ -280,7 +292,7 @@ def _sealed_rows(rows: DataFrame, seal: DataFrame) -> DataFrame:
         & (F.col("source_name") == F.col("_seal_source"))
         & (F.col("ingestion_date") == F.col("_seal_date"))
     )
-    return rows.join(seal, same_run)
+    return rows.join(small_side(seal), same_run)
 
 
 # --- compaction -------------------------------------------------------------------
@@ -337,13 +349,9 @@ def compact(
     names = [f.name for f in data.fields]
     kept = [*names, "_ingestion_ts", "_source_name", RUN_ID]
     days = ["source_name", "ingestion_date"]
-    live = read_bronze(spark, root, audit, data, partition_by=partition_by)
-    done = read_compactions(spark, compacted_root).select(
-        F.col("run_id").alias(RUN_ID), "source_name"
-    )
-    closed = live.where(F.col("ingestion_date") < before).join(
-        done, [RUN_ID, "source_name"], "left_anti"
-    )
+    raw = _clean_rows(spark, root, data, partition_by).where(F.col("ingestion_date") < before)
+    done = read_compactions(spark, compacted_root)
+    closed = _sealed_rows(raw, _still_open(_seals(audit), done))
     target = f"{compacted_root}/data/compaction_id={compaction_id}"
     (
         closed.select(*kept, *days)

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkingest.session import fits_broadcast
+from sparkingest.session import fits_broadcast, materialize, small_side
 
 # Error codes.
 SCHEMA_TYPE_MISMATCH = "SCHEMA_TYPE_MISMATCH"
@@ -146,8 +146,8 @@ def flag_orphans(df: DataFrame, rule: Referential, flag: str = ORPHANS) -> DataF
     A reference below the broadcast limit is joined directly: one pass, nothing of
     ``df`` is shuffled. Beyond the limit only the *distinct* keys of ``df`` travel
     (map-side distinct shrinks a hot key to one row per task). The keys without a
-    partner are then joined back; they are few in a healthy feed, which AQE sees and
-    broadcasts, and a skewed one it splits.
+    partner are stored, few in a healthy feed, and joined back as a small side; if they
+    are many after all, Spark shuffles and splits the skewed ones.
     """
     keys = _reference_keys(rule)
     value = F.col(rule.column)
@@ -157,7 +157,8 @@ def flag_orphans(df: DataFrame, rule: Referential, flag: str = ORPHANS) -> DataF
         orphan = value.isNotNull() & F.col("_found").isNull()
         return joined.withColumn(flag, orphan).drop("_ref_key", "_found")
     used = df.select(value.alias("_used_key")).where("_used_key IS NOT NULL").distinct()
-    orphans = used.join(keys, F.col("_used_key") == F.col("_ref_key"), "left_anti")
+    lost = used.join(keys, F.col("_used_key") == F.col("_ref_key"), "left_anti")
+    orphans = small_side(materialize(lost, "orphans"))
     joined = df.join(orphans, value == F.col("_used_key"), "left")
     return joined.withColumn(flag, F.col("_used_key").isNotNull()).drop("_used_key")
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkingest.operators.quality import CODES, SCHEMA_TYPE_MISMATCH
-from sparkingest.session import materialize, path_exists
+from sparkingest.session import materialize, path_exists, small_side
 
 PART = "part"
 MANIFEST_SCHEMA = "generation BIGINT, part STRING, row_count BIGINT"
@@ -74,7 +74,7 @@ def read_silver(spark: SparkSession, path: str, data: T.StructType) -> DataFrame
         return spark.createDataFrame([], schema).drop("generation")
     rows = spark.read.schema(schema).parquet(f"{path}/data")
     live = live_partitions(spark, path).select("generation", PART)
-    return rows.join(live, ["generation", PART], "left_semi").drop("generation")
+    return rows.join(small_side(live), ["generation", PART], "left_semi").drop("generation")
 
 
 def merge(
@@ -127,7 +127,7 @@ def merge(
     pruning = touched.where(F.length(PART) > 0)
     kept = (
         stored.join(pruning, PART, "left_semi")
-        .join(winners.select(*keys), list(keys), "left_anti")
+        .join(small_side(winners.select(*keys)), list(keys), "left_anti")
         .select(*data.names, PART)
     )
     generation = _next_generation(spark, path)

@@ -35,10 +35,10 @@ def incremental_ts(spark, sf_dir):
     return newer.select("o_orderkey", day("o_orderdate").alias("o_orderdate"))
 
 
-@query("incremental_int", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 5000")
+@query("incremental_int", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 700")
 def incremental_int(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    newer = incremental_scan(orders, "o_orderkey", Watermark(INTEGER, integer=5000))
+    newer = incremental_scan(orders, "o_orderkey", Watermark(INTEGER, integer=700))
     return newer.select("o_orderkey", "o_custkey")
 
 

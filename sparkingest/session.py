@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkingest.errors import ConfigurationError
 
@@ -43,14 +44,37 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Largest estimate of a key table that is broadcast by request, in bytes.
+KEY_TABLE_LIMIT = 64 * 1024 * 1024
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _broadcast_limit(spark: SparkSession) -> int:
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    if raw.startswith("-"):
+        return -1
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Catalyst's size estimate is below the session's broadcast limit."""
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    if raw.startswith("-"):
-        return False
-    limit = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
-    return estimate <= limit
+    return _estimated_bytes(df) <= _broadcast_limit(df.sparkSession)
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A stored table of keys or run facts, to be joined to all rows of a table.
+
+    Broadcast up to ``KEY_TABLE_LIMIT``, so that the rows need no shuffle where the
+    session's own limit would ask for one; left to the planner beyond it, or where the
+    session turned broadcasts off.
+    """
+    limit = _broadcast_limit(df.sparkSession)
+    if limit >= 0 and _estimated_bytes(df) <= max(limit, KEY_TABLE_LIMIT):
+        return F.broadcast(df)
+    return df
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
