@@ -10,6 +10,8 @@ files being read are never overwritten.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -87,71 +89,80 @@ def merge(
 ) -> int:
     """Upsert ``incoming`` on ``keys``; the greatest row by ``versions`` wins, old or new.
 
-    ``part`` computes the partition label of a row (null and '' become ``none``). Rewritten are the partitions of
-    winning rows and those that hold the versions they replace, since a key may move.
-    Only keys and version columns of the stored rows take part in the comparison; the
-    stored rows themselves are filtered by an anti-join on the winning keys and are
-    not shuffled while those fit a broadcast. Returns the new generation.
+    ``part`` computes the partition label of a row (null and '' become ``none``). Rewritten
+    are the partitions of winning rows and those that hold the versions they replace,
+    since a key may move. On a tie the stored row stays, so applying a batch twice
+    changes nothing. Returns the new generation.
+
+    Of the stored rows only keys, versions and label take part in the comparison, and
+    the new rows keep the partitioning their deduplication gave them. Stored rows are
+    then filtered by an anti-join on the winning keys and move only to be rewritten.
     """
     data = incoming.schema
-    fresh = latest_per_key(incoming, keys, versions)
-    stored = read_silver(spark, path, data)
-    slim = list(dict.fromkeys([*keys, *versions]))
-    touched_keys = fresh.select(*keys)
-    rivals = stored.select(*slim, F.col(PART).alias("_old_part")).join(
-        touched_keys, list(keys), "left_semi"
-    )
-    contest = fresh.withColumns({"_old_part": F.lit(None).cast("string"), "_new": F.lit(True)})
-    contest = contest.unionByName(rivals.withColumn("_new", F.lit(False)), allowMissingColumns=True)
-    # At most two rows meet per key: keys are unique in ``fresh`` and in the table.
-    # On a tie the stored row stays, so applying a batch twice changes nothing.
-    window = Window.partitionBy(*keys)
-    ranked = contest.withColumns(
-        {
-            "_rank": F.row_number().over(window.orderBy(*newest_first(versions), F.col("_new").asc())),
-            "_replaced": F.max("_old_part").over(window),
-        }
-    )
     part = F.col(part) if isinstance(part, str) else part
     label = F.coalesce(F.nullif(part.cast("string"), F.lit("")), F.lit("none"))
-    won = ranked.where("_rank = 1 AND _new").select(*data.names, label.alias(PART), "_replaced")
-    winners = materialize(won, "silver-winners")
-
-    touched = materialize(
-        winners.select(PART)
-        .unionByName(winners.where("_replaced IS NOT NULL").select(F.col("_replaced").alias(PART)))
-        .distinct(),
-        "silver-touched",
+    fresh = latest_per_key(incoming, keys, versions).withColumn(PART, label)
+    generation = _next_generation(spark, path)
+    target = f"{path}/data/generation={generation}"
+    if generation == 1:
+        _write_partitions(fresh, target)
+        _publish(spark, path, generation, data)
+        return generation
+
+    stored = read_silver(spark, path, data)
+    old = stored.select(
+        *[F.col(k).alias(f"_old_{k}") for k in keys],
+        F.struct(*versions).alias("_old_version"),
+        F.col(PART).alias("_replaced"),
     )
+    known = incoming.select(*[F.col(k).alias(f"_in_{k}") for k in keys])
+    if small_side(known) is not known:
+        same = _same([f"_old_{k}" for k in keys], [f"_in_{k}" for k in keys])
+        old = old.join(small_side(known.distinct()), same, "left_semi")
+    met = fresh.join(old, _same(keys, [f"_old_{k}" for k in keys]), "left")
+    # Struct comparison counts a null version as the oldest.
+    wins = F.col("_old_version").isNull() | (F.struct(*versions) > F.col("_old_version"))
+    winners = materialize(met.where(wins).select(*data.names, PART, "_replaced"), "silver-winners")
+
+    labels = winners.select(F.explode(F.array(PART, "_replaced")).alias(PART))
+    touched = materialize(labels.where(F.col(PART).isNotNull()).distinct(), "silver-touched")
     # Always true; Spark prunes partitions from a join only when its small side is filtered.
     pruning = touched.where(F.length(PART) > 0)
-    kept = (
-        stored.join(pruning, PART, "left_semi")
-        .join(small_side(winners.select(*keys)), list(keys), "left_anti")
-        .select(*data.names, PART)
+    won_keys = winners.select(*[F.col(k).alias(f"_won_{k}") for k in keys])
+    kept = stored.join(small_side(pruning), PART, "left_semi").join(
+        small_side(won_keys), _same(keys, [f"_won_{k}" for k in keys]), "left_anti"
     )
-    generation = _next_generation(spark, path)
-    target = f"{path}/data/generation={generation}"
-    (
-        kept.unionByName(winners.select(*data.names, PART))
-        .hint("rebalance", F.col(PART))
-        .write.mode("overwrite")
-        .partitionBy(PART)
-        .parquet(target)
+    _write_partitions(
+        kept.select(*data.names, PART).unionByName(winners.select(*data.names, PART)), target
     )
-    written = (
-        spark.read.schema(T.StructType(list(data.fields) + [T.StructField(PART, T.StringType())]))
-        .parquet(target)
-        .groupBy(PART)
-        .agg(F.count(F.lit(1)).alias("row_count"))
+    _publish(spark, path, generation, data, touched)
+    return generation
+
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality of all key columns, null being equal to null."""
+    return reduce(
+        and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)]
     )
-    entries = touched.join(written, PART, "left").select(
+
+
+def _write_partitions(rows: DataFrame, target: str) -> None:
+    """Few files per partition; AQE splits a partition that holds most of the rows."""
+    rows.hint("rebalance", F.col(PART)).write.mode("overwrite").partitionBy(PART).parquet(target)
+
+
+def _publish(spark, path, generation, data, touched=None) -> None:
+    """Append the manifest rows that make a generation live, emptied partitions included."""
+    schema = T.StructType(list(data.fields) + [T.StructField(PART, T.StringType())])
+    rows = spark.read.schema(schema).parquet(f"{path}/data/generation={generation}")
+    entries = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("row_count"))
+    if touched is not None:
+        entries = touched.join(entries, PART, "left")
+    entries.select(
         F.lit(generation).cast("bigint").alias("generation"),
         PART,
         F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
-    )
-    entries.write.mode("append").parquet(f"{path}/manifest")
-    return generation
+    ).write.mode("append").parquet(f"{path}/manifest")
 
 
 def _next_generation(spark: SparkSession, path: str) -> int:
@@ -172,6 +183,7 @@ def apply_changes(
 ) -> DataFrame:
     """Table after a change log: newest change per key, deletes as tombstones."""
     newest = latest_per_key(changes, keys, versions)
-    untouched = base.join(newest.select(*keys), list(keys), "left_anti")
+    changed = newest.select(*[F.col(k).alias(f"_changed_{k}") for k in keys])
+    untouched = base.join(changed, _same(keys, [f"_changed_{k}" for k in keys]), "left_anti")
     upserts = newest.where(F.col(operation) != delete).select(*base.columns)
     return untouched.unionByName(upserts)

@@ -32,12 +32,13 @@ def frame(spark, rows):
 
 @pytest.mark.parametrize("limit", ["10MB", "-1"])
 def test_merges_match_brute_force(spark, tmp_path, conf, limit):
-    """Random upserts with moving partitions; versions are unique per id within a batch."""
+    """Random upserts with moving partitions and null keys; versions are unique per id
+    within a batch."""
     conf("spark.sql.autoBroadcastJoinThreshold", limit)
     rng = random.Random(7)
     path, batches = f"{tmp_path}/silver", []
     for n in range(4):
-        picked = rng.choices(range(30), k=25)
+        picked = rng.choices([None, *range(30)], k=25)
         batch = [
             (i, 10 * rng.randrange(5) + j, f"2024-0{rng.randint(1, 4)}", f"b{n}")
             for j, i in enumerate(picked)
