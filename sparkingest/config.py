@@ -149,6 +149,10 @@ class Storage:
     partition_by: tuple[str, ...] = ()
     compaction_enabled: bool = False
 
+    @property
+    def compacted_path(self) -> str:
+        return f"{self.path.rstrip('/')}_compacted"
+
 
 @dataclass(frozen=True)
 class Monitoring:

@@ -196,7 +196,11 @@ def write_quarantine(
     return path
 
 
-def read_quarantine(spark: SparkSession, quarantine_root: str, data: T.StructType) -> DataFrame:
+def read_quarantine(
+    spark: SparkSession, quarantine_root: str, data: T.StructType, audit: DataFrame | None = None
+) -> DataFrame:
+    """Quarantined rows; with ``audit``, of committed runs only. An aborted run leaves its
+    rows behind until it is retried under the same id."""
     text = T.StringType()
     schema = T.StructType(
         list(data.fields)
@@ -211,7 +215,11 @@ def read_quarantine(spark: SparkSession, quarantine_root: str, data: T.StructTyp
     )
     if not path_exists(spark, quarantine_root):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(quarantine_root)
+    rows = spark.read.schema(schema).parquet(quarantine_root)
+    if audit is None:
+        return rows
+    runs = committed_runs(audit).select("source_name", F.col("run_id").alias(RUN_ID))
+    return rows.join(small_side(runs), ["source_name", RUN_ID], "left_semi")
 
 
 def bronze_schema(data: T.StructType, partition_by: Sequence[str] = ()) -> T.StructType:

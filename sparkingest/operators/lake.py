@@ -12,18 +12,34 @@ from sparkingest.operators.audit import committed_runs
 from sparkingest.operators.bronze import RUN_ID
 from sparkingest.operators.quality import Rule, classify, split
 from sparkingest.operators.silver import latest_per_key
+from sparkingest.session import delete_path, materialize, small_side
+
+
+def newest_dates(audit: DataFrame) -> DataFrame:
+    """``(source_name, ingestion_date)`` of each source's newest committed run."""
+    date = F.regexp_extract("bronze_path", "ingestion_date=([^/]+)", 1)
+    return committed_runs(audit).groupBy("source_name").agg(F.max(date).alias("ingestion_date"))
 
 
 def latest_snapshot(
-    df: DataFrame, source: str = "source_name", date: str = "ingestion_date"
+    df: DataFrame,
+    newest: DataFrame | None = None,
+    source: str = "source_name",
+    date: str = "ingestion_date",
 ) -> DataFrame:
     """Rows of each source's newest full refresh.
 
-    The newest date per source is a small aggregate of partition columns; joining it
-    back prunes the older partitions.
+    ``newest`` names the date per source; ``newest_dates`` takes it from the audit table
+    without touching the data. Left out, it is the maximum of the partition values. Either
+    way it is stored first: one row per source whose size the planner knows, so that the
+    join broadcasts it and prunes the older partitions.
     """
-    newest = df.groupBy(source).agg(F.max(date).alias(date))
-    return df.join(newest, [source, date], "left_semi")
+    if newest is None:
+        newest = df.groupBy(source).agg(F.max(date).alias(date))
+    known = materialize(newest.select(source, date), "newest-dates")
+    # Always true for real dates; Spark prunes only when the small side is filtered.
+    known = known.where(F.length(F.col(date).cast("string")) > 0)
+    return df.join(small_side(known), [source, date], "left_semi")
 
 
 def as_of(
@@ -38,7 +54,7 @@ def as_of(
     """
     until = committed_runs(audit).where(F.col("pipeline_end_ts") <= F.lit(moment).cast("timestamp"))
     until = until.select(F.col("run_id").alias(RUN_ID), F.col("pipeline_end_ts").alias("_at"))
-    rows = bronze.join(until, RUN_ID)
+    rows = bronze.join(small_side(until), RUN_ID)
     if keys is not None:
         rows = latest_per_key(rows, keys, ["_at", RUN_ID])
     return rows.drop("_at")
@@ -78,8 +94,6 @@ def drop_expired_quarantine(
     removed = []
     for row in old.select("source_name", "run_id").distinct().toLocalIterator():
         path = f"{quarantine_root}/source_name={row['source_name']}/{RUN_ID}={row['run_id']}"
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if files.exists(hadoop_path) and files.delete(hadoop_path, True):
+        if delete_path(spark, path):
             removed.append(path)
     return removed

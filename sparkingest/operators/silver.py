@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkingest.operators.quality import CODES, SCHEMA_TYPE_MISMATCH
-from sparkingest.session import materialize, path_exists, small_side
+from sparkingest.session import materialize, path_exists, scratch_table, small_side
 
 PART = "part"
 MANIFEST_SCHEMA = "generation BIGINT, part STRING, row_count BIGINT"
@@ -122,20 +122,19 @@ def merge(
     met = fresh.join(old, _same(keys, [f"_old_{k}" for k in keys]), "left")
     # Struct comparison counts a null version as the oldest.
     wins = F.col("_old_version").isNull() | (F.struct(*versions) > F.col("_old_version"))
-    winners = materialize(met.where(wins).select(*data.names, PART, "_replaced"), "silver-winners")
-
-    labels = winners.select(F.explode(F.array(PART, "_replaced")).alias(PART))
-    touched = materialize(labels.where(F.col(PART).isNotNull()).distinct(), "silver-touched")
-    # Always true; Spark prunes partitions from a join only when its small side is filtered.
-    pruning = touched.where(F.length(PART) > 0)
-    won_keys = winners.select(*[F.col(k).alias(f"_won_{k}") for k in keys])
-    kept = stored.join(small_side(pruning), PART, "left_semi").join(
-        small_side(won_keys), _same(keys, [f"_won_{k}" for k in keys]), "left_anti"
-    )
-    _write_partitions(
-        kept.select(*data.names, PART).unionByName(winners.select(*data.names, PART)), target
-    )
-    _publish(spark, path, generation, data, touched)
+    won = met.where(wins).select(*data.names, PART, "_replaced")
+    with scratch_table(won, "silver-winners") as winners:
+        labels = winners.select(F.explode(F.array(PART, "_replaced")).alias(PART))
+        touched = materialize(labels.where(F.col(PART).isNotNull()).distinct(), "silver-touched")
+        # Always true; Spark prunes partitions only when the small side is filtered.
+        pruning = touched.where(F.length(PART) > 0)
+        won_keys = winners.select(*[F.col(k).alias(f"_won_{k}") for k in keys])
+        kept = stored.join(small_side(pruning), PART, "left_semi").join(
+            small_side(won_keys), _same(keys, [f"_won_{k}" for k in keys]), "left_anti"
+        )
+        columns = [*data.names, PART]
+        _write_partitions(kept.select(*columns).unionByName(winners.select(*columns)), target)
+        _publish(spark, path, generation, data, touched)
     return generation
 
 

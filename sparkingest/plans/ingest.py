@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ from sparkingest.operators.watermark import (
     read_watermark,
     watermark_kind,
 )
-from sparkingest.session import materialize
+from sparkingest.session import scratch_table
 from sparkingest.sources.files import CORRUPT, extract_file
 from sparkingest.sources.jdbc import read_jdbc
 
@@ -118,6 +119,7 @@ def ingest(
             **known,
         )
 
+    scratch = ExitStack()
     try:
         check_path_safe("run_id", run_id)
         if audit_table.is_committed(spark, spec.audit.path, run_id):
@@ -135,9 +137,9 @@ def ingest(
             rules = [CorruptRecord(), *rules]
         dropped = 0
         if validator is not None or needs_replay(rules):
-            source = _stored_extract(source, meta.source_id, run_id)
+            source = scratch.enter_context(_stored_extract(source, meta.source_id, run_id))
         if validator is not None:
-            extracted = _stored_count(source)
+            extracted = source.count()
             source = validator(source)
         flagged = classify(source, rules)
         data = T.StructType([f for f in flagged.schema.fields if f.name != CODES])
@@ -163,9 +165,10 @@ def ingest(
             if _is_read_failure(error.cause):
                 raise ConnectorError(meta.source_id, error.cause) from error
             raise
+        known["records_read"] = staged.records_read
         if validator is not None:
-            dropped = extracted - staged.records_read
-        known["records_read"] = staged.records_read + dropped
+            known["records_read"] = extracted
+            dropped = max(0, extracted - staged.records_read)
         if spec.schema_enforcement.mode == "strict" and staged.records_quarantined:
             known["quarantine_count"] = staged.records_quarantined
             raise QualityViolation(meta.source_id, staged.records_quarantined)
@@ -202,18 +205,15 @@ def ingest(
         if typed is error:
             raise
         raise typed from error
+    finally:
+        scratch.close()
 
     if spec.ingestion.mode == "incremental" and staged.high_water is not None:
-        mark = (
-            Watermark(TIMESTAMP, ts=staged.high_water)
-            if kind == TIMESTAMP
-            else Watermark(kind, integer=staged.high_water)
-        )
-        append_watermark(
-            spark, spec.ingestion.watermark_storage, meta.source_id, mark, run_ts, run_id
-        )
+        _advance_watermark(spark, spec, kind, staged.high_water, committed)
     if spec.audit.lineage_path:
         _record_lineage(spark, spec, committed, data)
+    if spec.storage.compaction_enabled:
+        _compact_closed_days(spark, spec, committed, data)
 
     threshold = spec.quarantine.alert_threshold
     read = committed.records_read
@@ -232,15 +232,28 @@ def ingest(
     )
 
 
-def _stored_extract(source: DataFrame, source_id: str, run_id: str) -> DataFrame:
-    try:
-        return materialize(source, f"extract-{run_id}")
-    except Exception as error:
-        raise ConnectorError(source_id, str(error)) from error
+def _advance_watermark(spark, spec, kind, high_water, committed) -> None:
+    """Move the mark to the highest stored value; a run that re-read a lag never moves it
+    back."""
+    storage, source_id = spec.ingestion.watermark_storage, spec.metadata.source_id
+    before = read_watermark(spark, storage, source_id)
+    if before is not None and before.kind == kind and high_water <= before.value:
+        return
+    is_time = kind == TIMESTAMP
+    mark = Watermark(kind, ts=high_water) if is_time else Watermark(kind, integer=high_water)
+    append_watermark(
+        spark, storage, source_id, mark, committed.pipeline_start_ts, committed.run_id
+    )
 
 
-def _stored_count(stored: DataFrame) -> int:
-    return stored.count()
+@contextmanager
+def _stored_extract(source: DataFrame, source_id: str, run_id: str) -> Iterator[DataFrame]:
+    with ExitStack() as stack:
+        try:
+            stored = stack.enter_context(scratch_table(source, f"extract-{run_id}"))
+        except Exception as error:
+            raise ConnectorError(source_id, str(error)) from error
+        yield stored
 
 
 # Error conditions Spark reports when a source record or file cannot be read.
@@ -284,3 +297,20 @@ def _record_lineage(spark, spec, committed, data) -> None:
         )
     except Exception as error:
         log.warning("lineage of run %s not written: %s", committed.run_id, error)
+
+
+def _compact_closed_days(spark, spec, committed, data) -> None:
+    """Merge the files of the days before this run; readers are right without it."""
+    try:
+        bronze.compact(
+            spark,
+            spec.storage.path,
+            spec.storage.compacted_path,
+            audit_table.read_audit(spark, spec.audit.path),
+            data,
+            committed.run_id,
+            before=committed.pipeline_start_ts.strftime("%Y-%m-%d"),
+            partition_by=spec.storage.partition_by,
+        )
+    except Exception as error:
+        log.warning("compaction after run %s failed: %s", committed.run_id, error)

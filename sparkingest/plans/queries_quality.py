@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from sparkingest.operators import bronze
 from sparkingest.operators.quality import (
     CODES,
     Completeness,
@@ -146,7 +145,7 @@ def quarantine_split(spark, sf_dir):
         *columns,
         F.lit("").alias("codes"),
     )
-    held = bronze.read_quarantine(spark, landed.spec.quarantine.path, landed.schema)
+    held = landed.quarantine(spark)
     return clean.unionByName(
         held.select(
             F.lit("quarantined").alias("outcome"),
@@ -167,7 +166,7 @@ def quarantine_split(spark, sf_dir):
 )
 def quarantine_alert(spark, sf_dir):
     landed = faulty_runs(spark, sf_dir)
-    held = bronze.read_quarantine(spark, landed.spec.quarantine.path, landed.schema)
+    held = landed.quarantine(spark)
     clean = landed.rows(spark).select(
         F.col("_run_id").alias("run_id"), F.array().cast("array<string>").alias(CODES)
     )
@@ -188,7 +187,7 @@ def quarantine_alert(spark, sf_dir):
 def quarantine_recover(spark, sf_dir):
     """The whole customer table arrives: rows held only as orphans are released."""
     landed = faulty_runs(spark, sf_dir)
-    held = bronze.read_quarantine(spark, landed.spec.quarantine.path, landed.schema)
+    held = landed.quarantine(spark)
     nothing_yet = held.select("row_id").where("row_id IS NULL")
     released, kept = revalidate(held, rules(spark, sf_dir, whole_dimension=True), nothing_yet)
     return (

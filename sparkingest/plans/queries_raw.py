@@ -80,6 +80,11 @@ class Landed:
     def audit(self, spark) -> DataFrame:
         return audit_table.read_audit(spark, self.spec.audit.path)
 
+    def quarantine(self, spark) -> DataFrame:
+        return bronze.read_quarantine(
+            spark, self.spec.quarantine.path, self.schema, self.audit(spark)
+        )
+
     def rows(self, spark, **options) -> DataFrame:
         return bronze.read_bronze(
             spark,

@@ -83,7 +83,7 @@ def stream_ingest(spark, sf_dir):
     spec = prepared(spark, sf_dir, "stream-ingest", run)
     audit = audit_table.read_audit(spark, spec.audit.path)
     clean = bronze.read_bronze(spark, spec.storage.path, audit, ddl(MESSAGE))
-    held = bronze.read_quarantine(spark, spec.quarantine.path, ddl(MESSAGE))
+    held = bronze.read_quarantine(spark, spec.quarantine.path, ddl(MESSAGE), audit)
     columns = [
         F.col("_run_id").alias("run_id"),
         "codes",

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkingest.errors import ConfigurationError
 
+log = logging.getLogger(__name__)
+
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -38,12 +43,30 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends there."""
+    """Write ``df`` once to the shared folder and read it back: lineage ends there, its
+    size is known to the planner, and a lost executor recomputes nothing.
+
+    For small tables of keys; they stay until the shared folder is cleaned.
+    """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``materialize`` for large tables: the copy is deleted when the block ends."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        try:
+            delete_path(spark, path)
+        except Exception as error:
+            log.warning("scratch table %s not deleted: %s", path, error)
+
+
 # Largest estimate of a key table that is broadcast by request, in bytes.
 KEY_TABLE_LIMIT = 64 * 1024 * 1024
 
@@ -77,6 +100,17 @@ def small_side(df: DataFrame) -> DataFrame:
     return df
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """True if there was something to delete."""
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path) and files.delete(hadoop_path, True)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import replace
+from functools import reduce
+from operator import and_
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +18,7 @@ from sparkingest.config import SourceSpec
 from sparkingest.operators.audit import is_committed
 from sparkingest.operators.quality import CODES, LATE_RECORD, Rule
 from sparkingest.plans.ingest import ingest
+from sparkingest.session import materialize, small_side
 
 
 def json_messages(
@@ -99,17 +102,24 @@ def late_records(raw: DataFrame, accepted: DataFrame, keys: Sequence[str]) -> Da
     """Raw rows Spark dropped behind the watermark, classified for quarantine.
 
     Every raw key either has an accepted row or came too late, whatever the batches
-    were, so nothing is dropped unseen. Null keys match each other.
+    were, so nothing is dropped unseen. Null keys match each other. For a long history
+    pass the days in question of both tables.
+
+    Only distinct keys are compared, so copies of one message shrink to one key per
+    task; the late keys, few, are stored and select their rows without moving the rest.
     """
-    marker = [F.col(k).alias(f"_a_{k}") for k in keys]
-    known = accepted.select(*marker).distinct()
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_a_{k}"))
-    late = raw.join(known, same, "left_anti")
+    used = raw.select(*[F.col(k).alias(f"_raw_{k}") for k in keys]).distinct()
+    known = accepted.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
+    lost = used.join(known, _same(keys, "_raw_", "_known_"), "left_anti")
+    late_keys = small_side(materialize(lost, "late-keys"))
+    late = raw.join(late_keys, _same(keys, "", "_raw_"), "left_semi")
     return late.withColumn(CODES, F.array(F.lit(LATE_RECORD)))
 
 
+def _same(keys: Sequence[str], left: str, right: str) -> Column:
+    return reduce(and_, [F.col(left + k).eqNullSafe(F.col(right + k)) for k in keys])
+
+
 def throughput(stream: DataFrame, event_time: str, delay: str, width: str = "1 minute") -> DataFrame:
     """Events and events per second of each tumbling window, emitted once it closes."""
     window = F.window(event_time, width)

@@ -229,6 +229,54 @@ def test_validator_losses_are_counted(spark, spec):
     assert (result.records_written, result.quarantine_count) == (6, 2)
 
 
+def test_validator_may_add_rows(spark, spec):
+    result = ingest(
+        spark, spec, run_id="r1", run_ts=RUN_TS, validator=lambda df: df.unionByName(df)
+    )
+    assert (result.status, result.records_read) == ("SUCCESS", 8)
+    assert (result.records_written, result.quarantine_count) == (16, 0)
+
+
+def test_quarantine_of_aborted_runs_is_not_read(spark, spec, batch, monkeypatch):
+    def full(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(audit_table, "append_audit", full)
+    with pytest.raises(UnexpectedError, match="disk full"):
+        ingest(spark, spec, run_id="r1", run_ts=RUN_TS, rules=[Range("amount", 0, 600)])
+    monkeypatch.undo()
+    assert bronze.read_quarantine(spark, spec.quarantine.path, batch.schema).count() == 2
+    held = bronze.read_quarantine(
+        spark, spec.quarantine.path, batch.schema, audit(spark, spec)
+    )
+    assert held.isEmpty()
+    assert stored(spark, spec, batch.schema).isEmpty()
+
+
+def test_compaction_as_part_of_a_run(spark, spec, batch):
+    storage = replace(spec.storage, compaction_enabled=True)
+    daily = replace(spec, storage=storage)
+    for i in range(3):
+        ingest(spark, daily, run_id=f"r{i}", run_ts=RUN_TS + dt.timedelta(days=i))
+    rows = stored(spark, spec, batch.schema, compacted_root=storage.compacted_path)
+    assert rows.count() == 24
+    done = bronze.read_compactions(spark, storage.compacted_path)
+    assert sorted(r.run_id for r in done.collect()) == ["r0", "r1"]
+
+
+def test_lag_never_moves_the_mark_back(spark, spec, tmp_path):
+    marks = f"{tmp_path}/marks"
+    lagging = replace(spec, ingestion=Ingestion("incremental", "id", marks, lag_units=4))
+    ingest(spark, lagging, run_id="r1", run_ts=RUN_TS)
+    assert read_watermark(spark, marks, "mem-1").integer == 8
+    rules = [Range("id", 0, 6)]
+    again = ingest(
+        spark, lagging, run_id="r2", run_ts=RUN_TS + dt.timedelta(hours=1), rules=rules
+    )
+    assert (again.records_read, again.records_written) == (4, 2)
+    assert read_watermark(spark, marks, "mem-1").integer == 8
+
+
 def test_incremental_runs_advance_only_over_stored_rows(spark, spec, tmp_path):
     incremental = replace(
         spec, ingestion=Ingestion("incremental", "id", f"{tmp_path}/marks")

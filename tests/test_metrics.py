@@ -105,6 +105,29 @@ def test_latest_snapshot_is_per_source(spark):
         "id INT, source_name STRING, ingestion_date STRING",
     )
     assert rows_of(lake.latest_snapshot(df).select("id")) == [(2,), (3,)]
+    start = dt.datetime(2024, 1, 1)
+    events = [
+        (n, s, "file", start, start, 1, 1, 0, f"/b/source_name={s}/ingestion_date={d}/_run_id={n}",
+         "c", status, None)
+        for n, s, d, status in [
+            ("1", "a", "2024-01-01", "SUCCESS"),
+            ("2", "a", "2024-01-02", "FAILURE"),
+            ("3", "b", "2024-01-01", "PARTIAL"),
+        ]
+    ]
+    newest = lake.newest_dates(spark.createDataFrame(events, AUDIT_SCHEMA))
+    assert rows_of(lake.latest_snapshot(df, newest).select("id")) == [(1,), (3,)]
+
+
+def test_latest_snapshot_prunes_partitions(spark, tmp_path):
+    rows = spark.range(100).selectExpr(
+        "id", "'s' AS source_name", "concat('2024-01-', lpad(id % 9 + 1, 2, '0')) AS ingestion_date"
+    )
+    rows.write.partitionBy("ingestion_date", "source_name").parquet(f"{tmp_path}/t")
+    df = spark.read.schema("id BIGINT, ingestion_date STRING, source_name STRING").parquet(
+        f"{tmp_path}/t"
+    )
+    assert "dynamicpruning" in plan_of(lake.latest_snapshot(df))
 
 
 def test_retention_boundary(spark):
