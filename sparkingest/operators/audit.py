@@ -11,6 +11,7 @@ from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sparkingest.session import path_exists
 
@@ -63,23 +64,26 @@ class LineageEvent:
     schema_ddl: str
 
 
-def _append(spark: SparkSession, path: str, schema: str, event) -> None:
-    row = spark.createDataFrame([astuple(event)], schema).coalesce(1)
-    row.write.mode("append").parquet(path)
-
-
 def append_audit(spark: SparkSession, path: str, event: AuditEvent) -> None:
-    _append(spark, path, AUDIT_SCHEMA, event)
+    """Append below the source's own directory, so that asking for one source lists only
+    that source's runs."""
+    row = spark.createDataFrame([astuple(event)], AUDIT_SCHEMA).coalesce(1)
+    target = f"{path}/source_name={event.source_name}"
+    row.drop("source_name").write.mode("append").parquet(target)
 
 
 def append_lineage(spark: SparkSession, path: str, event: LineageEvent) -> None:
-    _append(spark, path, LINEAGE_SCHEMA, event)
+    row = spark.createDataFrame([astuple(event)], LINEAGE_SCHEMA).coalesce(1)
+    row.write.mode("append").parquet(path)
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    if not path_exists(spark, path):
+def read_audit(spark: SparkSession, path: str, source_name: str | None = None) -> DataFrame:
+    files = path if source_name is None else f"{path}/source_name={source_name}"
+    if not path_exists(spark, files):
         return spark.createDataFrame([], AUDIT_SCHEMA)
-    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
+    schema = StructType.fromDDL(AUDIT_SCHEMA)
+    events = spark.read.schema(schema).option("basePath", path).parquet(files)
+    return events.select(*schema.names)
 
 
 def read_lineage(spark: SparkSession, path: str) -> DataFrame:
@@ -92,8 +96,8 @@ def committed_runs(audit: DataFrame) -> DataFrame:
     return audit.where(F.col("status").isin(*COMMITTED))
 
 
-def is_committed(spark: SparkSession, path: str, run_id: str) -> bool:
-    mine = committed_runs(read_audit(spark, path)).where(F.col("run_id") == run_id)
+def is_committed(spark: SparkSession, path: str, source_name: str, run_id: str) -> bool:
+    mine = committed_runs(read_audit(spark, path, source_name)).where(F.col("run_id") == run_id)
     return not mine.isEmpty()
 
 

@@ -83,7 +83,7 @@ def stage_run(
     value that holds a large share of the rows.
     """
     spark = flagged.sparkSession
-    if audit_path is not None and is_committed(spark, audit_path, run_id):
+    if audit_path is not None and is_committed(spark, audit_path, source_name, run_id):
         raise StorageWriteError(root, f"run {run_id} is committed and cannot be written again")
     path = run_directory(root, source_name, run_ts.strftime("%Y-%m-%d"), run_id)
     data_columns = [c for c in flagged.columns if c != CODES]

@@ -10,6 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkingest.errors import ConfigurationError
 from sparkingest.functions.fingerprint import checksum_by
 from sparkingest.operators.audit import FAILURE
 
@@ -107,7 +108,9 @@ def detect_gaps(df: DataFrame, key: str, ts: str, threshold: dt.timedelta) -> Da
     windows run over buckets instead of records: at most 4096 per group, then over one
     row per 4096 buckets. A key holding a third of all records costs no more.
     """
-    width = int(threshold.total_seconds() * 1_000_000)
+    width = threshold // dt.timedelta(microseconds=1)
+    if width <= 0:
+        raise ConfigurationError("threshold", "must be positive")
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     buckets = (
         df.where(F.col(ts).isNotNull())

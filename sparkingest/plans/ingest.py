@@ -122,7 +122,7 @@ def ingest(
     scratch = ExitStack()
     try:
         check_path_safe("run_id", run_id)
-        if audit_table.is_committed(spark, spec.audit.path, run_id):
+        if audit_table.is_committed(spark, spec.audit.path, meta.source_name, run_id):
             raise StorageWriteError(
                 spec.storage.path, f"run {run_id} is committed and cannot be written again"
             )

@@ -20,15 +20,17 @@ from sparkingest.operators.quality import (
     quarantine_rate,
     revalidate,
 )
-from sparkingest.plans.catalog import query, sql_cents, table
+from sparkingest.plans.catalog import prepared, query, sql_cents, table
 from sparkingest.plans.queries_raw import (
     FAULTY_SQL,
     RUN_SQL,
     faulty_feed,
     faulty_runs,
     feed,
+    land_faulty_runs,
     rules,
 )
+from sparkingest.plans.recover import recover
 
 
 def _codes():
@@ -202,3 +204,30 @@ def quarantine_recover(spark, sf_dir):
             _codes(),
         )
     )
+
+
+@query(
+    "quarantine_release",
+    f"""SELECT CASE WHEN codes = '' THEN {RUN_SQL} ELSE 'run-0004' END AS _run_id, o_orderkey,
+               o_custkey, o_cents
+        FROM ({FAULTY_SQL}) WHERE codes IN ('', 'ORPHAN_REFERENCE')""",
+)
+def quarantine_release(spark, sf_dir):
+    """The released rows join the raw layer as a fourth run, in a copy of the three others;
+    a second recovery finds nothing more."""
+
+    def run(root):
+        landed = land_faulty_runs(spark, sf_dir, root)
+        for run_id in ("run-0004", "run-0005"):
+            recover(
+                spark,
+                landed.spec,
+                landed.schema,
+                run_id=run_id,
+                run_ts=dt.datetime(2024, 1, 4),
+                rules=rules(spark, sf_dir, whole_dimension=True),
+            )
+        return landed
+
+    rows = prepared(spark, sf_dir, "recovered-runs", run).rows(spark)
+    return rows.select("_run_id", "o_orderkey", "o_custkey", "o_cents")

@@ -208,29 +208,22 @@ def faulty_feed(spark, sf_dir) -> DataFrame:
     )
 
 
-def faulty_runs(spark, sf_dir) -> Landed:
+def land_faulty_runs(spark, sf_dir, root: str) -> Landed:
     """Three daily runs over a feed with injected faults."""
+    faulty = faulty_feed(spark, sf_dir).withColumn("feed", F.col("o_orderstatus"))
+    faulty.write.option("header", True).partitionBy("feed").csv(f"{root}/feed")
+    results = []
+    for i, (status, run_id) in enumerate(RUN_OF_STATUS.items()):
+        spec = _csv_spec(root, f"{root}/feed/feed={status}", ddl(FEED))
+        enforcement = replace(spec.schema_enforcement, corrupt_mode="PERMISSIVE")
+        spec = replace(spec, schema_enforcement=enforcement)
+        run_ts = dt.datetime(2024, 1, 1 + i, 3)
+        results.append(ingest(spark, spec, run_id=run_id, run_ts=run_ts, rules=rules(spark, sf_dir)))
+    return Landed(spec, tuple(results))
 
-    def run(root):
-        faulty = faulty_feed(spark, sf_dir).withColumn("feed", F.col("o_orderstatus"))
-        faulty.write.option("header", True).partitionBy("feed").csv(f"{root}/feed")
-        results = []
-        for i, (status, run_id) in enumerate(RUN_OF_STATUS.items()):
-            spec = _csv_spec(root, f"{root}/feed/feed={status}", ddl(FEED))
-            enforcement = replace(spec.schema_enforcement, corrupt_mode="PERMISSIVE")
-            spec = replace(spec, schema_enforcement=enforcement)
-            results.append(
-                ingest(
-                    spark,
-                    spec,
-                    run_id=run_id,
-                    run_ts=dt.datetime(2024, 1, 1 + i, 3),
-                    rules=rules(spark, sf_dir),
-                )
-            )
-        return Landed(spec, tuple(results))
 
-    return prepared(spark, sf_dir, "faulty-runs", run)
+def faulty_runs(spark, sf_dir) -> Landed:
+    return prepared(spark, sf_dir, "faulty-runs", lambda root: land_faulty_runs(spark, sf_dir, root))
 
 
 @query(

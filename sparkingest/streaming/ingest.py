@@ -52,7 +52,7 @@ def ingest_stream(
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run_id = f"{name}-{batch_id}"
-        if is_committed(spark, spec.audit.path, run_id):
+        if is_committed(spark, spec.audit.path, spec.metadata.source_name, run_id):
             return
         connection = replace(spec.connection, reader=lambda _: batch)
         ingest(

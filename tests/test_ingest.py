@@ -32,6 +32,7 @@ from sparkingest.operators import bronze, lake
 from sparkingest.operators.quality import CODES, Completeness, Range, Referential, classify
 from sparkingest.operators.watermark import read_watermark
 from sparkingest.plans.ingest import ingest
+from sparkingest.plans.recover import recover, released_rows
 
 RUN_TS = dt.datetime(2024, 5, 1, 3)
 SCHEMA = "id BIGINT, name STRING, amount DOUBLE"
@@ -229,6 +230,29 @@ def test_validator_losses_are_counted(spark, spec):
     assert (result.records_written, result.quarantine_count) == (6, 2)
 
 
+def test_recovery_survives_a_crash_and_repeats(spark, spec, batch, monkeypatch):
+    ingest(spark, spec, run_id="r1", run_ts=RUN_TS, rules=[Range("amount", 0, 600)])
+    looser = [Range("amount", 0, 700)]
+
+    def full(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(audit_table, "append_audit", full)
+    with pytest.raises(UnexpectedError):
+        recover(spark, spec, batch.schema, run_id="c0", run_ts=RUN_TS, rules=looser)
+    monkeypatch.undo()
+    assert released_rows(spark, spec).isEmpty()
+    assert stored(spark, spec, batch.schema).count() == 6
+    first = recover(spark, spec, batch.schema, run_id="c1", run_ts=RUN_TS, rules=looser)
+    assert (first.records_read, first.records_written) == (1, 1)
+    assert released_rows(spark, spec).count() == 1
+    again = recover(spark, spec, batch.schema, run_id="c2", run_ts=RUN_TS, rules=looser)
+    assert again.records_read == 0
+    rest = recover(spark, spec, batch.schema, run_id="c3", run_ts=RUN_TS, rules=[])
+    assert rest.records_read == 1
+    assert sorted(r.id for r in stored(spark, spec, batch.schema).collect()) == list(range(1, 9))
+
+
 def test_validator_may_add_rows(spark, spec):
     result = ingest(
         spark, spec, run_id="r1", run_ts=RUN_TS, validator=lambda df: df.unionByName(df)
