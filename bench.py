@@ -13,6 +13,7 @@ import json
 import os
 import statistics
 import time
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -47,10 +48,16 @@ from sparkingest.operators.watermark import (
 )
 from sparkingest.plans.catalog import table
 from sparkingest.plans.ingest import ingest
-from sparkingest.plans.queries_lake import _LINE_ORDER, cdc_apply, gap_detect, reconcile
-from sparkingest.plans.queries_lake import gold_daily_rollup, silver_dedupe
+from sparkingest.plans.queries_lake import (
+    LINE_ORDER,
+    cdc_apply,
+    gap_detect,
+    gold_daily_rollup,
+    reconcile,
+    silver_dedupe,
+)
 from sparkingest.plans.queries_raw import lines
-from sparkingest.plans.queries_state import _log_of_orders
+from sparkingest.plans.queries_state import log_of_orders
 from sparkingest.session import work_path
 from sparkingest.sources.files import read_csv, read_json
 
@@ -130,11 +137,15 @@ class Jobs:
         text = "".join(sorted(str(r) for r in df.collect()))
         checksum = hashlib.sha256(text.encode()).hexdigest()
         df.count()
-        enriched = df.withColumns(
-            {"_ingestion_ts": F.lit(RUN_TS), "_source_name": F.lit("lineitem"),
-             "_run_id": F.lit("r1"), "_checksum": F.lit(checksum),
-             "ingestion_date": F.lit("2024-01-01"), "source_name": F.lit("lineitem")}
-        )
+        added = {
+            "_ingestion_ts": RUN_TS,
+            "_source_name": "lineitem",
+            "_run_id": "r1",
+            "_checksum": checksum,
+            "ingestion_date": "2024-01-01",
+            "source_name": "lineitem",
+        }
+        enriched = df.withColumns({name: F.lit(value) for name, value in added.items()})
         enriched.count()
         enriched.write.partitionBy("ingestion_date", "source_name").parquet(root)
 
@@ -152,8 +163,8 @@ class Jobs:
         append_watermark(
             self.spark, marks, "lineitem", Watermark(INTEGER, integer=cut), RUN_TS, "r0"
         )
-        spec = SourceSpec(**{**spec.__dict__, "connection": Connection(
-            "file", file_path=self.parquet, file_format="parquet")})
+        files = Connection("file", file_path=self.parquet, file_format="parquet")
+        spec = replace(spec, connection=files)
         ingest(self.spark, spec, run_id="r1", run_ts=RUN_TS)
 
     # --- checksum -------------------------------------------------------------------
@@ -200,7 +211,7 @@ class Jobs:
                 path,
                 self.feed().where(flag),
                 ["l_orderkey", "l_linenumber"],
-                _LINE_ORDER,
+                LINE_ORDER,
                 F.date_format("shipped", "yyyy"),
             )
 
@@ -227,7 +238,7 @@ def main() -> None:
         "silver_merge": jobs.merge_two_batches,
         "reconcile_copies": jobs.reconcile_copies,
         "watermark_latest": lambda: drain(
-            latest_watermarks(_log_of_orders(table(spark, SF_DIR, "orders")))
+            latest_watermarks(log_of_orders(table(spark, SF_DIR, "orders")))
         ),
     }
     for query in registered:

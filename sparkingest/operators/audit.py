@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sparkingest.session import path_exists
+from sparkingest.session import one_row, path_exists
 
 # Run outcomes.
 SUCCESS = "SUCCESS"
@@ -67,13 +67,13 @@ class LineageEvent:
 def append_audit(spark: SparkSession, path: str, event: AuditEvent) -> None:
     """Append below the source's own directory, so that asking for one source lists only
     that source's runs."""
-    row = spark.createDataFrame([astuple(event)], AUDIT_SCHEMA).coalesce(1)
+    row = one_row(spark, AUDIT_SCHEMA, astuple(event))
     target = f"{path}/source_name={event.source_name}"
     row.drop("source_name").write.mode("append").parquet(target)
 
 
 def append_lineage(spark: SparkSession, path: str, event: LineageEvent) -> None:
-    row = spark.createDataFrame([astuple(event)], LINEAGE_SCHEMA).coalesce(1)
+    row = one_row(spark, LINEAGE_SCHEMA, astuple(event))
     row.write.mode("append").parquet(path)
 
 

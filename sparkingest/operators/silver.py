@@ -10,8 +10,6 @@ files being read are never overwritten.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +19,7 @@ from sparkingest.operators.quality import CODES, SCHEMA_TYPE_MISMATCH
 from sparkingest.session import materialize, path_exists, scratch_table, small_side
 
 PART = "part"
+KEY = "_key"
 MANIFEST_SCHEMA = "generation BIGINT, part STRING, row_count BIGINT"
 
 
@@ -94,60 +93,74 @@ def merge(
     since a key may move. On a tie the stored row stays, so applying a batch twice
     changes nothing. Returns the new generation.
 
-    Of the stored rows only keys, versions and label take part in the comparison, and
-    the new rows keep the partitioning their deduplication gave them. Stored rows are
-    then filtered by an anti-join on the winning keys and move only to be rewritten.
+    Stored rows are filtered by an anti-join on the winning keys and move only to be
+    rewritten.
     """
     data = incoming.schema
     part = F.col(part) if isinstance(part, str) else part
     label = F.coalesce(F.nullif(part.cast("string"), F.lit("")), F.lit("none"))
-    fresh = latest_per_key(incoming, keys, versions).withColumn(PART, label)
+    labelled = incoming.withColumn(PART, label)
+    columns = [*data.names, PART]
     generation = _next_generation(spark, path)
     target = f"{path}/data/generation={generation}"
     if generation == 1:
-        _write_partitions(fresh, target)
+        _write_partitions(latest_per_key(_keyed(labelled, keys), [KEY], versions), target)
         _publish(spark, path, generation, data)
         return generation
 
     stored = read_silver(spark, path, data)
-    old = stored.select(
-        *[F.col(k).alias(f"_old_{k}") for k in keys],
-        F.struct(*versions).alias("_old_version"),
-        F.col(PART).alias("_replaced"),
-    )
-    known = incoming.select(*[F.col(k).alias(f"_in_{k}") for k in keys])
-    if small_side(known) is not known:
-        same = _same([f"_old_{k}" for k in keys], [f"_in_{k}" for k in keys])
-        old = old.join(small_side(known.distinct()), same, "left_semi")
-    met = fresh.join(old, _same(keys, [f"_old_{k}" for k in keys]), "left")
-    # Struct comparison counts a null version as the oldest.
-    wins = F.col("_old_version").isNull() | (F.struct(*versions) > F.col("_old_version"))
-    won = met.where(wins).select(*data.names, PART, "_replaced")
-    with scratch_table(won, "silver-winners") as winners:
+    won = winning_rows(labelled, stored, keys, versions)
+    with scratch_table(won.select(*columns, KEY, "_replaced"), "silver-winners") as winners:
         labels = winners.select(F.explode(F.array(PART, "_replaced")).alias(PART))
         touched = materialize(labels.where(F.col(PART).isNotNull()).distinct(), "silver-touched")
         # Always true; Spark prunes partitions only when the small side is filtered.
         pruning = touched.where(F.length(PART) > 0)
-        won_keys = winners.select(*[F.col(k).alias(f"_won_{k}") for k in keys])
-        kept = stored.join(small_side(pruning), PART, "left_semi").join(
-            small_side(won_keys), _same(keys, [f"_won_{k}" for k in keys]), "left_anti"
+        kept = (
+            _keyed(stored.join(small_side(pruning), PART, "left_semi"), keys)
+            .join(small_side(winners.select(KEY)), KEY, "left_anti")
+            .select(*columns)
         )
-        columns = [*data.names, PART]
-        _write_partitions(kept.select(*columns).unionByName(winners.select(*columns)), target)
+        _write_partitions(kept.unionByName(winners.select(*columns)), target)
         _publish(spark, path, generation, data, touched)
     return generation
 
 
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
-    """Equality of all key columns, null being equal to null."""
-    return reduce(
-        and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)]
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the key as one struct. Structs compare null fields as equal, so a null key is
+    matched without the null-safe operator, which would cost another shuffle."""
+    return df.withColumn(KEY, F.struct(*keys))
+
+
+def winning_rows(
+    incoming: DataFrame, stored: DataFrame, keys: Sequence[str], versions: Sequence[str]
+) -> DataFrame:
+    """Newest incoming row per key where it beats the stored one, and the ``part`` of the
+    row it replaces.
+
+    Of the stored rows only key, versions and label take part, and only those of incoming
+    keys where these fit a broadcast. The incoming rows are shuffled once, for their
+    deduplication; the join reuses that partitioning.
+    """
+    fresh = latest_per_key(_keyed(incoming, keys), [KEY], versions)
+    old = _keyed(stored, keys).select(
+        F.col(KEY).alias("_old_key"),
+        F.struct(*versions).alias("_old_version"),
+        F.col(PART).alias("_replaced"),
     )
+    known = _keyed(incoming, keys).select(F.col(KEY).alias("_in_key"))
+    if small_side(known) is not known:
+        same = F.col("_old_key") == F.col("_in_key")
+        old = old.join(small_side(known.distinct()), same, "left_semi")
+    met = fresh.join(old, F.col(KEY) == F.col("_old_key"), "left")
+    # A null version counts as the oldest, as in the deduplication.
+    wins = F.col("_old_version").isNull() | (F.struct(*versions) > F.col("_old_version"))
+    return met.where(wins).drop("_old_key", "_old_version")
 
 
 def _write_partitions(rows: DataFrame, target: str) -> None:
     """Few files per partition; AQE splits a partition that holds most of the rows."""
-    rows.hint("rebalance", F.col(PART)).write.mode("overwrite").partitionBy(PART).parquet(target)
+    rows = rows.drop(KEY).hint("rebalance", F.col(PART))
+    rows.write.mode("overwrite").partitionBy(PART).parquet(target)
 
 
 def _publish(spark, path, generation, data, touched=None) -> None:
@@ -181,8 +194,7 @@ def apply_changes(
     delete: str = "D",
 ) -> DataFrame:
     """Table after a change log: newest change per key, deletes as tombstones."""
-    newest = latest_per_key(changes, keys, versions)
-    changed = newest.select(*[F.col(k).alias(f"_changed_{k}") for k in keys])
-    untouched = base.join(changed, _same(keys, [f"_changed_{k}" for k in keys]), "left_anti")
+    newest = latest_per_key(_keyed(changes, keys), [KEY], versions)
+    untouched = _keyed(base, keys).join(newest.select(KEY), KEY, "left_anti").drop(KEY)
     upserts = newest.where(F.col(operation) != delete).select(*base.columns)
     return untouched.unionByName(upserts)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkingest.errors import ConnectorError
-from sparkingest.session import path_exists
+from sparkingest.session import one_row, path_exists
 
 # Type tags of the checkpoint table.
 TIMESTAMP = "TIMESTAMP"
@@ -118,7 +118,7 @@ def append_watermark(
     run_id: str,
 ) -> None:
     row = (source_id, mark.kind, mark.ts, mark.integer, updated_at, run_id)
-    spark.createDataFrame([row], CHECKPOINT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    one_row(spark, CHECKPOINT_SCHEMA, row).write.mode("append").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

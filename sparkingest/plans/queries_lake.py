@@ -32,7 +32,7 @@ from sparkingest.plans.queries_raw import (
     run_log,
 )
 
-_LINE_ORDER = [
+LINE_ORDER = [
     "shipped",
     "price_cents",
     "l_partkey",
@@ -43,7 +43,7 @@ _LINE_ORDER = [
     "l_returnflag",
     "l_linestatus",
 ]
-_LINE_ORDER_SQL = ", ".join(f"{c} DESC" for c in _LINE_ORDER)
+_LINE_ORDER_SQL = ", ".join(f"{c} DESC" for c in LINE_ORDER)
 _LATEST_LINES_SQL = f"""
   SELECT * EXCLUDE rn FROM (
     SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -68,7 +68,7 @@ def silver_merge(spark, sf_dir):
                 path,
                 batch,
                 ["l_orderkey", "l_linenumber"],
-                _LINE_ORDER,
+                LINE_ORDER,
                 F.date_format("shipped", "yyyy-MM"),
             )
 
@@ -121,7 +121,7 @@ def silver_conform(spark, sf_dir):
 )
 def silver_dedupe(spark, sf_dir):
     latest = silver.latest_per_key(
-        lines(spark, sf_dir), ["l_orderkey", "l_linenumber"], _LINE_ORDER
+        lines(spark, sf_dir), ["l_orderkey", "l_linenumber"], LINE_ORDER
     )
     return latest.select(
         "l_orderkey",
@@ -184,7 +184,7 @@ def cdc_apply(spark, sf_dir):
         }
     )
     return silver.apply_changes(
-        base, changes, ["o_orderkey"], ["l_linenumber", *_LINE_ORDER], "op"
+        base, changes, ["o_orderkey"], ["l_linenumber", *LINE_ORDER], "op"
     )
 
 

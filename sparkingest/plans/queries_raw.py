@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from dataclasses import dataclass, replace
 
@@ -18,6 +19,7 @@ from sparkingest.config import (
     SourceSpec,
     Storage,
 )
+from sparkingest.errors import ConnectorError, StorageWriteError
 from sparkingest.functions.fingerprint import batch_checksum, checksum_by
 from sparkingest.operators import audit as audit_table
 from sparkingest.operators import bronze
@@ -155,6 +157,34 @@ def bronze_enrich(spark, sf_dir):
     )
 
 
+@query(
+    "bronze_immutable",
+    """SELECT 'run-0001' AS _run_id, o_orderstatus, count(*) AS n,
+              CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY 2""",
+)
+def bronze_immutable(spark, sf_dir):
+    """The committed run is offered again with other rows; it is refused and unchanged."""
+
+    def run(root):
+        landed = clean_run(spark, sf_dir)
+        other = Connection("stream", reader=lambda _: feed(spark, sf_dir).where("o_custkey > 9"))
+        try:
+            ingest(
+                spark,
+                replace(landed.spec, connection=other),
+                run_id="run-0001",
+                run_ts=dt.datetime(2024, 1, 1, 3),
+            )
+        except StorageWriteError:
+            return landed
+        raise AssertionError("a committed run was written again")
+
+    rows = prepared(spark, sf_dir, "rewritten-run", run).rows(spark)
+    return rows.groupBy("_run_id", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum")
+    )
+
+
 # --- faulty runs with rules -----------------------------------------------------------
 
 RULES_SQL = """
@@ -237,6 +267,33 @@ def bronze_append(spark, sf_dir):
     return rows.select("_run_id", "o_orderkey", "o_custkey", "o_cents")
 
 
+@query(
+    "corrupt_failfast",
+    """SELECT CAST(o_orderstatus AS VARCHAR) AS feed,
+              CASE WHEN bad > 0 THEN 'FAILURE' ELSE 'SUCCESS' END AS status,
+              CASE WHEN bad > 0 THEN 0 ELSE n END AS records_written
+       FROM (SELECT o_orderstatus, count(*) AS n, count(*) FILTER (o_orderkey % 97 = 0) AS bad
+             FROM orders GROUP BY 1)""",
+)
+def corrupt_failfast(spark, sf_dir):
+    """One run per feed in the strictest mode: a corrupt record fails its run, which leaves
+    an audit row and no visible rows."""
+
+    def run(root):
+        faulty = faulty_feed(spark, sf_dir).withColumn("feed", F.col("o_orderstatus"))
+        faulty.write.option("header", True).partitionBy("feed").csv(f"{root}/feed")
+        for status in RUN_OF_STATUS:
+            spec = _csv_spec(root, f"{root}/feed/feed={status}", ddl(FEED))
+            with contextlib.suppress(ConnectorError):
+                ingest(spark, spec, run_id=f"run-{status}", run_ts=dt.datetime(2024, 1, 1))
+        return spec
+
+    spec = prepared(spark, sf_dir, "failfast-runs", run)
+    return audit_table.read_audit(spark, spec.audit.path).select(
+        F.substring_index("run_id", "-", -1).alias("feed"), "status", "records_written"
+    )
+
+
 @query(
     "batch_counts",
     f"""SELECT {RUN_SQL} AS run_id, count(*) AS records_read,
@@ -391,10 +448,10 @@ def validator_hook(spark, sf_dir):
     "bronze_partition_by",
     """SELECT o_orderstatus, o_orderpriority, count(*) AS n,
               CAST(sum(o_orderkey) AS BIGINT) AS key_sum
-       FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2""",
+       FROM orders GROUP BY 1, 2""",
 )
 def bronze_partition_by(spark, sf_dir):
-    """Configured partition columns below the run directory; the filter prunes them."""
+    """Configured partition columns below the run directory come back as columns."""
 
     def run(root):
         feed(spark, sf_dir).write.option("header", True).csv(f"{root}/feed")
@@ -404,10 +461,8 @@ def bronze_partition_by(spark, sf_dir):
         return Landed(spec, (result,))
 
     rows = prepared(spark, sf_dir, "partitioned-run", run).rows(spark)
-    return (
-        rows.where("o_orderstatus = 'F'")
-        .groupBy("o_orderstatus", "o_orderpriority")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"))
+    return rows.groupBy("o_orderstatus", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum")
     )
 
 

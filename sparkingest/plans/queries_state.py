@@ -148,7 +148,7 @@ def watermark_advance(spark, sf_dir):
     return state.select("source_id", "watermark_type", "value", "run_id")
 
 
-def _log_of_orders(orders):
+def log_of_orders(orders):
     """One checkpoint entry per order: customers are sources, and those with an even key
     share source ``busy``, which therefore holds about half of the log."""
     key = F.col("o_orderkey")
@@ -191,7 +191,7 @@ def _state(log):
 
 @query("watermark_latest", _STATE_SQL)
 def watermark_latest(spark, sf_dir):
-    return _state(_log_of_orders(table(spark, sf_dir, "orders")))
+    return _state(log_of_orders(table(spark, sf_dir, "orders")))
 
 
 @query("watermark_upsert", _STATE_SQL)
@@ -201,8 +201,8 @@ def watermark_upsert(spark, sf_dir):
     def append(path):
         orders = table(spark, sf_dir, "orders")
         old = F.col("o_orderdate") <= F.lit(_CUT).cast("timestamp_ntz")
-        _log_of_orders(orders.where(old)).write.parquet(path)
-        _log_of_orders(orders.where(~old)).write.mode("append").parquet(path)
+        log_of_orders(orders.where(old)).write.parquet(path)
+        log_of_orders(orders.where(~old)).write.mode("append").parquet(path)
 
     return _state(read_log(spark, prepared(spark, sf_dir, "watermark-log", append)))
 
@@ -223,7 +223,7 @@ def watermark_upsert(spark, sf_dir):
 )
 def watermark_decode(spark, sf_dir):
     """Wrong tags and missing values are injected on the run id."""
-    log = _log_of_orders(table(spark, sf_dir, "orders"))
+    log = log_of_orders(table(spark, sf_dir, "orders"))
     fault = F.col("run_id").cast("bigint") % 5
     tag = (
         F.when(fault == 0, F.lit(INTEGER))

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sparkingest.errors import ConfigurationError
 
@@ -67,6 +68,13 @@ def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
             log.warning("scratch table %s not deleted: %s", path, error)
 
 
+def one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
+    """A single log row, built from literals in the JVM and written as one file."""
+    fields = StructType.fromDDL(schema).fields
+    columns = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values, strict=True)]
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
 # Largest estimate of a key table that is broadcast by request, in bytes.
 KEY_TABLE_LIMIT = 64 * 1024 * 1024
 

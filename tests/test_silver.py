@@ -106,6 +106,17 @@ def test_latest_per_key_limits_before_the_shuffle(spark, sf_dir):
     assert "row_number(), 1, Final" in final and "row_number(), 1, Partial" in rest
 
 
+def test_incoming_rows_are_shuffled_once(spark, sf_dir, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("part", F.lit("p"))
+    plan = plan_of(
+        silver.winning_rows(lineitem, lineitem, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    )
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2
+    stored_scan = plan.split("ReadSchema: ")[-1]
+    assert "l_extendedprice" not in stored_scan
+
+
 def test_changes_on_a_hot_key(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id INT, v STRING")
     log = spark.range(3000).select(
