@@ -89,6 +89,26 @@ def test_clean_run(spark, spec, batch):
     assert audit_table.read_lineage(spark, spec.audit.lineage_path).count() == 1
 
 
+@pytest.mark.parametrize("kind", ["literal", "filtered", "no files", "pruned"])
+@pytest.mark.parametrize("partition_by", [(), ("name",)])
+def test_empty_batches_commit(spark, spec, batch, tmp_path, kind, partition_by):
+    if kind == "literal":
+        empty = spark.createDataFrame([], SCHEMA)
+    elif kind == "filtered":
+        empty = batch.where("id > 99")
+    elif kind == "pruned":
+        empty = batch.where("1 = 0")
+    else:
+        batch.where("id > 99").write.parquet(f"{tmp_path}/nothing")
+        empty = spark.read.schema(batch.schema).option("pathGlobFilter", "none*").parquet(
+            f"{tmp_path}/nothing"
+        )
+    changed = replace(reading(spec, empty), storage=replace(spec.storage, partition_by=partition_by))
+    result = ingest(spark, changed, run_id="r1", run_ts=RUN_TS, verify_stored=True)
+    assert (result.status, result.records_read, result.records_written) == ("SUCCESS", 0, 0)
+    assert result.checksum == batch_checksum(empty).first()["checksum"]
+
+
 def test_appends_accumulate(spark, spec, batch):
     ingest(spark, spec, run_id="r1", run_ts=RUN_TS)
     more = spark.range(10, 15).selectExpr("id", "'x' AS name", "1.0D AS amount")
