@@ -349,8 +349,8 @@ def compact(
     """Merge the small files of closed days (``ingestion_date < before``).
 
     The rows of all committed runs of a day are rewritten into files of AQE's advisory
-    partition size; a day holding most of the rows is split, small ones are merged. The
-    copy replaces the runs only after counts and checksums of every day agree. Returns
+    partition size, below the configured partition columns; a day or value holding most
+    of the rows is split, small ones are merged. The copy replaces the runs only after counts and checksums of every day agree. Returns
     the per-day check ``(source_name, ingestion_date, row_count, checksum)``.
     """
     check_path_safe("compaction_id", compaction_id)
@@ -361,11 +361,12 @@ def compact(
     done = read_compactions(spark, compacted_root)
     closed = _sealed_rows(raw, _still_open(_seals(audit), done))
     target = f"{compacted_root}/data/compaction_id={compaction_id}"
+    directories = [*days, *partition_by]
     (
         closed.select(*kept, *days)
-        .hint("rebalance", *[F.col(d) for d in days])
+        .hint("rebalance", *[F.col(d) for d in directories])
         .write.mode("overwrite")
-        .partitionBy(*days)
+        .partitionBy(*directories)
         .parquet(target)
     )
     text = T.StringType()

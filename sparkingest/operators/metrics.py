@@ -100,6 +100,11 @@ def quality_trend(
 _COARSE = 4096
 
 
+def _start_of(micros: str, width: int) -> Column:
+    """Start of the bucket of ``width`` microseconds, in whole numbers."""
+    return F.col(micros) - F.pmod(F.col(micros), F.lit(width).cast("bigint"))
+
+
 def detect_gaps(df: DataFrame, key: str, ts: str, threshold: dt.timedelta) -> DataFrame:
     """Silences longer than ``threshold``: ``(key, gap_start, gap_end, gap_seconds)``.
 
@@ -115,9 +120,9 @@ def detect_gaps(df: DataFrame, key: str, ts: str, threshold: dt.timedelta) -> Da
     buckets = (
         df.where(F.col(ts).isNotNull())
         .withColumn("_us", micros)
-        .groupBy(F.col(key), F.floor(F.col("_us") / F.lit(width)).alias("_bucket"))
+        .groupBy(F.col(key), _start_of("_us", width).alias("_bucket"))
         .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"))
-        .withColumn("_coarse", F.floor(F.col("_bucket") / F.lit(_COARSE)))
+        .withColumn("_coarse", _start_of("_bucket", min(width * _COARSE, 2**62)))
     )
     fine = Window.partitionBy(key, "_coarse").orderBy("_bucket")
     inside = buckets.withColumn("_previous", F.lag("_last").over(fine)).where(

@@ -24,7 +24,14 @@ from sparkingest.errors import (
 )
 from sparkingest.operators import audit as audit_table
 from sparkingest.operators import bronze
-from sparkingest.operators.quality import CODES, CorruptRecord, Rule, classify, is_clean, needs_replay
+from sparkingest.operators.quality import (
+    CODES,
+    CorruptRecord,
+    Rule,
+    classify,
+    is_clean,
+    needs_replay,
+)
 from sparkingest.operators.watermark import (
     TIMESTAMP,
     Watermark,
@@ -216,7 +223,7 @@ def ingest(
         _compact_closed_days(spark, spec, committed, data)
 
     threshold = spec.quarantine.alert_threshold
-    read = committed.records_read
+    read, held = committed.records_read, committed.quarantine_count
     return RunResult(
         run_id=run_id,
         status=status,
@@ -228,7 +235,7 @@ def ingest(
         partition_date=run_ts.strftime("%Y-%m-%d"),
         checksum=checksum,
         schema=data,
-        alert=bool(threshold is not None and read and committed.quarantine_count / read > threshold),
+        alert=bool(threshold is not None and read and held / read > threshold),
     )
 
 

@@ -103,7 +103,8 @@ def test_empty_batches_commit(spark, spec, batch, tmp_path, kind, partition_by):
         empty = spark.read.schema(batch.schema).option("pathGlobFilter", "none*").parquet(
             f"{tmp_path}/nothing"
         )
-    changed = replace(reading(spec, empty), storage=replace(spec.storage, partition_by=partition_by))
+    storage = replace(spec.storage, partition_by=partition_by)
+    changed = replace(reading(spec, empty), storage=storage)
     result = ingest(spark, changed, run_id="r1", run_ts=RUN_TS, verify_stored=True)
     assert (result.status, result.records_read, result.records_written) == ("SUCCESS", 0, 0)
     assert result.checksum == batch_checksum(empty).first()["checksum"]
@@ -308,6 +309,18 @@ def test_compaction_as_part_of_a_run(spark, spec, batch):
     assert sorted(r.run_id for r in done.collect()) == ["r0", "r1"]
 
 
+def test_compaction_keeps_the_configured_partitions(spark, spec, batch):
+    storage = replace(spec.storage, partition_by=("name",), compaction_enabled=True)
+    for i in range(2):
+        at = RUN_TS + dt.timedelta(days=i)
+        ingest(spark, replace(spec, storage=storage), run_id=f"r{i}", run_ts=at)
+    root = storage.compacted_path
+    rows = stored(spark, spec, batch.schema, partition_by=("name",), compacted_root=root)
+    assert rows.select(*batch.columns).exceptAll(batch.unionByName(batch)).isEmpty()
+    assert rows.count() == 16
+    assert all("/name=n" in f for f in spark.read.parquet(f"{root}/data").inputFiles())
+
+
 def test_lag_never_moves_the_mark_back(spark, spec, tmp_path):
     marks = f"{tmp_path}/marks"
     lagging = replace(spec, ingestion=Ingestion("incremental", "id", marks, lag_units=4))
