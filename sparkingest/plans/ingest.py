@@ -243,9 +243,10 @@ def _advance_watermark(spark, spec, kind, high_water, committed) -> None:
     """Move the mark to the highest stored value; a run that re-read a lag never moves it
     back."""
     storage, source_id = spec.ingestion.watermark_storage, spec.metadata.source_id
-    before = read_watermark(spark, storage, source_id)
-    if before is not None and before.kind == kind and high_water <= before.value:
-        return
+    if spec.ingestion.lag_seconds or spec.ingestion.lag_units:
+        before = read_watermark(spark, storage, source_id)
+        if before is not None and before.kind == kind and high_water <= before.value:
+            return
     is_time = kind == TIMESTAMP
     mark = Watermark(kind, ts=high_water) if is_time else Watermark(kind, integer=high_water)
     append_watermark(
