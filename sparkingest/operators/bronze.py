@@ -27,7 +27,7 @@ from sparkingest.functions.fingerprint import (
 )
 from sparkingest.operators.audit import committed_runs, is_committed
 from sparkingest.operators.quality import CODES, is_clean
-from sparkingest.session import path_exists, small_side
+from sparkingest.session import path_exists, small_side, timestamp_literal
 
 CLEAN = "clean"
 QUARANTINED = "quarantined"
@@ -58,7 +58,7 @@ def enrich(df: DataFrame, source_name: str, run_ts: dt.datetime) -> DataFrame:
     """Stored metadata columns. Run id and date are directory names and the checksum is
     joined from the audit row on reading, since it is known only after the write."""
     return df.withColumns(
-        {"_ingestion_ts": F.lit(run_ts).cast("timestamp"), "_source_name": F.lit(source_name)}
+        {"_ingestion_ts": timestamp_literal(run_ts), "_source_name": F.lit(source_name)}
     )
 
 

@@ -12,7 +12,7 @@ from sparkingest.operators.audit import committed_runs
 from sparkingest.operators.bronze import RUN_ID
 from sparkingest.operators.quality import Rule, classify, split
 from sparkingest.operators.silver import latest_per_key
-from sparkingest.session import delete_path, materialize, small_side
+from sparkingest.session import delete_path, materialize, small_side, timestamp_literal
 
 
 def newest_dates(audit: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def as_of(
 
     With ``keys``, the newest version of each key among them.
     """
-    until = committed_runs(audit).where(F.col("pipeline_end_ts") <= F.lit(moment).cast("timestamp"))
+    until = committed_runs(audit).where(F.col("pipeline_end_ts") <= timestamp_literal(moment))
     until = until.select(F.col("run_id").alias(RUN_ID), F.col("pipeline_end_ts").alias("_at"))
     rows = bronze.join(small_side(until), RUN_ID)
     if keys is not None:

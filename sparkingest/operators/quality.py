@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkingest.session import fits_broadcast, materialize, small_side
+from sparkingest.session import fits_broadcast, materialize, small_side, timestamp_literal
 
 # Error codes.
 SCHEMA_TYPE_MISMATCH = "SCHEMA_TYPE_MISMATCH"
@@ -90,7 +90,7 @@ class Timeliness:
 
     def violation(self) -> Column:
         oldest = self.as_of - dt.timedelta(hours=self.max_staleness_hours)
-        return _violated(F.col(self.column) < F.lit(oldest))
+        return _violated(F.col(self.column) < timestamp_literal(oldest))
 
 
 @dataclass(frozen=True)

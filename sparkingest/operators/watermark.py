@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkingest.errors import ConnectorError
-from sparkingest.session import one_row, path_exists
+from sparkingest.session import one_row, path_exists, timestamp_literal
 
 # Type tags of the checkpoint table.
 TIMESTAMP = "TIMESTAMP"
@@ -51,10 +51,10 @@ def newer_than(
     The mark is cast, never the column, so the filter reaches Parquet and JDBC scans.
     """
     if mark.kind == TIMESTAMP:
-        bound = mark.ts - dt.timedelta(seconds=lag_seconds)
+        bound = timestamp_literal(mark.ts - dt.timedelta(seconds=lag_seconds))
     else:
-        bound = mark.integer - lag_units
-    return F.col(column) > F.lit(bound).cast(data_type)
+        bound = F.lit(mark.integer - lag_units)
+    return F.col(column) > bound.cast(data_type)
 
 
 def incremental_scan(
@@ -86,6 +86,14 @@ def watermark_kind(data_type: T.DataType, source: str = "watermark") -> str:
     raise ConnectorError(source, f"unsupported watermark column type: {data_type.simpleString()}")
 
 
+# Text form of a timestamp in Spark and in Python.
+TEXT_FORM = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def parse_timestamp(text: str) -> dt.datetime:
+    return dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f")
+
+
 def watermark_value(df: DataFrame, column: str, source: str = "watermark") -> Column:
     """``max(column)`` in the checkpoint's type, ready for ``agg`` or ``observe``."""
     kind = watermark_kind(df.schema[column].dataType, source)
@@ -152,7 +160,7 @@ def decode_watermarks(log: DataFrame) -> DataFrame:
             F.concat(F.lit("Unknown watermark type: "), F.coalesce(tag, F.lit("null"))),
         )
     )
-    value = F.when(tag == TIMESTAMP, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")).when(
+    value = F.when(tag == TIMESTAMP, F.date_format(ts, TEXT_FORM)).when(
         tag == INTEGER, integer.cast("string")
     )
     return log.withColumns({"value": value, "error": error})
@@ -167,4 +175,6 @@ def read_watermark(spark: SparkSession, path: str, source_id: str) -> Watermark
     row = rows[0]
     if row["error"]:
         raise ConnectorError(source_id, row["error"])
-    return Watermark(row["watermark_type"], row["watermark_ts"], row["watermark_int"])
+    if row["watermark_type"] == TIMESTAMP:
+        return Watermark(TIMESTAMP, ts=parse_timestamp(row["value"]))
+    return Watermark(INTEGER, integer=row["watermark_int"])

@@ -33,10 +33,12 @@ from sparkingest.operators.quality import (
     needs_replay,
 )
 from sparkingest.operators.watermark import (
+    TEXT_FORM,
     TIMESTAMP,
     Watermark,
     append_watermark,
     incremental_scan,
+    parse_timestamp,
     read_watermark,
     watermark_kind,
 )
@@ -157,6 +159,8 @@ def ingest(
             kind = watermark_kind(data[column].dataType, meta.source_id)
             value = F.col(column).cast("timestamp" if kind == TIMESTAMP else "bigint")
             high_water = F.max(F.when(is_clean(), value))
+            if kind == TIMESTAMP:
+                high_water = F.date_format(high_water, TEXT_FORM)
 
         try:
             staged = bronze.stage_run(
@@ -243,6 +247,8 @@ def _advance_watermark(spark, spec, kind, high_water, committed) -> None:
     """Move the mark to the highest stored value; a run that re-read a lag never moves it
     back."""
     storage, source_id = spec.ingestion.watermark_storage, spec.metadata.source_id
+    if kind == TIMESTAMP:
+        high_water = parse_timestamp(high_water)
     if spec.ingestion.lag_seconds or spec.ingestion.lag_units:
         before = read_watermark(spark, storage, source_id)
         if before is not None and before.kind == kind and high_water <= before.value:

@@ -10,7 +10,6 @@ from sparkingest.operators.watermark import (
     INTEGER,
     TIMESTAMP,
     Watermark,
-    append_watermark,
     decode_watermarks,
     incremental_scan,
     latest_watermarks,
@@ -19,6 +18,7 @@ from sparkingest.operators.watermark import (
     read_watermark,
 )
 from sparkingest.plans.catalog import day, prepared, query, sql_day, table
+from sparkingest.session import timestamp_literal
 
 _CUT = dt.datetime(1999, 6, 1)
 
@@ -51,7 +51,7 @@ def incremental_lag(spark, sf_dir):
     """A week behind the mark is read again; the repeats fall to the merge key."""
     orders = table(spark, sf_dir, "orders")
     mark = Watermark(TIMESTAMP, ts=_CUT)
-    first = orders.where(F.col("o_orderdate") > F.lit(_CUT).cast("timestamp_ntz"))
+    first = orders.where(F.col("o_orderdate") > timestamp_literal(_CUT).cast("timestamp_ntz"))
     again = incremental_scan(orders, "o_orderdate", mark, lag_seconds=7 * 24 * 3600)
     columns = ["o_orderkey", "o_custkey"]
     return first.select(*columns).unionByName(again.select(*columns)).dropDuplicates(["o_orderkey"])
@@ -60,7 +60,7 @@ def incremental_lag(spark, sf_dir):
 def _first_slice(spark, sf_dir):
     """What the source held at the first run."""
     orders = table(spark, sf_dir, "orders")
-    return orders.where(F.col("o_orderdate") <= F.lit(_CUT).cast("timestamp_ntz"))
+    return orders.where(F.col("o_orderdate") <= timestamp_literal(_CUT).cast("timestamp_ntz"))
 
 
 def _checkpoint(spark, sf_dir):
@@ -138,10 +138,8 @@ def watermark_advance(spark, sf_dir):
         for column, source in (("o_orderdate", "orders-by-date"), ("o_orderkey", "orders-by-key")):
             mark = read_watermark(spark, path, source)
             batch = incremental_scan(table(spark, sf_dir, "orders"), column, mark)
-            top = next_watermark(batch, column, source, F.lit(dt.datetime(2024, 1, 2)), "run-2")
-            for row in top.collect():
-                moved = Watermark(row.watermark_type, row.watermark_ts, row.watermark_int)
-                append_watermark(spark, path, source, moved, row.updated_at, "run-2")
+            row = next_watermark(batch, column, source, F.lit(dt.datetime(2024, 1, 2)), "run-2")
+            row.write.mode("append").parquet(path)
 
     log = read_log(spark, prepared(spark, sf_dir, "watermarks-advanced", advance))
     state = decode_watermarks(latest_watermarks(log))
@@ -200,7 +198,7 @@ def watermark_upsert(spark, sf_dir):
 
     def append(path):
         orders = table(spark, sf_dir, "orders")
-        old = F.col("o_orderdate") <= F.lit(_CUT).cast("timestamp_ntz")
+        old = F.col("o_orderdate") <= timestamp_literal(_CUT).cast("timestamp_ntz")
         log_of_orders(orders.where(old)).write.parquet(path)
         log_of_orders(orders.where(~old)).write.mode("append").parquet(path)
 

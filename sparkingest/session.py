@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -68,10 +69,18 @@ def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
             log.warning("scratch table %s not deleted: %s", path, error)
 
 
+def timestamp_literal(moment: dt.datetime) -> Column:
+    """A naive time is wall clock in the session's time zone, whatever Python's own is."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
 def one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
     """A single log row, built from literals in the JVM and written as one file."""
     fields = StructType.fromDDL(schema).fields
-    columns = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values, strict=True)]
+    columns = []
+    for field, value in zip(fields, values, strict=True):
+        literal = timestamp_literal(value) if isinstance(value, dt.datetime) else F.lit(value)
+        columns.append(literal.cast(field.dataType).alias(field.name))
     return spark.range(0, 1, 1, 1).select(*columns)
 
 

@@ -356,6 +356,23 @@ def test_incremental_runs_advance_only_over_stored_rows(spark, spec, tmp_path):
     assert read_watermark(spark, f"{tmp_path}/marks", "mem-1").integer == 8
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+@pytest.mark.parametrize("data_type", ["TIMESTAMP", "TIMESTAMP_NTZ"])
+def test_incremental_by_time_in_any_zone(spark, spec, tmp_path, conf, zone, data_type):
+    conf("spark.sql.session.timeZone", zone)
+    times = [f"2024-01-0{d} 10:00:00.00000{d}" for d in range(1, 6)]
+    rows = spark.createDataFrame([(t,) for t in times], "t STRING")
+    rows = rows.select(F.col("t").cast(data_type).alias("t"))
+    by_time = replace(spec, ingestion=Ingestion("incremental", "t", f"{tmp_path}/marks"))
+    first = reading(by_time, rows.where("t < '2024-01-04'"))
+    assert ingest(spark, first, run_id="r1", run_ts=RUN_TS).records_written == 3
+    mark = read_watermark(spark, f"{tmp_path}/marks", "mem-1")
+    assert mark.ts == dt.datetime(2024, 1, 3, 10, 0, 0, 3)
+    later = RUN_TS + dt.timedelta(hours=1)
+    second = ingest(spark, reading(by_time, rows), run_id="r2", run_ts=later)
+    assert second.records_written == 2
+
+
 def test_partitioned_storage_with_a_hot_value(spark, spec):
     hot = spark.range(2000).select(
         "id",
