@@ -8,9 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+from sparkingest.plans.catalog import ORACLES, QUERIES
 
 # Spark type of a result column -> DuckDB type of the same column.
 TYPES = {
@@ -53,6 +51,8 @@ def test_matches_sql(spark, sf_dir, duck, name):
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):
