@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from sparkingest.llm import exact_dedup, secrets, sharding, tokens
+from pyspark.sql import functions as F
+
+from sparkingest.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    mixing,
+    near_dedup,
+    passages,
+    quality,
+    secrets,
+    sharding,
+    tokens,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +47,23 @@ def op1_token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+@query("op2_mixing")
+def op2_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_near_dedup")
+def op3_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark, sf_dir):
+    return decontaminate.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 _NORMALISED = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 
 
@@ -53,6 +82,13 @@ def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    return quality.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 @query("op7_sharding")
 def op7_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
@@ -61,3 +97,79 @@ def op7_sharding(spark, sf_dir):
 @query("op8_secret_scan")
 def op8_secret_scan(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op9_passages")
+def op9_passages(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def tool_log(conversations: DataFrame) -> DataFrame:
+    """The conversations as a log of tool calls: each user's text is the argument of a call,
+    the assistant's next text its result, and a call depends on the one before it."""
+    name = F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"))
+    call = F.to_json(
+        F.struct(
+            F.array(
+                F.struct(
+                    F.concat(name, F.col("turn")).alias("id"),
+                    F.lit("reply").alias("name"),
+                    F.struct(F.col("turn"), F.col("text").alias("prompt")).alias("arguments"),
+                    F.array(F.concat(name, F.col("turn") - 2)).alias("depends_on"),
+                )
+            ).alias("tool_calls")
+        )
+    )
+    result = F.to_json(
+        F.struct(
+            F.concat(name, F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")
+        )
+    )
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("role") == "user", "assistant")
+        .when(F.col("role") == "assistant", "tool")
+        .otherwise(F.col("role"))
+        .alias("role"),
+        F.when(F.col("role") == "user", call)
+        .when(F.col("role") == "assistant", result)
+        .otherwise(F.col("text"))
+        .alias("text"),
+    )
+
+
+_TOOLS = "VALUES ('reply', 'prompt', 'string', true), ('reply', 'turn', 'integer', true) AS t(name, param, type, required)"
+_PLACE = "turn * 1048576"
+
+
+@query(
+    "op10_tool_calls",
+    f"""
+    WITH log AS (
+      SELECT conv_id, turn, role, text,
+             'call-' || conv_id || '-' || (turn - CAST(role = 'assistant' AS INT)) AS id
+      FROM conversations),
+    calls AS (SELECT * FROM log WHERE role = 'user'),
+    results AS (SELECT * FROM log WHERE role = 'assistant')
+    SELECT conv_id, {_PLACE} AS position, 'message' AS kind, NULL AS call_id, 'plain' AS status,
+           '' AS errors,
+           '{{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}}' AS json
+    FROM log WHERE role NOT IN ('user', 'assistant')
+    UNION ALL
+    SELECT c.conv_id, c.turn * 1048576 + 1, 'call', c.id,
+           CASE WHEN r.id IS NULL THEN 'unanswered' ELSE 'answered' END, '',
+           '{{"arguments":{{"prompt":' || CAST(to_json(c.text) AS VARCHAR) || ',"turn":' || c.turn
+             || '}},"depends_on":["call-' || c.conv_id || '-' || (c.turn - 2) || '"],"id":"' || c.id
+             || '","name":"reply","role":"assistant"}}'
+    FROM calls c LEFT JOIN results r USING (id)
+    UNION ALL
+    SELECT r.conv_id, r.turn * 1048576, 'result', r.id,
+           CASE WHEN c.id IS NULL THEN 'orphan' ELSE 'answered' END, '',
+           '{{"content":' || CAST(to_json(r.text) AS VARCHAR) || ',"role":"tool","tool_call_id":"' || r.id || '"}}'
+    FROM results r LEFT JOIN calls c USING (id)""",
+)
+def op10_tool_calls(spark, sf_dir):
+    tools = spark.sql(f"SELECT * FROM {_TOOLS}")
+    linked = chat.link_tool_calls(tool_log(table(spark, sf_dir, "conversations")), tools)
+    return linked.withColumn("errors", F.array_join("errors", ","))

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -99,12 +100,7 @@ def text_blocks(
     for batch in batches:
         start = 0
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = np.diff(
-            np.frombuffer(texts.cast(pa.large_binary()).buffers()[1], dtype=np.int64)[
-                texts.offset : texts.offset + len(texts) + 1
-            ]
-        )
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
