@@ -118,27 +118,34 @@ def _ordered(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     Nodes start at their place in the log. Where an edge runs backwards, its target moves
     behind its source, round by round; only targets of such edges move, so a log in order
     takes one look. A node that has moved more often than its conversation has nodes lies on
-    or behind a cycle, is marked and stays.
+    or behind a cycle, is marked and stays, and so do those behind it.
     """
-    current = materialize(nodes.select("node", "limit", "position", F.lit(0).alias("moves")), "chat-order")
+    current = materialize(nodes.select("node", "limit", "position", F.lit(0).cast("bigint").alias("moves")), "chat-order")
+    stopped = F.col("moves") > F.col("limit")
     while True:
-        source = current.select(F.col("node").alias("source"), F.col("position").alias("from"))
+        source = current.select(
+            F.col("node").alias("source"), F.col("position").alias("from"), stopped.alias("stuck")
+        )
         late = (
             edges.join(source, "source")
             .groupBy(F.col("target").alias("node"))
-            .agg(F.max("from").alias("from"))
+            .agg(F.max("from").alias("from"), F.max("stuck").alias("stuck"))
         )
         moving = materialize(
-            current.join(late, "node").where("from >= position AND moves <= limit"), "chat-moves"
+            current.join(late, "node")
+            .where(~stopped & (F.col("stuck") | (F.col("from") >= F.col("position"))))
+            .select("node", "from", "stuck"),
+            "chat-moves",
         )
         if moving.isEmpty():
-            return current.select("node", "position", (F.col("moves") > F.col("limit")).alias("cycle"))
+            return current.select("node", "position", stopped.alias("cycle"))
+        moved = F.greatest("position", F.col("from") + 1)
+        moves = F.when(F.col("stuck"), F.col("limit") + 1).otherwise(
+            F.col("moves") + F.col("from").isNotNull().cast("int")
+        )
         current = materialize(
-            current.join(moving.select("node", F.col("from").alias("behind")), "node", "left").select(
-                "node",
-                "limit",
-                F.coalesce(F.col("behind") + 1, F.col("position")).alias("position"),
-                (F.col("moves") + F.col("behind").isNotNull().cast("int")).alias("moves"),
+            current.join(moving, "node", "left").select(
+                "node", "limit", moved.alias("position"), moves.cast("bigint").alias("moves")
             ),
             "chat-order",
         )

@@ -253,17 +253,20 @@ class Grammar:
 def fit_grammar(labelled: dict[str, list[str]], ordinary: list[str]) -> Grammar:
     """One automaton for each kind of labelled credential.
 
-    The threshold is above all but one in a thousand of the ordinary tokens, and above 0,
-    where a credential's format becomes the likelier one.
+    A candidate must be likelier as a credential than as an ordinary token, score no less
+    than all but a twentieth of the labelled credentials, and more than all but a fiftieth
+    of the ordinary tokens, among which there may be credentials that no pattern names.
     """
-    plain = [symbols(x) for x in ordinary]
     grammar = Grammar(
         [infer_automaton([symbols(x) for x in labelled[k]]) for k in sorted(labelled) if labelled[k]],
-        ordinary_model(plain),
+        ordinary_model([symbols(x) for x in ordinary]),
     )
-    if grammar.automata and ordinary:
-        scores = sorted(grammar.score(x) for x in ordinary)
-        grammar.threshold = max(0.0, scores[min(len(scores) - 1, int(len(scores) * 0.999))])
+    if grammar.automata:
+        known = sorted(grammar.score(x) for k in labelled for x in labelled[k])
+        plain = sorted(grammar.score(x) for x in ordinary)
+        grammar.threshold = max(
+            0.0, known[len(known) // 20], plain[len(plain) * 49 // 50] if plain else 0.0
+        )
     return grammar
 
 
