@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkingest.llm.components import components
@@ -181,7 +181,7 @@ def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def similar_pairs(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
-    """``a, b, similar`` for pairs of keys: weighted Jaccard of their whole bags."""
+    """The ``pairs(a, b, ...)`` of keys whose whole bags have that weighted Jaccard."""
     left = bags.select(F.col("key").alias("a"), F.col("bag").alias("bag_a"))
     right = bags.select(F.col("key").alias("b"), F.col("bag").alias("bag_b"))
     shared = F.size(F.array_intersect("bag_a", "bag_b"))
@@ -189,70 +189,81 @@ def similar_pairs(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataF
     return (
         pairs.join(left, "a")
         .join(right, "b")
-        .select("a", "b", (shared >= F.lit(similarity) * either).alias("similar"))
+        .where(shared >= F.lit(similarity) * either)
+        .select(*pairs.columns)
     )
 
 
-def banded_links(nodes: DataFrame, verify) -> DataFrame:
-    """Verified links ``a, b`` between ``nodes(key, bands)`` that share a band.
+def banded_classes(nodes: DataFrame, verify) -> DataFrame:
+    """``key, root`` of ``nodes(key, bands)``: classes of verified links between nodes that
+    share a band.
 
-    The members of a bucket are compared with its least key, so a bucket of copies costs one
-    comparison a member. A member that does not resemble the least key goes on into finer
-    buckets, one for each later band: all members that share it are in there, and there is
-    another least key. Pairs above the similarity share several bands and meet again, while
-    members that only share a passage part. No bucket is left before it is used up.
+    The members of a bucket are compared with its leader, so a bucket of copies costs one
+    comparison a member, and members that are of one class already are not compared. Leader
+    is the member whose buckets are largest in sum: among edited copies that is the text they
+    were made from, or what is nearest to it. Buckets that still hold several classes are
+    split into finer ones, one for each later band, with leaders of their own, chosen by
+    hash. Pairs above the similarity share several bands and meet again, while members that
+    only share a passage part. From the third round on only members that are not of their
+    leader's class go on. No bucket is left before it is used up.
     """
-    banded = nodes.select("key", F.posexplode("bands").alias("last", "bucket"))
-    unresolved = banded.withColumn("open", F.lit(True))
-    found: DataFrame | None = None
+    labels = materialize(nodes.select("key", F.col("key").alias("root")), "near-labels")
+    current = nodes.select("key", F.posexplode("bands").alias("last", "bucket"))
+    sizes = current.groupBy("bucket").agg(F.count("*").alias("size"))
+    popular = current.join(sizes, "bucket").groupBy("key").agg((-F.sum("size")).alias("rank"))
+    nodes = materialize(nodes.select("key", "bands").join(popular, "key"), "near-ranked")
+    current = nodes.select("key", "rank", F.posexplode("bands").alias("last", "bucket"))
     level = 0
     while True:
-        useful = (
-            unresolved.groupBy("bucket")
-            .agg(F.count("*").alias("n"), F.max("open").alias("any"), F.min("key").alias("least"))
-            .where("n > 1 AND any")
-            .select("bucket", "least")
-        )
+        rooted = current.join(labels, "key")
+        least = F.min(F.struct("rank", "key", "root")).alias("least")
         members = materialize(
-            unresolved.join(useful, "bucket").select("bucket", "last", "key", "open", "least"),
-            f"near-members-{level}",
+            rooted.join(_mixed_buckets(rooted, least), "bucket"), f"near-members-{level}"
         )
         if members.isEmpty():
-            break
+            return labels
         pairs = (
-            members.where("key != least")
-            .select(F.col("least").alias("a"), F.col("key").alias("b"))
+            members.where("root != least.root")
+            .select(
+                F.col("least.key").alias("a"),
+                F.col("key").alias("b"),
+                F.col("least.root").alias("root_a"),
+                F.col("root").alias("root_b"),
+            )
             .distinct()
         )
-        if found is not None:
-            pairs = pairs.join(found.select("a", "b"), ["a", "b"], "left_anti")
-        checked = materialize(verify(pairs), f"near-checked-{level}")
-        found = checked if found is None else found.unionByName(checked)
-        similar = found.where("similar").select(F.col("a").alias("least"), F.col("b").alias("key"))
-        status = members.where("key != least").join(
-            similar.withColumn("near", F.lit(True)), ["least", "key"], "left"
-        )
-        # The least key has now met every member, and is not needed again.
-        remaining = status.select(
-            "bucket", "last", "key", (F.col("open") & F.col("near").isNull()).alias("open")
-        )
-        later = F.posexplode(F.slice("bands", F.col("last") + 2, BANDS)).alias("step", "band")
-        finer = (
-            remaining.join(nodes.select("key", "bands"), "key")
-            .select("bucket", "last", "key", "open", later)
+        similar = materialize(verify(pairs), f"near-similar-{level}")
+        if not similar.isEmpty():
+            joined = components(similar.selectExpr("root_a AS a", "root_b AS b"), "near-links")
+            joined = joined.select(F.col("key").alias("root"), F.col("root").alias("joined"))
+            labels = materialize(
+                labels.join(joined, "root", "left").select(
+                    "key", F.coalesce("joined", "root").alias("root")
+                ),
+                "near-labels",
+            )
+        carried = members if level == 0 else members.where("root != least.root")
+        rooted = carried.select("bucket", "last", "key").join(labels, "key")
+        apart = rooted.join(_mixed_buckets(rooted), "bucket").drop("root")
+        later = F.slice("bands", F.col("last") + 2, BANDS)
+        current = (
+            apart.join(nodes.select("key", "bands"), "key")
+            .select("bucket", "last", "key", F.posexplode(later).alias("step", "band"))
             .select(
-                F.xxhash64("bucket", "band").alias("bucket"),
-                (F.col("last") + F.col("step") + 1).alias("last"),
                 "key",
-                "open",
+                (F.col("last") + F.col("step") + 1).alias("last"),
+                F.xxhash64("bucket", "band").alias("bucket"),
             )
+            .withColumn("rank", F.xxhash64("bucket", "key"))
         )
-        wanted = finer.where("open").select("bucket").distinct()
-        unresolved = finer.join(wanted, "bucket", "left_semi")
         level += 1
-    if found is None:
-        return nodes.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
-    return found.where("similar").select("a", "b")
+
+
+def _mixed_buckets(rooted: DataFrame, *more: Column) -> DataFrame:
+    """Buckets whose members belong to several classes."""
+    ends = [F.min("root").alias("_low"), F.max("root").alias("_high")]
+    grouped = rooted.groupBy("bucket").agg(*ends, *more)
+    return grouped.where("_low != _high").drop("_low", "_high")
 
 
 def _classes(
@@ -287,8 +298,7 @@ def _classes(
         "near-bags",
     )
     candidates = nodes.join(bags.select("key"), "key", "left_semi")
-    links = banded_links(candidates, lambda pairs: similar_pairs(pairs, bags, similarity))
-    roots = components(links, "near-links")
+    roots = banded_classes(candidates, lambda pairs: similar_pairs(pairs, bags, similarity))
     grouped = (
         nodes.drop("bands")
         .join(roots, "key", "left")
@@ -318,7 +328,7 @@ def near_duplicates(
     words (null, empty, signs only) resemble only equal texts. Other columns are not read.
 
     Candidate pairs are those that share a band. Pairs of one bucket are not all made: see
-    ``banded_links``.
+    ``banded_classes``.
     """
     rows, classes = _classes(docs, id_column, text_column, similarity)
     return rows.join(classes, "key").select(
