@@ -34,7 +34,8 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents without a benchmark item."""
     items = _table(spark, sf_dir, "benchmark").dropDuplicates(["item_id"])
     found = decontaminate.contaminated_texts(docs, items, "item_id", "text", SIMILARITY)
-    keys = found.select(F.col("key").alias("_leaked")).distinct()
+    # A shuffle at every size: the leaked texts grow with the documents.
+    keys = found.select(F.col("key").alias("_leaked")).distinct().hint("merge")
     return docs.join(keys, text_key("text") == F.col("_leaked"), "left_anti")
 
 

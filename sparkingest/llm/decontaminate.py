@@ -32,6 +32,9 @@ _NUMBER = r"[+-]?\d+(?:[.,:/]\d+)*"
 _UNIT = rf"(<num>\s?)(?:{UNITS})(?![\p{{L}}\p{{Nd}}<])"
 _SIGNS = r"[^\p{L}\p{Nd}<>\s]+"
 
+# Between the values of a window's placeholders; a control character that is no blank.
+SEPARATOR = "\x01"
+
 # Rows of benchmark windows up to which they are broadcast; beyond it they are shuffled.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -48,14 +51,33 @@ def words(text: Column) -> Column:
     return F.split(text, r"\s")
 
 
-def windows(template_words: Column, width: int = SHINGLE) -> Column:
-    """A hash for each run of ``width`` words; none if there are fewer."""
-    count = F.size(template_words) - F.lit(width - 1)
+def windows(form: Column, values: Column, width: int = SHINGLE) -> Column:
+    """A hash of each run of ``width`` words with the ``values`` of its placeholders; none if
+    there are fewer words."""
+    count = F.size(form) - F.lit(width - 1)
     starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(
         F.array().cast("array<int>")
     )
     return F.transform(
-        starts, lambda i: F.xxhash64(*(F.get(template_words, i + j) for j in range(width)))
+        starts,
+        lambda i: F.struct(
+            F.xxhash64(*(F.get(form, i + j) for j in range(width))).alias("hash"),
+            F.concat_ws(SEPARATOR, *(F.get(values, i + j) for j in range(width))).alias("values"),
+        ),
+    )
+
+
+def _windowed(texts: DataFrame, *carried: str) -> DataFrame:
+    """``carried, place, hash, values`` for every window of ``texts(text)``."""
+    form = words(template(F.col("text")))
+    slots = F.zip_with("form", "raw", lambda f, r: F.when(f.contains("<"), r))
+    return (
+        texts.select(*carried, form.alias("form"), words(F.col("text")).alias("raw"))
+        .select(*carried, "form", slots.alias("slots"))
+        .select(*carried, "form", windows(F.col("form"), F.col("slots")).alias("windows"))
+        # The outer form, as a filter on non-empty lists would compute them again per word.
+        .select(*carried, "form", F.posexplode_outer("windows").alias("place", "window"))
+        .select(*carried, "form", "place", "window.hash", "window.values")
     )
 
 
@@ -66,19 +88,18 @@ def contaminated_texts(
     text_column: str,
     similarity: float,
 ) -> DataFrame:
-    """``key, item, coverage, slots, changed`` for texts that hold an item's template."""
+    """``key, item, coverage, changed`` for texts that hold an item's template."""
     items = benchmark.select(
         F.col(item_column).alias("item"), whole_text(text_column).alias("text")
-    ).select("item", words("text").alias("raw"), words(template(F.col("text"))).alias("form"))
+    )
     # A window of placeholders and blanks alone says nothing about an item.
     literal = F.exists(
-        F.slice("form", F.col("at") + 1, SHINGLE), lambda w: (w != "") & ~w.contains("<")
+        F.slice("form", F.col("place") + 1, SHINGLE), lambda w: (w != "") & ~w.contains("<")
     )
     item_windows = materialize(
-        items.withColumn("hashes", windows(F.col("form")))
-        .select("item", "form", F.posexplode("hashes").alias("at", "hash"))
+        _windowed(items, "item")
         .where(literal)
-        .select("item", "at", "hash"),
+        .select("item", F.col("place").alias("at"), "hash", F.col("values").alias("asked")),
         "item-windows",
     )
     n_windows = item_windows.count()
@@ -88,21 +109,19 @@ def contaminated_texts(
     texts = docs.select(
         text_key(text_column).alias("key"), whole_text(text_column).alias("text")
     )
-    hits = (
-        texts.select("key", words(template(F.col("text"))).alias("form"))
-        .select("key", windows(F.col("form")).alias("hashes"))
-        # The outer form, as a filter on non-empty lists would compute them again per word.
-        .select("key", F.posexplode_outer("hashes").alias("place", "hash"))
+    hits = materialize(
+        _windowed(texts, "key")
+        .select("key", "place", "hash", F.col("values").alias("given"))
         .join(probe, "hash")
-        .groupBy("key", "item", "at", "place")
+        .groupBy("key", "item", "at", "place", "asked", "given")
         .agg(F.count("*").alias("copies"))
-        .select("key", "item", "at", (F.col("place") - F.col("at")).alias("shift"))
+        .withColumn("shift", F.col("place") - F.col("at")),
+        "template-hits",
     )
-    hits = materialize(hits, "template-hits")
     covered = (
         hits.groupBy("key", "item")
         .agg(F.count_distinct("at").alias("found"))
-        .join(wanted, "item")
+        .join(wanted.withColumnRenamed("item", "_item"), F.col("item").eqNullSafe(F.col("_item")))
         .select("key", "item", (F.col("found") / F.col("n_windows")).alias("coverage"))
         .where(F.col("coverage") >= F.lit(similarity))
     )
@@ -113,58 +132,54 @@ def contaminated_texts(
         .groupBy("key", "item")
         .agg(F.max_by("shift", F.struct("n", -F.col("shift"))).alias("shift"))
     )
-    candidates = materialize(covered.join(shifts, ["key", "item"]), "template-candidates")
-    slots = items.select(
-        "item",
-        F.filter(
-            F.transform(
-                "form",
-                lambda w, i: F.struct(i.alias("at"), w.alias("kind"), F.get("raw", i).alias("value")),
-            ),
-            lambda slot: slot["kind"].contains("<"),
-        ).alias("slots"),
-    )
-    with_slots = candidates.join(slots.where(F.size("slots") > 0), "item")
-    raw = (
-        texts.join(with_slots.select("key").distinct(), "key", "left_semi")
-        .groupBy("key")
-        .agg(F.first("text").alias("text"))
-        .select("key", words(F.col("text")).alias("raw"))
-    )
-    met = F.transform(
-        "slots",
-        lambda s: F.struct(
-            s["value"].alias("asked"),
-            F.when(
-                (s["at"] + F.col("shift")).between(0, F.size("raw") - 1),
-                F.get("raw", s["at"] + F.col("shift")),
-            ).alias("given"),
+    same = [
+        shifts["key"] == covered["key"],
+        shifts["item"].eqNullSafe(covered["item"]),
+    ]
+    candidates = materialize(
+        covered.join(shifts, same).select(covered["key"], covered["item"], "coverage", "shift"),
+        "template-candidates",
+    )
+    # Values of placeholders met along that shift, as distinct pairs.
+    main = hits.where(F.col("asked") != "").join(
+        candidates.select(
+            "key", F.col("item").alias("_item"), "shift"
         ),
+        ["key", "shift"],
+    )
+    met = main.where(F.col("item").eqNullSafe(F.col("_item"))).select(
+        "key",
+        "item",
+        F.explode(
+            F.arrays_zip(
+                F.split("asked", SEPARATOR).alias("asked"), F.split("given", SEPARATOR).alias("given")
+            )
+        ).alias("pair"),
     )
-    pairs = F.array_distinct("met")
     checked = (
-        with_slots.join(raw, "key")
-        .select("key", "item", met.alias("met"))
-        .select(
-            "key",
-            "item",
-            F.size(F.array_distinct(F.col("met.asked"))).alias("values"),
-            F.size(pairs).alias("pairs"),
-            F.size(F.filter(pairs, lambda p: ~p["asked"].eqNullSafe(p["given"]))).alias("changed"),
+        met.select("key", "item", "pair.asked", "pair.given")
+        .distinct()
+        .groupBy("key", F.col("item").alias("_item"))
+        .agg(
+            F.count_distinct("asked").alias("values"),
+            F.count("*").alias("pairs"),
+            F.count_if(~F.col("asked").eqNullSafe(F.col("given"))).alias("changed"),
         )
+        .withColumnRenamed("key", "_key")
     )
     # Consistent: nearly every value of the item stands for one value in the text.
+    on = (F.col("key") == F.col("_key")) & F.col("item").eqNullSafe(F.col("_item"))
     return (
-        candidates.join(checked, ["key", "item"], "left")
+        candidates.join(checked, on, "left")
         .select(
             "key",
             "item",
             "coverage",
-            F.coalesce("values", F.lit(0)).alias("slots"),
             F.coalesce("changed", F.lit(0)).alias("changed"),
             F.coalesce(F.col("values") / F.col("pairs"), F.lit(1.0)).alias("consistency"),
         )
         .where(F.col("consistency") >= F.lit(similarity))
+        .drop("consistency")
     )
 
 

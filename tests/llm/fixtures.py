@@ -18,7 +18,8 @@ SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint
 
 def prose(seed: int, words: int, vocabulary: int = 3000) -> str:
     chooser = random.Random(seed)
-    return " ".join(f"w{chooser.randrange(vocabulary)}" for _ in range(words))
+    numbers = (str(chooser.randrange(vocabulary)) for _ in range(words))
+    return " ".join("w" + "".join(chr(97 + int(c)) for c in n) for n in numbers)
 
 
 def awkward_rows() -> list[tuple]:
