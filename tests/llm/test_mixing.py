@@ -24,7 +24,7 @@ def test_expected_tokens_meet_the_targets(spark, sf_dir):
     assert all(r.rate >= 0 and abs(r.copies - r.rate) < 1 for r in rows)
     assert all(math.isclose(sum(r.posterior), 1.0) for r in rows)
     truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
-    assert sum(truth[r.doc_id] == r.domain for r in rows) >= 0.95 * len(rows)
+    assert sum(truth[r.doc_id] == r.domain for r in rows) >= 0.9 * len(rows)
 
 
 def test_descent_is_that_of_a_plain_loop(spark):
