@@ -13,8 +13,6 @@ from pyspark.sql.types import StructType
 from sparkingest.errors import ConfigurationError
 
 # The accepted words of each setting.
-SECTORS = ("financial-services", "energy", "healthcare", "government")
-ENVIRONMENTS = ("dev", "staging", "prod")
 CONNECTION_TYPES = ("jdbc", "file", "stream")
 FILE_FORMATS = ("csv", "json", "parquet")
 INGESTION_MODES = ("full", "incremental")
@@ -41,15 +39,9 @@ def check_path_safe(name: str, value: str) -> str:
 class Metadata:
     source_id: str
     source_name: str
-    sector: str = "financial-services"
-    owner: str = ""
-    environment: str = "dev"
-    tags: tuple[str, ...] = ()
 
     def __post_init__(self):
         check_path_safe("metadata.source_name", self.source_name)
-        _one_of("metadata.sector", self.sector, SECTORS)
-        _one_of("metadata.environment", self.environment, ENVIRONMENTS)
 
 
 @dataclass(frozen=True)
@@ -107,9 +99,6 @@ class Ingestion:
     watermark_storage: str | None = None
     lag_seconds: int = 0
     lag_units: int = 0
-    batch_size: int = 10000
-    parallelism: int = 4
-    timeout: int = 3600
 
     def __post_init__(self):
         _one_of("ingestion.mode", self.mode, INGESTION_MODES)

@@ -7,13 +7,15 @@ only once that row exists.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sparkingest.session import one_row, path_exists
+from sparkingest.errors import StorageWriteError
+from sparkingest.session import delete_path, files_below, one_row, path_exists, rename_to_new
 
 # Run outcomes.
 SUCCESS = "SUCCESS"
@@ -25,7 +27,7 @@ AUDIT_SCHEMA = (
     "run_id STRING, source_name STRING, source_type STRING, pipeline_start_ts TIMESTAMP, "
     "pipeline_end_ts TIMESTAMP, records_read BIGINT, records_written BIGINT, "
     "quarantine_count BIGINT, bronze_path STRING, checksum STRING, status STRING, "
-    "error_message STRING"
+    "error_message STRING, dropped_count BIGINT, schema_json STRING"
 )
 
 LINEAGE_SCHEMA = (
@@ -49,6 +51,8 @@ class AuditEvent:
     checksum: str = ""
     status: str = SUCCESS
     error_message: str | None = None
+    dropped_count: int = 0
+    schema_json: str | None = None
 
 
 @dataclass(frozen=True)
@@ -66,10 +70,32 @@ class LineageEvent:
 
 def append_audit(spark: SparkSession, path: str, event: AuditEvent) -> None:
     """Append below the source's own directory, so that asking for one source lists only
-    that source's runs."""
-    row = one_row(spark, AUDIT_SCHEMA, astuple(event))
+    that source's runs.
+
+    The row of a committed run is one file whose name holds the run id. It is written aside
+    and renamed to that name, which must be new: of two attempts that finish together one
+    commits, and asking whether a run is committed looks for one file.
+    """
+    row = one_row(spark, AUDIT_SCHEMA, astuple(event)).drop("source_name")
     target = f"{path}/source_name={event.source_name}"
-    row.drop("source_name").write.mode("append").parquet(target)
+    if event.status not in COMMITTED:
+        row.write.mode("append").parquet(target)
+        return
+    aside = f"{path}/_pending/{uuid.uuid4().hex}"
+    row.coalesce(1).write.parquet(aside)
+    part = next(f for f in files_below(spark, aside) if f.endswith(".parquet"))
+    try:
+        rename_to_new(spark, part, commit_file(path, event.source_name, event.run_id))
+    except Exception as error:
+        if is_committed(spark, path, event.source_name, event.run_id):
+            raise StorageWriteError(target, f"run {event.run_id} was committed meanwhile") from error
+        raise
+    finally:
+        delete_path(spark, aside)
+
+
+def commit_file(path: str, source_name: str, run_id: str) -> str:
+    return f"{path}/source_name={source_name}/commit-{run_id}.parquet"
 
 
 def append_lineage(spark: SparkSession, path: str, event: LineageEvent) -> None:
@@ -97,8 +123,7 @@ def committed_runs(audit: DataFrame) -> DataFrame:
 
 
 def is_committed(spark: SparkSession, path: str, source_name: str, run_id: str) -> bool:
-    mine = committed_runs(read_audit(spark, path, source_name)).where(F.col("run_id") == run_id)
-    return not mine.isEmpty()
+    return path_exists(spark, commit_file(path, source_name, run_id))
 
 
 def run_status(failed: Column, quarantined: Column) -> Column:

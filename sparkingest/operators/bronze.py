@@ -8,6 +8,7 @@ touched. This guards the library's own writers, not the storage underneath.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from sparkingest.functions.fingerprint import (
 )
 from sparkingest.operators.audit import committed_runs, is_committed
 from sparkingest.operators.quality import CODES, is_clean
-from sparkingest.session import path_exists, small_side, timestamp_literal
+from sparkingest.session import delete_path, option, path_exists, timestamp_literal
 
 CLEAN = "clean"
 QUARANTINED = "quarantined"
@@ -97,12 +98,14 @@ def stage_run(
     outcome = F.when(is_clean(), F.lit(CLEAN)).otherwise(F.lit(QUARANTINED))
     observed = drop_leaf_words(words.observe(seen, *metrics)).withColumn(OUTCOME, outcome)
     try:
-        (
-            enrich(observed, source_name, run_ts)
-            .write.mode("overwrite")
-            .partitionBy(OUTCOME, *partition_by)
-            .parquet(path)
-        )
+        # Two outcomes are two open files a task; without this Spark sorts every row by them.
+        with option(spark, "spark.sql.maxConcurrentOutputFileWriters", "2" if not partition_by else "0"):
+            (
+                enrich(observed, source_name, run_ts)
+                .write.mode("overwrite")
+                .partitionBy(OUTCOME, *partition_by)
+                .parquet(path)
+            )
     except Exception as error:
         raise StorageWriteError(path, str(error)) from error
     got = seen.get
@@ -157,11 +160,13 @@ def reconcile_run(
     stored = read_run(spark, staged.path, data, partition_by)
     counts = {r[OUTCOME]: r["count"] for r in stored.groupBy(OUTCOME).count().collect()}
     clean, quarantined = counts.get(CLEAN, 0), counts.get(QUARANTINED, 0)
-    if abs(staged.records_read - clean - quarantined) > threshold:
+    pairs = ((staged.records_clean, clean), (staged.records_quarantined, quarantined))
+    if any(abs(observed - found) > threshold for observed, found in pairs):
         raise StorageWriteError(
             staged.path,
-            f"record count mismatch: source={staged.records_read} "
-            f"written={clean + quarantined} threshold={threshold}",
+            f"count mismatch: observed {staged.records_clean} clean and "
+            f"{staged.records_quarantined} quarantined rows, found {clean} and {quarantined} "
+            f"on disk, {threshold} may differ",
         )
     if verify_stored:
         rows = stored.where(F.col(OUTCOME) == CLEAN)
@@ -183,16 +188,19 @@ def write_quarantine(
     *,
     partition_by: Sequence[str] = (),
 ) -> str:
-    """Copy the flagged rows with their reasons to the quarantine table.
+    """Move the flagged rows with their reasons to the quarantine table.
 
-    Reads the quarantined directory of the run only. ``row_id`` is assigned once and
-    stored, so duplicates keep distinct ids and no row has to be numbered in a window.
+    Reads the quarantined directory of the run only and then deletes it, so there is one
+    copy and expiry removes it. A crash in between leaves an uncommitted run, which a retry
+    writes anew. ``row_id`` is assigned once and stored, so duplicates keep distinct ids and
+    no row has to be numbered in a window.
     """
     path = f"{quarantine_root}/source_name={source_name}/{RUN_ID}={run_id}"
     rows = read_run(spark, staged.path, data, partition_by).where(F.col(OUTCOME) == QUARANTINED)
     number = F.monotonically_increasing_id().cast("string")
     rows = rows.withColumn("row_id", F.concat(F.lit(f"{run_id}:"), number)).drop(OUTCOME)
     rows.write.mode("overwrite").parquet(path)
+    delete_path(spark, f"{staged.path}/{OUTCOME}={QUARANTINED}")
     return path
 
 
@@ -219,7 +227,7 @@ def read_quarantine(
     if audit is None:
         return rows
     runs = committed_runs(audit).select("source_name", F.col("run_id").alias(RUN_ID))
-    return rows.join(small_side(runs), ["source_name", RUN_ID], "left_semi")
+    return rows.join(runs, ["source_name", RUN_ID], "left_semi")
 
 
 def bronze_schema(data: T.StructType, partition_by: Sequence[str] = ()) -> T.StructType:
@@ -272,7 +280,9 @@ def _seals(audit: DataFrame, sources: Sequence[str] | None = None) -> DataFrame:
         F.col("source_name").alias("_seal_source"),
         F.regexp_extract("bronze_path", "ingestion_date=([^/]+)", 1).alias("_seal_date"),
         F.col("checksum").alias("_checksum"),
-    )
+        F.col("records_written").alias("_seal_rows"),
+        F.col("schema_json").alias("_seal_schema"),
+    ).dropDuplicates(["_seal_run", "_seal_source"])
 
 
 def _still_open(seal: DataFrame, done: DataFrame) -> DataFrame:
@@ -300,7 +310,7 @@ def _sealed_rows(rows: DataFrame, seal: DataFrame) -> DataFrame:
         & (F.col("source_name") == F.col("_seal_source"))
         & (F.col("ingestion_date") == F.col("_seal_date"))
     )
-    return rows.join(small_side(seal), same_run)
+    return rows.join(seal, same_run)
 
 
 # --- compaction -------------------------------------------------------------------
@@ -343,27 +353,55 @@ def compact(
     data: T.StructType,
     compaction_id: str,
     *,
+    source_name: str,
     before: str,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Merge the small files of closed days (``ingestion_date < before``).
+    """Merge the small files of a source's closed days (``ingestion_date < before``).
 
     The rows of all committed runs of a day are rewritten into files of AQE's advisory
     partition size, below the configured partition columns; a day or value holding most
-    of the rows is split, small ones are merged. The copy replaces the runs only after counts and checksums of every day agree. Returns
-    the per-day check ``(source_name, ingestion_date, row_count, checksum)``.
+    of the rows is split, small ones are merged. Runs are copied with the schema that was
+    committed with them, runs of each schema apart; ``data`` serves runs without one. A copy
+    replaces its runs only after count and checksum of every run agree with the audit row,
+    which was sealed when the run was written. Returns the days that were copied
+    ``(source_name, ingestion_date, row_count, checksum)``, by schema.
     """
     check_path_safe("compaction_id", compaction_id)
-    names = [f.name for f in data.fields]
-    kept = [*names, "_ingestion_ts", "_source_name", RUN_ID]
     days = ["source_name", "ingestion_date"]
-    raw = _clean_rows(spark, root, data, partition_by).where(F.col("ingestion_date") < before)
     done = read_compactions(spark, compacted_root)
-    closed = _sealed_rows(raw, _still_open(_seals(audit), done))
-    target = f"{compacted_root}/data/compaction_id={compaction_id}"
-    directories = [*days, *partition_by]
+    seals = _still_open(_seals(audit, [source_name]), done).where(F.col("_seal_date") < before)
+    schemas = [r[0] for r in seals.select("_seal_schema").distinct().collect()]
+    copies = []
+    for number, text in enumerate(sorted(schemas, key=str)):
+        schema = data if text is None else T.StructType.fromJson(json.loads(text))
+        mine = seals.where(F.col("_seal_schema").eqNullSafe(F.lit(text)))
+        copy_id = compaction_id if len(schemas) == 1 else f"{compaction_id}.{number}"
+        copied = _copy_runs(spark, root, compacted_root, mine, schema, copy_id, source_name, partition_by)
+        names = [f.name for f in schema.fields]
+        copies.append(checksum_by(copied.select(*{*names, *days}), days, names))
+    if not copies:
+        return spark.createDataFrame(
+            [], "source_name STRING, ingestion_date STRING, row_count BIGINT, checksum STRING"
+        )
+    out = copies[0]
+    for more in copies[1:]:
+        out = out.unionByName(more)
+    return out.select(*days, "row_count", "checksum")
+
+
+def _copy_runs(
+    spark, root, compacted_root, seals, schema, copy_id, source_name, partition_by
+) -> DataFrame:
+    """Write one compaction of runs that share a schema, prove it and list it."""
+    names = [f.name for f in schema.fields]
+    kept = [*names, "_ingestion_ts", "_source_name", RUN_ID]
+    inner = [c for c in partition_by if c in names]
+    directories = ["source_name", "ingestion_date", *inner]
+    closed = _sealed_rows(_clean_rows(spark, root, schema, inner, [source_name]), seals)
+    target = f"{compacted_root}/data/compaction_id={copy_id}"
     (
-        closed.select(*kept, *days)
+        closed.select(*kept, "source_name", "ingestion_date")
         .hint("rebalance", *[F.col(d) for d in directories])
         .write.mode("overwrite")
         .partitionBy(*directories)
@@ -371,7 +409,7 @@ def compact(
     )
     text = T.StringType()
     stored = T.StructType(
-        list(data.fields)
+        list(schema.fields)
         + [
             T.StructField("_ingestion_ts", T.TimestampType()),
             T.StructField("_source_name", text),
@@ -381,27 +419,18 @@ def compact(
         ]
     )
     copied = spark.read.schema(stored).parquet(target)
-    sealed = [*names, "_source_name", RUN_ID]
-    old, new = _sealed_days(closed, days, sealed, "old"), _sealed_days(copied, days, sealed, "new")
-    check = old.join(new, days, "full_outer")
-    differs = ~F.col("old_checksum").eqNullSafe(F.col("new_checksum"))
-    if not check.where(differs).isEmpty():
-        raise StorageWriteError(target, "compacted days differ from their runs")
-    log = copied.select(
-        F.lit(compaction_id).alias("compaction_id"),
-        "source_name",
-        F.col(RUN_ID).alias("run_id"),
-        "ingestion_date",
-    ).distinct()
-    log.write.mode("append").parquet(f"{compacted_root}/log")
-    return new.select(
-        *days, F.col("new_rows").alias("row_count"), F.col("new_checksum").alias("checksum")
+    found = checksum_by(copied.select(*{*names, RUN_ID}), [RUN_ID], names)
+    check = seals.join(found, F.col("_seal_run") == F.col(RUN_ID), "left")
+    same = (F.coalesce("row_count", F.lit(0)) == F.col("_seal_rows")) & (
+        (F.col("_seal_rows") == 0) | F.col("checksum").eqNullSafe(F.col("_checksum"))
     )
-
-
-def _sealed_days(df: DataFrame, days: list[str], columns: list[str], side: str) -> DataFrame:
-    return (
-        checksum_by(df.select(*{*columns, *days}), days, columns)
-        .withColumnRenamed("row_count", f"{side}_rows")
-        .withColumnRenamed("checksum", f"{side}_checksum")
+    if not check.where(~F.coalesce(same, F.lit(False))).isEmpty():
+        raise StorageWriteError(target, "compacted runs differ from what was sealed")
+    log = seals.select(
+        F.lit(copy_id).alias("compaction_id"),
+        F.col("_seal_source").alias("source_name"),
+        F.col("_seal_run").alias("run_id"),
+        F.col("_seal_date").alias("ingestion_date"),
     )
+    log.write.mode("append").parquet(f"{compacted_root}/log")
+    return copied

@@ -12,7 +12,7 @@ from sparkingest.operators.audit import committed_runs
 from sparkingest.operators.bronze import RUN_ID
 from sparkingest.operators.quality import Rule, classify, split
 from sparkingest.operators.silver import latest_per_key
-from sparkingest.session import delete_path, materialize, small_side, timestamp_literal
+from sparkingest.session import delete_path, materialize, timestamp_literal
 
 
 def newest_dates(audit: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def latest_snapshot(
     known = materialize(newest.select(source, date), "newest-dates")
     # Always true for real dates; Spark prunes only when the small side is filtered.
     known = known.where(F.length(F.col(date).cast("string")) > 0)
-    return df.join(small_side(known), [source, date], "left_semi")
+    return df.join(known, [source, date], "left_semi")
 
 
 def as_of(
@@ -53,18 +53,22 @@ def as_of(
     With ``keys``, the newest version of each key among them.
     """
     until = committed_runs(audit).where(F.col("pipeline_end_ts") <= timestamp_literal(moment))
-    until = until.select(F.col("run_id").alias(RUN_ID), F.col("pipeline_end_ts").alias("_at"))
-    rows = bronze.join(small_side(until), RUN_ID)
+    until = until.groupBy("source_name", F.col("run_id").alias(RUN_ID)).agg(
+        F.min("pipeline_end_ts").alias("_at")
+    )
+    rows = bronze.join(until, ["source_name", RUN_ID])
     if keys is not None:
-        rows = latest_per_key(rows, keys, ["_at", RUN_ID])
+        rows = latest_per_key(rows, keys, ["_at", RUN_ID, "source_name"])
     return rows.drop("_at")
 
 
 def replay(
-    bronze: DataFrame, run_ids: Sequence[str], rules: Sequence[Rule]
+    bronze: DataFrame, source_name: str, run_ids: Sequence[str], rules: Sequence[Rule]
 ) -> tuple[DataFrame, DataFrame]:
-    """Validate the rows of chosen runs again; ``(clean, quarantined)``."""
-    return split(classify(bronze.where(F.col(RUN_ID).isin(list(run_ids))), rules))
+    """Validate the rows of chosen runs of a source again; ``(clean, quarantined)``. Run ids
+    name runs within a source only."""
+    chosen = (F.col("source_name") == source_name) & F.col(RUN_ID).isin(list(run_ids))
+    return split(classify(bronze.where(chosen), rules))
 
 
 def expired(date: str | Column, retention_days: int, as_of_date: dt.date) -> Column:

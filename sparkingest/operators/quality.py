@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkingest.session import fits_broadcast, materialize, small_side, timestamp_literal
+from sparkingest.session import timestamp_literal
 
 # Error codes.
 SCHEMA_TYPE_MISMATCH = "SCHEMA_TYPE_MISMATCH"
@@ -135,32 +135,42 @@ def _reference_keys(rule: Referential) -> DataFrame:
     return rule.reference.select(key).where("_ref_key IS NOT NULL").distinct()
 
 
-def needs_replay(rules: Iterable[Rule]) -> bool:
-    """True when a rule reads its input twice, so the input has to be a stored table."""
-    return any(isinstance(r, Referential) and not fits_broadcast(_reference_keys(r)) for r in rules)
-
-
 def flag_orphans(df: DataFrame, rule: Referential, flag: str = ORPHANS) -> DataFrame:
-    """Add a boolean ``flag``.
+    """Add a boolean ``flag``: a left join on the distinct reference keys, one pass.
 
-    A reference below the broadcast limit is joined directly: one pass, nothing of
-    ``df`` is shuffled. Beyond the limit only the *distinct* keys of ``df`` travel
-    (map-side distinct shrinks a hot key to one row per task). The keys without a
-    partner are stored, few in a healthy feed, and joined back as a small side; if they
-    are many after all, Spark shuffles and splits the skewed ones.
+    How the keys travel, and how a key with very many rows is split, is left to the planner
+    and AQE, which see the sizes at run time.
     """
-    keys = _reference_keys(rule)
+    matched = _reference_keys(rule).withColumn("_found", F.lit(True))
     value = F.col(rule.column)
-    if fits_broadcast(keys):
-        matched = keys.withColumn("_found", F.lit(True))
-        joined = df.join(matched, value == F.col("_ref_key"), "left")
-        orphan = value.isNotNull() & F.col("_found").isNull()
-        return joined.withColumn(flag, orphan).drop("_ref_key", "_found")
-    used = df.select(value.alias("_used_key")).where("_used_key IS NOT NULL").distinct()
-    lost = used.join(keys, F.col("_used_key") == F.col("_ref_key"), "left_anti")
-    orphans = small_side(materialize(lost, "orphans"))
-    joined = df.join(orphans, value == F.col("_used_key"), "left")
-    return joined.withColumn(flag, F.col("_used_key").isNotNull()).drop("_used_key")
+    joined = df.join(matched, value == F.col("_ref_key"), "left")
+    orphan = value.isNotNull() & F.col("_found").isNull()
+    return joined.withColumn(flag, orphan).drop("_ref_key", "_found")
+
+
+def has_batch_rule(rules: Iterable[Rule]) -> bool:
+    """True when a rule is decided on the whole batch before rows are classified."""
+    return any(isinstance(r, Completeness) and r.threshold < 1.0 for r in rules)
+
+
+def settle_batch_rules(df: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
+    """Rules for the rows of this batch: a completeness rule whose columns all reach its
+    threshold lets their nulls pass, one that is missed flags every null.
+
+    One aggregation over the columns of such rules; the driver gets one row.
+    """
+    mine = [r for r in rules if isinstance(r, Completeness) and r.threshold < 1.0]
+    if not mine:
+        return list(rules)
+    columns = sorted({c for r in mine for c in r.columns})
+    counts = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count(F.col(c)).alias(f"filled_{i}") for i, c in enumerate(columns)],
+    ).first()
+    total = counts["total"]
+    rate = {c: counts[f"filled_{i}"] / total if total else 1.0 for i, c in enumerate(columns)}
+    met = [r for r in mine if all(rate[c] >= r.threshold for c in r.columns)]
+    return [r for r in rules if not any(r is m for m in met)]
 
 
 def classify(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

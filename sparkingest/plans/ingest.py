@@ -29,8 +29,8 @@ from sparkingest.operators.quality import (
     CorruptRecord,
     Rule,
     classify,
-    is_clean,
-    needs_replay,
+    has_batch_rule,
+    settle_batch_rules,
 )
 from sparkingest.operators.watermark import (
     TEXT_FORM,
@@ -56,6 +56,7 @@ class RunResult:
     records_read: int
     records_written: int
     quarantine_count: int
+    dropped_count: int
     duration_ms: int
     path: str
     partition_date: str
@@ -105,13 +106,15 @@ def ingest(
     crash before it leaves files no reader sees, a crash after it re-reads the window
     on the next incremental run, and Silver removes the repeats on its merge key.
 
-    A ``validator`` may drop rows, and a large reference makes a rule read its input
-    twice; both work on a stored copy of the extract, whose count is exact.
+    A ``validator`` may drop rows, which ``dropped_count`` reports apart from those in
+    quarantine, and a completeness threshold is decided on the batch; both work on a stored
+    copy of the extract, whose count is exact.
     """
     started = time.monotonic()
     meta = spec.metadata
-    known = {"records_read": 0, "records_written": 0, "quarantine_count": 0}
+    known = {"records_read": 0, "records_written": 0, "quarantine_count": 0, "dropped_count": 0}
     path = checksum = ""
+    schema_json = None
 
     def event(status: str, message: str | None = None) -> audit_table.AuditEvent:
         elapsed = dt.timedelta(seconds=time.monotonic() - started)
@@ -125,6 +128,7 @@ def ingest(
             checksum=checksum,
             status=status,
             error_message=message,
+            schema_json=schema_json,
             **known,
         )
 
@@ -144,21 +148,22 @@ def ingest(
 
         if CORRUPT in source.columns:
             rules = [CorruptRecord(), *rules]
-        dropped = 0
-        if validator is not None or needs_replay(rules):
+        if validator is not None or has_batch_rule(rules):
             source = scratch.enter_context(_stored_extract(source, meta.source_id, run_id))
         if validator is not None:
             extracted = source.count()
             source = validator(source)
-        flagged = classify(source, rules)
+        flagged = classify(source, settle_batch_rules(source, rules))
         data = T.StructType([f for f in flagged.schema.fields if f.name != CODES])
+        schema_json = data.json()
 
         high_water = None
         if spec.ingestion.mode == "incremental":
             column = spec.ingestion.incremental_column
             kind = watermark_kind(data[column].dataType, meta.source_id)
             value = F.col(column).cast("timestamp" if kind == TIMESTAMP else "bigint")
-            high_water = F.max(F.when(is_clean(), value))
+            # Over all rows: quarantined ones are stored too and must not be read again.
+            high_water = F.max(value)
             if kind == TIMESTAMP:
                 high_water = F.date_format(high_water, TEXT_FORM)
 
@@ -179,7 +184,7 @@ def ingest(
         known["records_read"] = staged.records_read
         if validator is not None:
             known["records_read"] = extracted
-            dropped = max(0, extracted - staged.records_read)
+            known["dropped_count"] = max(0, extracted - staged.records_read)
         if spec.schema_enforcement.mode == "strict" and staged.records_quarantined:
             known["quarantine_count"] = staged.records_quarantined
             raise QualityViolation(meta.source_id, staged.records_quarantined)
@@ -203,9 +208,10 @@ def ingest(
                 partition_by=spec.storage.partition_by,
             )
         known["records_written"] = clean
-        known["quarantine_count"] = quarantined + dropped
+        known["quarantine_count"] = quarantined
         path, checksum = staged.path, staged.checksum
-        status = audit_table.PARTIAL if known["quarantine_count"] else audit_table.SUCCESS
+        incomplete = quarantined or known["dropped_count"]
+        status = audit_table.PARTIAL if incomplete else audit_table.SUCCESS
         committed = event(status)
         audit_table.append_audit(spark, spec.audit.path, committed)
     except Exception as error:
@@ -234,6 +240,7 @@ def ingest(
         records_read=read,
         records_written=committed.records_written,
         quarantine_count=committed.quarantine_count,
+        dropped_count=committed.dropped_count,
         duration_ms=int((time.monotonic() - started) * 1000),
         path=path,
         partition_date=run_ts.strftime("%Y-%m-%d"),
@@ -323,6 +330,7 @@ def _compact_closed_days(spark, spec, committed, data) -> None:
             audit_table.read_audit(spark, spec.audit.path),
             data,
             committed.run_id,
+            source_name=committed.source_name,
             before=committed.pipeline_start_ts.strftime("%Y-%m-%d"),
             partition_by=spec.storage.partition_by,
         )

@@ -413,12 +413,12 @@ def audit_status(spark, sf_dir):
 
 @query(
     "validator_hook",
-    """SELECT run_id, records_read, records_written, quarantine_count, status FROM (
-         SELECT 'identity' AS run_id, count(*) AS records_read, count(*) AS records_written,
-                0 AS quarantine_count, 'SUCCESS' AS status FROM orders
-         UNION ALL
-         SELECT 'dropping', count(*), count(*) FILTER (o_custkey % 5 <> 0),
-                count(*) FILTER (o_custkey % 5 = 0), 'PARTIAL' FROM orders)""",
+    """SELECT 'identity' AS run_id, count(*) AS records_read, count(*) AS records_written,
+              CAST(0 AS BIGINT) AS quarantine_count, CAST(0 AS BIGINT) AS dropped_count,
+              'SUCCESS' AS status FROM orders
+       UNION ALL
+       SELECT 'dropping', count(*), count(*) FILTER (o_custkey % 5 <> 0), 0,
+              count(*) FILTER (o_custkey % 5 = 0), 'PARTIAL' FROM orders""",
 )
 def validator_hook(spark, sf_dir):
     """A DataFrame function between scan and write: the identity, and one dropping rows."""
@@ -440,6 +440,7 @@ def validator_hook(spark, sf_dir):
         "records_read",
         "records_written",
         "quarantine_count",
+        "dropped_count",
         "status",
     )
 
@@ -526,11 +527,15 @@ def checksum_by_group(spark, sf_dir):
         FROM ({FAULTY_SQL}) GROUP BY 1, 2""",
 )
 def count_reconcile(spark, sf_dir):
-    """Files on disk against the counts the write jobs observed."""
+    """Files on disk, raw layer and quarantine, against the counts of the audit rows."""
     landed = faulty_runs(spark, sf_dir)
+    raw = spark.read.schema(bronze.bronze_schema(landed.schema)).parquet(
+        landed.spec.storage.path
+    )
+    held = landed.quarantine(spark).withColumn("_outcome", F.lit("quarantined"))
     stored = (
-        spark.read.schema(bronze.bronze_schema(landed.schema))
-        .parquet(landed.spec.storage.path)
+        raw.select("_run_id", "_outcome")
+        .unionByName(held.select("_run_id", "_outcome"))
         .groupBy("_run_id", "_outcome")
         .agg(F.count(F.lit(1)).alias("stored"))
     )
@@ -583,6 +588,7 @@ def compacted_lines(spark, sf_dir) -> tuple[Landed, str]:
             landed.audit(spark),
             landed.schema,
             "c-0001",
+            source_name=landed.spec.metadata.source_name,
             before="2024-02-02",
         )
 
@@ -608,3 +614,54 @@ def compaction(spark, sf_dir):
     return sealed.join(done.withColumn("_done", F.lit(True)), keys, "left").select(
         *keys, "row_count", "checksum", F.coalesce("_done", F.lit(False)).alias("compacted")
     )
+
+
+@query(
+    "compaction_schema_change",
+    """SELECT source_name, o_orderkey, o_custkey, note FROM (
+         SELECT 'first' AS source_name, o_orderkey, NULL::BIGINT AS o_custkey,
+                CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS note FROM orders
+         UNION ALL
+         SELECT 'second', o_orderkey, o_custkey, NULL FROM orders)""",
+)
+def compaction_schema_change(spark, sf_dir):
+    """Two sources share a raw root; one of them lost a column between its runs. After both
+    are compacted nothing is null that was not."""
+    orders = table(spark, sf_dir, "orders")
+
+    def run(root):
+        shapes = [
+            ("first", "a", orders.where("o_orderkey % 2 = 0").selectExpr("o_orderkey", "o_orderpriority AS note")),
+            ("first", "b", orders.where("o_orderkey % 2 <> 0").select("o_orderkey")),
+            ("second", "a", orders.select("o_orderkey", "o_custkey")),
+        ]
+        for source, run_id, rows in shapes:
+            spec = SourceSpec(
+                metadata=Metadata(source, source),
+                connection=Connection("stream", reader=lambda _, rows=rows: rows),
+                storage=Storage(f"{root}/bronze"),
+                audit=Audit(f"{root}/audit"),
+            )
+            ingest(spark, spec, run_id=run_id, run_ts=dt.datetime(2024, 3, 1))
+        for source in ("first", "second"):
+            bronze.compact(
+                spark,
+                f"{root}/bronze",
+                f"{root}/compacted",
+                audit_table.read_audit(spark, f"{root}/audit"),
+                orders.select("o_orderkey").schema,
+                f"c-{source}",
+                source_name=source,
+                before="2024-03-02",
+            )
+
+    root = prepared(spark, sf_dir, "shapes-compacted", run)
+    whole = ddl("o_orderkey BIGINT, o_custkey BIGINT, note STRING")
+    rows = bronze.read_bronze(
+        spark,
+        f"{root}/bronze",
+        audit_table.read_audit(spark, f"{root}/audit"),
+        whole,
+        compacted_root=f"{root}/compacted",
+    )
+    return rows.select("source_name", *whole.names)

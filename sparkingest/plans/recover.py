@@ -21,7 +21,9 @@ from sparkingest.sources.files import CORRUPT
 
 
 def _released_root(spec: SourceSpec) -> str:
-    return f"{spec.quarantine.path.rstrip('/')}_released"
+    """The lists of one source: sources may share a quarantine and run ids."""
+    root = spec.quarantine.path.rstrip("/")
+    return f"{root}_released/source_name={spec.metadata.source_name}"
 
 
 def released_rows(spark: SparkSession, spec: SourceSpec) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Session helpers: shared scratch space and plan size estimates."""
+"""Session helpers: shared scratch space, literals and files."""
 
 from __future__ import annotations
 
@@ -39,16 +39,26 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[sc.applicationId]
 
 
+_OWN_FOLDERS: set[str] = set()
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A path nobody has used before, below the shared folder."""
-    return f"{shared_dir(spark)}/sparkingest/{name}-{uuid.uuid4().hex}"
+    """A path nobody has used before, in the application's folder below the shared one. The
+    folder is deleted when the driver ends."""
+    own = f"{shared_dir(spark)}/sparkingest/{spark.sparkContext.applicationId}"
+    if own not in _OWN_FOLDERS:
+        files, path = _file_system(spark, own)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _OWN_FOLDERS.add(own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends there, its
     size is known to the planner, and a lost executor recomputes nothing.
 
-    For small tables of keys; they stay until the shared folder is cleaned.
+    The copy stays until the application ends; ``scratch_table`` deletes it earlier.
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -84,39 +94,6 @@ def one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(*columns)
 
 
-# Largest estimate of a key table that is broadcast by request, in bytes.
-KEY_TABLE_LIMIT = 64 * 1024 * 1024
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _broadcast_limit(spark: SparkSession) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    if raw.startswith("-"):
-        return -1
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when Catalyst's size estimate is below the session's broadcast limit."""
-    return _estimated_bytes(df) <= _broadcast_limit(df.sparkSession)
-
-
-def small_side(df: DataFrame) -> DataFrame:
-    """A stored table of keys or run facts, to be joined to all rows of a table.
-
-    Broadcast up to ``KEY_TABLE_LIMIT``, so that the rows need no shuffle where the
-    session's own limit would ask for one; left to the planner beyond it, or where the
-    session turned broadcasts off.
-    """
-    limit = _broadcast_limit(df.sparkSession)
-    if limit >= 0 and _estimated_bytes(df) <= max(limit, KEY_TABLE_LIMIT):
-        return F.broadcast(df)
-    return df
-
-
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -131,3 +108,38 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """True if there was something to delete."""
     files, hadoop_path = _file_system(spark, path)
     return files.exists(hadoop_path) and files.delete(hadoop_path, True)
+
+
+def rename_to_new(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file to a name that must not exist; of several that try, one succeeds."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        path(target).toUri(), spark._jsc.hadoopConfiguration()
+    )
+    options = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    none = spark.sparkContext._gateway.new_array(options, 0)
+    context.mkdir(
+        path(target).getParent(), jvm.org.apache.hadoop.fs.permission.FsPermission.getDirDefault(), True
+    )
+    context.rename(path(source), path(target), none)
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Files of one directory, for directories that a single small job has written."""
+    files, folder = _file_system(spark, path)
+    return [str(x.getPath().toString()) for x in files.listStatus(folder) if x.isFile()]
+
+
+@contextmanager
+def option(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session option for the jobs of one block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

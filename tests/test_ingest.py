@@ -248,7 +248,7 @@ def test_validator_losses_are_counted(spark, spec):
         spark, spec, run_id="r1", run_ts=RUN_TS, validator=lambda df: df.where("id > 2")
     )
     assert (result.status, result.records_read) == ("PARTIAL", 8)
-    assert (result.records_written, result.quarantine_count) == (6, 2)
+    assert (result.records_written, result.quarantine_count, result.dropped_count) == (6, 0, 2)
 
 
 def test_recovery_survives_a_crash_and_repeats(spark, spec, batch, monkeypatch):
@@ -334,26 +334,16 @@ def test_lag_never_moves_the_mark_back(spark, spec, tmp_path):
     assert read_watermark(spark, marks, "mem-1").integer == 8
 
 
-def test_incremental_runs_advance_only_over_stored_rows(spark, spec, tmp_path):
-    incremental = replace(
-        spec, ingestion=Ingestion("incremental", "id", f"{tmp_path}/marks")
-    )
-    first = ingest(
-        spark,
-        incremental,
-        run_id="r1",
-        run_ts=RUN_TS,
-        rules=[Range("id", 0, 6)],
-    )
+def test_incremental_runs_read_quarantined_rows_once(spark, spec, tmp_path):
+    """Quarantined rows are stored as well, so the mark moves past them."""
+    marks = f"{tmp_path}/marks"
+    incremental = replace(spec, ingestion=Ingestion("incremental", "id", marks))
+    first = ingest(spark, incremental, run_id="r1", run_ts=RUN_TS, rules=[Range("id", 0, 6)])
     assert (first.records_written, first.quarantine_count) == (6, 2)
-    assert read_watermark(spark, f"{tmp_path}/marks", "mem-1").integer == 6
-    later = RUN_TS + dt.timedelta(hours=1)
-    second = ingest(spark, incremental, run_id="r2", run_ts=later)
-    assert second.records_read == 2
-    assert read_watermark(spark, f"{tmp_path}/marks", "mem-1").integer == 8
-    third = ingest(spark, incremental, run_id="r3", run_ts=later + dt.timedelta(hours=1))
-    assert (third.status, third.records_read) == ("SUCCESS", 0)
-    assert read_watermark(spark, f"{tmp_path}/marks", "mem-1").integer == 8
+    assert read_watermark(spark, marks, "mem-1").integer == 8
+    second = ingest(spark, incremental, run_id="r2", run_ts=RUN_TS + dt.timedelta(hours=1))
+    assert (second.status, second.records_read) == ("SUCCESS", 0)
+    assert read_watermark(spark, marks, "mem-1").integer == 8
 
 
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
@@ -418,9 +408,13 @@ def test_compaction_merges_files_and_keeps_rows(spark, spec, tmp_path):
     root, day = f"{tmp_path}/compact", "2024-05-03"
     before = stored(spark, spec, parts.schema)
     expected = batch_checksum(before.select("id", "name", "_run_id", "_checksum")).first()
-    check = bronze.compact(
-        spark, spec.storage.path, root, audit(spark, spec), parts.schema, "c1", before=day
-    )
+    def compacted(number):
+        return bronze.compact(
+            spark, spec.storage.path, root, audit(spark, spec), parts.schema, number,
+            source_name=spec.metadata.source_name, before=day,
+        )
+
+    check = compacted("c1")
     assert sorted(r.ingestion_date for r in check.collect()) == ["2024-05-01", "2024-05-02"]
     after = stored(spark, spec, parts.schema, compacted_root=root)
     found = batch_checksum(after.select("id", "name", "_run_id", "_checksum")).first()
@@ -436,9 +430,7 @@ def test_compaction_merges_files_and_keeps_rows(spark, spec, tmp_path):
     late = parts.where("id < 10")
     ingest(spark, reading(spec, late), run_id="late", run_ts=RUN_TS)
     assert stored(spark, spec, parts.schema, compacted_root=root).count() == 1010
-    bronze.compact(
-        spark, spec.storage.path, root, audit(spark, spec), parts.schema, "c2", before=day
-    )
+    compacted("c2")
     assert stored(spark, spec, parts.schema, compacted_root=root).count() == 1010
 
 
@@ -457,3 +449,35 @@ def test_expired_quarantine_is_dropped_and_nothing_else(spark, spec, batch):
         spark, spec.storage.path, audit(spark, spec), 90, today
     ) == []
     assert stored(spark, spec, batch.schema).count() == 2
+
+
+def test_two_attempts_commit_once(spark, spec):
+    event = audit_table.AuditEvent("r1", "mem", "stream", RUN_TS, RUN_TS, checksum="x")
+    audit_table.append_audit(spark, spec.audit.path, event)
+    with pytest.raises(StorageWriteError, match="committed"):
+        audit_table.append_audit(spark, spec.audit.path, event)
+    assert audit(spark, spec).count() == 1
+    assert audit_table.is_committed(spark, spec.audit.path, "mem", "r1")
+
+
+def test_quarantined_rows_move_the_mark_and_are_released_once(spark, spec, batch, tmp_path):
+    """Bad rows above the mark are read once, and two sources may share run ids."""
+    ingestion = Ingestion("incremental", "id", f"{tmp_path}/marks")
+    specs = [
+        replace(spec, metadata=Metadata(name, name), ingestion=ingestion) for name in ("a", "b")
+    ]
+    top = batch.agg(F.max("id")).first()[0]
+    rules = [Range("id", None, top - 1)]
+    for each in specs:
+        for n in (1, 2, 3):
+            ingest(spark, each, run_id=f"r{n}", run_ts=RUN_TS, rules=rules)
+        held = bronze.read_quarantine(spark, spec.quarantine.path, batch.schema, audit(spark, spec))
+        assert held.where(F.col("source_name") == each.metadata.source_name).count() == 1
+    for each in specs:
+        recover(spark, each, batch.schema, run_id="again", run_ts=RUN_TS, rules=[])
+        recover(spark, each, batch.schema, run_id="once-more", run_ts=RUN_TS, rules=[])
+    rows = bronze.read_bronze(spark, spec.storage.path, audit(spark, spec), batch.schema)
+    counts = {(r.source_name, r.id): r["count"] for r in rows.groupBy("source_name", "id").count().collect()}
+    assert set(counts.values()) == {1} and len(counts) == 2 * batch.count()
+    early = lake.as_of(rows, audit(spark, spec), RUN_TS + dt.timedelta(days=1))
+    assert early.count() == rows.count()

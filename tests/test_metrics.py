@@ -62,7 +62,7 @@ def test_reconcile_verdicts(spark):
 
 def run(run_id, source, start, seconds, read, written, quarantined, status="SUCCESS"):
     end = start + dt.timedelta(seconds=seconds)
-    return (run_id, source, "file", start, end, read, written, quarantined, "", "", status, None)
+    return (run_id, source, "file", start, end, read, written, quarantined, "", "", status, None, 0, None)
 
 
 def test_sla_and_run_metrics(spark):
@@ -108,7 +108,7 @@ def test_latest_snapshot_is_per_source(spark):
     start = dt.datetime(2024, 1, 1)
     events = [
         (n, s, "file", start, start, 1, 1, 0, f"/b/source_name={s}/ingestion_date={d}/_run_id={n}",
-         "c", status, None)
+         "c", status, None, 0, None)
         for n, s, d, status in [
             ("1", "a", "2024-01-01", "SUCCESS"),
             ("2", "a", "2024-01-02", "FAILURE"),

@@ -16,8 +16,8 @@ from sparkingest.operators.quality import (
     Timeliness,
     TypeConformance,
     classify,
+    settle_batch_rules,
     completeness_metrics,
-    needs_replay,
     quarantine_rate,
     revalidate,
     split,
@@ -81,8 +81,8 @@ def feed(spark):
 
 
 @pytest.mark.parametrize("limit", ["10MB", "1b", "-1"])
-def test_referential_both_ways(spark, feed, conf, limit):
-    """Below and beyond the broadcast limit, repeated and null reference keys included."""
+def test_referential_under_any_plan(spark, feed, conf, limit):
+    """Broadcast or not, repeated and null reference keys included."""
     conf("spark.sql.autoBroadcastJoinThreshold", limit)
     reference = (
         spark.range(100)
@@ -92,7 +92,6 @@ def test_referential_both_ways(spark, feed, conf, limit):
         .unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS r"))
     )
     rule = Referential("k", reference, "r")
-    assert needs_replay([rule]) == (limit != "10MB")
     flagged = classify(feed, [rule])
     assert flagged.count() == 3000
     expected = {
@@ -102,11 +101,14 @@ def test_referential_both_ways(spark, feed, conf, limit):
     assert codes(flagged) == expected
 
 
-def test_large_reference_moves_no_rows(spark, feed, conf):
-    conf("spark.sql.autoBroadcastJoinThreshold", "1b")
-    wide = feed.withColumn("payload", F.repeat(F.lit("x"), 100))
-    plan = plan_of(classify(wide, [Referential("k", spark.range(100), "id")]))
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+def test_completeness_threshold_is_decided_on_the_batch(spark):
+    rows = spark.range(100).select("id", F.when(F.col("id") != 5, F.col("id")).alias("v"))
+    met, missed = Completeness(("v",), 0.95), Completeness(("v",), 0.999)
+    assert settle_batch_rules(rows, [met]) == []
+    assert settle_batch_rules(rows, [missed]) == [missed]
+    assert settle_batch_rules(rows.limit(0), [missed]) == []
+    strict = Completeness(("v",))
+    assert settle_batch_rules(rows, [strict]) == [strict]
 
 
 def test_split_keeps_every_row(spark, sf_dir):
