@@ -9,6 +9,7 @@ files being read are never overwritten.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,11 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkingest.operators.quality import CODES, SCHEMA_TYPE_MISMATCH
-from sparkingest.session import materialize, path_exists, scratch_table, small_side
+from sparkingest.errors import StorageWriteError
+from sparkingest.session import materialize, path_exists, scratch_table
 
 PART = "part"
 KEY = "_key"
-MANIFEST_SCHEMA = "generation BIGINT, part STRING, row_count BIGINT"
+MANIFEST_SCHEMA = "generation BIGINT, part STRING, row_count BIGINT, schema_json STRING"
 
 
 def newest_first(versions: Sequence[str]) -> list[Column]:
@@ -75,7 +77,34 @@ def read_silver(spark: SparkSession, path: str, data: T.StructType) -> DataFrame
         return spark.createDataFrame([], schema).drop("generation")
     rows = spark.read.schema(schema).parquet(f"{path}/data")
     live = live_partitions(spark, path).select("generation", PART)
-    return rows.join(small_side(live), ["generation", PART], "left_semi").drop("generation")
+    return rows.join(live, ["generation", PART], "left_semi").drop("generation")
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of a table, as its newest generation recorded them."""
+    manifest = f"{path}/manifest"
+    if not path_exists(spark, manifest):
+        return None
+    log = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest)
+    text = log.agg(F.max_by("schema_json", "generation")).first()[0]
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
+def _widened(known: T.StructType | None, incoming: T.StructType) -> T.StructType:
+    """Stored columns, then new ones; a column that changes its type is refused."""
+    if known is None:
+        return incoming
+    fields = list(known.fields)
+    for field in incoming.fields:
+        if field.name not in known.names:
+            fields.append(field)
+        elif known[field.name].dataType != field.dataType:
+            raise StorageWriteError(
+                field.name,
+                f"is {known[field.name].dataType.simpleString()} in the table and "
+                f"{field.dataType.simpleString()} in the batch",
+            )
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields])
 
 
 def merge(
@@ -90,17 +119,23 @@ def merge(
 
     ``part`` computes the partition label of a row (null and '' become ``none``). Rewritten
     are the partitions of winning rows and those that hold the versions they replace,
-    since a key may move. On a tie the stored row stays, so applying a batch twice
+    since a key may move. A batch without some of the table's columns leaves them null in its
+    own rows only, new columns are null in older rows, and a changed type is refused. On a tie the stored row stays, so applying a batch twice
     changes nothing. Returns the new generation.
 
     Stored rows are filtered by an anti-join on the winning keys and move only to be
     rewritten.
     """
-    data = incoming.schema
+    data = _widened(table_schema(spark, path), incoming.schema)
     part = F.col(part) if isinstance(part, str) else part
     label = F.coalesce(F.nullif(part.cast("string"), F.lit("")), F.lit("none"))
-    labelled = incoming.withColumn(PART, label)
+    missing = [
+        F.lit(None).cast(f.dataType).alias(f.name)
+        for f in data.fields
+        if f.name not in incoming.columns
+    ]
     columns = [*data.names, PART]
+    labelled = incoming.withColumn(PART, label).select("*", *missing).select(*columns)
     generation = _next_generation(spark, path)
     target = f"{path}/data/generation={generation}"
     if generation == 1:
@@ -109,19 +144,21 @@ def merge(
         return generation
 
     stored = read_silver(spark, path, data)
-    won = winning_rows(labelled, stored, keys, versions)
-    with scratch_table(won.select(*columns, KEY, "_replaced"), "silver-winners") as winners:
-        labels = winners.select(F.explode(F.array(PART, "_replaced")).alias(PART))
-        touched = materialize(labels.where(F.col(PART).isNotNull()).distinct(), "silver-touched")
-        # Always true; Spark prunes partitions only when the small side is filtered.
-        pruning = touched.where(F.length(PART) > 0)
-        kept = (
-            _keyed(stored.join(small_side(pruning), PART, "left_semi"), keys)
-            .join(small_side(winners.select(KEY)), KEY, "left_anti")
-            .select(*columns)
-        )
-        _write_partitions(kept.unionByName(winners.select(*columns)), target)
-        _publish(spark, path, generation, data, touched)
+    # The batch is read three times below; a stored copy is the same each time.
+    with scratch_table(labelled, "silver-batch") as batch:
+        won = winning_rows(batch, stored, keys, versions)
+        with scratch_table(won.select(*columns, KEY, "_replaced"), "silver-winners") as winners:
+            labels = winners.select(F.explode(F.array(PART, "_replaced")).alias(PART))
+            touched = materialize(labels.where(F.col(PART).isNotNull()).distinct(), "silver-touched")
+            # Always true; Spark prunes partitions only when the small side is filtered.
+            pruning = touched.where(F.length(PART) > 0)
+            kept = (
+                _keyed(stored.join(pruning, PART, "left_semi"), keys)
+                .join(winners.select(KEY), KEY, "left_anti")
+                .select(*columns)
+            )
+            _write_partitions(kept.unionByName(winners.select(*columns)), target)
+            _publish(spark, path, generation, data, touched)
     return generation
 
 
@@ -137,8 +174,7 @@ def winning_rows(
     """Newest incoming row per key where it beats the stored one, and the ``part`` of the
     row it replaces.
 
-    Of the stored rows only key, versions and label take part, and only those of incoming
-    keys where these fit a broadcast. The incoming rows are shuffled once, for their
+    Of the stored rows only key, versions and label take part. The incoming rows are shuffled once, for their
     deduplication; the join reuses that partitioning.
     """
     fresh = latest_per_key(_keyed(incoming, keys), [KEY], versions)
@@ -147,10 +183,6 @@ def winning_rows(
         F.struct(*versions).alias("_old_version"),
         F.col(PART).alias("_replaced"),
     )
-    known = _keyed(incoming, keys).select(F.col(KEY).alias("_in_key"))
-    if small_side(known) is not known:
-        same = F.col("_old_key") == F.col("_in_key")
-        old = old.join(small_side(known.distinct()), same, "left_semi")
     met = fresh.join(old, F.col(KEY) == F.col("_old_key"), "left")
     # A null version counts as the oldest, as in the deduplication.
     wins = F.col("_old_version").isNull() | (F.struct(*versions) > F.col("_old_version"))
@@ -174,6 +206,7 @@ def _publish(spark, path, generation, data, touched=None) -> None:
         F.lit(generation).cast("bigint").alias("generation"),
         PART,
         F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
+        F.lit(data.json()).alias("schema_json"),
     ).write.mode("append").parquet(f"{path}/manifest")
 
 

@@ -149,15 +149,15 @@ def decode_watermarks(log: DataFrame) -> DataFrame:
     error = (
         F.when(
             (tag == TIMESTAMP) & ts.isNull(),
-            F.lit("Watermark type TIMESTAMP requires a non-null timestamp value"),
+            F.lit("a time mark without its time"),
         )
         .when(
             (tag == INTEGER) & integer.isNull(),
-            F.lit("Watermark type INTEGER requires a non-null integer value"),
+            F.lit("a number mark without its number"),
         )
         .when(
             tag.isNull() | ~tag.isin(TIMESTAMP, INTEGER),
-            F.concat(F.lit("Unknown watermark type: "), F.coalesce(tag, F.lit("null"))),
+            F.concat(F.lit("no such kind of mark: "), F.coalesce(tag, F.lit("null"))),
         )
     )
     value = F.when(tag == TIMESTAMP, F.date_format(ts, TEXT_FORM)).when(

@@ -211,11 +211,11 @@ def watermark_upsert(spark, sf_dir):
           CASE WHEN tag = 'TIMESTAMP' THEN strftime(watermark_ts, '%Y-%m-%d %H:%M:%S.%f')
                WHEN tag = 'INTEGER' THEN CAST(watermark_int AS VARCHAR) END AS value,
           CASE WHEN tag = 'TIMESTAMP' AND watermark_ts IS NULL
-                 THEN 'Watermark type TIMESTAMP requires a non-null timestamp value'
+                 THEN 'a time mark without its time'
                WHEN tag = 'INTEGER' AND watermark_int IS NULL
-                 THEN 'Watermark type INTEGER requires a non-null integer value'
+                 THEN 'a number mark without its number'
                WHEN tag NOT IN ('TIMESTAMP', 'INTEGER')
-                 THEN 'Unknown watermark type: ' || tag END AS error
+                 THEN 'no such kind of mark: ' || tag END AS error
         FROM (SELECT *, CASE CAST(run_id AS BIGINT) % 5 WHEN 0 THEN 'INTEGER' WHEN 1 THEN 'TIMESTAMP'
                         WHEN 2 THEN 'VERSION' ELSE watermark_type END AS tag FROM ({_LOG_SQL}))""",
 )
