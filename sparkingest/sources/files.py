@@ -38,7 +38,7 @@ def _read_text_format(spark, fmt, path, registered, options, corrupt) -> DataFra
         raise ConfigurationError("corrupt", f"{corrupt!r} is not one of {CORRUPT_MODES}")
     reader = spark.read.format(fmt).options(**options)
     if corrupt == "FAILFAST":
-        return reader.option("mode", "FAILFAST").schema(registered).load(path)
+        return _every_field_read(reader.option("mode", "FAILFAST").schema(registered).load(path))
     with_corrupt = T.StructType(
         [f for f in registered.fields if f.name != CORRUPT]
         + [T.StructField(CORRUPT, T.StringType())]
@@ -49,15 +49,21 @@ def _read_text_format(spark, fmt, path, registered, options, corrupt) -> DataFra
         .schema(with_corrupt)
         .load(path)
     )
+    parsed = _every_field_read(parsed)
     if corrupt == "PERMISSIVE":
         return parsed
-    # The hash makes the filter read every registered column; its value is not used.
-    # Otherwise column pruning would leave malformed fields unparsed and the dropped set
-    # would depend on what the query selects.
     columns = [F.col(f"`{f.name}`") for f in registered.fields]
-    every_field_read = F.xxhash64(*columns).bitwiseAND(F.lit(0).cast("bigint")) == 0
-    parses = F.col(CORRUPT).isNull() & every_field_read
-    return parsed.where(parses).select(*columns)
+    return parsed.where(F.col(CORRUPT).isNull()).select(*columns)
+
+
+def _every_field_read(df: DataFrame) -> DataFrame:
+    """The same rows behind a filter that reads every column and is always true.
+
+    Column pruning would otherwise leave malformed fields unparsed, and what fails, is
+    dropped or is marked corrupt would depend on what a query selects.
+    """
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    return df.where(F.xxhash64(*columns).bitwiseAND(F.lit(0).cast("bigint")) == 0)
 
 
 def discover_schema(spark: SparkSession, fmt: str, path: str, options: dict) -> T.StructType:
@@ -114,11 +120,12 @@ def read_json(
 
 
 def date_range(df: DataFrame, column: str, start: str | None, end: str | None) -> DataFrame:
-    """Inclusive bounds compared as dates, so that Catalyst prunes partitions."""
+    """Inclusive days. The bounds are cast, not the column, so that Catalyst prunes
+    partitions; the last day of a timestamp column lasts until the next midnight."""
     if start is not None:
         df = df.where(F.col(column) >= F.lit(start).cast("date"))
     if end is not None:
-        df = df.where(F.col(column) <= F.lit(end).cast("date"))
+        df = df.where(F.col(column) < F.date_add(F.lit(end).cast("date"), 1))
     return df
 
 
@@ -134,11 +141,21 @@ def read_parquet(
 ) -> DataFrame:
     """Scan Parquet with its own schema; footers of different files are not merged, so a
     drifting file shows. A registered schema prunes the columns and logs the drift."""
-    df = spark.read.option("mergeSchema", "false").parquet(path)
+    reader = spark.read.option("mergeSchema", "false")
+    df = reader.parquet(path)
+    if strict and registered is not None:
+        # Partition columns are directories; only those that are registered count.
+        inside = reader.option("recursiveFileLookup", "true").parquet(path).columns
+        known = {name.lower() for name in [*inside, *registered.names, options.date_column]}
+        df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() in known])
     df = date_range(df, options.date_column, options.start_date, options.end_date)
     if registered is None:
         return df
-    if not strict:
+    if strict:
+        partition = options.date_column
+        if partition not in inside and partition not in registered.names and partition in df.columns:
+            df = df.drop(partition)
+    else:
         _log_drift(source, registered, df.schema)
     return project_registered(df, registered, fill_missing=fill_missing, strict=strict)
 

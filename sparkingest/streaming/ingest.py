@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 from operator import and_
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +16,15 @@ from pyspark.sql.streaming import StreamingQuery
 from sparkingest.config import SourceSpec
 from sparkingest.operators.audit import is_committed
 from sparkingest.operators.quality import CODES, LATE_RECORD, Rule
+from sparkingest.operators.watermark import TEXT_FORM, parse_timestamp
 from sparkingest.plans.ingest import ingest
-from sparkingest.session import materialize, small_side
+from sparkingest.session import materialize
+
+
+def session_now(spark: SparkSession) -> dt.datetime:
+    """The current time as wall clock of the session's zone, which naive times are read in."""
+    text = spark.range(1).select(F.date_format(F.current_timestamp(), TEXT_FORM)).first()[0]
+    return parse_timestamp(text)
 
 
 def json_messages(
@@ -40,13 +46,14 @@ def ingest_stream(
     *,
     rules: Sequence[Rule] = (),
     trigger: Mapping[str, object] | None = None,
-    clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(),
+    clock: Callable[[], dt.datetime] | None = None,
 ) -> StreamingQuery:
     """Run ``ingest`` on every micro-batch.
 
     ``foreachBatch`` delivers at least once. The run id comes from the query name and
     batch id, so a repeated batch is skipped if it was committed and rewrites its own
-    directory if it was not. The default trigger fires every 30 seconds.
+    directory if it was not. The default trigger fires every 30 seconds, the default clock
+    is the session's.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
@@ -59,7 +66,7 @@ def ingest_stream(
             spark,
             replace(spec, connection=connection),
             run_id=run_id,
-            run_ts=clock(),
+            run_ts=clock() if clock is not None else session_now(spark),
             rules=rules,
         )
 
@@ -73,28 +80,13 @@ def ingest_stream(
 
 
 def dedupe_stream(
-    stream: DataFrame,
-    keys: Sequence[str],
-    event_time: str,
-    delay: str,
-    *,
-    thin: bool = True,
+    stream: DataFrame, keys: Sequence[str], event_time: str, delay: str
 ) -> DataFrame:
     """First arrival per key, remembered until the watermark passes it by ``delay``.
 
-    A key may have very many copies, and the state store receives all rows of a key in
-    one task. ``thin`` therefore removes repeats within each Arrow batch before that
-    shuffle and keeps the latest event time, so a late copy never replaces a timely one.
+    Rows are not touched otherwise. The state store receives all copies of a key in one
+    task of a batch; copies past the first only look the key up there.
     """
-    if thin:
-        wanted = list(keys)
-
-        def newest_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                ordered = batch.sort_values(event_time, ascending=False, kind="stable")
-                yield ordered.drop_duplicates(wanted)
-
-        stream = stream.mapInPandas(newest_copies, stream.schema)
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -111,7 +103,7 @@ def late_records(raw: DataFrame, accepted: DataFrame, keys: Sequence[str]) -> Da
     used = raw.select(*[F.col(k).alias(f"_raw_{k}") for k in keys]).distinct()
     known = accepted.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
     lost = used.join(known, _same(keys, "_raw_", "_known_"), "left_anti")
-    late_keys = small_side(materialize(lost, "late-keys"))
+    late_keys = materialize(lost, "late-keys")
     late = raw.join(late_keys, _same(keys, "", "_raw_"), "left_semi")
     return late.withColumn(CODES, F.array(F.lit(LATE_RECORD)))
 
