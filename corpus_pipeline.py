@@ -35,8 +35,9 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     items = _table(spark, sf_dir, "benchmark").dropDuplicates(["item_id"])
     found = decontaminate.contaminated_texts(docs, items, "item_id", "text", SIMILARITY)
     # A shuffle at every size: the leaked texts grow with the documents.
-    keys = found.select(F.col("key").alias("_leaked")).distinct().hint("merge")
-    return docs.join(keys, text_key("text") == F.col("_leaked"), "left_anti")
+    keys = found.select("key").distinct().hint("merge")
+    packed = docs.select(F.struct("*").alias("doc"), text_key("text").alias("key"))
+    return packed.join(keys, "key", "left_anti").select("doc.*")
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
