@@ -289,9 +289,18 @@ def _classes(
     banded = nodes.select("key", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = banded.join(shared, "bucket").select("key").distinct()
-    texts = docs.select(text_key(text_column).alias("key"), whole_text(text_column).alias("text"))
+    # One row of each text is asked for by its identifier, so copies are not dealt together.
+    wanted = members.join(nodes.select("key", "node_id"), "key").select(
+        F.col("key").alias("_key"), "node_id"
+    )
+    texts = docs.select(
+        F.col(id_column).cast("bigint").alias("id"),
+        text_key(text_column).alias("key"),
+        whole_text(text_column).alias("text"),
+    )
+    same = (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("node_id"))
     bags = materialize(
-        texts.join(members, "key", "left_semi")
+        texts.join(wanted, same, "left_semi")
         .groupBy("key")
         .agg(F.first("text").alias("text"))
         .mapInArrow(_bags, "key binary, bag array<bigint>"),
