@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
@@ -143,3 +144,40 @@ def test_large_group_of_edited_copies(spark):
         rows.append((i, " ".join(edited), "en", "s", 0))
     got = near_dedup.near_duplicates(documents(spark, rows)).collect()
     assert {(r.class_id, r.class_size) for r in got} == {(0, 150)}
+
+
+def test_copies_of_copies_in_a_large_family(spark):
+    """Every third copy has an edit of its own that resembles this copy alone."""
+    chooser = random.Random(9)
+    words = prose(17, 400).split()
+    rows = [(0, " ".join(words), "en", "s", 0)]
+    for i in range(1, 121):
+        # Places are apart, so an edit costs five shingles each.
+        first, *more = (6 * x + 5 for x in chooser.sample(range(65), 9))
+        copy = list(words)
+        copy[first] = f"new{i}"
+        rows.append((i, " ".join(copy), "en", "s", 0))
+        if i % 3 == 0:
+            for n in more:
+                copy[n] = f"newer{i}x{n}"
+            rows.append((1000 + i, " ".join(copy), "en", "s", 0))
+    bags = {r[0]: shingle_bag(r[1]) for r in rows}
+    for i in range(3, 121, 3):
+        near = [j for j in bags if j != 1000 + i and jaccard(bags[j], bags[1000 + i]) >= 0.8]
+        assert near == [i]
+    got = near_dedup.near_duplicates(documents(spark, rows)).collect()
+    assert {(r.class_id, r.class_size) for r in got} == {(0, len(rows))}
+
+
+def test_registers_of_similar_texts_differ_in_few(spark):
+    """At similarity 0.8 practically no pair is dropped by its registers."""
+    chance = sum(
+        math.comb(near_dedup.REGISTERS, k) * 0.2**k * 0.8 ** (near_dedup.REGISTERS - k)
+        for k in range(near_dedup.DIFFERING + 1, near_dedup.REGISTERS + 1)
+    )
+    assert chance < (1 - 0.8**4) ** 16 / 20
+    values = np.random.default_rng(3).random((2, near_dedup.REGISTERS))
+    values[1, 10:] = values[0, 10:]
+    planes = near_dedup.register_planes(values)
+    differing = int(np.bitwise_or.reduce(planes[0] ^ planes[1]))
+    assert differing < 1 << 10 and differing.bit_count() >= 7
