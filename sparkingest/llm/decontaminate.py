@@ -40,8 +40,8 @@ BROADCAST_WINDOWS = 1_000_000
 
 
 def template(text: Column) -> Column:
-    """The text with placeholders, in small letters and without signs; blanks stay, so its
-    words are those of the text, one for one."""
+    """The text with placeholders, in small letters and without signs; blanks stay, so what
+    stands between them is that of the text, one for one."""
     named = F.regexp_replace(F.translate(text, "<>", ""), _NAME, NAME)
     numbered = F.regexp_replace(F.lower(named), _NUMBER, NUMBER)
     return F.regexp_replace(F.regexp_replace(numbered, _UNIT, f"$1{UNIT}"), _SIGNS, "")
@@ -69,11 +69,13 @@ def windows(form: Column, values: Column, width: int = SHINGLE) -> Column:
 
 def _windowed(texts: DataFrame, *carried: str) -> DataFrame:
     """``carried, place, hash, values`` for every window of ``texts(text)``."""
-    form = words(template(F.col("text")))
-    slots = F.zip_with("form", "raw", lambda f, r: F.when(f.contains("<"), r))
+    form = words(template(F.col("text"))).alias("form")
+    # Blanks in a row and signs that stand alone are no words.
+    said = F.filter(F.arrays_zip(form, words(F.col("text")).alias("raw")), lambda w: w["form"] != "")
+    slots = F.transform("said", lambda w: F.when(w["form"].contains("<"), w["raw"]))
     return (
-        texts.select(*carried, form.alias("form"), words(F.col("text")).alias("raw"))
-        .select(*carried, "form", slots.alias("slots"))
+        texts.select(*carried, said.alias("said"))
+        .select(*carried, F.col("said.form").alias("form"), slots.alias("slots"))
         .select(*carried, "form", windows(F.col("form"), F.col("slots")).alias("windows"))
         # The outer form, as a filter on non-empty lists would compute them again per word.
         .select(*carried, "form", F.posexplode_outer("windows").alias("place", "window"))
@@ -92,9 +94,9 @@ def contaminated_texts(
     items = benchmark.select(
         F.col(item_column).alias("item"), whole_text(text_column).alias("text")
     )
-    # A window of placeholders and blanks alone says nothing about an item.
+    # A window of placeholders alone says nothing about an item.
     literal = F.exists(
-        F.slice("form", F.col("place") + 1, SHINGLE), lambda w: (w != "") & ~w.contains("<")
+        F.slice("form", F.col("place") + 1, SHINGLE), lambda w: ~w.contains("<")
     )
     item_windows = materialize(
         _windowed(items, "item")

@@ -79,3 +79,16 @@ def test_whole_table_against_containment(spark, sf_dir):
             i for i, g in bench.items() if sum(x in have for x in g) >= 0.8 * len(g)
         )
         assert sorted(got[row.doc_id].items) == wanted, row.doc_id
+
+
+def test_reflowed_items_are_found(spark):
+    """Double blanks, blank lines, indents and dashes between short sentences."""
+    sentences = [prose(300 + i, 10) for i in range(5)]
+    rows = [
+        (i, f"{prose(1, 40)} {gap.join(sentences)} {prose(2, 40)}", "en", "s", 0)
+        for i, gap in enumerate((" ", "  ", "\n\n", "\n    ", " - ", "\t\r\n"))
+    ]
+    got = by_id(decontaminate(documents(spark, rows), items(spark, [(1, " ".join(sentences))])))
+    assert all(got[i].items == [1] and got[i].coverage == 1.0 for i in range(6))
+    got = by_id(decontaminate(documents(spark, rows), items(spark, [(1, "\n\n - ".join(sentences))])))
+    assert all(got[i].items == [1] and got[i].coverage == 1.0 for i in range(6))
