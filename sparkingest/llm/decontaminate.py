@@ -7,6 +7,8 @@ consistently to those of the document, which finds questions with other paramete
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +27,16 @@ UNITS = (
     "b|kb|mb|gb|tb|mph|kph|kmh|km/h|m/s|usd|eur|gbp|dollars?|euros?|cents?|percent"
 )
 
-# A name is a capitalised word after a small letter, a digit or a comma: not one that opens
-# a sentence or a line, and not one in a text of capitals.
+# A name for certain is a capitalised word after a small letter, a digit or a comma: not one
+# that opens a sentence or a line, and not one in a text of capitals.
 _NAME = r"(?<=[\p{Ll}\p{Nd},;:] )\p{Lu}[\p{L}’']*"
+# Any other capitalised word may be a name that opens a sentence or a line. Such words stand
+# between two marks in the template.
+_CAPITALISED = r"(?<![\p{L}\p{Nd}<])\p{Lu}[\p{L}’']*"
+OPENS, CLOSES = "\x02", "\x03"
 _NUMBER = r"[+-]?\d+(?:[.,:/]\d+)*"
 _UNIT = rf"(<num>\s?)(?:{UNITS})(?![\p{{L}}\p{{Nd}}<])"
-_SIGNS = r"[^\p{L}\p{Nd}<>\s]+"
+_SIGNS = rf"[^\p{{L}}\p{{Nd}}<>\s{OPENS}{CLOSES}]+"
 
 # Between the values of a window's placeholders; a control character that is no blank.
 SEPARATOR = "\x01"
@@ -40,10 +46,11 @@ BROADCAST_WINDOWS = 1_000_000
 
 
 def template(text: Column) -> Column:
-    """The text with placeholders, in small letters and without signs; blanks stay, so what
-    stands between them is that of the text, one for one."""
-    named = F.regexp_replace(F.translate(text, "<>", ""), _NAME, NAME)
-    numbered = F.regexp_replace(F.lower(named), _NUMBER, NUMBER)
+    """The text with placeholders and marks, in small letters and without signs; blanks stay,
+    so what stands between them is that of the text, one for one."""
+    named = F.regexp_replace(F.translate(text, f"<>{OPENS}{CLOSES}", ""), _NAME, NAME)
+    marked = F.regexp_replace(named, _CAPITALISED, f"{OPENS}$0{CLOSES}")
+    numbered = F.regexp_replace(F.lower(marked), _NUMBER, NUMBER)
     return F.regexp_replace(F.regexp_replace(numbered, _UNIT, f"$1{UNIT}"), _SIGNS, "")
 
 
@@ -51,9 +58,19 @@ def words(text: Column) -> Column:
     return F.split(text, r"\s")
 
 
+def plain(marked: Column) -> Column:
+    """The template in which marked words are words."""
+    return F.translate(marked, f"{OPENS}{CLOSES}", "")
+
+
+def all_named(marked: Column) -> Column:
+    """The template in which marked words are names."""
+    return F.regexp_replace(marked, f"{OPENS}[^{CLOSES}]*{CLOSES}", NAME)
+
+
 def windows(form: Column, values: Column, width: int = SHINGLE) -> Column:
-    """A hash of each run of ``width`` words with the ``values`` of its placeholders; none if
-    there are fewer words."""
+    """The place, a hash of each run of ``width`` words, the ``values`` of its placeholders
+    and whether any of its words is none; nothing if there are fewer words."""
     count = F.size(form) - F.lit(width - 1)
     starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(
         F.array().cast("array<int>")
@@ -61,25 +78,59 @@ def windows(form: Column, values: Column, width: int = SHINGLE) -> Column:
     return F.transform(
         starts,
         lambda i: F.struct(
+            i.alias("place"),
             F.xxhash64(*(F.get(form, i + j) for j in range(width))).alias("hash"),
             F.concat_ws(SEPARATOR, *(F.get(values, i + j) for j in range(width))).alias("values"),
+            functools.reduce(
+                lambda x, y: x | y, (F.get(values, i + j).isNull() for j in range(width))
+            ).alias("literal"),
         ),
     )
 
 
 def _windowed(texts: DataFrame, *carried: str) -> DataFrame:
-    """``carried, place, hash, values`` for every window of ``texts(text)``."""
-    form = words(template(F.col("text"))).alias("form")
+    """``carried, place, hash, values, literal`` for every window of ``texts(text)``.
+
+    A window with a word that may be a name is there twice, with the word and with a name.
+    """
+    marked = words(template(F.col("text"))).alias("form")
     # Blanks in a row and signs that stand alone are no words.
-    said = F.filter(F.arrays_zip(form, words(F.col("text")).alias("raw")), lambda w: w["form"] != "")
-    slots = F.transform("said", lambda w: F.when(w["form"].contains("<"), w["raw"]))
+    said = F.filter(F.arrays_zip(marked, words(F.col("text")).alias("raw")), lambda w: w["form"] != "")
+
+    def slots(form: str) -> Column:
+        return F.zip_with(form, "raw", lambda f, r: F.when(f.contains("<"), r))
+
+    # Words without marks are alike in both templates, and so are their windows.
+    first = windows(F.col("form"), F.col("form_slots"))
+    second = windows(F.col("named"), F.col("named_slots"))
+    more = F.filter("second", lambda w: w["hash"] != F.get("first", w["place"])["hash"])
+    every = F.when(F.col("second").isNull(), F.col("first")).otherwise(F.concat("first", more))
+    any_marked = F.exists("marked", lambda w: w.contains(OPENS))
     return (
         texts.select(*carried, said.alias("said"))
-        .select(*carried, F.col("said.form").alias("form"), slots.alias("slots"))
-        .select(*carried, "form", windows(F.col("form"), F.col("slots")).alias("windows"))
+        .select(*carried, F.col("said.form").alias("marked"), F.col("said.raw").alias("raw"))
+        .select(
+            *carried,
+            "raw",
+            F.transform("marked", plain).alias("form"),
+            F.when(any_marked, F.transform("marked", all_named)).alias("named"),
+        )
+        # Lists that a lambda reads are columns, or it would make them again per word.
+        .select(
+            *carried,
+            "form",
+            "named",
+            slots("form").alias("form_slots"),
+            slots("named").alias("named_slots"),
+        )
+        .select(
+            *carried,
+            first.alias("first"),
+            F.when(F.col("named").isNotNull(), second).alias("second"),
+        )
         # The outer form, as a filter on non-empty lists would compute them again per word.
-        .select(*carried, "form", F.posexplode_outer("windows").alias("place", "window"))
-        .select(*carried, "form", "place", "window.hash", "window.values")
+        .select(*carried, F.explode_outer(every).alias("window"))
+        .select(*carried, "window.*")
     )
 
 
@@ -94,18 +145,15 @@ def contaminated_texts(
     items = benchmark.select(
         F.col(item_column).alias("item"), whole_text(text_column).alias("text")
     )
-    # A window of placeholders alone says nothing about an item.
-    literal = F.exists(
-        F.slice("form", F.col("place") + 1, SHINGLE), lambda w: ~w.contains("<")
-    )
     item_windows = materialize(
         _windowed(items, "item")
-        .where(literal)
+        # A window of placeholders alone says nothing about an item.
+        .where("literal")
         .select("item", F.col("place").alias("at"), "hash", F.col("values").alias("asked")),
         "item-windows",
     )
     n_windows = item_windows.count()
-    wanted = item_windows.groupBy("item").agg(F.count("*").alias("n_windows"))
+    wanted = item_windows.groupBy("item").agg(F.count_distinct("at").alias("n_windows"))
     probe = F.broadcast(item_windows) if n_windows <= BROADCAST_WINDOWS else item_windows
 
     texts = docs.select(
@@ -197,7 +245,8 @@ def decontaminate(
 
     A text is contaminated if it holds at least ``similarity`` of the five-word template
     windows of an item and the item's numbers, names and units map to one value each there
-    (again ``similarity`` of them at least). ``items`` lists the items in order, ``coverage``
+    (again ``similarity`` of them at least). A capitalised word that opens a sentence or a line
+    may be a name or a word: a window counts if it is found either way. ``items`` lists the items in order, ``coverage``
     is the largest, ``changed_slots`` counts the values that differ from the benchmark's.
     A clean row has an empty list, coverage null and 0. A null text is empty and clean. Items
     of fewer than five words, or of placeholders alone, match nothing; repeated item rows

@@ -92,3 +92,20 @@ def test_reflowed_items_are_found(spark):
     assert all(got[i].items == [1] and got[i].coverage == 1.0 for i in range(6))
     got = by_id(decontaminate(documents(spark, rows), items(spark, [(1, "\n\n - ".join(sentences))])))
     assert all(got[i].items == [1] and got[i].coverage == 1.0 for i in range(6))
+
+
+def test_names_that_open_sentences_may_change(spark):
+    problem = "Tom has 5 apples. Tom eats 2. How many has Tom left?"
+    other = "Ann has 7 apples. Ann eats 3. How many has Ann left?"
+    torn = "Ann has 7 apples. Bob eats 3. How many has Eve left?"
+    short = "\nMaria buys 3 pens and pays 12 dollars. Ben gives 4 to a friend. Maria wants more pens now."
+    rows = [
+        (1, f"{prose(1, 40)}. {other} {prose(2, 40)}", "en", "s", 0),
+        (2, f"{prose(3, 40)}\n{problem} {prose(4, 40)}", "en", "s", 0),
+        (3, f"{prose(5, 40)}. {torn} {prose(6, 40)}", "en", "s", 0),
+        (4, f"{prose(7, 40)}. {changed(short, Maria='Eva', Ben='Ida', _3='5')} {prose(8, 40)}", "en", "s", 0),
+        (5, f"{prose(9, 40)}. He has no apples. She eats two. How many are left?", "en", "s", 0),
+    ]
+    got = by_id(decontaminate(documents(spark, rows), items(spark, [(1, problem), (2, short)])))
+    assert [got[i].items for i in range(1, 6)] == [[1], [1], [], [2], []]
+    assert got[1].changed_slots >= 3 and got[2].changed_slots == 0
