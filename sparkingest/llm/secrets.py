@@ -253,9 +253,9 @@ class Grammar:
 def fit_grammar(labelled: dict[str, list[str]], ordinary: list[str]) -> Grammar:
     """One automaton for each kind of labelled credential.
 
-    A candidate must be likelier as a credential than as an ordinary token, score no less
-    than all but a twentieth of the labelled credentials, and more than all but a fiftieth
-    of the ordinary tokens, among which there may be credentials that no pattern names.
+    A candidate must be likelier as a credential than as an ordinary token and score more
+    than the least twentieth of the labelled credentials. No share of the ordinary tokens is
+    set apart, as there may be any number of credentials among them that no pattern names.
     """
     grammar = Grammar(
         [infer_automaton([symbols(x) for x in labelled[k]]) for k in sorted(labelled) if labelled[k]],
@@ -263,10 +263,7 @@ def fit_grammar(labelled: dict[str, list[str]], ordinary: list[str]) -> Grammar:
     )
     if grammar.automata:
         known = sorted(grammar.score(x) for k in labelled for x in labelled[k])
-        plain = sorted(grammar.score(x) for x in ordinary)
-        grammar.threshold = max(
-            0.0, known[len(known) // 20], plain[len(plain) * 49 // 50] if plain else 0.0
-        )
+        grammar.threshold = max(0.0, known[len(known) // 20])
     return grammar
 
 

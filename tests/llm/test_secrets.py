@@ -67,6 +67,18 @@ def test_grammar_finds_formats_that_no_pattern_names(spark):
         assert got[i].spans == "assign:4:44"
 
 
+def test_many_credentials_that_no_pattern_names(spark):
+    chooser = random.Random(4)
+    keys = ["".join(chooser.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=32)) for _ in range(420)]
+    words = ["".join(chooser.choices("abcdefghijklmnopqrstuvwxyz", k=20)) for _ in range(600)]
+    rows = [(i, f"set token = {k} now", "en", "s", 0) for i, k in enumerate(keys[:120])]
+    rows += [(1000 + i, f"word {w} and more", "en", "s", 0) for i, w in enumerate(words)]
+    rows += [(5000 + i, f"bare {k} here", "en", "s", 0) for i, k in enumerate(keys[120:])]
+    got = {r.doc_id: r for r in secrets.scan_secrets(documents(spark, rows)).collect()}
+    assert sum(got[5000 + i].spans == "grammar:5:37" for i in range(300)) >= 250
+    assert sum(bool(got[1000 + i].spans) for i in range(600)) <= 3
+
+
 def test_awkward_rows(spark):
     got = secrets.scan_secrets(documents(spark)).collect()
     assert len(got) == len(awkward_rows())
