@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from sparkingest.llm import (
     chat,
+    conversations,
     decontaminate,
     exact_dedup,
+    languages,
     mixing,
     near_dedup,
     passages,
     quality,
+    runs,
     secrets,
     sharding,
     tokens,
@@ -173,3 +176,20 @@ def op10_tool_calls(spark, sf_dir):
     tools = spark.sql(f"SELECT * FROM {_TOOLS}")
     linked = chat.link_tool_calls(tool_log(table(spark, sf_dir, "conversations")), tools)
     return linked.withColumn("errors", F.array_join("errors", ","))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    return runs.run_digests(runs.periodic_runs(runs.planted(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_language_id")
+def op12_language_id(spark, sf_dir):
+    return languages.predict_languages(table(spark, sf_dir, "documents")).drop("mixture")
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark, sf_dir):
+    return conversations.repair_digests(
+        conversations.damaged(table(spark, sf_dir, "conversations"))
+    )
