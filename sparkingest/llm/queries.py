@@ -178,7 +178,60 @@ def op10_tool_calls(spark, sf_dir):
     return linked.withColumn("errors", F.array_join("errors", ","))
 
 
-@query("op11_periodic_runs")
+def _crc32(text: str) -> str:
+    """The unsigned checksum of an ASCII text, bit by bit."""
+    return f"""xor(4294967295, list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)),
+      lambda crc, byte: list_reduce(
+        list_concat([xor(crc, byte)], list_transform(range(8), lambda i: 0::BIGINT)),
+        lambda x, ignored: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+_WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+
+@query(
+    "op11_periodic_runs",
+    f"""
+    WITH source AS MATERIALIZED (
+      SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words, {_crc32("doc_id::VARCHAR")} AS h
+      FROM documents),
+    planned AS (
+      SELECT *, len(words) AS n, h // 10 AS g,
+             CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) END AS a
+      FROM source),
+    planted AS MATERIALIZED (
+      SELECT r, doc_id,
+             CASE WHEN a IS NULL THEN words
+                  ELSE list_transform(range(n), lambda i: CASE WHEN i < a THEN words[i + 1]
+                         ELSE words[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) END AS words
+      FROM planned),
+    places AS MATERIALIZED (
+      SELECT r, unnest(words) AS word, unnest(range(len(words))) AS i FROM planted),
+    equal AS (
+      SELECT x.r, y.i - x.i AS q, x.i,
+             x.i - row_number() OVER (PARTITION BY x.r, y.i - x.i ORDER BY x.i) AS stretch
+      FROM places x JOIN places y ON x.r = y.r AND x.word = y.word AND x.i < y.i),
+    stretches AS (
+      SELECT r, min(i) AS start, count(*) + q AS length, q
+      FROM equal GROUP BY r, q, stretch HAVING count(*) >= q AND count(*) + q >= 12),
+    runs AS MATERIALIZED (
+      SELECT r, start, length, min(q) AS period FROM stretches GROUP BY r, start, length),
+    dropped AS (
+      SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+    kept AS (
+      SELECT r, string_agg(word, ' ' ORDER BY i) AS line
+      FROM places ANTI JOIN dropped USING (r, i) GROUP BY r),
+    summary AS (
+      SELECT r, count(*) AS n_runs,
+             arg_max({{'s': start, 'l': length, 'p': period}}, (length, -start, -period)) AS best,
+             string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+      FROM runs GROUP BY r)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period,
+           1000 * best.l // best.p AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+           sha256(coalesce(line, '')) AS collapsed_sha256
+    FROM planted LEFT JOIN summary USING (r) LEFT JOIN kept USING (r)""",
+)
 def op11_periodic_runs(spark, sf_dir):
     return runs.run_digests(runs.periodic_runs(runs.planted(table(spark, sf_dir, "documents"))))
 
@@ -188,7 +241,88 @@ def op12_language_id(spark, sf_dir):
     return languages.predict_languages(table(spark, sf_dir, "documents")).drop("mixture")
 
 
-@query("op13_conversation_repair")
+# The states of the repair: 1 nothing yet, 2 after a system turn, 3 a user's, 4 an assistant's.
+# ``v`` holds the least cost and audit from each state on; edits are put before them.
+_TURN = "[3, 3, 4, 3]"
+
+
+def _edit(state: str, price: str, letter: str) -> str:
+    return f"{{'c': v[{state}].c + {price}, 'a': '{letter}' || v[{state}].a}}"
+
+
+_INSERT = f"list_transform([1, 2, 3, 4], lambda i: list_min([v[i], {_edit(_TURN + '[i]', '5', 'I')}]))"
+_KEPT = "CASE WHEN initial = 's' AND i = 1 THEN 2 WHEN initial = 'u' AND i <> 3 THEN 3 WHEN initial = 'a' AND i = 3 THEN 4 END"
+_STEP = f"""list_transform([1, 2, 3, 4], lambda i: list_min([
+  {_edit('i', '2', 'D')},
+  CASE WHEN NOT lost THEN {_edit(_TURN + '[i]', '(extra + 1)', 'R')} END,
+  CASE WHEN NOT lost AND {_KEPT} IS NOT NULL THEN {_edit(_KEPT, 'extra', 'K')} END]))"""
+_TOLD = "regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')"
+_FATE = _crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+
+
+@query(
+    "op13_conversation_repair",
+    f"""
+    WITH RECURSIVE fates AS MATERIALIZED (
+      SELECT coalesce('=' || conv_id, '') AS conv, turn, {_FATE} % 20 AS fate,
+             coalesce(role, ' ') AS role, coalesce(text, ' ') AS text
+      FROM conversations),
+    damaged AS (
+      SELECT conv, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+             CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+      FROM fates),
+    ordered AS (
+      SELECT conv, turn, role, text, left(role, 1) AS initial, {_TOLD} AS told,
+             row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+             row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+      FROM damaged),
+    rows AS MATERIALIZED (
+      SELECT *, CASE WHEN told = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                     WHEN right(told, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+             lag(initial) OVER (PARTITION BY conv ORDER BY n) || initial AS pair
+      FROM ordered),
+    counts AS (
+      SELECT conv, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM rows GROUP BY conv),
+    back AS (
+      SELECT conv, n, [{{'c': 0, 'a': ''}}, {{'c': 10, 'a': 'II'}}, {{'c': 5, 'a': 'I'}}, {{'c': 0, 'a': ''}}] AS v
+      FROM counts
+      UNION ALL
+      SELECT conv, n - 1, {_INSERT} FROM (SELECT conv, n, {_INSERT} AS v FROM (
+        SELECT conv, n, {_INSERT} AS v FROM (
+          SELECT conv, n, {_STEP} AS v
+          FROM (SELECT b.conv, b.n, v, initial, fault IN ('blank', 'duplicate') AS lost,
+                       CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra
+                FROM back b JOIN rows r ON b.conv = r.conv AND b.n = r.n))))),
+    best AS (SELECT conv, v[1].c AS cost, v[1].a AS audit FROM back WHERE n = 0),
+    path AS (
+      SELECT conv, audit, 0 AS step, 0::BIGINT AS n, 1 AS state, '' AS letter, '' AS initial FROM best
+      UNION ALL
+      SELECT conv, audit, step, n, CASE WHEN letter = 'D' THEN state
+                                      WHEN letter <> 'K' THEN {_TURN}[state]
+                                      ELSE CASE initial WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END END,
+             letter, initial
+      FROM (SELECT p.conv, audit, p.step + 1 AS step, state, audit[p.step + 1] AS letter,
+                   p.n + CASE WHEN audit[p.step + 1] = 'I' THEN 0 ELSE 1 END AS n, r.initial
+            FROM path p LEFT JOIN rows r ON p.conv = r.conv AND r.n = p.n + 1
+            WHERE p.step < length(audit))),
+    repaired AS (
+      SELECT p.conv, string_agg(
+               CASE WHEN letter = 'K' THEN r.role WHEN state = 3 THEN 'user' ELSE 'assistant' END || ':' ||
+               CASE WHEN letter = 'I' THEN '' ELSE r.text END, chr(10) ORDER BY step) AS lines
+      FROM path p LEFT JOIN rows r ON p.conv = r.conv AND p.n = r.n
+      WHERE step > 0 AND letter <> 'D' GROUP BY p.conv)
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+           coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+           sha256(coalesce(lines, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '') AS conv FROM conversations) o
+    LEFT JOIN counts USING (conv) LEFT JOIN best USING (conv) LEFT JOIN repaired USING (conv)""",
+)
 def op13_conversation_repair(spark, sf_dir):
     return conversations.repair_digests(
         conversations.damaged(table(spark, sf_dir, "conversations"))
