@@ -1,43 +1,20 @@
 """Refined layer: conform, deduplicate, merge on key, change-data apply.
 
-A Silver table is a set of partition directories per generation,
-``<path>/data/generation=N/part=P``, and a manifest naming the generation that is live
-for each partition. A merge writes the partitions it touches as a new generation and
-appends their manifest rows last, so readers see all of a merge or nothing, and the
-files being read are never overwritten.
+A Silver table is a table of ``keyed``: merges and change batches are commits, readers see all
+of a commit or nothing, and any commit can be read again.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkingest.operators import keyed
+from sparkingest.operators.keyed import latest_per_key
 from sparkingest.operators.quality import CODES, SCHEMA_TYPE_MISMATCH
-from sparkingest.errors import StorageWriteError
-from sparkingest.session import materialize, path_exists, scratch_table
-
-PART = "part"
-KEY = "_key"
-MANIFEST_SCHEMA = "generation BIGINT, part STRING, row_count BIGINT, schema_json STRING"
-
-
-def newest_first(versions: Sequence[str]) -> list[Column]:
-    return [F.col(c).desc_nulls_last() for c in versions]
-
-
-def latest_per_key(df: DataFrame, keys: Sequence[str], versions: Sequence[str]) -> DataFrame:
-    """The row of every key that is greatest by the ``versions`` columns.
-
-    Spark turns ``row_number() = 1`` into a group limit that runs before the shuffle, so
-    each task sends one row per key however often the key repeats.
-    """
-    window = Window.partitionBy(*keys).orderBy(*newest_first(versions))
-    ranked = df.withColumn("_rank", F.row_number().over(window))
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
 def conform(df: DataFrame, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -54,59 +31,6 @@ def conform(df: DataFrame, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
     return df.select(*casts, codes.alias(CODES))
 
 
-def live_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """``(part, generation, row_count)`` of every partition that holds rows."""
-    manifest = f"{path}/manifest"
-    if not path_exists(spark, manifest):
-        return spark.createDataFrame([], "part STRING, generation BIGINT, row_count BIGINT")
-    log = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest)
-    newest = log.groupBy(PART).agg(
-        F.max("generation").alias("generation"),
-        F.max_by("row_count", "generation").alias("row_count"),
-    )
-    return newest.where("row_count > 0")
-
-
-def read_silver(spark: SparkSession, path: str, data: T.StructType) -> DataFrame:
-    """Live rows and their ``part``. Joining the manifest prunes dead generations."""
-    schema = T.StructType(
-        list(data.fields)
-        + [T.StructField("generation", T.LongType()), T.StructField(PART, T.StringType())]
-    )
-    if not path_exists(spark, f"{path}/data"):
-        return spark.createDataFrame([], schema).drop("generation")
-    rows = spark.read.schema(schema).parquet(f"{path}/data")
-    live = live_partitions(spark, path).select("generation", PART)
-    return rows.join(live, ["generation", PART], "left_semi").drop("generation")
-
-
-def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The columns of a table, as its newest generation recorded them."""
-    manifest = f"{path}/manifest"
-    if not path_exists(spark, manifest):
-        return None
-    log = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest)
-    text = log.agg(F.max_by("schema_json", "generation")).first()[0]
-    return None if text is None else T.StructType.fromJson(json.loads(text))
-
-
-def _widened(known: T.StructType | None, incoming: T.StructType) -> T.StructType:
-    """Stored columns, then new ones; a column that changes its type is refused."""
-    if known is None:
-        return incoming
-    fields = list(known.fields)
-    for field in incoming.fields:
-        if field.name not in known.names:
-            fields.append(field)
-        elif known[field.name].dataType != field.dataType:
-            raise StorageWriteError(
-                field.name,
-                f"is {known[field.name].dataType.simpleString()} in the table and "
-                f"{field.dataType.simpleString()} in the batch",
-            )
-    return T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-
-
 def merge(
     spark: SparkSession,
     path: str,
@@ -115,107 +39,53 @@ def merge(
     versions: Sequence[str],
     part: Column | str,
 ) -> int:
-    """Upsert ``incoming`` on ``keys``; the greatest row by ``versions`` wins, old or new.
+    """Upsert a batch; see ``keyed.merge``."""
+    return keyed.merge(spark, path, incoming, keys, versions, part)
 
-    ``part`` computes the partition label of a row (null and '' become ``none``). Rewritten
-    are the partitions of winning rows and those that hold the versions they replace,
-    since a key may move. A batch without some of the table's columns leaves them null in its
-    own rows only, new columns are null in older rows, and a changed type is refused. On a tie the stored row stays, so applying a batch twice
-    changes nothing. Returns the new generation.
 
-    Stored rows are filtered by an anti-join on the winning keys and move only to be
-    rewritten.
-    """
-    data = _widened(table_schema(spark, path), incoming.schema)
-    part = F.col(part) if isinstance(part, str) else part
-    label = F.coalesce(F.nullif(part.cast("string"), F.lit("")), F.lit("none"))
-    missing = [
-        F.lit(None).cast(f.dataType).alias(f.name)
-        for f in data.fields
-        if f.name not in incoming.columns
-    ]
-    columns = [*data.names, PART]
-    labelled = incoming.withColumn(PART, label).select("*", *missing).select(*columns)
-    generation = _next_generation(spark, path)
-    target = f"{path}/data/generation={generation}"
-    if generation == 1:
-        _write_partitions(latest_per_key(_keyed(labelled, keys), [KEY], versions), target)
-        _publish(spark, path, generation, data)
-        return generation
-
-    stored = read_silver(spark, path, data)
-    # The batch is read three times below; a stored copy is the same each time.
-    with scratch_table(labelled, "silver-batch") as batch:
-        won = winning_rows(batch, stored, keys, versions)
-        with scratch_table(won.select(*columns, KEY, "_replaced"), "silver-winners") as winners:
-            labels = winners.select(F.explode(F.array(PART, "_replaced")).alias(PART))
-            touched = materialize(labels.where(F.col(PART).isNotNull()).distinct(), "silver-touched")
-            # Always true; Spark prunes partitions only when the small side is filtered.
-            pruning = touched.where(F.length(PART) > 0)
-            kept = (
-                _keyed(stored.join(pruning, PART, "left_semi"), keys)
-                .join(winners.select(KEY), KEY, "left_anti")
-                .select(*columns)
-            )
-            _write_partitions(kept.unionByName(winners.select(*columns)), target)
-            _publish(spark, path, generation, data, touched)
-    return generation
-
-
-def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the key as one struct. Structs compare null fields as equal, so a null key is
-    matched without the null-safe operator, which would cost another shuffle."""
-    return df.withColumn(KEY, F.struct(*keys))
-
-
-def winning_rows(
-    incoming: DataFrame, stored: DataFrame, keys: Sequence[str], versions: Sequence[str]
-) -> DataFrame:
-    """Newest incoming row per key where it beats the stored one, and the ``part`` of the
-    row it replaces.
+def merge_changes(
+    spark: SparkSession,
+    path: str,
+    changes: DataFrame,
+    keys: Sequence[str],
+    versions: Sequence[str],
+    operation: str,
+    part: Column | str,
+    *,
+    delete: str = "D",
+    batch_id: str | None = None,
+) -> int:
+    """Apply a change log to a stored table: of each key the greatest version decides, whether
+    it comes in this batch, an earlier or a later one, and a delete is remembered.
 
-    Of the stored rows only key, versions and label take part. The incoming rows are shuffled once, for their
-    deduplication; the join reuses that partitioning.
+    A change without an operation is an upsert. The operation itself is not stored.
     """
-    fresh = latest_per_key(_keyed(incoming, keys), [KEY], versions)
-    old = _keyed(stored, keys).select(
-        F.col(KEY).alias("_old_key"),
-        F.struct(*versions).alias("_old_version"),
-        F.col(PART).alias("_replaced"),
+    deleted = F.col(f"`{operation}`").eqNullSafe(F.lit(delete))
+    return keyed.merge(
+        spark, path, changes, keys, versions, part, deleted=deleted, transient=[operation], batch_id=batch_id
     )
-    met = fresh.join(old, F.col(KEY) == F.col("_old_key"), "left")
-    # A null version counts as the oldest, as in the deduplication.
-    wins = F.col("_old_version").isNull() | (F.struct(*versions) > F.col("_old_version"))
-    return met.where(wins).drop("_old_key", "_old_version")
 
 
-def _write_partitions(rows: DataFrame, target: str) -> None:
-    """Few files per partition; AQE splits a partition that holds most of the rows."""
-    rows = rows.drop(KEY).hint("rebalance", F.col(PART))
-    rows.write.mode("overwrite").partitionBy(PART).parquet(target)
+def read_silver(
+    spark: SparkSession,
+    path: str,
+    data: T.StructType | None = None,
+    *,
+    version: int | None = None,
+    parts: Sequence[str] | None = None,
+) -> DataFrame:
+    """Live rows and their ``part``, as of the newest commit or of an earlier one."""
+    return keyed.read(spark, path, data, number=version, parts=parts)
 
 
-def _publish(spark, path, generation, data, touched=None) -> None:
-    """Append the manifest rows that make a generation live, emptied partitions included."""
-    schema = T.StructType(list(data.fields) + [T.StructField(PART, T.StringType())])
-    rows = spark.read.schema(schema).parquet(f"{path}/data/generation={generation}")
-    entries = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("row_count"))
-    if touched is not None:
-        entries = touched.join(entries, PART, "left")
-    entries.select(
-        F.lit(generation).cast("bigint").alias("generation"),
-        PART,
-        F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
-        F.lit(data.json()).alias("schema_json"),
-    ).write.mode("append").parquet(f"{path}/manifest")
+def live_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """``part, row_count`` of every label that holds rows."""
+    return keyed.live_counts(spark, path)
 
 
-def _next_generation(spark: SparkSession, path: str) -> int:
-    manifest = f"{path}/manifest"
-    if not path_exists(spark, manifest):
-        return 1
-    top = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest).agg(F.max("generation")).first()[0]
-    return (top or 0) + 1
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of a table, as its newest commit recorded them."""
+    return keyed.state_of(spark, path).schema
 
 
 def apply_changes(
@@ -226,8 +96,29 @@ def apply_changes(
     operation: str,
     delete: str = "D",
 ) -> DataFrame:
-    """Table after a change log: newest change per key, deletes as tombstones."""
-    newest = latest_per_key(_keyed(changes, keys), [KEY], versions)
-    untouched = _keyed(base, keys).join(newest.select(KEY), KEY, "left_anti").drop(KEY)
-    upserts = newest.where(F.col(operation) != delete).select(*base.columns)
-    return untouched.unionByName(upserts)
+    """Table after a change log: newest change per key, deletes as tombstones.
+
+    Where ``base`` has the version columns, a change takes effect only if it is newer than
+    the row it meets. A plain table keeps no tombstones: for change logs in several batches
+    that may overtake each other use ``merge_changes``.
+    """
+    newest = latest_per_key(changes, keys, versions)
+    slim = newest.select(
+        *[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("_row"),
+        F.struct(*[F.col(f"`{c}`") for c in versions]).alias("_version"),
+        (F.col(f"`{operation}`") == delete).alias("_gone"),
+    )
+    rows = base.select(F.struct("*").alias("_base"))
+    same = None
+    for i, k in enumerate(keys):
+        equal = F.col(f"_base.`{k}`").eqNullSafe(F.col(f"_key{i}"))
+        same = equal if same is None else same & equal
+    met = rows.join(slim, same, "full_outer")
+    changed = F.col("_row").isNotNull()
+    if set(versions) <= set(base.columns):
+        stored = F.struct(*[F.col(f"_base.`{c}`") for c in versions])
+        changed = changed & (F.col("_base").isNull() | (F.col("_version") > stored))
+    kept = met.where(~(changed & F.coalesce("_gone", F.lit(False))))
+    row = F.when(changed, F.col("_row")).otherwise(F.col("_base"))
+    return kept.select(row.alias("_row")).select("_row.*")

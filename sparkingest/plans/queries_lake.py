@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from sparkingest.operators import lake, metrics, silver
+from sparkingest.operators import keyed, lake, metrics, silver
 from sparkingest.operators.quality import CODES, Range, split
 from sparkingest.plans.catalog import (
     cents,
@@ -220,6 +220,82 @@ def cdc_apply(spark, sf_dir):
     )
 
 
+def _change_batches(spark, sf_dir):
+    """Lines as changes of orders, the later half of the versions first. The version of a
+    change is its line's number, and of two with one number the greater line counts."""
+    operation = (
+        F.when(F.col("l_returnflag") == "R", "D").when(F.col("l_returnflag") == "A", "U").otherwise("I")
+    )
+    changes = lines(spark, sf_dir).withColumn("op", operation)
+    return [changes.where("l_linenumber >= 4"), changes.where("l_linenumber < 4")]
+
+
+def _cdc_table(spark, sf_dir):
+    def run(path):
+        for batch in _change_batches(spark, sf_dir):
+            silver.merge_changes(
+                spark,
+                path,
+                batch,
+                ["l_orderkey"],
+                ["l_linenumber", *LINE_ORDER],
+                "op",
+                F.date_format("shipped", "yyyy"),
+            )
+
+    return prepared(spark, sf_dir, "silver-changes", run)
+
+
+def _changed_sql(lines_sql: str) -> str:
+    return f"""
+        SELECT part, l_orderkey, l_linenumber, price_cents FROM (
+          SELECT *, strftime(shipped, '%Y') AS part,
+                 row_number() OVER (PARTITION BY l_orderkey
+                                    ORDER BY l_linenumber DESC, {_LINE_ORDER_SQL}) AS rn
+          FROM ({lines_sql})) WHERE rn = 1 AND l_returnflag <> 'R'"""
+
+
+@query("cdc_merge", _changed_sql(LINE_SQL))
+def cdc_merge(spark, sf_dir):
+    """Two batches of changes out of order, a third of them deletes: of every order the
+    greatest version decides, whichever batch brought it."""
+    rows = silver.read_silver(spark, _cdc_table(spark, sf_dir))
+    return rows.select("part", "l_orderkey", "l_linenumber", "price_cents")
+
+
+@query("as_of_version", _changed_sql(f"SELECT * FROM ({LINE_SQL}) WHERE l_linenumber >= 4"))
+def as_of_version(spark, sf_dir):
+    """The same table as of its first commit: rows and deletes of the first batch alone."""
+    rows = silver.read_silver(spark, _cdc_table(spark, sf_dir), version=1)
+    return rows.select("part", "l_orderkey", "l_linenumber", "price_cents")
+
+
+@query(
+    "silver_compaction",
+    f"""SELECT 'live' AS kind, part, CAST(count(*) AS BIGINT) AS row_count
+        FROM ({_changed_sql(LINE_SQL)}) GROUP BY 2
+        UNION ALL
+        SELECT 'stored', 'all', count(DISTINCT l_orderkey) FROM lineitem""",
+)
+def silver_compaction(spark, sf_dir):
+    """After the third commit, a compaction of every file with replaced rows: readers see the
+    same rows, and stored are one row or tombstone per key."""
+
+    def run(path):
+        for batch in _change_batches(spark, sf_dir):
+            keys, versions = ["l_orderkey"], ["l_linenumber", *LINE_ORDER]
+            part = F.date_format("shipped", "yyyy")
+            silver.merge_changes(spark, path, batch, keys, versions, "op", part)
+        keyed.compact(spark, path, replaced_share=0.0)
+
+    path = prepared(spark, sf_dir, "silver-compacted", run)
+    live = silver.read_silver(spark, path).groupBy("part").agg(F.count(F.lit(1)).alias("row_count"))
+    stored = silver.live_partitions(spark, path).agg(F.sum("row_count").alias("row_count"))
+    return live.select(F.lit("live").alias("kind"), "part", "row_count").unionByName(
+        stored.select(F.lit("stored").alias("kind"), F.lit("all").alias("part"), "row_count")
+    )
+
+
 # --- raw-layer reads -------------------------------------------------------------------
 
 

@@ -125,6 +125,51 @@ def rename_to_new(spark: SparkSession, source: str, target: str) -> None:
     context.rename(path(source), path(target), none)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as text; None if there is none."""
+    files, hadoop_path = _file_system(spark, path)
+    if not files.exists(hadoop_path):
+        return None
+    stream = files.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> bool:
+    """Write a small file whole: it is written aside and gets its name at once.
+
+    Without ``overwrite`` an existing file stays and the answer is False; of several writers
+    one gets True. A local rename replaces its target, so there the name is given by a hard
+    link, which the system refuses for a name that is taken.
+    """
+    files, target = _file_system(spark, path)
+    jvm = spark._jvm
+    aside = f"{path}.{uuid.uuid4().hex}.tmp"
+    stream = files.create(jvm.org.apache.hadoop.fs.Path(aside), True)
+    try:
+        stream.write(text.encode("utf-8"))
+    finally:
+        stream.close()
+    try:
+        if overwrite:
+            files.delete(target, False)
+            return files.rename(jvm.org.apache.hadoop.fs.Path(aside), target)
+        if files.getUri().getScheme() == "file":
+            name = lambda p: jvm.java.io.File(jvm.org.apache.hadoop.fs.Path(p).toUri().getPath()).toPath()
+            jvm.java.nio.file.Files.createLink(name(path), name(aside))
+        else:
+            rename_to_new(spark, aside, path)
+        return True
+    except Exception:
+        if not overwrite and files.exists(target):
+            return False
+        raise
+    finally:
+        delete_path(spark, aside)
+
+
 def files_below(spark: SparkSession, path: str) -> list[str]:
     """Files of one directory, for directories that a single small job has written."""
     files, folder = _file_system(spark, path)

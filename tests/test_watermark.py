@@ -47,10 +47,10 @@ def test_newest_entry_wins_and_ties_go_by_run(spark, tmp_path):
 @pytest.mark.parametrize(
     ("tag", "message"),
     [
-        ("TIMESTAMP", "requires a non-null timestamp"),
-        ("INTEGER", "requires a non-null integer"),
-        ("LSN", "Unknown watermark type: LSN"),
-        (None, "Unknown watermark type: null"),
+        ("TIMESTAMP", "a time mark without its time"),
+        ("INTEGER", "a number mark without its number"),
+        ("LSN", "no such kind of mark: LSN"),
+        (None, "no such kind of mark: null"),
     ],
 )
 def test_unreadable_entries(spark, tmp_path, tag, message):
