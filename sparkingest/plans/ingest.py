@@ -7,7 +7,7 @@ import logging
 import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import ExitStack, contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +63,7 @@ class RunResult:
     checksum: str
     schema: T.StructType
     alert: bool = False
+    sla_missed: bool = False
 
 
 def extract(spark: SparkSession, spec: SourceSpec) -> DataFrame:
@@ -79,7 +80,7 @@ def extract(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         raise ConfigurationError("connection", f"{connection.connection_type} needs a reader")
     if ingestion.mode == "full":
         return df
-    mark = read_watermark(spark, ingestion.watermark_storage, source_id)
+    mark = current_mark(spark, spec)
     return incremental_scan(
         df,
         ingestion.incremental_column,
@@ -89,6 +90,17 @@ def extract(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     )
 
 
+def current_mark(spark: SparkSession, spec: SourceSpec) -> Watermark | None:
+    """How far the source has been read: the mark in the record of its last committed run, and
+    where there is none the one in the watermark storage, as a first run may find it there."""
+    storage, source_id = spec.ingestion.watermark_storage, spec.metadata.source_id
+    mark = audit_table.committed_watermark(spark, spec.audit.path, spec.metadata.source_name, storage)
+    if mark is None:
+        return read_watermark(spark, storage, source_id)
+    kind, value = mark
+    return Watermark(kind, ts=parse_timestamp(value)) if kind == TIMESTAMP else Watermark(kind, integer=int(value))
+
+
 def ingest(
     spark: SparkSession,
     spec: SourceSpec,
@@ -100,15 +112,16 @@ def ingest(
     mismatch_threshold: int = 0,
     verify_stored: bool = False,
 ) -> RunResult:
-    """Extract, classify, write, reconcile, quarantine, commit, advance the watermark.
+    """Extract, classify, write, reconcile, quarantine, commit.
 
-    The source is evaluated once, in the write job. The audit row commits the run; a
-    crash before it leaves files no reader sees, a crash after it re-reads the window
-    on the next incremental run, and Silver removes the repeats on its merge key.
+    The source is evaluated once, in the write job. One record commits the run with its
+    watermark, lineage, alert and missed deadline; a crash before it leaves files no reader
+    sees and the mark where it was, and nothing that matters happens after it.
 
     A ``validator`` may drop rows, which ``dropped_count`` reports apart from those in
-    quarantine, and a completeness threshold is decided on the batch; both work on a stored
-    copy of the extract, whose count is exact.
+    quarantine, and add some; rows are compared whole, so a changed row counts as one
+    dropped and one added. Dropped rows are stored beside the quarantine. A completeness threshold is
+    decided on the batch; both work on a stored copy of the extract.
     """
     started = time.monotonic()
     meta = spec.metadata
@@ -150,9 +163,11 @@ def ingest(
             rules = [CorruptRecord(), *rules]
         if validator is not None or has_batch_rule(rules):
             source = scratch.enter_context(_stored_extract(source, meta.source_id, run_id))
+        added = 0
         if validator is not None:
-            extracted = source.count()
-            source = validator(source)
+            extracted, source = source, validator(source)
+            known["records_read"] = extracted.count()
+            known["dropped_count"], added = _validated(spark, spec, run_id, extracted, source)
         flagged = classify(source, settle_batch_rules(source, rules))
         data = T.StructType([f for f in flagged.schema.fields if f.name != CODES])
         schema_json = data.json()
@@ -181,10 +196,8 @@ def ingest(
             if _is_read_failure(error.cause):
                 raise ConnectorError(meta.source_id, error.cause) from error
             raise
-        known["records_read"] = staged.records_read
-        if validator is not None:
-            known["records_read"] = extracted
-            known["dropped_count"] = max(0, extracted - staged.records_read)
+        if validator is None:
+            known["records_read"] = staged.records_read
         if spec.schema_enforcement.mode == "strict" and staged.records_quarantined:
             known["quarantine_count"] = staged.records_quarantined
             raise QualityViolation(meta.source_id, staged.records_quarantined)
@@ -213,7 +226,10 @@ def ingest(
         incomplete = quarantined or known["dropped_count"]
         status = audit_table.PARTIAL if incomplete else audit_table.SUCCESS
         committed = event(status)
-        audit_table.append_audit(spark, spec.audit.path, committed)
+        details = _details(spark, spec, committed, data, added)
+        if spec.ingestion.mode == "incremental" and staged.high_water is not None:
+            details = _moved_mark(spark, spec, kind, staged.high_water, details)
+        audit_table.append_audit(spark, spec.audit.path, committed, details)
     except Exception as error:
         typed = error if isinstance(error, IngestionError) else UnexpectedError(str(error))
         path = checksum = ""
@@ -225,19 +241,17 @@ def ingest(
     finally:
         scratch.close()
 
-    if spec.ingestion.mode == "incremental" and staged.high_water is not None:
-        _advance_watermark(spark, spec, kind, staged.high_water, committed)
+    if details.watermark_value is not None:
+        _copy_watermark(spark, spec, details, committed)
     if spec.audit.lineage_path:
         _record_lineage(spark, spec, committed, data)
     if spec.storage.compaction_enabled:
         _compact_closed_days(spark, spec, committed, data)
 
-    threshold = spec.quarantine.alert_threshold
-    read, held = committed.records_read, committed.quarantine_count
     return RunResult(
         run_id=run_id,
         status=status,
-        records_read=read,
+        records_read=committed.records_read,
         records_written=committed.records_written,
         quarantine_count=committed.quarantine_count,
         dropped_count=committed.dropped_count,
@@ -246,25 +260,95 @@ def ingest(
         partition_date=run_ts.strftime("%Y-%m-%d"),
         checksum=checksum,
         schema=data,
+        alert=details.alert,
+        sla_missed=details.sla_missed,
+    )
+
+
+def _details(spark, spec, committed, data, added) -> audit_table.RunDetails:
+    """What the record of a run says beside its audit row."""
+    threshold, allowed = spec.quarantine.alert_threshold, spec.monitoring.sla_threshold_seconds
+    read, held = committed.records_read, committed.quarantine_count
+    seconds = (committed.pipeline_end_ts - committed.pipeline_start_ts).total_seconds()
+    return audit_table.RunDetails(
         alert=bool(threshold is not None and read and held / read > threshold),
+        sla_missed=allowed is not None and seconds > allowed,
+        added_count=added,
+        source_id=spec.metadata.source_id,
+        schema_ddl=data.simpleString(),
     )
 
 
-def _advance_watermark(spark, spec, kind, high_water, committed) -> None:
-    """Move the mark to the highest stored value; a run that re-read a lag never moves it
-    back."""
-    storage, source_id = spec.ingestion.watermark_storage, spec.metadata.source_id
-    if kind == TIMESTAMP:
-        high_water = parse_timestamp(high_water)
+def _moved_mark(spark, spec, kind, high_water, details) -> audit_table.RunDetails:
+    """The record with the mark at the highest stored value; a run that re-read a lag never
+    moves it back."""
+    text = str(high_water)
     if spec.ingestion.lag_seconds or spec.ingestion.lag_units:
-        before = read_watermark(spark, storage, source_id)
-        if before is not None and before.kind == kind and high_water <= before.value:
-            return
+        value = parse_timestamp(text) if kind == TIMESTAMP else int(text)
+        before = current_mark(spark, spec)
+        if before is not None and before.kind == kind and value <= before.value:
+            return details
+    return replace(
+        details,
+        watermark_type=kind,
+        watermark_value=text,
+        watermark_storage=spec.ingestion.watermark_storage,
+    )
+
+
+def _copy_watermark(spark, spec, details, committed) -> None:
+    """Copy the committed mark into the watermark storage, for those who read it there; the
+    record is what the next run goes by."""
+    kind, text = details.watermark_type, details.watermark_value
     is_time = kind == TIMESTAMP
-    mark = Watermark(kind, ts=high_water) if is_time else Watermark(kind, integer=high_water)
-    append_watermark(
-        spark, storage, source_id, mark, committed.pipeline_start_ts, committed.run_id
+    mark = Watermark(kind, ts=parse_timestamp(text)) if is_time else Watermark(kind, integer=int(text))
+    try:
+        append_watermark(
+            spark,
+            spec.ingestion.watermark_storage,
+            spec.metadata.source_id,
+            mark,
+            committed.pipeline_start_ts,
+            committed.run_id,
+        )
+    except Exception as error:
+        log.warning("watermark of run %s not copied: %s", committed.run_id, error)
+
+
+def dropped_path(spec: SourceSpec, run_id: str) -> str | None:
+    """Where the rows are that a run's validator dropped."""
+    if spec.quarantine.path is None:
+        return None
+    root = spec.quarantine.path.rstrip("/")
+    return f"{root}_dropped/source_name={spec.metadata.source_name}/_run_id={run_id}"
+
+
+def _validated(spark, spec, run_id, extracted, source) -> tuple[int, int]:
+    """Rows that the validator dropped and added, by what is in them. Columns that it adds or
+    removes do not count. A validator that returns the extract as it is costs no comparison."""
+    shared = [c for c in extracted.columns if c in source.columns]
+    if source.sameSemantics(extracted) or not shared:
+        return 0, 0
+    names = [F.col(f"`{c}`") for c in shared]
+    # Rows of each side by their digest, counted before they move.
+    key = F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)
+    sides = extracted.select(key.alias("k"), F.lit(1).alias("n")).unionByName(
+        source.select(key.alias("k"), F.lit(-1).alias("n"))
     )
+    surplus = sides.groupBy("k").agg(F.sum("n").alias("n")).where("n <> 0")
+    with scratch_table(surplus, f"validated-{run_id}") as differing:
+        totals = differing.agg(
+            F.sum(F.greatest("n", F.lit(0))).alias("dropped"), F.sum(F.greatest(-F.col("n"), F.lit(0))).alias("added")
+        ).first()
+        target = dropped_path(spec, run_id)
+        if target is not None and totals.dropped:
+            lost = differing.where("n > 0")
+            rows = extracted.select("*", key.alias("_digest")).join(lost, F.col("_digest") == F.col("k"))
+            # Of equal rows as many as were dropped.
+            rows.dropDuplicates(["_digest"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop(
+                "k", "n", "_digest", "_copy"
+            ).write.mode("overwrite").parquet(target)
+    return totals.dropped or 0, totals.added or 0
 
 
 @contextmanager

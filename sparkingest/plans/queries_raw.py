@@ -352,6 +352,69 @@ def lineage_log(spark, sf_dir):
     )
 
 
+@query(
+    "commit_log_state",
+    f"""WITH months AS (
+          SELECT strftime(o_orderdate, '%Y-%m') AS run_id, count(*) AS records_read,
+                 max(o_orderkey) AS top, count(*) FILTER (o_orderkey % 4 = 0) AS held
+          FROM orders GROUP BY 1)
+        SELECT row_number() OVER (ORDER BY run_id) AS number, run_id, records_read,
+               records_read - held AS records_written,
+               CASE WHEN held > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status,
+               held * 5 > records_read AS alert, CAST(top AS VARCHAR) AS watermark_value,
+               last_value(CAST(top AS VARCHAR)) OVER (ORDER BY run_id ROWS BETWEEN UNBOUNDED PRECEDING
+                 AND UNBOUNDED FOLLOWING) AS current_watermark
+        FROM months""",
+)
+def commit_log_state(spark, sf_dir):
+    """A run for each month of orders, as records of one log: read back from its last
+    snapshot and what follows, with the mark that the next run starts from."""
+
+    def run(path):
+        months = (
+            table(spark, sf_dir, "orders")
+            .groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("run_id"))
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.max("o_orderkey").alias("top"),
+                F.count_if(F.col("o_orderkey") % 4 == 0).alias("held"),
+            )
+        )
+        at = dt.datetime(2024, 1, 1)
+        for m in months.orderBy("run_id").collect():
+            event = audit_table.AuditEvent(
+                run_id=m.run_id,
+                source_name="orders",
+                source_type="stream",
+                pipeline_start_ts=at,
+                pipeline_end_ts=at,
+                records_read=m.n,
+                records_written=m.n - m.held,
+                quarantine_count=m.held,
+                status=audit_table.PARTIAL if m.held else audit_table.SUCCESS,
+            )
+            details = audit_table.RunDetails(
+                alert=m.held * 5 > m.n,
+                watermark_type="INTEGER",
+                watermark_value=str(m.top),
+                watermark_storage="marks",
+            )
+            audit_table.append_audit(spark, path, event, details)
+
+    path = prepared(spark, sf_dir, "month-runs", run)
+    mark = audit_table.committed_watermark(spark, path, "orders", "marks")
+    return audit_table.read_runs(spark, path, "orders").select(
+        "number",
+        "run_id",
+        "records_read",
+        "records_written",
+        "status",
+        "alert",
+        "watermark_value",
+        F.lit(mark[1]).alias("current_watermark"),
+    )
+
+
 # A run log as large as the orders table: one run per order.
 RUN_LOG_SQL = f"""
   SELECT CAST(o_orderkey AS VARCHAR) AS run_id,

@@ -170,10 +170,12 @@ def put_text(spark: SparkSession, path: str, text: str, overwrite: bool = False)
         delete_path(spark, aside)
 
 
-def files_below(spark: SparkSession, path: str) -> list[str]:
-    """Files of one directory, for directories that a single small job has written."""
+def folders_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders of one directory, for directories with few of them."""
     files, folder = _file_system(spark, path)
-    return [str(x.getPath().toString()) for x in files.listStatus(folder) if x.isFile()]
+    if not files.exists(folder):
+        return []
+    return sorted(x.getPath().getName() for x in files.listStatus(folder) if x.isDirectory())
 
 
 @contextmanager

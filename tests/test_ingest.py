@@ -31,7 +31,7 @@ from sparkingest.operators import audit as audit_table
 from sparkingest.operators import bronze, lake
 from sparkingest.operators.quality import CODES, Completeness, Range, Referential, classify
 from sparkingest.operators.watermark import read_watermark
-from sparkingest.plans.ingest import ingest
+from sparkingest.plans.ingest import dropped_path, ingest
 from sparkingest.plans.recover import recover, released_rows
 
 RUN_TS = dt.datetime(2024, 5, 1, 3)
@@ -481,3 +481,91 @@ def test_quarantined_rows_move_the_mark_and_are_released_once(spark, spec, batch
     assert set(counts.values()) == {1} and len(counts) == 2 * batch.count()
     early = lake.as_of(rows, audit(spark, spec), RUN_TS + dt.timedelta(days=1))
     assert early.count() == rows.count()
+
+
+def test_one_record_holds_the_run(spark, spec, tmp_path):
+    """Mark, lineage, alert and missed deadline are there as soon as the run is."""
+    marks = f"{tmp_path}/marks"
+    watched = replace(
+        spec,
+        ingestion=Ingestion("incremental", "id", marks),
+        monitoring=Monitoring(sla_threshold_seconds=0),
+    )
+    result = ingest(spark, watched, run_id="r1", run_ts=RUN_TS, rules=[Range("id", 0, 2)])
+    assert result.alert and result.sla_missed
+    row = audit_table.read_runs(spark, spec.audit.path, "mem").first()
+    assert (row.number, row.run_id, row.status, row.alert, row.sla_missed) == (1, "r1", "PARTIAL", True, True)
+    assert (row.watermark_type, row.watermark_value, row.watermark_storage) == ("INTEGER", "8", marks)
+    assert row.source_id == "mem-1" and row.schema_ddl.startswith("struct<id:bigint")
+
+
+def test_mark_holds_without_its_copy(spark, spec, monkeypatch, tmp_path):
+    """A crash right after the commit: the next run goes by the record."""
+    from sparkingest.plans import ingest as module
+
+    def lost(*_):
+        raise OSError("gone")
+
+    incremental = replace(spec, ingestion=Ingestion("incremental", "id", f"{tmp_path}/marks"))
+    monkeypatch.setattr(module, "append_watermark", lost)
+    assert ingest(spark, incremental, run_id="r1", run_ts=RUN_TS).records_read == 8
+    assert read_watermark(spark, f"{tmp_path}/marks", "mem-1") is None
+    assert ingest(spark, incremental, run_id="r2", run_ts=RUN_TS).records_read == 0
+
+
+def test_racing_attempts(spark, spec):
+    """Eight runs and eight attempts of one run at once: each commits once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def attempt(n):
+        run_id = f"r{n}" if n < 8 else "same"
+        event = audit_table.AuditEvent(run_id, "mem", "stream", RUN_TS, RUN_TS, checksum="x")
+        try:
+            return audit_table.append_audit(spark, spec.audit.path, event)
+        except StorageWriteError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(attempt, range(16)))
+    assert sorted(n for n in numbers if n is not None) == list(range(1, 10))
+    runs = [r.run_id for r in audit(spark, spec).collect()]
+    assert sorted(runs) == sorted([*(f"r{n}" for n in range(8)), "same"])
+
+
+def test_long_logs_open_few_files(spark, spec, monkeypatch):
+    """Records behind the last snapshot only, for the rows, the mark and a look-up of a run."""
+    from sparkingest.operators import commits
+
+    for n in range(1, 36):
+        event = audit_table.AuditEvent(f"r{n}", "mem", "stream", RUN_TS, RUN_TS, records_read=n)
+        details = audit_table.RunDetails(
+            watermark_type="INTEGER", watermark_value=str(n), watermark_storage="m"
+        )
+        audit_table.append_audit(spark, spec.audit.path, event, details)
+    opened = []
+    read = commits.read_text
+    monkeypatch.setattr(commits, "read_text", lambda s, p: opened.append(p) or read(s, p))
+    runs = audit_table.read_audit(spark, spec.audit.path, "mem")
+    assert sorted(r.records_read for r in runs.collect()) == list(range(1, 36))
+    assert audit_table.is_committed(spark, spec.audit.path, "mem", "r3")
+    assert not audit_table.is_committed(spark, spec.audit.path, "mem", "r99")
+    assert audit_table.committed_watermark(spark, spec.audit.path, "mem", "m") == ("INTEGER", "35")
+    # Four look-ups of a hint, a snapshot and three records each.
+    assert len(opened) <= 20 and len(runs.inputFiles()) == 1
+
+
+def test_validator_rows_are_compared_one_by_one(spark, spec, batch):
+    """Four rows go and four come: nothing hides behind the equal count."""
+    extra = spark.range(20, 24).selectExpr("id", "'x' AS name", "1.0D AS amount")
+    result = ingest(
+        spark,
+        reading(spec, batch.unionByName(batch.where("id = 1"))),
+        run_id="r1",
+        run_ts=RUN_TS,
+        validator=lambda df: df.where("id > 3").unionByName(extra),
+    )
+    assert (result.status, result.records_read, result.dropped_count) == ("PARTIAL", 9, 4)
+    row = audit_table.read_runs(spark, spec.audit.path, "mem").first()
+    assert (row.added_count, row.records_written) == (4, 9)
+    lost = spark.read.schema(batch.schema).parquet(dropped_path(spec, "r1"))
+    assert sorted(r.id for r in lost.collect()) == [1, 1, 2, 3]
