@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkingest.llm.components import components
@@ -29,7 +30,7 @@ from sparkingest.llm.words import (
     whole_text,
     word_hashes,
 )
-from sparkingest.session import materialize
+from sparkingest.session import materialize, scratch_table
 
 # At similarity 0.8 a pair shares no band with probability (1 - 0.8 ** 4) ** 16 = 0.0002.
 BANDS, ROWS = 16, 4
@@ -215,7 +216,7 @@ def similar_pairs(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataF
     )
 
 
-def banded_classes(nodes: DataFrame, verify) -> DataFrame:
+def banded_classes(nodes: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
     """``key, root`` of ``nodes(key, bands, planes)``: classes of verified links between nodes
     that share a band.
 
@@ -227,9 +228,17 @@ def banded_classes(nodes: DataFrame, verify) -> DataFrame:
     hash. Pairs above the similarity share several bands and meet again, while members that
     only share a passage part. From the third round on only members that are not of their
     leader's class go on. A member may resemble others of a class than its leaders only, so at
-    last all pairs of a bucket that are still of different classes are compared: see
+    last those that are still of different classes in a bucket are searched for pairs: see
     ``apart_pairs``.
+
+    Copies of a round are deleted once the next round is written.
     """
+    spent, fresh = ExitStack(), ExitStack()
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        return fresh.enter_context(scratch_table(df, name))
+
+    verify = lambda pairs: similar_pairs(pairs, bags, similarity)
     labels = materialize(nodes.select("key", F.col("key").alias("root")), "near-labels")
     current = nodes.select("key", F.posexplode("bands").alias("last", "bucket"))
     sizes = current.groupBy("bucket").agg(F.count("*").alias("size"))
@@ -242,9 +251,10 @@ def banded_classes(nodes: DataFrame, verify) -> DataFrame:
     while True:
         rooted = current.join(labels, "key")
         least = F.min(F.struct("rank", "key", "root")).alias("least")
-        members = materialize(
-            rooted.join(_mixed_buckets(rooted, least), "bucket"), f"near-members-{level}"
-        )
+        members = stored(rooted.join(_mixed_buckets(rooted, least), "bucket"), f"near-members-{level}")
+        # What this round was made of is not needed any more.
+        spent.close()
+        spent, fresh = fresh, ExitStack()
         if members.isEmpty():
             break
         pairs = (
@@ -257,8 +267,7 @@ def banded_classes(nodes: DataFrame, verify) -> DataFrame:
             )
             .distinct()
         )
-        similar = materialize(verify(pairs), f"near-similar-{level}")
-        labels = _joined(labels, similar)
+        labels = _joined(labels, stored(verify(pairs), f"near-similar-{level}"))
         carried = members if level == 0 else members.where("root != least.root")
         rooted = carried.select("bucket", "last", "key").join(labels, "key")
         apart = rooted.join(_mixed_buckets(rooted), "bucket").drop("root")
@@ -274,8 +283,11 @@ def banded_classes(nodes: DataFrame, verify) -> DataFrame:
             .withColumn("rank", F.xxhash64("bucket", "key"))
         )
         level += 1
-    pairs = materialize(apart_pairs(nodes, labels), "near-apart")
-    return _joined(labels, materialize(verify(pairs), "near-similar"))
+    spent.close()
+    similar = stored(verify(apart_pairs(nodes, labels, bags, similarity)), "near-similar")
+    labels = _joined(labels, similar)
+    fresh.close()
+    return labels
 
 
 def _joined(labels: DataFrame, similar: DataFrame) -> DataFrame:
@@ -292,16 +304,50 @@ def _joined(labels: DataFrame, similar: DataFrame) -> DataFrame:
     )
 
 
-def apart_pairs(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """``a, b, root_a, root_b`` of all nodes that share a band, are of different classes and
-    may be similar by their registers.
+def rarest_shingles(bags: DataFrame, similarity: float) -> DataFrame:
+    """``key, size, shared, shingle``: of each bag the shingles that are rarest among all ``bags``, so
+    many that two bags of that similarity have one of them in common.
+
+    Two bags of that similarity share at least that part of either. If all but a smaller part of a
+    bag is left out, in one order for all bags, some shared shingle remains on both sides, the
+    first that they share. Texts that only have a passage in common share no rare one.
+    ``shared`` is how many of a bag's shingles any other bag has.
+    """
+    rows = bags.select("key", F.size("bag").alias("size"), F.explode("bag").alias("shingle"))
+    seen = rows.groupBy("shingle").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("key").orderBy("n", "shingle")
+    ranked = rows.join(seen, "shingle").withColumns(
+        {
+            "place": F.row_number().over(order),
+            "shared": F.count_if(F.col("n") > 1).over(Window.partitionBy("key")),
+        }
+    )
+    # Rounding that takes a little too many shingles is harmless, too few would lose pairs.
+    taken = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)) + 1
+    return ranked.where(F.col("place") <= taken).select(
+        "key", "size", "shared", "shingle"
+    )
+
+
+def apart_pairs(
+    nodes: DataFrame, labels: DataFrame, bags: DataFrame, similarity: float
+) -> DataFrame:
+    """``a, b, root_a, root_b`` of nodes of different classes that may be similar.
 
-    Within the join the registers are compared as a few machine words, so only pairs that
-    pass are made. A bucket is dealt out by ``TILE`` members, each tile with all members.
+    Searched are the nodes that share a band with one of another class. Two of them meet if
+    they have one of their rarest shingles in common, which every pair of that similarity
+    has, and if their sizes, the number of shingles that others have at all and their registers
+    allow it. Where very many have a shingle, they are dealt out by
+    ``TILE`` members, each tile with all members.
     """
-    rooted = nodes.select("key", "planes", F.explode("bands").alias("bucket")).join(labels, "key")
-    tiles = F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
-    members = materialize(rooted.join(_mixed_buckets(rooted, tiles), "bucket"), "near-apart-members")
+    rooted = nodes.select("key", F.explode("bands").alias("bucket")).join(labels, "key")
+    apart = rooted.join(_mixed_buckets(rooted), "bucket").select("key", "root").distinct()
+    apart = apart.join(nodes.select("key", "planes"), "key")
+    with scratch_table(apart, "near-apart") as searched:
+        rare = rarest_shingles(bags.join(searched.select("key"), "key", "left_semi"), similarity)
+        rooted = rare.withColumnRenamed("shingle", "bucket").join(searched, "key")
+        tiles = F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
+        members = materialize(rooted.join(_mixed_buckets(rooted, tiles), "bucket"), "near-apart-members")
 
     def side(name: str, tile: Column) -> DataFrame:
         return members.select(
@@ -309,6 +355,8 @@ def apart_pairs(nodes: DataFrame, labels: DataFrame) -> DataFrame:
             tile.alias("tile"),
             F.col("key").alias(name),
             F.col("root").alias(f"root_{name}"),
+            F.col("size").alias(f"size_{name}"),
+            F.col("shared").alias(f"shared_{name}"),
             *(F.col("planes")[p].alias(f"{name}_{p}") for p in range(PLANES)),
         )
 
@@ -317,10 +365,16 @@ def apart_pairs(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     differing = F.lit(0).cast("bigint")
     for p in range(PLANES):
         differing = differing.bitwiseOR(left[f"a_{p}"].bitwiseXOR(right[f"b_{p}"]))
+    both = left["size_a"] + right["size_b"]
+    # What they share is among what others have: at most the lesser of the two numbers.
+    overlap = F.least(left["shared_a"], right["shared_b"])
     met = [
         left["bucket"] == right["bucket"],
         left["tile"] == right["tile"],
         left["root_a"] < right["root_b"],
+        left["size_a"] >= right["size_b"] * F.lit(similarity) - F.lit(1e-9),
+        right["size_b"] >= left["size_a"] * F.lit(similarity) - F.lit(1e-9),
+        overlap * F.lit(1 + similarity) >= both * F.lit(similarity) - F.lit(1e-9),
         F.bit_count(differing) <= DIFFERING,
     ]
     return left.join(right, met).select("a", "b", "root_a", "root_b").distinct()
@@ -375,7 +429,7 @@ def _classes(
         "near-bags",
     )
     candidates = nodes.join(bags.select("key"), "key", "left_semi")
-    roots = banded_classes(candidates, lambda pairs: similar_pairs(pairs, bags, similarity))
+    roots = banded_classes(candidates, bags, similarity)
     grouped = (
         nodes.drop("bands", "planes")
         .join(roots, "key", "left")
