@@ -206,7 +206,7 @@ def _rated(
     )
     if not domains:
         domains, log_prior, log_word = ["all"], [0.0], [[0.0] * BUCKETS]
-    texts = docs.select(F.struct(*carried).alias("doc"), whole_text(text_column).alias("text"))
+    texts = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("doc"), whole_text(text_column).alias("text"))
     rows = memberships(texts, log_prior, log_word)
     slim = rows.select("n_tokens", "parts")
     profiles = materialize(

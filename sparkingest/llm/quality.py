@@ -396,8 +396,11 @@ def accepted(
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary()
-        for part, texts in text_blocks(batches, text_column):
+        for part, texts in text_blocks(batches, text):
             rows = np.array([pooled(text or "", vectors, vocabulary) for text in texts])
             yield part.filter(pa.array(network.scores(rows.astype(np.float64)) >= 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    # By number, since a name may hold a dot or come twice.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = f"c{docs.columns.index(text_column)}"
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)

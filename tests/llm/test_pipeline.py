@@ -44,3 +44,12 @@ def test_every_stage_bears_awkward_and_empty_tables(spark, sf_dir):
 def test_run_returns_the_last_stage(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir)
     assert set(got.columns) >= {"doc_id", "shard", "slot"} and got.count() > 0
+
+
+def test_columns_with_dots(spark, sf_dir):
+    """Names that Spark would read as a path stay as they are through all stages."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).withColumn("a.b", F.lit(1))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert "a.b" in docs.columns
+    assert docs.select("`a.b`").distinct().count() == 1
