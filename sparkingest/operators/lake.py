@@ -8,11 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkingest.operators.audit import committed_runs
+from sparkingest.config import SourceSpec
+from sparkingest.operators.audit import committed_runs, read_audit, read_runs
 from sparkingest.operators.bronze import RUN_ID
 from sparkingest.operators.quality import Rule, classify, split
 from sparkingest.operators.silver import latest_per_key
-from sparkingest.session import delete_path, materialize, timestamp_literal
+from sparkingest.session import delete_path, folders_below, materialize, timestamp_literal
 
 
 def newest_dates(audit: DataFrame) -> DataFrame:
@@ -101,3 +102,32 @@ def drop_expired_quarantine(
         if delete_path(spark, path):
             removed.append(path)
     return removed
+
+
+def expire_quarantine(spark: SparkSession, spec: SourceSpec, as_of_date: dt.date) -> list[str]:
+    """Delete what the source's quarantine holds of runs past its ``retention_days``, and the
+    rows that validators dropped in them. Looks at the folders that are still there, not at all runs ever."""
+    if spec.quarantine.path is None:
+        return []
+    name, root = spec.metadata.source_name, spec.quarantine.path.rstrip("/")
+    removed = []
+    for base in (root, f"{root}_dropped"):
+        folders = folders_below(spark, f"{base}/source_name={name}")
+        held = [f.split("=", 1)[1] for f in folders if f.startswith(f"{RUN_ID}=")]
+        if not held:
+            continue
+        present = spark.createDataFrame([(run,) for run in held], "run_id STRING")
+        runs = read_audit(spark, spec.audit.path, name)
+        old = runs.where(expired("pipeline_end_ts", spec.quarantine.retention_days, as_of_date))
+        for row in old.join(present, "run_id", "left_semi").select("run_id").distinct().collect():
+            path = f"{base}/source_name={name}/{RUN_ID}={row['run_id']}"
+            if delete_path(spark, path):
+                removed.append(path)
+    return sorted(removed)
+
+
+def expired_runs(spark: SparkSession, spec: SourceSpec, as_of_date: dt.date) -> DataFrame:
+    """Records of the source past the audit's ``retention_days``. A report: the log is the
+    commit of its runs, and its records are never deleted."""
+    runs = read_runs(spark, spec.audit.path, spec.metadata.source_name)
+    return runs.where(expired("pipeline_end_ts", spec.audit.retention_days, as_of_date))

@@ -111,6 +111,7 @@ def ingest(
     validator: Callable[[DataFrame], DataFrame] | None = None,
     mismatch_threshold: int = 0,
     verify_stored: bool = False,
+    event_time: str | None = None,
 ) -> RunResult:
     """Extract, classify, write, reconcile, quarantine, commit.
 
@@ -122,6 +123,9 @@ def ingest(
     quarantine, and add some; rows are compared whole, so a changed row counts as one
     dropped and one added. Dropped rows are stored beside the quarantine. A completeness threshold is
     decided on the batch; both work on a stored copy of the extract.
+
+    ``event_time`` names a column whose greatest value over all runs the records keep, apart
+    from how far the source was read.
     """
     started = time.monotonic()
     meta = spec.metadata
@@ -173,8 +177,9 @@ def ingest(
         schema_json = data.json()
 
         high_water = None
-        if spec.ingestion.mode == "incremental":
-            column = spec.ingestion.incremental_column
+        incremental = spec.ingestion.mode == "incremental"
+        column = spec.ingestion.incremental_column if incremental else event_time
+        if column is not None:
             kind = watermark_kind(data[column].dataType, meta.source_id)
             value = F.col(column).cast("timestamp" if kind == TIMESTAMP else "bigint")
             # Over all rows: quarantined ones are stored too and must not be read again.
@@ -202,7 +207,7 @@ def ingest(
             known["quarantine_count"] = staged.records_quarantined
             raise QualityViolation(meta.source_id, staged.records_quarantined)
 
-        clean, quarantined = bronze.reconcile_run(
+        _, quarantined = bronze.reconcile_run(
             spark,
             staged,
             data,
@@ -220,15 +225,18 @@ def ingest(
                 run_id,
                 partition_by=spec.storage.partition_by,
             )
-        known["records_written"] = clean
-        known["quarantine_count"] = quarantined
+        # What the write observed; what is on disk may differ by the threshold.
+        known["records_written"] = staged.records_clean
+        known["quarantine_count"] = staged.records_quarantined
         path, checksum = staged.path, staged.checksum
         incomplete = quarantined or known["dropped_count"]
         status = audit_table.PARTIAL if incomplete else audit_table.SUCCESS
         committed = event(status)
         details = _details(spark, spec, committed, data, added)
-        if spec.ingestion.mode == "incremental" and staged.high_water is not None:
+        if incremental and staged.high_water is not None:
             details = _moved_mark(spark, spec, kind, staged.high_water, details)
+        elif column is not None:
+            details = _seen_until(spark, spec, column, kind, staged.high_water, details)
         audit_table.append_audit(spark, spec.audit.path, committed, details)
     except Exception as error:
         typed = error if isinstance(error, IngestionError) else UnexpectedError(str(error))
@@ -241,7 +249,7 @@ def ingest(
     finally:
         scratch.close()
 
-    if details.watermark_value is not None:
+    if incremental and details.watermark_value is not None:
         _copy_watermark(spark, spec, details, committed)
     if spec.audit.lineage_path:
         _record_lineage(spark, spec, committed, data)
@@ -296,6 +304,22 @@ def _moved_mark(spark, spec, kind, high_water, details) -> audit_table.RunDetail
     )
 
 
+def event_time_storage(column: str) -> str:
+    """The name under which records keep the greatest event time, in place of a storage."""
+    return f"event-time:{column}"
+
+
+def _seen_until(spark, spec, column, kind, high_water, details) -> audit_table.RunDetails:
+    """The record with the greatest event time of all runs so far."""
+    storage = event_time_storage(column)
+    before = audit_table.committed_watermark(spark, spec.audit.path, spec.metadata.source_name, storage)
+    values = [v for v in (high_water, before[1] if before else None) if v is not None]
+    if not values:
+        return details
+    top = max(values) if kind == TIMESTAMP else str(max(map(int, values)))
+    return replace(details, watermark_type=kind, watermark_value=top, watermark_storage=storage)
+
+
 def _copy_watermark(spark, spec, details, committed) -> None:
     """Copy the committed mark into the watermark storage, for those who read it there; the
     record is what the next run goes by."""

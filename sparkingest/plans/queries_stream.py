@@ -20,6 +20,7 @@ from sparkingest.streaming.ingest import (
     ingest_stream,
     json_messages,
     late_records,
+    sessions,
     throughput,
     write_files,
 )
@@ -197,3 +198,126 @@ def stream_throughput(spark, sf_dir):
         "events",
         "events_per_second",
     )
+
+
+def _drain_with_end(spark, sf_dir, root, aggregate):
+    """All messages in two batches, then a punctuation a year later, each drained by the same
+    query over ``aggregate``."""
+    messages = _messages(spark, sf_dir)
+    first_half = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    end = messages.limit(0).unionByName(
+        spark.range(1).select(F.lit("2025-02-01").cast("timestamp").alias("ts")), allowMissingColumns=True
+    )
+    for part in (messages.where(first_half), messages.where(~first_half), end):
+        _land(part, f"{root}/inbox")
+        stream = json_messages(spark, f"{root}/inbox", ddl(MESSAGE))
+        write_files(aggregate(stream), f"{root}/out", f"{root}/checkpoint", _DRAIN).awaitTermination()
+
+
+@query(
+    "stream_windows_closed",
+    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS events,
+              CAST(count(*) AS DOUBLE) / 3600 AS events_per_second
+       FROM events GROUP BY 1""",
+)
+def stream_windows_closed(spark, sf_dir):
+    """Every hourly window, the last ones too: the end of the feed is punctuated."""
+    message = F.col("event_id").isNotNull()
+
+    def run(root):
+        _drain_with_end(
+            spark,
+            sf_dir,
+            root,
+            lambda stream: throughput(stream, "ts", "2 hours", "1 hour", message=message),
+        )
+
+    windows = spark.read.parquet(f"{prepared(spark, sf_dir, 'stream-closed', run)}/out")
+    return windows.select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "events",
+        "events_per_second",
+    )
+
+
+@query(
+    "stream_sessions",
+    """WITH marked AS (
+         SELECT user_id, ts,
+                coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 6 HOUR, true) AS opens
+         FROM events),
+       numbered AS (
+         SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM marked)
+       SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+              strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_event, count(*) AS events
+       FROM numbered GROUP BY user_id, n""",
+)
+def stream_sessions(spark, sf_dir):
+    """Sessions of each user with silences of six hours at most, over batches, all closed."""
+
+    def run(root):
+        _drain_with_end(
+            spark,
+            sf_dir,
+            root,
+            lambda stream: sessions(
+                stream, "ts", "2 hours", "user_id", "6 hours", message=F.col("event_id").isNotNull()
+            ),
+        )
+
+    found = spark.read.parquet(f"{prepared(spark, sf_dir, 'stream-sessions', run)}/out")
+    return found.select(
+        "user_id",
+        F.date_format("session_start", _TS).alias("session_start"),
+        F.date_format("last_event", _TS).alias("last_event"),
+        "events",
+    )
+
+
+@query(
+    "stream_late_quarantine",
+    f"""SELECT CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN ''
+                    WHEN ts >= (SELECT max(ts) - INTERVAL 25 DAY FROM events
+                                WHERE ts >= TIMESTAMP '2024-01-11') THEN ''
+                    ELSE 'LATE_RECORD' END AS codes,
+               event_id, user_id, {_TS_SQL} AS ts FROM events""",
+)
+def stream_late_quarantine(spark, sf_dir):
+    """As ``stream_late``, but late rows are told from the others in the batch that brings
+    them, and lie in the quarantine of its run; the second batch is delivered twice."""
+
+    def run(root):
+        spec = SourceSpec(
+            metadata=Metadata("events", "events"),
+            connection=Connection("stream"),
+            storage=Storage(f"{root}/bronze"),
+            audit=Audit(f"{root}/audit"),
+            quarantine=Quarantine(f"{root}/quarantine"),
+        )
+        messages = _messages(spark, sf_dir)
+        on_time = F.col("ts") >= F.lit("2024-01-11").cast("timestamp")
+        for part in (messages.where(on_time), messages.where(~on_time)):
+            _land(part, f"{root}/inbox")
+            for _ in range(2):
+                ingest_stream(
+                    json_messages(spark, f"{root}/inbox", ddl(MESSAGE)),
+                    spec,
+                    "events",
+                    f"{root}/checkpoint",
+                    trigger=_DRAIN,
+                    clock=lambda: dt.datetime(2024, 3, 1),
+                    event_time="ts",
+                    delay=dt.timedelta(days=25),
+                ).awaitTermination()
+        return spec
+
+    spec = prepared(spark, sf_dir, "stream-late-held", run)
+    audit = audit_table.read_audit(spark, spec.audit.path)
+    clean = bronze.read_bronze(spark, spec.storage.path, audit, ddl(MESSAGE))
+    held = bronze.read_quarantine(spark, spec.quarantine.path, ddl(MESSAGE), audit)
+    columns = ["codes", "event_id", "user_id", F.date_format("ts", _TS).alias("ts")]
+    return (
+        clean.withColumn("codes", F.lit(""))
+        .select(*columns)
+        .unionByName(held.withColumn("codes", F.concat_ws(",", CODES)).select(*columns))
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
@@ -14,11 +14,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkingest.config import SourceSpec
-from sparkingest.operators.audit import is_committed
+from sparkingest.operators.audit import committed_watermark, is_committed
 from sparkingest.operators.quality import CODES, LATE_RECORD, Rule
 from sparkingest.operators.watermark import TEXT_FORM, parse_timestamp
-from sparkingest.plans.ingest import ingest
-from sparkingest.session import materialize
+from sparkingest.plans.ingest import event_time_storage, ingest
+from sparkingest.session import materialize, timestamp_literal
 
 
 def session_now(spark: SparkSession) -> dt.datetime:
@@ -47,9 +47,16 @@ def ingest_stream(
     rules: Sequence[Rule] = (),
     trigger: Mapping[str, object] | None = None,
     clock: Callable[[], dt.datetime] | None = None,
+    event_time: str | None = None,
+    delay: dt.timedelta = dt.timedelta(0),
 ) -> StreamingQuery:
     """Run ``ingest`` on every micro-batch.
 
+    With ``event_time``, rows more than ``delay`` behind the greatest event time of the
+    batches before are late: they go to quarantine in the batch that brought them. That time
+    is part of each batch's record, so a repeated batch is judged as the first time, and no
+    history is read.
+
     ``foreachBatch`` delivers at least once. The run id comes from the query name and
     batch id, so a repeated batch is skipped if it was committed and rewrites its own
     directory if it was not. The default trigger fires every 30 seconds, the default clock
@@ -67,7 +74,8 @@ def ingest_stream(
             replace(spec, connection=connection),
             run_id=run_id,
             run_ts=clock() if clock is not None else session_now(spark),
-            rules=rules,
+            rules=[*rules, *_lateness(spark, spec, event_time, delay)],
+            event_time=event_time,
         )
 
     return (
@@ -79,6 +87,28 @@ def ingest_stream(
     )
 
 
+@dataclass(frozen=True)
+class Late:
+    """Event times before ``bound``; rows without one are not late."""
+
+    column: str
+    bound: dt.datetime
+    code: str = LATE_RECORD
+
+    def violation(self) -> Column:
+        return F.coalesce(F.col(f"`{self.column}`") < timestamp_literal(self.bound), F.lit(False))
+
+
+def _lateness(spark, spec, event_time: str | None, delay: dt.timedelta) -> list[Late]:
+    """The rule for the next batch; none before the first one."""
+    if event_time is None:
+        return []
+    seen = committed_watermark(
+        spark, spec.audit.path, spec.metadata.source_name, event_time_storage(event_time)
+    )
+    return [] if seen is None else [Late(event_time, parse_timestamp(seen[1]) - delay)]
+
+
 def dedupe_stream(
     stream: DataFrame, keys: Sequence[str], event_time: str, delay: str
 ) -> DataFrame:
@@ -112,12 +142,25 @@ def _same(keys: Sequence[str], left: str, right: str) -> Column:
     return reduce(and_, [F.col(left + k).eqNullSafe(F.col(right + k)) for k in keys])
 
 
-def throughput(stream: DataFrame, event_time: str, delay: str, width: str = "1 minute") -> DataFrame:
-    """Events and events per second of each tumbling window, emitted once it closes."""
+def throughput(
+    stream: DataFrame,
+    event_time: str,
+    delay: str,
+    width: str = "1 minute",
+    *,
+    message: Column | None = None,
+) -> DataFrame:
+    """Events and events per second of each tumbling window, emitted once it closes.
+
+    A window closes when a later event time comes in. Where a source falls silent or ends,
+    a punctuation closes it: a row with a later time that ``message`` tells from messages. It
+    moves the watermark and is not counted.
+    """
     window = F.window(event_time, width)
-    counts = stream.withWatermark(event_time, delay).groupBy(window).agg(
-        F.count(F.lit(1)).alias("events")
-    )
+    counted = F.count(F.lit(1)) if message is None else F.count_if(message)
+    counts = stream.withWatermark(event_time, delay).groupBy(window).agg(counted.alias("events"))
+    if message is not None:
+        counts = counts.where("events > 0")
     seconds = (F.unix_timestamp("window.end") - F.unix_timestamp("window.start")).cast("double")
     return counts.select(
         F.col("window.start").alias("window_start"),
@@ -127,6 +170,33 @@ def throughput(stream: DataFrame, event_time: str, delay: str, width: str = "1 m
     )
 
 
+def sessions(
+    stream: DataFrame,
+    event_time: str,
+    delay: str,
+    device: str,
+    gap: str,
+    *,
+    message: Column | None = None,
+) -> DataFrame:
+    """``device, session_start, last_event, events``: messages of a device with no silence of
+    more than ``gap`` between them, emitted once the watermark has passed the gap.
+
+    Sessions of one task's rows are merged before the shuffle, so a device that sends most of
+    the messages sends one row a session and task (``spark.sql.streaming.sessionWindow.
+    merge.sessions.in.local.partition``). Punctuations as in ``throughput``; they are no
+    messages of a device.
+    """
+    rows = stream.withWatermark(event_time, delay)
+    counted = F.count(F.lit(1)) if message is None else F.count_if(message)
+    grouped = rows.groupBy(F.session_window(event_time, gap).alias("session"), device).agg(
+        counted.alias("events"), F.max(event_time).alias("last_event")
+    )
+    return grouped.where("events > 0").select(
+        device, F.col("session.start").alias("session_start"), "last_event", "events"
+    )
+
+
 def write_files(
     result: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:

@@ -569,3 +569,21 @@ def test_validator_rows_are_compared_one_by_one(spark, spec, batch):
     assert (row.added_count, row.records_written) == (4, 9)
     lost = spark.read.schema(batch.schema).parquet(dropped_path(spec, "r1"))
     assert sorted(r.id for r in lost.collect()) == [1, 1, 2, 3]
+
+
+def test_retention_settings_act(spark, spec, batch):
+    """Ninety days of quarantine by the source's own setting; the log only reports."""
+    kept = replace(spec, quarantine=replace(spec.quarantine, retention_days=90))
+    drop = lambda df: df.where("id > 1")
+    rules = [Range("amount", 0, 100)]
+    ingest(spark, kept, run_id="old", run_ts=RUN_TS, rules=rules, validator=drop)
+    ingest(spark, kept, run_id="new", run_ts=RUN_TS + dt.timedelta(days=60), rules=rules)
+    today = (RUN_TS + dt.timedelta(days=91)).date()
+    removed = lake.expire_quarantine(spark, kept, today)
+    assert [p.split("/")[-1] for p in removed] == ["_run_id=old", "_run_id=old"]
+    assert lake.expire_quarantine(spark, kept, today) == []
+    held = bronze.read_quarantine(spark, kept.quarantine.path, batch.schema)
+    assert {r["_run_id"] for r in held.collect()} == {"new"}
+    short = replace(kept, audit=replace(kept.audit, retention_days=60))
+    assert [r.run_id for r in lake.expired_runs(spark, short, today).collect()] == ["old"]
+    assert audit(spark, kept).count() == 2

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from tests.conftest import rows_of
 
@@ -15,6 +17,7 @@ from sparkingest.streaming.ingest import (
     ingest_stream,
     json_messages,
     late_records,
+    sessions,
     throughput,
     write_files,
 )
@@ -114,3 +117,72 @@ def test_throughput_emits_closed_windows(spark, tmp_path):
     out = spark.read.parquet(f"{tmp_path}/out")
     found = out.select(F.minute("window_start"), "events", "events_per_second")
     assert rows_of(found) == [(0, 2, 2 / 60), (1, 1, 1 / 60)]
+
+
+def test_late_rows_go_to_quarantine_in_their_batch(spark, tmp_path, monkeypatch):
+    """The bound is the greatest event time of the batches before; a batch whose commit was
+    lost is judged again by the same bound."""
+    inbox = f"{tmp_path}/in"
+    spec = SourceSpec(
+        metadata=Metadata("s", "s"),
+        connection=Connection("stream"),
+        storage=Storage(f"{tmp_path}/bronze"),
+        audit=Audit(f"{tmp_path}/audit"),
+        quarantine=Quarantine(f"{tmp_path}/held"),
+    )
+
+    def drain():
+        ingest_stream(
+            stream(spark, inbox),
+            spec,
+            "feed",
+            f"{tmp_path}/checkpoint",
+            trigger=DRAIN,
+            clock=lambda: START,
+            event_time="ts",
+            delay=dt.timedelta(minutes=10),
+        ).awaitTermination()
+
+    def held():
+        audit = audit_table.read_audit(spark, spec.audit.path)
+        rows = bronze.read_quarantine(spark, spec.quarantine.path, ddl(SCHEMA), audit)
+        return sorted((r.k, r["_run_id"], r[CODES]) for r in rows.collect())
+
+    # Within the first batch nothing is late, however far apart.
+    land(spark, inbox, [("a", 0, 1), ("b", 60, 1)])
+    drain()
+    assert held() == []
+    land(spark, inbox, [("c", 49, 1), ("d", 50, 1), ("e", 500, 1)])
+    append = audit_table.append_audit
+    monkeypatch.setattr(audit_table, "append_audit", lambda *_: 1 / 0)
+    with pytest.raises(StreamingQueryException):
+        drain()
+    monkeypatch.setattr(audit_table, "append_audit", append)
+    drain()
+    drain()
+    assert held() == [("c", "feed-1", ["LATE_RECORD"])]
+    # An older batch does not move the bound back.
+    land(spark, inbox, [("f", 495, 1)])
+    drain()
+    land(spark, inbox, [("g", 489, 1), ("h", 491, 1)])
+    drain()
+    assert held() == [("c", "feed-1", ["LATE_RECORD"]), ("g", "feed-3", ["LATE_RECORD"])]
+
+
+def test_punctuation_closes_windows_and_sessions(spark, tmp_path):
+    message = F.col("v").isNotNull()
+
+    def drain(name, aggregate):
+        df = aggregate(stream(spark, f"{tmp_path}/in"))
+        write_files(df, f"{tmp_path}/{name}", f"{tmp_path}/{name}-c", DRAIN).awaitTermination()
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    land(spark, f"{tmp_path}/in", [("a", 0, 1), ("a", 9, 1), ("b", 5, 1), ("a", 30, 1)])
+    windows = lambda s: throughput(s, "ts", "1 minute", "10 minutes", message=message)
+    parts = lambda s: sessions(s, "ts", "1 minute", "k", "10 minutes", message=message)
+    assert drain("w", windows).agg(F.sum("events")).first()[0] == 3
+    land(spark, f"{tmp_path}/in", [(None, 600, None)])
+    assert sorted(r.events for r in drain("w", windows).collect()) == [1, 3]
+    found = sorted((r.k, r.events, r.last_event) for r in drain("s", parts).collect())
+    at = lambda m: START + dt.timedelta(minutes=m)
+    assert found == [("a", 1, at(30)), ("a", 2, at(9)), ("b", 1, at(5))]
