@@ -305,7 +305,7 @@ def _joined(labels: DataFrame, similar: DataFrame) -> DataFrame:
 
 
 def rarest_shingles(bags: DataFrame, similarity: float) -> DataFrame:
-    """``key, size, shared, shingle``: of each bag the shingles that are rarest among all ``bags``, so
+    """``node, size, shared, shingle`` of ``bags(node, bag)``: of each bag the shingles that are rarest among all ``bags``, so
     many that two bags of that similarity have one of them in common.
 
     Two bags of that similarity share at least that part of either. If all but a smaller part of a
@@ -313,19 +313,19 @@ def rarest_shingles(bags: DataFrame, similarity: float) -> DataFrame:
     first that they share. Texts that only have a passage in common share no rare one.
     ``shared`` is how many of a bag's shingles any other bag has.
     """
-    rows = bags.select("key", F.size("bag").alias("size"), F.explode("bag").alias("shingle"))
+    rows = bags.select("node", F.size("bag").alias("size"), F.explode("bag").alias("shingle"))
     seen = rows.groupBy("shingle").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("key").orderBy("n", "shingle")
+    order = Window.partitionBy("node").orderBy("n", "shingle")
     ranked = rows.join(seen, "shingle").withColumns(
         {
             "place": F.row_number().over(order),
-            "shared": F.count_if(F.col("n") > 1).over(Window.partitionBy("key")),
+            "shared": F.count_if(F.col("n") > 1).over(Window.partitionBy("node")),
         }
     )
     # Rounding that takes a little too many shingles is harmless, too few would lose pairs.
     taken = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)) + 1
     return ranked.where(F.col("place") <= taken).select(
-        "key", "size", "shared", "shingle"
+        "node", "size", "shared", "shingle"
     )
 
 
@@ -342,12 +342,18 @@ def apart_pairs(
     """
     rooted = nodes.select("key", F.explode("bands").alias("bucket")).join(labels, "key")
     apart = rooted.join(_mixed_buckets(rooted), "bucket").select("key", "root").distinct()
-    apart = apart.join(nodes.select("key", "planes"), "key")
+    # A number instead of the 32 bytes of a key goes with each shingle.
+    apart = apart.join(nodes.select("key", "planes"), "key").withColumn(
+        "node", F.monotonically_increasing_id()
+    )
     with scratch_table(apart, "near-apart") as searched:
-        rare = rarest_shingles(bags.join(searched.select("key"), "key", "left_semi"), similarity)
-        rooted = rare.withColumnRenamed("shingle", "bucket").join(searched, "key")
-        tiles = F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
-        members = materialize(rooted.join(_mixed_buckets(rooted, tiles), "bucket"), "near-apart-members")
+        numbered = bags.join(searched.select("key", "node"), "key").select("node", "bag")
+        with scratch_table(rarest_shingles(numbered, similarity), "near-rarest") as rare:
+            rooted = rare.withColumnRenamed("shingle", "bucket").join(searched, "node")
+            tiles = F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
+            members = materialize(
+                rooted.join(_mixed_buckets(rooted, tiles), "bucket"), "near-apart-members"
+            )
 
     def side(name: str, tile: Column) -> DataFrame:
         return members.select(
