@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkingest.llm.words import SHINGLE, SIMILARITY, text_key, whole_text
@@ -41,6 +41,9 @@ _SIGNS = rf"[^\p{{L}}\p{{Nd}}<>\s{OPENS}{CLOSES}]+"
 # Between the values of a window's placeholders; a control character that is no blank.
 SEPARATOR = "\x01"
 
+# What the split of ``words`` takes for a blank.
+BLANKS = " \t\n\x0b\f\r"
+
 # Rows of benchmark windows up to which they are broadcast; beyond it they are shuffled.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -48,7 +51,7 @@ BROADCAST_WINDOWS = 1_000_000
 def template(text: Column) -> Column:
     """The text with placeholders and marks, in small letters and without signs; blanks stay,
     so what stands between them is that of the text, one for one."""
-    named = F.regexp_replace(F.translate(text, f"<>{OPENS}{CLOSES}", ""), _NAME, NAME)
+    named = F.regexp_replace(F.regexp_replace(text, f"[<>{OPENS}{CLOSES}]", ""), _NAME, NAME)
     marked = F.regexp_replace(named, _CAPITALISED, f"{OPENS}$0{CLOSES}")
     numbered = F.regexp_replace(F.lower(marked), _NUMBER, NUMBER)
     return F.regexp_replace(F.regexp_replace(numbered, _UNIT, f"$1{UNIT}"), _SIGNS, "")
@@ -134,6 +137,70 @@ def _windowed(texts: DataFrame, *carried: str) -> DataFrame:
     )
 
 
+def window_hashes(texts: DataFrame, *carried: str) -> DataFrame:
+    """``carried, hash`` for every window of ``texts(text)``, those of ``_windowed``.
+
+    Without lambdas, places and values, so that all of it is compiled: the words and the same
+    words from the second, third, ... on are zipped, and a row of these is a window.
+    """
+
+    def shifted(form: str, n_words: str) -> list[Column]:
+        starts = F.greatest(F.col(n_words) - F.lit(SHINGLE - 1), F.lit(0))
+        return [F.slice(form, i + 1, starts).alias(f"{form}{i}") for i in range(SHINGLE)]
+
+    def said(form: Column) -> Column:
+        return F.split(F.btrim(form, F.lit(BLANKS)), r"\s+")
+
+    marked = F.col("marked")
+    zipped = F.arrays_zip(*shifted("form", "n_words"), *shifted("named", "n_words"))
+    first = F.xxhash64(*(f"window.form{i}" for i in range(SHINGLE)))
+    second = F.xxhash64(*(f"window.named{i}" for i in range(SHINGLE)))
+    return (
+        texts.select(*carried, template(F.col("text")).alias("marked"))
+        .select(
+            *carried,
+            said(F.regexp_replace(marked, f"[{OPENS}{CLOSES}]", "")).alias("form"),
+            said(F.regexp_replace(marked, f"{OPENS}[^{CLOSES}]*{CLOSES}", NAME)).alias("named"),
+        )
+        .select(*carried, "form", "named", F.size("form").alias("n_words"))
+        .select(*carried, F.explode(zipped).alias("window"))
+        .select(*carried, first.alias("first"), second.alias("second"))
+        .select(
+            *carried,
+            F.explode(
+                F.when(F.col("first") == F.col("second"), F.array("first")).otherwise(
+                    F.array("first", "second")
+                )
+            ).alias("hash"),
+        )
+    )
+
+
+def rarest_windows(item_windows: DataFrame, similarity: float) -> DataFrame:
+    """``item, hash`` of the windows of which a text with ``similarity`` of an item's has one.
+
+    Of n places a text must cover the least whole number of at least ``similarity * n``, so it
+    has one of any n - that + 1 places. Taken are those whose windows the fewest items share:
+    a beginning that many items have in common is then no reason to compare.
+    """
+    shared = item_windows.groupBy("hash").agg(F.count_distinct("item").alias("items"))
+    # A place counts as rare as the most common of its windows.
+    places = (
+        item_windows.join(shared, "hash")
+        .groupBy("item", "at")
+        .agg(F.max("items").alias("items"), F.collect_set("hash").alias("hashes"))
+    )
+    of_item = Window.partitionBy("item")
+    return (
+        places.withColumn("n", F.count("*").over(of_item))
+        .withColumn("rank", F.row_number().over(of_item.orderBy("items", "at")))
+        # Rounding must not make the least number larger.
+        .where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - 1e-9) + 1)
+        .select("item", F.explode("hashes").alias("hash"))
+        .distinct()
+    )
+
+
 def contaminated_texts(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -152,19 +219,33 @@ def contaminated_texts(
         .select("item", F.col("place").alias("at"), "hash", F.col("values").alias("asked")),
         "item-windows",
     )
-    n_windows = item_windows.count()
     wanted = item_windows.groupBy("item").agg(F.count_distinct("at").alias("n_windows"))
-    probe = F.broadcast(item_windows) if n_windows <= BROADCAST_WINDOWS else item_windows
+    rarest = materialize(rarest_windows(item_windows, similarity), "item-rarest")
+    probe = F.broadcast(rarest) if rarest.count() <= BROADCAST_WINDOWS else rarest
 
     texts = docs.select(
         text_key(text_column).alias("key"), whole_text(text_column).alias("text")
     )
+    # Every window of every text is looked up, by its hash alone; places and values are
+    # taken from texts with a hit, and counted for the items that they hit.
+    touched = materialize(
+        window_hashes(texts, "key").join(probe, "hash").select("key", "item").distinct(),
+        "template-touched",
+    )
+    held = (
+        texts.join(touched.select("key").distinct(), "key", "left_semi")
+        .groupBy("key")
+        .agg(F.any_value("text").alias("text"))
+    )
+    touched_windows = touched.withColumnRenamed("item", "_item").join(
+        item_windows, F.col("_item").eqNullSafe(F.col("item"))
+    )
     hits = materialize(
-        _windowed(texts, "key")
+        _windowed(held, "key")
         .select("key", "place", "hash", F.col("values").alias("given"))
-        .join(probe, "hash")
-        .groupBy("key", "item", "at", "place", "asked", "given")
-        .agg(F.count("*").alias("copies"))
+        .join(touched_windows.select("key", "item", "at", "hash", "asked"), ["key", "hash"])
+        .select("key", "item", "at", "place", "asked", "given")
+        .distinct()
         .withColumn("shift", F.col("place") - F.col("at")),
         "template-hits",
     )
@@ -246,11 +327,14 @@ def decontaminate(
     A text is contaminated if it holds at least ``similarity`` of the five-word template
     windows of an item and the item's numbers, names and units map to one value each there
     (again ``similarity`` of them at least). A capitalised word that opens a sentence or a line
-    may be a name or a word: a window counts if it is found either way. ``items`` lists the items in order, ``coverage``
-    is the largest, ``changed_slots`` counts the values that differ from the benchmark's.
-    A clean row has an empty list, coverage null and 0. A null text is empty and clean. Items
-    of fewer than five words, or of placeholders alone, match nothing; repeated item rows
-    count as one item. Other columns are not read.
+    may be a name or a word: a window counts if it is found either way. ``items`` lists the items
+    in order, ``coverage`` is the largest, ``changed_slots`` counts the values that differ from
+    the benchmark's. Values are compared along the shift between text and item that most windows
+    share, the smallest of several such. A clean row has an empty list, coverage null and 0. A
+    null text is empty and clean. Items of fewer than five words, or of placeholders alone,
+    match nothing; repeated item rows count as one item. Repeated rows of documents give a row
+    each, an empty table none, and against an empty benchmark all are clean. Other columns are
+    not read.
     """
     items = benchmark.select(item_column, text_column).dropDuplicates([item_column])
     found = contaminated_texts(docs, items, item_column, text_column, similarity)

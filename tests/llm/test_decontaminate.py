@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import re
 
-from sparkingest.llm.decontaminate import decontaminate
+from pyspark.sql import functions as F
+
+from sparkingest.llm.decontaminate import _windowed, decontaminate, rarest_windows, window_hashes
 from tests.llm.fixtures import awkward_rows, documents, no_documents, prose, with_extras
 
 ITEM = "item_id bigint, text string"
@@ -109,3 +111,34 @@ def test_names_that_open_sentences_may_change(spark):
     got = by_id(decontaminate(documents(spark, rows), items(spark, [(1, problem), (2, short)])))
     assert [got[i].items for i in range(1, 6)] == [[1], [1], [], [2], []]
     assert got[1].changed_slots >= 3 and got[2].changed_slots == 0
+
+
+def test_searched_windows_are_those_that_are_compared(spark):
+    texts = [t for _, t, *_ in awkward_rows()] + [
+        QUESTION,
+        "  Tom has 5 apples.\n\nTom - eats 2. \t How many has <Tom> left? ",
+        "A\x0bB\x0cC\x1cD\u00a0E\u2003F \x02G\x03 H I J",
+        "ÀÉ Straße İstanbul Maria’s 3,5 km/h - - x-Ray, Y/Z 7 kg. Ende der Zeile",
+    ]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, text string")
+    rows = rows.select("n", F.coalesce("text", F.lit("")).alias("text"))
+    slow = {(r.n, r.hash) for r in _windowed(rows, "n").where("hash IS NOT NULL").collect()}
+    assert {tuple(r) for r in window_hashes(rows, "n").collect()} == slow
+
+
+def test_a_beginning_that_all_items_share_makes_no_candidates(spark):
+    stem = prose(700, 13)
+    own = {i: prose(800 + i, 20) for i in range(40)}
+    bench = items(spark, [(i, f"{stem} {own[i]}") for i in own])
+    windows = _windowed(bench.select(F.col("item_id").alias("item"), "text"), "item").select(
+        "item", F.col("place").alias("at"), "hash"
+    )
+    taken = rarest_windows(windows, 0.8)
+    # 29 places each, 24 to be covered: any 6 places do, none of them of the beginning.
+    assert taken.count() == 6 * len(own)
+    assert taken.groupBy("hash").count().where("count > 1").count() == 0
+    rows = [(i, f"{prose(900 + i, 30)} {stem} {own[i % 40]}", "en", "s", 0) for i in range(80)]
+    rows += [(100 + i, f"{stem} {prose(990 + i, 30)}", "en", "s", 0) for i in range(40)]
+    got = by_id(decontaminate(documents(spark, rows), bench))
+    assert all(got[i].items == [i % 40] for i in range(80))
+    assert not any(got[100 + i].contaminated for i in range(40))
