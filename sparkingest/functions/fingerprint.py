@@ -64,6 +64,10 @@ def with_leaf_words(df: DataFrame, columns: Iterable[str] | None = None) -> Data
     return hashed.withColumns(words).drop("_leaf")
 
 
+def leaf_words() -> list[str]:
+    return list(_WORDS)
+
+
 def drop_leaf_words(df: DataFrame) -> DataFrame:
     return df.drop(*_WORDS)
 

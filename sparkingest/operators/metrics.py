@@ -144,6 +144,111 @@ def detect_gaps(df: DataFrame, key: str, ts: str, threshold: dt.timedelta) -> Da
     )
 
 
+def covered_intervals(df: DataFrame, key: str, ts: str, threshold: dt.timedelta) -> DataFrame:
+    """``key, first_us, last_us``: the times of each key as stretches without a silence longer
+    than ``threshold``, in microseconds. Null times count for nothing, a null key is a key.
+
+    This is the state of an incremental gap detection: ``merge_intervals`` adds a batch's to
+    it, in any order and more than once, and ``interval_gaps`` reads the gaps off.
+    """
+    width = _width(threshold)
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    buckets = (
+        df.where(F.col(ts).isNotNull())
+        .withColumn("_us", micros)
+        .groupBy(F.col(key), _start_of("_us", width).alias("_bucket"))
+        .agg(F.min("_us").alias("first_us"), F.max("_us").alias("last_us"))
+    )
+    return _coalesced(buckets.select(key, "first_us", "last_us"), key, width)
+
+
+def merge_intervals(
+    state: DataFrame, batch: DataFrame, key: str, threshold: dt.timedelta
+) -> DataFrame:
+    """The intervals of both, coalesced. The union is idempotent and has no order: a batch
+    that comes late closes gaps, and one that is merged again changes nothing."""
+    columns = [key, "first_us", "last_us"]
+    # One interval a start, so that windows over starts have no ties.
+    both = (
+        state.select(columns)
+        .unionByName(batch.select(columns))
+        .groupBy(key, "first_us")
+        .agg(F.max("last_us").alias("last_us"))
+    )
+    return _coalesced(both, key, _width(threshold))
+
+
+def interval_gaps(state: DataFrame, key: str, threshold: dt.timedelta) -> DataFrame:
+    """The gaps between coalesced intervals, as ``detect_gaps`` over all their records."""
+    seen = _reached(state.select(key, "first_us", "last_us"), key, _width(threshold))
+    return seen.where("_reach IS NOT NULL").select(
+        key,
+        F.timestamp_micros("_reach").alias("gap_start"),
+        F.timestamp_micros("first_us").alias("gap_end"),
+        ((F.col("first_us") - F.col("_reach")) / F.lit(1_000_000)).alias("gap_seconds"),
+    )
+
+
+def _width(threshold: dt.timedelta) -> int:
+    width = threshold // dt.timedelta(microseconds=1)
+    if width <= 0:
+        raise ConfigurationError("threshold", "must be positive")
+    return width
+
+
+def _carried(rows: DataFrame, key: str, value: Column, name: str) -> DataFrame:
+    """``rows`` with ``name``: the greatest ``value`` in earlier chunks of the key.
+
+    Chunks are aggregated first, so one task sees a row a chunk of a hot key, not its rows.
+    """
+    earlier = (
+        Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    chunks = (
+        rows.groupBy(F.col(key).alias("_key"), "_chunk")
+        .agg(F.max(value).alias("_most"))
+        .select(
+            "_key",
+            F.col("_chunk").alias("_at"),
+            F.max("_most").over(earlier).alias(name),
+        )
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_chunk") == F.col("_at"))
+    return rows.join(chunks, same).drop("_key", "_at")
+
+
+def _reached(intervals: DataFrame, key: str, width: int) -> DataFrame:
+    """Each interval with ``_reach``, the latest time that those before it cover."""
+    before = (
+        Window.partitionBy(key, "_chunk")
+        .orderBy("first_us", "last_us")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    chunked = intervals.withColumn("_chunk", _start_of("first_us", min(width * _COARSE, 2**62)))
+    inside = chunked.withColumn("_inside", F.max("last_us").over(before))
+    return _carried(inside, key, F.col("last_us"), "_earlier").select(
+        key, "first_us", "last_us", "_chunk", F.greatest("_inside", "_earlier").alias("_reach")
+    )
+
+
+def _coalesced(intervals: DataFrame, key: str, width: int) -> DataFrame:
+    """Intervals at most ``width`` apart become one, by chunks of the key's time."""
+    so_far = (
+        Window.partitionBy(key, "_chunk")
+        .orderBy("first_us", "last_us")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    opens = F.col("_reach").isNull() | (F.col("first_us") - F.col("_reach") > F.lit(width))
+    opened = _reached(intervals, key, width).withColumn("_open", F.when(opens, F.col("first_us")))
+    inside = opened.withColumn("_inside", F.max("_open").over(so_far))
+    return (
+        _carried(inside, key, F.col("_open"), "_earlier")
+        # The interval that opened last before this one, here or in an earlier chunk.
+        .groupBy(key, F.coalesce("_inside", "_earlier").alias("first_us"))
+        .agg(F.max("last_us").alias("last_us"))
+    )
+
+
 def reconcile(
     source: DataFrame, target: DataFrame, by: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from sparkingest.operators import keyed, lake, metrics, silver
+from sparkingest.operators import hashtree, keyed, lake, metrics, silver
 from sparkingest.operators.quality import CODES, Range, split
 from sparkingest.plans.catalog import (
     cents,
@@ -31,6 +31,7 @@ from sparkingest.plans.queries_raw import (
     lines,
     run_log,
 )
+from sparkingest.session import materialize
 
 LINE_ORDER = [
     "shipped",
@@ -483,26 +484,50 @@ def quality_trend(spark, sf_dir):
     return metrics.quality_trend(daily, "o_orderstatus", "order_day", "total", "passed")
 
 
-@query(
-    "gap_detect",
-    """SELECT user_id, strftime(previous, '%Y-%m-%d %H:%M:%S.%f') AS gap_start,
-              strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS gap_end,
-              (epoch_us(ts) - epoch_us(previous)) / 1000000.0::DOUBLE AS gap_seconds
-       FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS previous FROM (
-               SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts FROM events))
-       WHERE epoch_us(ts) - epoch_us(previous) > 43200000000""",
-)
-def gap_detect(spark, sf_dir):
-    """Silences beyond twelve hours; one device holds a third of all events."""
+_GAPS_SQL = """
+  SELECT user_id, strftime(previous, '%Y-%m-%d %H:%M:%S.%f') AS gap_start,
+         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS gap_end,
+         (epoch_us(ts) - epoch_us(previous)) / 1000000.0::DOUBLE AS gap_seconds
+  FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS previous FROM (
+          SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts FROM events))
+  WHERE epoch_us(ts) - epoch_us(previous) > 43200000000"""
+
+
+def _device_events(spark, sf_dir):
+    """One device holds a third of all events."""
     device = F.when(F.col("user_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id"))
-    events = table(spark, sf_dir, "events").select(device.alias("user_id"), "ts")
-    gaps = metrics.detect_gaps(events, "user_id", "ts", dt.timedelta(hours=12))
+    return table(spark, sf_dir, "events").select(device.alias("user_id"), "ts")
+
+
+def _shown(gaps):
     shown = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return gaps.withColumns(
         {"gap_start": F.date_format("gap_start", shown), "gap_end": F.date_format("gap_end", shown)}
     )
 
 
+@query("gap_detect", _GAPS_SQL)
+def gap_detect(spark, sf_dir):
+    """Silences beyond twelve hours."""
+    events = _device_events(spark, sf_dir)
+    return _shown(metrics.detect_gaps(events, "user_id", "ts", dt.timedelta(hours=12)))
+
+
+@query("gap_incremental", _GAPS_SQL)
+def gap_incremental(spark, sf_dir):
+    """The same gaps from a state of covered intervals, over three batches that are out of
+    order and interleaved in time, the first of which is merged twice."""
+    threshold = dt.timedelta(hours=12)
+    events = _device_events(spark, sf_dir)
+    batch = F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(3))
+    state = None
+    for part in (2, 0, 1, 2):
+        new = metrics.covered_intervals(events.where(batch == part), "user_id", "ts", threshold)
+        merged = new if state is None else metrics.merge_intervals(state, new, "user_id", threshold)
+        state = materialize(merged, "covered-intervals")
+    return _shown(metrics.interval_gaps(state, "user_id", threshold))
+
+
 _TARGET_SQL = f"""
   SELECT strftime(o_orderdate, '%Y-%m') AS month, * REPLACE (
     CASE WHEN o_orderkey % 501 = 0 THEN o_cents + 1 ELSE o_cents END AS o_cents)
@@ -531,3 +556,47 @@ def reconcile(spark, sf_dir):
         "o_cents", F.col("o_cents") + F.when(key % 501 == 0, F.lit(1)).otherwise(F.lit(0))
     )
     return metrics.reconcile(source, target, ["month"], list(FEED_KINDS))
+
+
+# A copy of the line items with every kind of difference, by rules on the order's number.
+_COPY_SQL = f"""
+  SELECT * REPLACE (CASE WHEN l_orderkey % 101 = 1 THEN price_cents + 1 ELSE price_cents END
+                    AS price_cents)
+  FROM ({LINE_SQL}) WHERE l_orderkey % 97 <> 0 AND NOT (l_orderkey % 89 = 2 AND l_linenumber = 1)
+  UNION ALL SELECT * FROM ({LINE_SQL}) WHERE l_orderkey % 103 = 3 AND l_orderkey % 97 <> 0
+  UNION ALL SELECT * REPLACE (-l_orderkey AS l_orderkey) FROM ({LINE_SQL}) WHERE l_orderkey % 107 = 4"""
+_COPY_COLUMNS = ["l_orderkey", "l_linenumber", "price_cents", "l_partkey", "l_suppkey"]
+
+
+@query(
+    "reconcile_rows",
+    f"""WITH counted AS (
+          SELECT {", ".join(_COPY_COLUMNS)}, CAST(sum(s) AS BIGINT) AS s, CAST(sum(t) AS BIGINT) AS t
+          FROM (SELECT {", ".join(_COPY_COLUMNS)}, 1 AS s, 0 AS t FROM ({LINE_SQL})
+                UNION ALL SELECT {", ".join(_COPY_COLUMNS)}, 0, 1 FROM ({_COPY_SQL}))
+          GROUP BY ALL),
+        keyed AS (
+          SELECT l_orderkey, CAST(sum(s) AS BIGINT) AS source_rows,
+                 CAST(sum(t) AS BIGINT) AS target_rows,
+                 CAST(sum(greatest(s - t, 0)) AS BIGINT) AS only_source,
+                 CAST(sum(greatest(t - s, 0)) AS BIGINT) AS only_target
+          FROM counted GROUP BY l_orderkey)
+        SELECT *, CASE WHEN target_rows = 0 THEN 'MISSING_IN_TARGET'
+                       WHEN source_rows = 0 THEN 'MISSING_IN_SOURCE'
+                       WHEN source_rows <> target_rows THEN 'COUNT_MISMATCH'
+                       ELSE 'CONTENT_MISMATCH' END AS verdict
+        FROM keyed WHERE only_source + only_target > 0""",
+)
+def reconcile_rows(spark, sf_dir):
+    """Orders whose lines differ between the lines and a copy that lost, changed, repeated and
+    invented some."""
+    source = lines(spark, sf_dir)
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    changed = F.col("price_cents") + F.when(order % 101 == 1, F.lit(1)).otherwise(F.lit(0))
+    target = (
+        source.where((order % 97 != 0) & ~((order % 89 == 2) & (line == 1)))
+        .withColumn("price_cents", changed)
+        .unionByName(source.where((order % 103 == 3) & (order % 97 != 0)))
+        .unionByName(source.where(order % 107 == 4).withColumn("l_orderkey", -order))
+    )
+    return hashtree.reconcile_rows(source, target, ["l_orderkey"], _COPY_COLUMNS)

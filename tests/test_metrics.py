@@ -35,6 +35,41 @@ def test_gaps_match_a_sorted_scan(spark, times, width):
     assert rows_of(gaps) == sorted(expected, key=repr)
 
 
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    times=st.lists(
+        st.tuples(
+            st.sampled_from([1, 2, None]),
+            st.one_of(st.none(), st.integers(-90_000, 90_000)),
+            st.integers(0, 2),
+        ),
+        max_size=40,
+    ),
+    width=st.sampled_from([1, 3600]),
+)
+def test_merged_intervals_give_the_gaps_of_all_records(spark, times, width):
+    """Batches out of order and one of them twice; null keys and times; empty batches."""
+    epoch, threshold = dt.datetime(1970, 1, 1), dt.timedelta(seconds=width)
+    rows = [(k, None if s is None else epoch + dt.timedelta(seconds=s), b) for k, s, b in times]
+    df = spark.createDataFrame(rows, "k INT, t TIMESTAMP, b INT")
+    state = metrics.covered_intervals(df.where("b = 1"), "k", "t", threshold)
+    for batch in (0, 2, 0):
+        new = metrics.covered_intervals(df.where(F.col("b") == batch), "k", "t", threshold)
+        merged = metrics.merge_intervals(state, new, "k", threshold)
+        state = spark.createDataFrame(merged.collect(), merged.schema)
+    got = rows_of(metrics.interval_gaps(state, "k", threshold))
+    expected = []
+    for key in (1, 2, None):
+        ordered = sorted(t for k, t, _ in rows if k == key and t is not None)
+        for a, b in zip(ordered, ordered[1:], strict=False):
+            if b - a > threshold:
+                expected.append((key, a, b, (b - a).total_seconds()))
+    assert got == sorted(expected, key=repr)
+    # Least state: as many intervals as gaps and keys.
+    keys = {k for k, t, _ in rows if t is not None}
+    assert state.count() == len(expected) + len(keys)
+
+
 def test_gap_windows_run_over_aggregates(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     plan = plan_of(metrics.detect_gaps(events, "user_id", "ts", dt.timedelta(hours=1)))
