@@ -8,12 +8,13 @@ minimum; joined windows are extended to the passage and verified.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkingest.llm.components import components
@@ -26,6 +27,7 @@ from sparkingest.llm.words import (
     shingles,
     signed,
     text_blocks,
+    text_key,
     whole_text,
     word_hashes,
 )
@@ -33,12 +35,17 @@ from sparkingest.session import materialize
 
 # Least passage, in words.
 LENGTH = 50
-HASHES = 2
+# Passages of similarity s have one minimum under a hash with probability s, so three hashes
+# miss a pair at 0.8 with 0.008.
+HASHES = 3
 # A passage of LENGTH words that holds a centre has this many shingles on one side of it.
 SIDE = (LENGTH - SHINGLE) // 2
-# Extension from the centre: a shingle that the other passage lacks costs four that it has,
-# and a passage ends where the sum falls so far below its best.
-MISS, DROP = 4, 30
+# Hashes whose minimum on a side must agree as well, where a minimum alone says too little.
+SIDE_HASHES = 4
+# Extension from the centre: a shingle that the other passage lacks costs so many that it
+# has, and a passage ends where the sum falls so far below its best. Low costs are tried
+# where high ones give no passage.
+MISSES, DROP = (4.0, 1.0, 0.5), 30
 
 _SIDE_SEED, _WHOLE_SEED = 101, 102
 
@@ -107,7 +114,7 @@ def _rolling(values: np.ndarray, width: int) -> np.ndarray:
 
 def _windows(least: int):
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Two rows for each window: its minimum with the shingles on either side."""
+        """A row for each compact window: its minimum, left end, centre and right end."""
         memory = HashedWords()
         for part, texts in text_blocks(batches, "text"):
             owners, values, places = [], [], []
@@ -117,70 +124,78 @@ def _windows(least: int):
                 sizes[i] = len(own)
                 if len(own) < least:
                     continue
-                side = _rolling(own, SIDE)
-                mine, at = [], []
                 for f in range(HASHES):
-                    found = np.array(
-                        [w[1] for w in compact_windows(seeded(own, f), least)], dtype=np.int64
-                    )
-                    before = found[found >= SIDE]
-                    after = found[found + SIDE < len(own)]
-                    for centre, run, seed in (
-                        (before, before - SIDE, _SIDE_SEED),
-                        (after, after + 1, _SIDE_SEED + 1),
-                    ):
-                        at.append(centre)
-                        mine.append(seeded(mixed(own[centre] ^ side[run]), seed))
-                joint, first = np.unique(np.concatenate(mine), return_index=True)
-                owners.append(np.full(len(joint), i))
-                values.append(joint)
-                places.append(np.concatenate(at)[first])
+                    hashed = seeded(own, f)
+                    found = np.array(compact_windows(hashed, least), dtype=np.int32)
+                    places.append(found)
+                    values.append(hashed[found[:, 1]])
+                    owners.append(np.full(len(found), i))
             # A row without value for each text that is long enough: its number of shingles.
             long = np.flatnonzero(sizes >= least)
             found = signed(np.concatenate([np.zeros(0, np.uint64), *values]))
+            ends = np.concatenate([np.repeat(sizes[long], 3).reshape(-1, 3), *places])
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0).take(pa.array(np.concatenate([long, *owners]).astype(np.int64))),
                     pa.concat_arrays([pa.nulls(len(long), pa.int64()), pa.array(found)]),
-                    pa.array(np.concatenate([sizes[long], *places]).astype(np.int32)),
+                    *(pa.array(np.ascontiguousarray(ends[:, k], np.int32)) for k in (1, 0, 2)),
                 ],
-                names=["key", "value", "centre"],
+                names=["key", "value", "centre", "left", "right"],
             )
 
     return windows
 
 
-def _exact_runs(least: int):
-    def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each centre, all runs of ``least`` shingles that hold it."""
+def side_minima(own: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each centre, side of it and hash: the shingle there with the minimum of the ``SIDE``
+    shingles on that side, as one value. Sides that the text's end cuts short have none."""
+    values, places = [], []
+    for side, offset in enumerate((-SIDE, 1)):
+        at = centres[(centres + offset >= 0) & (centres + offset + SIDE <= len(own))]
+        blocks = own[(at + offset)[:, None] + np.arange(SIDE)]
+        for g in range(SIDE_HASHES):
+            seed = _SIDE_SEED + 1000 * (g + 1) + side
+            least = seeded(blocks, seed).min(axis=1)
+            values.append(mixed(least ^ seeded(own[at], seed)))
+            places.append(at)
+    return np.concatenate(values), np.concatenate(places)
+
+
+def _finer(least: int):
+    def finer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each centre, its side minima and all runs of ``least`` shingles that hold it."""
         memory = HashedWords()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             centres = batch.column(2).to_pylist()
             for key, text, places in zip(batch.column(0), texts, centres, strict=True):
-                whole = _rolling(shingles(word_hashes(text, memory)), least)
+                own = shingles(word_hashes(text, memory))
+                whole = _rolling(own, least)
                 held = np.zeros(len(whole), dtype=bool)
                 for c in places:
                     held[max(0, c - least + 1) : c + 1] = True
-                at = np.flatnonzero(held)
-                joint, first = np.unique(whole[at], return_index=True)
+                starts = np.flatnonzero(held)
+                minima, at = side_minima(own, np.array(places, dtype=np.int64))
+                values = np.concatenate([whole[starts], minima])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.repeat(key, len(joint)),
-                        pa.array(signed(joint)),
-                        pa.array(at[first].astype(np.int32)),
+                        pa.repeat(key, len(values)),
+                        pa.array(signed(values)),
+                        pa.array(np.concatenate([starts, at]).astype(np.int32)),
+                        pa.array(np.zeros(len(values), np.int32)),
+                        pa.array(np.full(len(values), len(own) - 1, np.int32)),
                     ],
-                    names=["key", "value", "centre"],
+                    names=["key", "value", "centre", "left", "right"],
                 )
 
-    return runs
+    return finer
 
 
-def _extend(hits: np.ndarray, at: int) -> tuple[int, int]:
+def _extend(hits: np.ndarray, at: int, miss: float) -> tuple[int, int]:
     """The best-scoring stretch around ``at``, both ends inclusive."""
 
     def reach(side: np.ndarray) -> int:
-        score = np.cumsum(np.where(side, 1, -MISS))
+        score = np.cumsum(np.where(side, 1, -miss))
         best = np.maximum.accumulate(np.maximum(score, 0))
         over = np.flatnonzero(best - score > DROP)
         score = score[: over[0]] if len(over) else score
@@ -191,16 +206,29 @@ def _extend(hits: np.ndarray, at: int) -> tuple[int, int]:
     return at - reach(hits[:at][::-1]), at + reach(hits[at + 1 :])
 
 
+def _padded(low: int, high: int, size: int, before: int, after: int) -> tuple[int, int]:
+    return max(0, low - before), min(size - 1, high + after)
+
+
 def shared_passage(
-    x: np.ndarray, y: np.ndarray, in_x: np.ndarray, in_y: np.ndarray, at_x: int, at_y: int
+    x: np.ndarray,
+    y: np.ndarray,
+    in_x: np.ndarray,
+    in_y: np.ndarray,
+    at_x: int,
+    at_y: int,
+    miss: float,
+    least: int,
 ) -> tuple[int, int, int, int, float]:
     """The passages around two places with one shingle, and their weighted Jaccard. ``in_x``
     and ``in_y`` mark the shingles that the other text holds.
 
-    Where surroundings that are alike in parts spoil it, ``equal_stretch`` decides.
+    Passages that are a little shorter than ``least`` because their ends were edited get the
+    words next to them. Where surroundings that are alike in parts spoil it,
+    ``equal_stretch`` decides.
     """
-    x_low, x_high = _extend(in_x, at_x)
-    y_low, y_high = _extend(in_y, at_y)
+    x_low, x_high = _extend(in_x, at_x, miss)
+    y_low, y_high = _extend(in_y, at_y, miss)
     # A stretch cannot reach further than the other text's stretch with room for edits.
     room_low = int(1.25 * max(at_x - x_low, at_y - y_low)) + 1
     room_high = int(1.25 * max(x_high - at_x, y_high - at_y)) + 1
@@ -209,8 +237,13 @@ def shared_passage(
     )
     hits_x = np.isin(x[local_x], y[local_y])
     hits_y = np.isin(y[local_y], x[local_x])
-    x_low, x_high = (v + local_x.start for v in _extend(hits_x, at_x - local_x.start))
-    y_low, y_high = (v + local_y.start for v in _extend(hits_y, at_y - local_y.start))
+    x_low, x_high = (v + local_x.start for v in _extend(hits_x, at_x - local_x.start, miss))
+    y_low, y_high = (v + local_y.start for v in _extend(hits_y, at_y - local_y.start, miss))
+    lacks = least - 1 - min(x_high - x_low, y_high - y_low)
+    if 0 < lacks <= least // 4:
+        before = min(lacks, x_low, y_low)
+        x_low, x_high = _padded(x_low, x_high, len(x), before, lacks - before)
+        y_low, y_high = _padded(y_low, y_high, len(y), before, lacks - before)
     a = Counter(x[x_low : x_high + 1].tolist())
     b = Counter(y[y_low : y_high + 1].tolist())
     both = sum((a & b).values())
@@ -227,7 +260,8 @@ def equal_stretch(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int) -> tuple[i
     return back, (int(np.flatnonzero(after)[0]) if after.any() else n) - 1
 
 
-_VERIFIED = "a bigint, b bigint, at_a int, at_b int, a_low int, a_high int, b_low int, b_high int, similar boolean"
+_WINDOW = "key binary, value bigint, centre int, left int, right int"
+_VERIFIED = "a binary, b binary, at_a int, at_b int, a_low int, a_high int, b_low int, b_high int, similar boolean"
 
 
 def _verify(least: int, similarity: float):
@@ -244,19 +278,25 @@ def _verify(least: int, similarity: float):
                 known: list[tuple] = []
                 for place in row["places"]:
                     at_a, at_b = place["at_a"], place["at_b"]
-                    # Centres inside a passage that is known, on its diagonal, give it again.
+                    # Places inside a passage that is known give it again, others that failed
+                    # only on their diagonal.
                     found = next(
                         (
                             k
                             for k in known
-                            if k[0] <= at_a <= k[1] and k[2] <= at_b <= k[3] and k[5] == at_a - at_b
+                            if k[0] <= at_a <= k[1]
+                            and k[2] <= at_b <= k[3]
+                            and (k[4] or k[5] == at_a - at_b)
                         ),
                         None,
                     )
                     if found is None:
-                        ends = shared_passage(x, y, in_x, in_y, at_a, at_b)
-                        long = min(ends[1] - ends[0], ends[3] - ends[2]) + 1 >= least
-                        good = long and ends[4] >= similarity
+                        for miss in MISSES:
+                            ends = shared_passage(x, y, in_x, in_y, at_a, at_b, miss, least)
+                            long = min(ends[1] - ends[0], ends[3] - ends[2]) + 1 >= least
+                            good = long and ends[4] >= similarity
+                            if good:
+                                break
                         if not good:
                             back, on = equal_stretch(x, y, at_a, at_b)
                             good = back + on + 1 >= least
@@ -265,7 +305,7 @@ def _verify(least: int, similarity: float):
                         known.append(found)
                     rows.append((row["a"], row["b"], at_a, at_b, *found[:5]))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 9
-            kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 6, pa.bool_()]
+            kinds = [pa.binary(), pa.binary(), *[pa.int32()] * 6, pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 names=["a", "b", "at_a", "at_b", "a_low", "a_high", "b_low", "b_high", "similar"],
@@ -275,26 +315,48 @@ def _verify(least: int, similarity: float):
 
 
 def _with_least(windows: DataFrame) -> DataFrame:
-    """Windows of values that several texts share, each with that of the least text."""
+    """Each window of a value that several texts share, with the one it is compared with: that
+    of the least text, or of the greatest one for further places in the least text."""
+    window = F.struct("key", "centre", "left", "right")
     shared = (
         windows.groupBy("value")
-        .agg(F.min(F.struct("key", "centre")).alias("least"), F.max("key").alias("most"))
-        .where("least.key != most")
-        .select("value", "least")
+        .agg(F.min(window).alias("least"), F.max(window).alias("most"))
+        .where("least.key != most.key")
+    )
+    partner = F.when(F.col("key") == F.col("least.key"), F.col("most")).otherwise(F.col("least"))
+    return (
+        windows.join(shared, "value")
+        .withColumn("first", (F.col("key") == F.col("least.key")) & (F.col("centre") == F.col("least.centre")))
+        .select("value", "key", "centre", "left", "right", "first", partner.alias("other"))
+    )
+
+
+def _overlap() -> Column:
+    """How many places the intervals of two windows have in common with centres laid upon
+    each other."""
+    before = F.least(F.col("centre") - F.col("left"), F.col("other.centre") - F.col("other.left"))
+    after = F.least(F.col("right") - F.col("centre"), F.col("other.right") - F.col("other.centre"))
+    return before + after + 1
+
+
+def _pairs(windows: DataFrame) -> DataFrame:
+    return windows.where("NOT first").select(
+        "value",
+        F.col("other.key").alias("a"),
+        F.col("key").alias("b"),
+        F.col("other.centre").alias("at_a"),
+        F.col("centre").alias("at_b"),
+        _overlap().alias("overlap"),
     )
-    return windows.join(shared, "value")
 
 
 def _verified(windows: DataFrame, texts: DataFrame, least: int, similarity: float) -> DataFrame:
-    """Each window of a text against that of the least text with the same value."""
+    """Each window against the one it is compared with, where their intervals leave room."""
+    # Passages of x and y places with a similarity of s share s / (1 + s) * (x + y) of them.
+    room = math.ceil(2 * least * similarity / (1 + similarity))
     pairs = (
-        windows.where("key != least.key")
-        .select(
-            F.col("least.key").alias("a"),
-            F.col("key").alias("b"),
-            F.col("least.centre").alias("at_a"),
-            F.col("centre").alias("at_b"),
-        )
+        _pairs(windows)
+        .where(F.col("overlap") >= room)
         .groupBy("a", "b")
         .agg(F.sort_array(F.collect_set(F.struct("at_a", "at_b"))).alias("places"))
     )
@@ -321,28 +383,32 @@ def repeated_passages(
     A passage is a stretch of at least ``length`` words that stands in another document too,
     up to a weighted Jaccard similarity of ``similarity`` over its five-word shingles. Words
     are lower-cased runs of letters and digits, counted from 0; overlapping stretches of a
-    document are one, and of a stretch that a document holds twice the first is found. Passages are classes of linked stretches: ``passage_id`` is the
-    smallest identifier among their documents, ``passage_docs`` the number of these rows.
-    Equal texts are one node, and repeat as a whole if they are long enough; texts are told
-    apart by 64 bits and verified whole, so a clash could hide a passage, not invent one. Null, empty and
-    shorter texts have no passage. Other columns are not read.
-
-    Windows are joined on their minimum and the run of shingles next to it, each with the
-    least text of the group, so a passage in a third of all documents costs one comparison a
-    document. Groups with a window that does not match the least text there, because what all
-    share is shorter than a passage, are joined again on whole runs of ``length`` words, where
-    every group is a match.
+    document are one, and a stretch that a document holds twice is found at both places.
+    Passages are classes of linked stretches: ``passage_id`` is the smallest identifier among
+    their documents, ``passage_docs`` the number of these rows. Of equal minima in a window
+    the first is the centre. Equal texts, repeated rows too, are one node, and repeat as a
+    whole if they are long enough; texts are told apart by 128 bits of their digest. Null,
+    empty and shorter texts have no passage; rows with a null identifier count as documents
+    and are returned with it. An empty table gives no rows. Other columns are not read.
+
+    Windows are joined on hash and minimum, each with the least text of the group, so a
+    passage in a third of all documents costs one comparison a document; pairs whose
+    intervals leave no room for a passage are not compared. Groups with a window that is not
+    explained that way, because what all share is shorter than a passage, are joined once
+    more with all members, on further hashes' minima on either side of the centre and on
+    whole runs of ``length`` words. Of the latter every group is a match, so no exact repeat
+    is lost; a near copy around a line that very many texts share may be.
     """
     least = length - SHINGLE + 1
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("id"),
-        F.xxhash64(whole_text(text_column)).alias("key"),
+        F.substring(text_key(text_column), 1, 16).alias("key"),
         whole_text(text_column).alias("text"),
     )
     members = materialize(rows.select("id", "key"), "passage-members")
     windows = materialize(
         rows.select("key", "text").mapInArrow(
-            _windows(least), "key bigint, value bigint, centre int"
+            _windows(least), _WINDOW
         ),
         "passage-windows",
     )
@@ -358,27 +424,25 @@ def repeated_passages(
         "passage-texts",
     )
     checked = materialize(_verified(grouped, texts, least, similarity), "passage-checked")
-    # Where a member does not resemble the least text of its group there, it may still hold a
-    # passage of another member, so all members of the group are joined on whole runs.
-    failed = checked.where("NOT similar").select(
-        F.struct(F.col("a").alias("key"), F.col("at_a").alias("centre")).alias("least"),
-        F.col("b").alias("key"),
-        F.col("at_b").alias("centre"),
+    # Where a window is not explained, its text may still hold a passage of another member,
+    # so all members of the group are joined by finer values.
+    explained = checked.where("similar").select("a", "b", "at_a", "at_b")
+    torn = (
+        _pairs(grouped).join(explained, ["a", "b", "at_a", "at_b"], "left_anti").select("value").distinct()
     )
-    torn = grouped.join(failed, ["least", "key", "centre"]).select("value").distinct()
     left_over = (
         grouped.join(torn, "value", "left_semi")
         .groupBy("key")
         .agg(F.sort_array(F.collect_set("centre")).alias("centres"))
     )
-    runs = materialize(
+    finer = materialize(
         texts.join(left_over, "key")
         .select("key", "text", "centres")
-        .mapInArrow(_exact_runs(least), "key bigint, value bigint, centre int"),
-        "passage-runs",
+        .mapInArrow(_finer(least), _WINDOW),
+        "passage-finer",
     )
     again = materialize(
-        _verified(_with_least(runs), texts, least, similarity), "passage-rechecked"
+        _verified(_with_least(finer), texts, least, similarity), "passage-rechecked"
     )
     links = checked.unionByName(again).where("similar")
 

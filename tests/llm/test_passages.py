@@ -125,3 +125,38 @@ def test_exact_passages_beside_a_near_copy(spark):
     assert sorted(got) == sorted(r[0] for r in rows)
     for i in range(60):
         assert [(r.first_word, r.last_word) for r in got[10 * i + 2]] == [(40, 89)]
+
+
+def test_near_copies_with_an_edit_at_every_place(spark):
+    """One word of a passage is another word in the second document: similarity 0.8 or more."""
+    rows, pairs = [], []
+    for n in (50, 60):
+        for at in range(n):
+            passage = prose(20_000 + 100 * n + at, n).split()
+            edited = [*passage[:at], "other", *passage[at + 1 :]]
+            pairs.append((2 * len(pairs), 2 * len(pairs) + 1))
+            for doc, words in zip(pairs[-1], (passage, edited), strict=True):
+                around = prose(40_000 + doc, 60), prose(50_000 + doc, 60)
+                rows.append((doc, f"{around[0]} {' '.join(words)} {around[1]}", "en", "s", 0))
+    got = spans(passages.repeated_passages(documents(spark, rows)))
+    found = sum(a in got and b in got for a, b in pairs)
+    assert found >= 0.9 * len(pairs), (found, len(pairs))
+    # Nothing beyond the passages: what is before and after differs.
+    assert all(50 <= r.first_word and r.last_word < 130 for x in got.values() for r in x)
+
+
+def test_every_place_of_a_passage(spark):
+    notice = prose(70_000, 60)
+    rows = [
+        (i, " ".join([prose(71_000 + i, 40), notice, prose(72_000 + i, 40), notice, prose(73_000 + i, 40)]), "en", "s", 0)
+        for i in range(2)
+    ]
+    got = spans(passages.repeated_passages(documents(spark, rows)))
+    for i in range(2):
+        assert sorted((r.first_word, r.last_word) for r in got[i]) == [(40, 99), (140, 199)]
+
+
+def test_a_long_periodic_text_is_not_compared_place_by_place(spark):
+    rows = [(i, " ".join(["again", "and"] * 4000), "en", "s", 0) for i in range(2)]
+    rows.append((2, " ".join(["again", "and"] * 3000 + ["end"]), "en", "s", 0))
+    assert sorted(spans(passages.repeated_passages(documents(spark, rows)))) == [0, 1, 2]
