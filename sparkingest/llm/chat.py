@@ -17,7 +17,11 @@ TURN = 1 << 20
 # Rows of the tool registry up to which it is broadcast.
 BROADCAST_TOOLS = 100_000
 
-_CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:variant,depends_on:array<string>>>>"
+_CALLS = (
+    "struct<tool_calls:array<struct<id:string,name:string,arguments:variant,depends_on:array<string>,"
+    "function:struct<name:string,arguments:variant>>>>"
+)
+_WHOLE_CALLS = "struct<tool_calls:array<variant>>"
 _RESULT = "struct<tool_call_id:string,content:string>"
 
 # JSON types of a schema and how Spark names the types of such values.
@@ -42,6 +46,22 @@ def canonical(value: Column) -> Column:
     return F.to_json(value)
 
 
+def _further(json: Column, known: list[str]) -> Column:
+    """The fields of a JSON object that are not ``known``, as an object; null if none is left."""
+    rest = F.map_filter(F.from_json(json, "map<string,variant>"), lambda k, v: ~k.isin(known))
+    return F.when(F.size(rest) > 0, F.to_json(rest))
+
+
+def _with_further(json: Column, further: Column) -> Column:
+    """A canonical object with the fields of another one."""
+    both = F.concat(
+        F.substring(json, F.lit(1), F.length(json) - 1),
+        F.lit(","),
+        F.substring(further, F.lit(2), F.length(further)),
+    )
+    return F.when(further.isNull(), json).otherwise(canonical(F.parse_json(both)))
+
+
 def _parsed(messages: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:
     """Messages with the calls or the result that their text holds.
 
@@ -54,16 +74,34 @@ def _parsed(messages: DataFrame, conversation: str, turn: str, role: str, text:
         F.col(role).cast("string").alias("role"),
         F.col(text).cast("string").alias("text"),
     )
-    looks = F.col("text").startswith("{")
-    return rows.withColumn(
-        "calls",
-        F.when(
-            (F.col("role") == "assistant") & looks,
-            F.from_json("text", _CALLS)["tool_calls"],
-        ),
-    ).withColumn(
-        "result", F.when((F.col("role") == "tool") & looks, F.from_json("text", _RESULT))
+    looks = F.col("text").rlike(r"^[\x20\t\r\n]*\{")
+    assistant = (F.col("role") == "assistant") & looks
+    tool = (F.col("role") == "tool") & looks
+    parsed = rows.withColumn(
+        "calls", F.when(assistant, F.from_json("text", _CALLS)["tool_calls"])
+    ).withColumn("result", F.when(tool, F.from_json("text", _RESULT)))
+    further = F.when(
+        F.size("calls") > 0, _further(F.col("text"), ["tool_calls", "role"])
+    ).when(
+        F.col("result.tool_call_id").isNotNull(),
+        _further(F.col("text"), ["tool_call_id", "content", "role"]),
     )
+    whole = F.when(F.size("calls") > 0, F.from_json("text", _WHOLE_CALLS)["tool_calls"])
+    return parsed.withColumn("further", further).withColumn("whole_calls", whole)
+
+
+def _arguments() -> Column:
+    """A call's arguments; those of the nested form may be JSON as a text."""
+    nested = F.col("call.function.arguments")
+    text = F.try_variant_get(nested, "$", "string")
+    read = F.when(F.schema_of_variant(nested) == "STRING", F.try_parse_json(text))
+    return F.coalesce("call.arguments", read, nested)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with ``copy``, which counts equal rows from 1."""
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    return counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))).drop("n")
 
 
 def _argument_errors(calls: DataFrame, tools: DataFrame) -> DataFrame:
@@ -164,11 +202,16 @@ def link_tool_calls(
 
     An assistant's text ``{"tool_calls": [{"id", "name", "arguments", "depends_on"}]}`` holds
     calls and a tool's text ``{"tool_call_id", "content"}`` a result; other texts are plain
-    messages (status ``plain``), null and empty ones too. ``tools`` has a row for each
-    parameter: ``name, param, type, required``.
+    messages (status ``plain``), null and empty ones too, as is an empty list of calls. The
+    nested form ``"function": {"name", "arguments"}`` is read too, with arguments as a text or
+    an object. Blanks may precede the object. Further fields of calls and results stay in
+    their JSON; what stands beside ``tool_calls``, as ``content``, becomes a message before
+    the calls. A field ``role`` is that of the row. ``tools`` has a row for each parameter:
+    ``name, param, type, required``.
 
     Calls are ``answered`` or ``unanswered``; of calls or results with one identifier in a
-    conversation the first in the log counts and the others are ``duplicate``; results
+    conversation the first in the log counts and the others are ``duplicate`` (at one place,
+    the least by content; of equal rows one); results
     without a call, or without an identifier, are ``orphan``. ``cycle`` marks what lies on or
     behind a cycle of dependencies; dependencies on unknown identifiers are ignored. Only
     first calls have ``errors``; the list is empty for valid arguments. Repeated rows are
@@ -179,31 +222,45 @@ def link_tool_calls(
     """
     parsed = _parsed(messages, conversation_column, turn_column, role_column, text_column)
     start = F.coalesce(F.col("turn"), F.lit(-1)) * TURN
-    plain = parsed.where(F.col("calls").isNull() & F.col("result.tool_call_id").isNull())
-    calls = parsed.where(F.col("calls").isNotNull()).select(
-        "conversation", "turn", F.posexplode("calls").alias("number", "call")
+    has_calls = F.coalesce(F.size("calls") > 0, F.lit(False))
+    plain = parsed.where(~has_calls & F.col("result.tool_call_id").isNull())
+    beside = parsed.where(has_calls & F.col("further").isNotNull())
+    calls = parsed.where(has_calls).select(
+        "conversation",
+        "turn",
+        "whole_calls",
+        F.posexplode("calls").alias("number", "call"),
     )
     calls = calls.select(
         "conversation",
         (start + 1 + F.col("number")).alias("place"),
         F.col("call.id").alias("call_id"),
-        F.col("call.name").alias("name"),
-        F.col("call.arguments").alias("arguments"),
+        F.coalesce("call.name", "call.function.name").alias("name"),
+        _arguments().alias("arguments"),
         F.coalesce("call.depends_on", F.array().cast("array<string>")).alias("depends_on"),
+        _further(
+            F.to_json(F.get("whole_calls", F.col("number"))),
+            ["id", "name", "arguments", "depends_on", "function", "role"],
+        ).alias("further"),
     )
     calls = materialize(
-        _argument_errors(calls, tools).select(
-            "conversation", "place", "call_id", "name", "depends_on", "errors",
-            F.coalesce(canonical(F.col("arguments")), F.lit("null")).alias("arguments"),
+        _numbered(
+            _argument_errors(calls, tools).select(
+                "conversation", "place", "call_id", "name", "depends_on", "errors", "further",
+                F.coalesce(canonical(F.col("arguments")), F.lit("null")).alias("arguments"),
+            )
         ),
         "chat-calls",
     )
     results = materialize(
-        parsed.where(F.col("result.tool_call_id").isNotNull()).select(
-            "conversation",
-            start.alias("place"),
-            F.col("result.tool_call_id").alias("call_id"),
-            F.col("result.content").alias("content"),
+        _numbered(
+            parsed.where(F.col("result.tool_call_id").isNotNull()).select(
+                "conversation",
+                start.alias("place"),
+                F.col("result.tool_call_id").alias("call_id"),
+                F.col("result.content").alias("content"),
+                "further",
+            )
         ),
         "chat-results",
     )
@@ -215,12 +272,14 @@ def link_tool_calls(
             F.to_json(F.struct(F.col("conversation").cast("string").alias("c"), F.col("call_id").alias("i"))),
         )
 
+    this_call = F.struct("place", "name", "arguments", "depends_on", "further", "copy")
+    this_result = F.struct("place", "content", "further", "copy")
     first_call = calls.groupBy(node("").alias("link")).agg(
-        F.min(F.struct("place", "name", "arguments")).alias("first_call"),
+        F.min(this_call).alias("first_call"),
         F.count("*").alias("n_calls"),
     )
     first_result = results.groupBy(node("").alias("link")).agg(
-        F.min(F.struct("place", "content")).alias("first_result")
+        F.min(this_result).alias("first_result")
     )
     linked = materialize(
         first_call.join(first_result, "link", "full_outer"), "chat-links"
@@ -259,11 +318,15 @@ def link_tool_calls(
     ).select(node("result").alias("source"), "target")
     order = _ordered(nodes, materialize(answers.union(needs), "chat-edges"))
 
-    state = linked.select("link", F.col("first_call.place").alias("call_place"), F.col("first_result.place").alias("result_place"))
+    state = linked.select(
+        "link", "first_call", "first_result",
+        F.col("first_call.place").alias("call_place"),
+        F.col("first_result.place").alias("result_place"),
+    )
     ranked_calls = (
         calls.withColumn("link", node(""))
         .join(state, "link")
-        .withColumn("repeat", F.col("place") != F.col("call_place"))
+        .withColumn("repeat", ~this_call.eqNullSafe(F.col("first_call")))
         .withColumn("node", F.concat(F.lit("call"), "link"))
         .join(order, "node", "left")
     )
@@ -278,18 +341,21 @@ def link_tool_calls(
         .otherwise("answered")
         .alias("status"),
         F.when(F.col("repeat"), F.array().cast("array<string>")).otherwise(F.col("errors")).alias("errors"),
-        F.concat(
-            F.lit('{"arguments":'), F.col("arguments"),
-            F.lit(',"depends_on":'), F.to_json(F.sort_array("depends_on")),
-            F.lit(',"id":'), quoted(F.col("call_id")),
-            F.lit(',"name":'), quoted(F.col("name")),
-            F.lit(',"role":"assistant"}'),
+        _with_further(
+            F.concat(
+                F.lit('{"arguments":'), F.col("arguments"),
+                F.lit(',"depends_on":'), F.to_json(F.sort_array("depends_on")),
+                F.lit(',"id":'), quoted(F.col("call_id")),
+                F.lit(',"name":'), quoted(F.col("name")),
+                F.lit(',"role":"assistant"}'),
+            ),
+            F.col("further"),
         ).alias("json"),
     )
     ranked_results = (
         results.withColumn("link", node(""))
         .join(state, "link")
-        .withColumn("repeat", F.col("place") != F.col("result_place"))
+        .withColumn("repeat", ~this_result.eqNullSafe(F.col("first_result")))
         .withColumn("node", F.concat(F.lit("result"), "link"))
         .join(order, "node", "left")
     )
@@ -306,10 +372,13 @@ def link_tool_calls(
         .otherwise("answered")
         .alias("status"),
         F.array().cast("array<string>").alias("errors"),
-        F.concat(
-            F.lit('{"content":'), quoted(F.col("content")),
-            F.lit(',"role":"tool","tool_call_id":'), quoted(F.col("call_id")),
-            F.lit("}"),
+        _with_further(
+            F.concat(
+                F.lit('{"content":'), quoted(F.col("content")),
+                F.lit(',"role":"tool","tool_call_id":'), quoted(F.col("call_id")),
+                F.lit("}"),
+            ),
+            F.col("further"),
         ).alias("json"),
     )
     message_rows = plain.select(
@@ -327,8 +396,18 @@ def link_tool_calls(
             F.lit("}"),
         ).alias("json"),
     )
+    beside_rows = beside.select(
+        "conversation",
+        start.alias("position"),
+        F.lit("message").alias("kind"),
+        F.lit(None).cast("string").alias("call_id"),
+        F.lit("plain").alias("status"),
+        F.array().cast("array<string>").alias("errors"),
+        _with_further(F.lit('{"role":"assistant"}'), F.col("further")).alias("json"),
+    )
     return (
-        message_rows.unionByName(call_rows)
+        message_rows.unionByName(beside_rows)
+        .unionByName(call_rows)
         .unionByName(result_rows)
         .withColumnRenamed("conversation", conversation_column)
     )

@@ -121,3 +121,39 @@ def test_awkward_rows(spark):
     assert ("1", "message", "orphan") in status
     assert len(got) == len(rows)
     assert linked(spark, []) == []
+
+
+def test_nothing_beside_calls_and_results_is_lost(spark):
+    nested = {"id": "n", "type": "function", "function": {"name": "add", "arguments": '{"b": 2, "a": 1}'}}
+    rows = [
+        (1, 0, "assistant", json.dumps({"tool_calls": [], "content": "none needed"})),
+        (1, 1, "assistant", json.dumps({"tool_calls": [one("x")], "content": "let me see", "cost": 2})),
+        (1, 2, "tool", "  " + json.dumps({"tool_call_id": "x", "content": "3", "seconds": [1, 2]})),
+        (1, 3, "assistant", "\n " + json.dumps({"tool_calls": [nested]})),
+        (1, 4, "tool", result("n")),
+    ]
+    got = linked(spark, rows)
+    assert [(r.kind, r.call_id, r.status, r.errors) for r in got] == [
+        ("message", None, "plain", []),
+        ("message", None, "plain", []),
+        ("call", "x", "answered", []),
+        ("result", "x", "answered", []),
+        ("call", "n", "answered", []),
+        ("result", "n", "answered", []),
+    ]
+    assert json.loads(json.loads(got[0].json)["content"])["content"] == "none needed"
+    assert got[1].json == '{"content":"let me see","cost":2,"role":"assistant"}'
+    assert got[3].json == '{"content":"3","role":"tool","seconds":[1,2],"tool_call_id":"x"}'
+    assert json.loads(got[4].json) == {
+        "arguments": {"a": 1, "b": 2}, "depends_on": [], "id": "n", "name": "add",
+        "role": "assistant", "type": "function",
+    }
+
+
+def test_equal_rows_are_one_first_and_duplicates(spark):
+    rows = [(1, 0, "assistant", call(one("x")))] * 3 + [(1, 1, "tool", result("x"))] * 2
+    got = linked(spark, rows)
+    assert sorted((r.kind, r.status) for r in got) == [
+        ("call", "answered"), ("call", "duplicate"), ("call", "duplicate"),
+        ("result", "answered"), ("result", "duplicate"),
+    ]
