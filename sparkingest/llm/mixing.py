@@ -7,6 +7,7 @@ expected tokens of each domain match the targets.
 
 from __future__ import annotations
 
+import logging
 import math
 
 import numpy as np
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from sparkingest.llm.words import whole_text
 from sparkingest.session import materialize
 
+log = logging.getLogger(__name__)
+
 BUCKETS = 4096
 # Most labelled rows that the classifier counts, chosen by the hash of their identifier.
 TRAIN_LIMIT = 20_000
@@ -27,9 +30,14 @@ EVIDENCE = 16.0
 # Weight of the squared distance of rates from 1, against that of the domains' shares.
 RIDGE = 1e-4
 STEP = 1.0 / (1.0 + RIDGE)
-STEPS = 60
-# Gradients that change by less end the descent.
-TOLERANCE = 1e-5
+# Most steps, and how many of them the plan of one table of rates holds.
+STEPS, STRETCH = 400, 25
+# The descent ends when every domain's tokens miss its target by less than this part of it, or
+# when a stretch of steps lowers the sum of squares by less than this part, as where no rates
+# reach the targets.
+TOLERANCE, STALLED = 1e-3, 0.01
+# A domain's share counts as met within this distance.
+MET = 0.002
 # Exponent of the natural shares that gives the default targets: below 1, small domains gain.
 SMOOTHING = 0.7
 MAX_DOMAINS = 64
@@ -140,10 +148,10 @@ def memberships(
     )
 
 
-def _rate(history: list[list[float]], floor: float) -> Column:
+def _moved(rate: Column, history: list[list[float]], floor: float) -> Column:
     """The rate of a profile after the gradients of ``history``: one fold over constants."""
     if not history:
-        return F.lit(max(1.0, floor))
+        return rate
     gradients = F.array(*(F.array(*(F.lit(x) for x in step)) for step in history))
 
     def moved(rate, gradient):
@@ -152,24 +160,32 @@ def _rate(history: list[list[float]], floor: float) -> Column:
         ) / F.lit(float(PARTS))
         return F.greatest(F.lit(floor), rate - F.lit(STEP) * (pull + F.lit(RIDGE) * (rate - 1.0)))
 
-    return F.aggregate(gradients, F.lit(max(1.0, floor)), moved)
+    return F.aggregate(gradients, rate, moved)
 
 
 def fit_rates(
     profiles: DataFrame, targets: list[float], natural: list[float], floor: float, steps: int
-) -> list[list[float]]:
-    """The gradients of the projected descent, one list of a number for each domain a step.
+) -> tuple[DataFrame, list[float]]:
+    """``parts, n_tokens, rate`` by projected descent, and every domain's tokens at these rates.
 
-    Minimises the squared misses of the domains' tokens, each relative to its target, plus
-    ``RIDGE`` times the squared distance of rates from 1, over rates of at least ``floor``.
-    Every step is an aggregation over the profiles; the driver holds the misses only.
+    Minimises the squared misses of the domains' tokens, each divided by the tokens the domain
+    has, plus ``RIDGE`` times the squared distance of rates from 1, over rates of at least
+    ``floor``. In that scale a step of one cannot overshoot and how far a target lies from
+    what is there does not slow the descent. Every step is an aggregation over the profiles;
+    the driver holds the misses only. Rates are written after each ``STRETCH`` steps.
     """
-    history: list[list[float]] = []
+    rated = profiles.withColumn("rate", F.lit(max(1.0, floor)))
     width = len(targets)
-    for _ in range(steps):
-        rate = _rate(history, floor)
+    stretch: list[list[float]] = []
+    squares: list[float] = []
+    for step in range(steps + 1):
+        if len(stretch) == STRETCH:
+            rated = materialize(
+                rated.withColumn("rate", _moved(F.col("rate"), stretch, floor)), "mix-rates"
+            )
+            stretch = []
         row = (
-            profiles.withColumn("rate", rate)
+            rated.withColumn("rate", _moved(F.col("rate"), stretch, floor))
             .agg(
                 *(
                     F.sum(F.col("n_tokens") * F.col("rate") * F.col("parts")[k] / PARTS).alias(f"t{k}")
@@ -178,14 +194,16 @@ def fit_rates(
             )
             .first()
         )
-        # Scaled by the larger of target and natural tokens, the step cannot overshoot.
-        misses = [(row[k] or 0.0) - targets[k] for k in range(width)]
-        gradient = [m / max(targets[k], natural[k], 1e-9) for k, m in enumerate(misses)]
-        before = history[-1] if history else [0.0] * width
-        history.append(gradient)
-        if all(abs(g - b) <= TOLERANCE for g, b in zip(gradient, before, strict=True)):
+        tokens = [row[k] or 0.0 for k in range(width)]
+        misses = [t - wanted for t, wanted in zip(tokens, targets, strict=True)]
+        met = all(abs(m) <= TOLERANCE * t for m, t in zip(misses, targets, strict=True))
+        gradient = [m / n if n > 0 else 0.0 for m, n in zip(misses, natural, strict=True)]
+        squares.append(sum(m * g for m, g in zip(misses, gradient, strict=True)))
+        stalled = step >= STRETCH and squares[-1] >= (1 - STALLED) * squares[-1 - STRETCH]
+        if met or stalled or step == steps:
             break
-    return history
+        stretch.append(gradient)
+    return rated.withColumn("rate", _moved(F.col("rate"), stretch, floor)), tokens
 
 
 def _rated(
@@ -199,8 +217,9 @@ def _rated(
     train_limit: int,
     steps: int,
     carried: list[str],
-) -> tuple[list[str], DataFrame]:
-    """Domains, and ``doc, n_tokens, parts, rate`` with the carried columns in ``doc``."""
+) -> tuple[list[str], list[bool], DataFrame]:
+    """Domains, whether each one's share is met, and ``doc, n_tokens, parts, rate`` with the
+    carried columns in ``doc``."""
     domains, log_prior, log_word = train_classifier(
         docs, labelled, domain_column, id_column, text_column, train_limit
     )
@@ -224,10 +243,15 @@ def _rated(
     scale = sum(weights) or 1.0
     weights = [w / scale for w in weights]
     total = max((n / w for n, w in zip(natural, weights, strict=True) if w > 0), default=0.0)
-    history = fit_rates(profiles, [w * total for w in weights], natural, floor, steps)
-    rated = profiles.select("parts", _rate(history, floor).alias("rate"))
+    fitted, tokens = fit_rates(profiles, [w * total for w in weights], natural, floor, steps)
+    rated = fitted.select("parts", "rate")
+    reached = sum(tokens) or 1.0
+    met = [abs(t / reached - w) <= MET or not total for t, w in zip(tokens, weights, strict=True)]
+    for name, good, t, w in zip(domains, met, tokens, weights, strict=True):
+        if not good:
+            log.warning("domain %s gets %.4f of the tokens instead of %.4f", name, t / reached, w)
     # Profiles are bounded by PARTS and the number of domains, not by the rows.
-    return domains, rows.join(rated, "parts")
+    return domains, met, rows.join(rated, "parts")
 
 
 def _copies(identifier: str) -> Column:
@@ -247,19 +271,20 @@ def mix(
     train_limit: int = TRAIN_LIMIT,
     steps: int = STEPS,
 ) -> DataFrame:
-    """One row per input row: ``id, n_tokens, domain, posterior, rate, copies``.
+    """One row per input row: ``id, n_tokens, domain, posterior, rate, copies, met``.
 
     ``rate`` is how often the document is wanted on average, at least ``floor``; ``copies``
     is that number, rounded up or down by a hash of the identifier. ``targets`` are weights
     of the domains' expected tokens (words between blanks); by default the natural shares to
     the power ``SMOOTHING``. The total is the least at which no domain falls below what it
-    has, so rates are 1 or more where the targets can be met that way. A domain without
-    documents cannot get tokens. The domain column is read on labelled rows only; rows
+    has, so rates are 1 or more where the targets can be met that way. ``met`` says whether
+    the share of the row's domain comes within ``MET`` of its target; targets that no rates
+    can reach, as of a domain without documents, are logged too. The domain column is read on labelled rows only; rows
     without label or domain teach nothing. A null text is empty, has the prior and no tokens.
     Without labelled rows there is one domain, ``all``, and every rate is 1. An empty table
     gives no rows; repeated rows stay repeated. Other columns are not read.
     """
-    domains, rated = _rated(
+    domains, met, rated = _rated(
         docs, labelled, domain_column, targets, floor, id_column, text_column, train_limit, steps,
         [id_column],
     )
@@ -272,6 +297,7 @@ def mix(
         F.transform("parts", lambda p: p / float(PARTS)).alias("posterior"),
         "rate",
         _copies(f"doc.`{id_column}`").alias("copies"),
+        F.get(F.array(*(F.lit(m) for m in met)), best).alias("met"),
     )
 
 
@@ -286,7 +312,7 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as ``mix`` says, with all their columns. With the
     default ``floor`` no document is lost. Rows are not moved."""
-    _, rated = _rated(
+    *_, rated = _rated(
         docs, labelled, domain_column, targets, floor, id_column, text_column, TRAIN_LIMIT, STEPS,
         docs.columns,
     )

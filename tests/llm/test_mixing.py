@@ -27,6 +27,20 @@ def test_expected_tokens_meet_the_targets(spark, sf_dir):
     assert sum(truth[r.doc_id] == r.domain for r in rows) >= 0.9 * len(rows)
 
 
+def test_most_tokens_from_the_rarest_domain(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    marked = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    wanted = {"en": 0.01, "de": 0.01, "es": 0.97, "fr": 0.01}
+    rows = mixing.mix(docs, marked, targets=wanted).collect()
+    totals = [sum(r.n_tokens * r.rate * r.posterior[k] for r in rows) for k in range(4)]
+    shares = dict(zip(("de", "en", "es", "fr"), (t / sum(totals) for t in totals), strict=True))
+    assert shares == pytest.approx(wanted, abs=0.002)
+    assert all(r.met for r in rows)
+    # With every document at least once and the most wanted domain missing, it cannot be met.
+    rows = mixing.mix(docs, marked, targets={"xx": 1.0, "es": 0.0, "en": 1.0}, floor=1.0).collect()
+    assert not all(r.met for r in rows)
+
+
 def test_descent_is_that_of_a_plain_loop(spark):
     parts = [[64, 0], [0, 64], [32, 32], [48, 16]]
     tokens = [1000, 300, 200, 150]
@@ -35,15 +49,18 @@ def test_descent_is_that_of_a_plain_loop(spark):
     profiles = spark.createDataFrame(
         list(zip(parts, tokens, strict=True)), "parts array<int>, n_tokens bigint"
     )
-    history = mixing.fit_rates(profiles, targets, natural, 0.2, 60)
-    got = profiles.select("parts", mixing._rate(history, 0.2).alias("rate")).collect()
+    # More steps than one table of rates holds.
+    fitted, reached = mixing.fit_rates(profiles, targets, natural, 0.2, 60)
+    got = fitted.collect()
     rates = [1.0] * 4
-    for _ in history:
+    for _ in range(60):
         misses = [
             sum(t * r * p[k] / 64 for t, r, p in zip(tokens, rates, parts, strict=True)) - targets[k]
             for k in (0, 1)
         ]
-        gradient = [m / max(targets[k], natural[k]) for k, m in enumerate(misses)]
+        if all(abs(m) <= mixing.TOLERANCE * targets[k] for k, m in enumerate(misses)):
+            break
+        gradient = [m / natural[k] for k, m in enumerate(misses)]
         rates = [
             max(
                 0.2,
@@ -55,7 +72,7 @@ def test_descent_is_that_of_a_plain_loop(spark):
         {tuple(p): r for p, r in zip(parts, rates, strict=True)}
     )
     met = [sum(t * r * p[k] / 64 for t, r, p in zip(tokens, rates, parts, strict=True)) for k in (0, 1)]
-    assert met == pytest.approx(targets, rel=0.01)
+    assert met == pytest.approx(targets, rel=0.01) and reached == pytest.approx(met)
 
 
 def test_awkward_rows(spark):
