@@ -4,8 +4,8 @@ Layout of a table::
 
     log/        numbered commit records (see ``commits``)
     data/C/     data files of commit C, each with rows of one partition label
-    files/C/    about each of them: label, rows, least and greatest key, and bitmaps of the
-                hashed keys it holds
+    files/C/    about each of them: label, rows, bounds of its keys, and a bitmap of the
+                hashed keys it holds, in words of 64 bits
 
 A merge never rewrites stored rows. It looks the batch's keys up in those files only whose key
 range and bitmaps meet the batch, writes the winning rows as new files, and each of
@@ -33,16 +33,17 @@ from pyspark.sql import types as T
 
 from sparkingest.errors import StorageWriteError
 from sparkingest.operators.commits import CommitLog
-from sparkingest.session import scratch_table
+from sparkingest.session import materialize, scratch_table
 
 PART = "part"
 DELETED = "_deleted"
 OLD_FILE, OLD_ROW = "_old_file", "_old_row"
 DEAD_FILE, DEAD_ROW = "_dead_file", "_dead_row"
 IN_FILE, IN_ROW = "_in_file", "_in_row"
+FILE_NUMBER = "_file_number"
 # Names that a table's own columns may not have.
-RESERVED = (PART, DELETED, OLD_FILE, OLD_ROW, DEAD_FILE, DEAD_ROW, IN_FILE, IN_ROW, "_dir")
-# Hashed keys fall on this many bits; a multiple of 32 768.
+RESERVED = (PART, DELETED, OLD_FILE, OLD_ROW, DEAD_FILE, DEAD_ROW, IN_FILE, IN_ROW, FILE_NUMBER, "_dir")
+# Hashed keys fall on this many bits; a multiple of 64.
 KEY_BITS = 1 << 20
 # Blocks of neighbouring keys that describe a batch, besides one for each of its files.
 RANGES = 1024
@@ -111,18 +112,16 @@ def _key_struct(keys: Sequence[str]) -> Column:
 
 
 def _files_schema(schema: T.StructType, keys: Sequence[str]) -> T.StructType:
-    """A row for each file and bitmap of it."""
     key = T.StructType([T.StructField(k, schema[k].dataType) for k in keys])
     return T.StructType(
         [
             T.StructField("file", T.StringType()),
-            T.StructField("bucket", T.LongType()),
             T.StructField(PART, T.StringType()),
             T.StructField("rows", T.LongType()),
             T.StructField("replacing", T.LongType()),
             T.StructField("low", key),
             T.StructField("high", key),
-            T.StructField("bits", T.BinaryType()),
+            T.StructField("words", T.ArrayType(T.StructType.fromDDL("word BIGINT, bits BIGINT"))),
         ]
     )
 
@@ -136,12 +135,7 @@ def _listed(spark: SparkSession, state: State) -> DataFrame:
 
 def live_files(spark: SparkSession, state: State) -> DataFrame:
     """``file, part, rows, low, high`` of the data files that a reader needs."""
-    return _listed(spark, state).groupBy("file").agg(
-        F.min(PART).alias(PART),
-        F.sum("rows").alias("rows"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-    )
+    return _listed(spark, state).select("file", PART, "rows", "low", "high")
 
 
 def replaced_rows(spark: SparkSession, state: State) -> DataFrame:
@@ -240,33 +234,54 @@ def read(
 
 
 def _hashed(keys: Sequence[str]) -> Column:
-    """A key's bit: its place, counted from 0, and the bitmap that holds it."""
+    """A key's bit: its place, counted from 0."""
     return F.pmod(F.xxhash64(*_quoted(keys)), F.lit(KEY_BITS))
 
 
+def _numbered(keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{k}`").alias(f"key{i}") for i, k in enumerate(keys)]
+
+
+def _bounds(keys: Sequence[str]) -> list[Column]:
+    """Aggregates of numbered keys that no key of the group lies beyond, column by column: those
+    of fixed width then need no sort. A null is the least value."""
+    out = []
+    for i in range(len(keys)):
+        least = F.when(F.count(F.lit(1)) == F.count(f"key{i}"), F.min(f"key{i}"))
+        out += [least.alias(f"low{i}"), F.max(f"key{i}").alias(f"high{i}")]
+    return out
+
+
+def _end(name: str, keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col(f"{name}{i}").alias(k) for i, k in enumerate(keys)])
+
+
 def _in_blocks(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of a stored batch that is sorted by key, in at most ``RANGES`` blocks of
-    neighbours and one more for each of its files."""
+    """Stored keys that are sorted, in at most ``RANGES`` blocks of neighbours and one more
+    for each of their files."""
     width = max(1, batch.count() // RANGES)
     return batch.select(
-        _key_struct(keys).alias("batch_key"),
+        *_numbered(keys),
         F.col("_metadata.file_path").alias("block_file"),
         F.floor(F.col("_metadata.row_index") / width).alias("block"),
     )
 
 
 def files_to_search(spark: SparkSession, state: State, batch: DataFrame) -> DataFrame:
-    """Live files that may hold keys of the batch, which is stored and sorted by key. From
+    """Live files that may hold keys of the batch, whose keys are stored and sorted. From
     statistics alone: first by key range, then by bitmaps that have a bit in common; no
-    stored key is read.
+    key of the table is read.
 
-    A file's range either holds an end of a block, which is a key of the batch, or lies
+    A file's range either holds an end of a block, or lies
     within one block, whose keys are then looked at. The ends of the blocks are bounded and
-    broadcast; so are the batch's bitmaps, 128 KB.
+    broadcast; so is the batch's bitmap, 16 384 words.
     """
     keys = _in_blocks(batch, state.keys)
-    blocks = keys.groupBy("block_file", "block").agg(
-        F.min("batch_key").alias("first"), F.max("batch_key").alias("last")
+    ends = keys.groupBy("block_file", "block").agg(*_bounds(state.keys))
+    # Stored, as both joins below ask for it: a row a block.
+    blocks = materialize(
+        ends.select("block_file", "block", _end("low", state.keys).alias("first"), _end("high", state.keys).alias("last")),
+        "merge-blocks",
     )
     within = lambda key: (F.col("low") <= F.col(key)) & (F.col(key) <= F.col("high"))
     inside = (F.col("first") < F.col("low")) & (F.col("high") < F.col("last"))
@@ -275,24 +290,24 @@ def files_to_search(spark: SparkSession, state: State, batch: DataFrame) -> Data
     sure = met.where(~inside).select(*names).distinct()
     asked = met.where(inside).select(*names, "block_file", "block")
     found = asked.join(
-        keys.withColumnsRenamed({"block_file": "f", "block": "b"}),
+        keys.select(
+            F.col("block_file").alias("f"), F.col("block").alias("b"), _end("key", state.keys).alias("batch_key")
+        ),
         (F.col("block_file") == F.col("f")) & (F.col("block") == F.col("b")) & within("batch_key"),
         "left_semi",
     )
     near = sure.unionByName(found.select(*names))
-    mine = _bitmaps(batch.select(_hashed(state.keys).alias("h"))).withColumnRenamed("bits", "mine")
-    both = _listed(spark, state).join(F.broadcast(mine), "bucket").select(
-        "file", "bucket", F.explode(F.array("bits", "mine")).alias("b")
-    )
-    common = both.groupBy("file", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("b")).alias("n"))
-    return near.join(common.where("n > 0"), "file", "left_semi")
+    mine = _words(batch.select(_hashed(state.keys).alias("h"))).withColumnRenamed("bits", "mine")
+    held = _listed(spark, state).select("file", F.explode("words").alias("w")).select("file", "w.*")
+    common = held.join(F.broadcast(mine), "word").where(F.col("bits").bitwiseAND(F.col("mine")) != 0)
+    return near.join(common.select("file").distinct(), "file", "left_semi")
 
 
-def _bitmaps(hashed: DataFrame, *by: str, more: Sequence[Column] = ()) -> DataFrame:
-    """``bucket, bits`` of hashed keys ``h``, by further columns and with further aggregates."""
-    return hashed.groupBy(*by, F.bitmap_bucket_number("h").alias("bucket")).agg(
-        *more, F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits")
-    )
+def _words(hashed: DataFrame, *by: str) -> DataFrame:
+    """``word, bits`` of the bitmaps of hashed keys ``h``, by further columns. Sums of fixed
+    width, which Spark keeps in hash tables: no row is sorted."""
+    bit = F.expr("shiftleft(1L, CAST(h % 64 AS INT))")
+    return hashed.groupBy(*by, F.shiftright("h", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
 
 
 def winners(batch: DataFrame, stored: DataFrame, keys: Sequence[str], versions: Sequence[str]) -> DataFrame:
@@ -371,20 +386,23 @@ def merge(
     part = F.col(f"`{part}`") if isinstance(part, str) else part
     label = F.coalesce(F.nullif(part.cast("string"), F.lit("")), F.lit("none"))
     flag = F.lit(False) if deleted is None else F.coalesce(deleted.cast("boolean"), F.lit(False))
-    marked = incoming.withColumns({PART: label, DELETED: flag}).drop(*transient)
-    fresh = latest_per_key(marked, keys, versions)
+    # A label is a function of the row that stays, so it is not dealt out with all of them.
+    newest = latest_per_key(incoming.withColumn(DELETED, flag), keys, versions)
+    fresh = newest.withColumn(PART, label).drop(*transient)
     incoming = incoming.drop(*transient).schema
     log = commit_log(spark, path)
-    if log.head() == 0:
-        folder = _write(fresh.select("*", *_no_pointers()), path, keys, clustered=True)
-        number = log.commit(
-            lambda n: None if n else _record(spark, path, folder, widened(None, incoming), keys, batch_id)
-        )
-        if number == 0 or log.read(1)["data"] == [folder]:
-            return number
-    ordered = fresh.repartitionByRange(*_quoted(keys)).sortWithinPartitions(*_quoted(keys))
-    with scratch_table(ordered, "merge-batch") as batch:
-        number = log.commit(lambda n: _merged(spark, path, n, batch, incoming, keys, versions, batch_id))
+    # Stored first: dealing by range looks at its rows twice, and would sort them twice.
+    with scratch_table(fresh, "merge-batch") as batch:
+        if log.head() == 0:
+            folder = _write(batch.select("*", *_no_pointers()), path, keys, clustered=True)
+            number = log.commit(
+                lambda n: None if n else _record(spark, path, folder, widened(None, incoming), keys, batch_id)
+            )
+            if number == 0 or log.read(1)["data"] == [folder]:
+                return number
+        ordered = batch.select(*_quoted(keys)).repartitionByRange(*_quoted(keys)).sortWithinPartitions(*_quoted(keys))
+        with scratch_table(ordered, "merge-keys") as named:
+            number = log.commit(lambda n: _merged(spark, path, n, batch, named, incoming, keys, versions, batch_id))
     if log.due(number):
         take_snapshot(spark, path, number)
     return number
@@ -394,8 +412,9 @@ def _no_pointers() -> list[Column]:
     return [F.lit(None).cast(f.dataType).alias(f.name) for f in _POINTERS]
 
 
-def _merged(spark, path, number, batch, incoming, keys, versions, batch_id) -> dict | None:
-    """Write the rows of the batch that win against one state; the record that adds them."""
+def _merged(spark, path, number, batch, named, incoming, keys, versions, batch_id) -> dict | None:
+    """Write the rows of the batch that win against one state; the record that adds them.
+    ``named`` are the batch's keys in order."""
     state = state_of(spark, path, number)
     if tuple(keys) != state.keys:
         raise StorageWriteError(path, f"has the key {', '.join(state.keys)}")
@@ -403,16 +422,23 @@ def _merged(spark, path, number, batch, incoming, keys, versions, batch_id) -> d
         return None
     schema = widened(state.schema, incoming)
     slim = T.StructType([schema[n] for n in dict.fromkeys([*keys, *versions])])
-    stored = _live_rows(spark, path, state, slim, files_to_search(spark, state, batch), located=True)
-    if stored is None:
-        won = batch.select("*", *_no_pointers())
-    else:
-        won = winners(batch, stored, keys, versions)
     missing = [
         F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in batch.columns
     ]
-    won = won.select("*", *missing).select(*_quoted([*schema.names, PART, DELETED, OLD_FILE, OLD_ROW]))
-    folder = _write(won, path, keys, clustered=False)
+    columns = _quoted([*schema.names, PART, DELETED, OLD_FILE, OLD_ROW])
+    # Names of files are longer than many a row: a number goes through the join instead.
+    numbered = files_to_search(spark, state, named).withColumn(FILE_NUMBER, F.monotonically_increasing_id())
+    with scratch_table(numbered, "merge-files") as near:
+        stored = _live_rows(spark, path, state, slim, near, located=True)
+        if stored is None:
+            won = batch.select("*", *_no_pointers())
+        else:
+            numbers = F.broadcast(near.select(F.col("file").alias(IN_FILE), FILE_NUMBER))
+            stored = stored.join(numbers, IN_FILE).drop(IN_FILE).withColumnRenamed(FILE_NUMBER, IN_FILE)
+            won = winners(batch, stored, keys, versions).withColumnRenamed(OLD_FILE, FILE_NUMBER)
+            won = won.join(numbers.withColumnRenamed(IN_FILE, OLD_FILE), FILE_NUMBER, "left")
+        # Rows that meet no file come from a batch dealt by hash; others lie as the join dealt them.
+        folder = _write(won.select("*", *missing).select(*columns), path, keys, clustered=stored is None)
     return _record(spark, path, folder, schema, keys, batch_id)
 
 
@@ -436,25 +462,22 @@ def _record(spark, path, folder, schema, keys, batch_id, removed=()) -> dict | N
     """List the files of one folder with their statistics; None if it has no rows."""
     stored = T.StructType([*_stored(schema).fields, *_POINTERS])
     rows = spark.read.schema(stored).parquet(f"{path}/data/{folder}")
-    placed = rows.select(
-        _relative(F.col("_metadata.file_path")).alias("file"),
-        PART,
-        OLD_FILE,
-        _key_struct(keys).alias("_key"),
-        _hashed(keys).alias("h"),
+    place = F.col("_metadata.file_path")
+    named = rows.select(place.alias("path"), PART, OLD_FILE, *_numbered(keys))
+    # A file has one label. Its name is cut from its path once, not for every row.
+    about = named.groupBy("path", PART).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(OLD_FILE).alias("replacing"), *_bounds(keys)
+    )
+    # If two paths had one hash, both would get the bits of both, which loses no key.
+    words = _words(rows.select(F.xxhash64(place).alias("hash"), _hashed(keys).alias("h")), "hash")
+    bitmaps = words.groupBy("hash").agg(F.collect_list(F.struct("word", "bits")).alias("words"))
+    files = about.join(bitmaps, F.xxhash64("path") == F.col("hash")).select(
+        _relative(F.col("path")).alias("file"), PART, "rows", "replacing",
+        _end("low", keys).alias("low"), _end("high", keys).alias("high"), "words",
     )
-    about = [
-        F.min(PART).alias(PART),
-        F.count(F.lit(1)).alias("rows"),
-        F.count(OLD_FILE).alias("replacing"),
-        F.min("_key").alias("low"),
-        F.max("_key").alias("high"),
-    ]
     seen = Observation()
     totals = [F.count("file").alias("n"), F.sum("replacing").alias("replacing")]
-    files = _bitmaps(placed, "file", more=about)
-    names = _files_schema(schema, keys).names
-    files.select(*names).observe(seen, *totals).write.parquet(f"{path}/files/{folder}")
+    files.observe(seen, *totals).write.parquet(f"{path}/files/{folder}")
     total = seen.get
     if not total["n"] and not removed:
         return None

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
-from tests.conftest import rows_of
+from tests.conftest import plan_of, rows_of
 
 from sparkingest.errors import StorageWriteError
 from sparkingest.operators import keyed, silver
@@ -183,6 +183,33 @@ def test_one_percent_opens_few_files(spark, tmp_path):
     assert keyed.read(spark, path, parts=["40"]).count() == 1500
 
 
+def test_statistics_sort_no_rows(spark, tmp_path):
+    """Bitmaps and bounds of keys of fixed width are kept in hash tables."""
+    path = f"{tmp_path}/t"
+    apply(spark, path, [(i, 1, "a", "x", "I") for i in range(9)])
+    stored = spark.read.parquet(f"{path}/data")
+    words = keyed._words(stored.select(keyed._hashed(KEYS).alias("h")))
+    bounds = stored.select(*keyed._numbered(KEYS)).agg(*keyed._bounds(KEYS))
+    for df in (words, bounds):
+        plan = plan_of(df)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_bounds_and_bits_hold_every_key(spark, tmp_path):
+    """Composite keys with nulls: no key lies beyond its file's bounds, and bits are the keys'."""
+    path = f"{tmp_path}/t"
+    rows = [(None if i % 7 == 0 else i % 5, None if i % 3 == 0 else i, 1) for i in range(100)]
+    batch = spark.createDataFrame(rows, "a INT, b BIGINT, version INT")
+    keyed.merge(spark, path, batch, ["a", "b"], VERSIONS, F.lit("p"))
+    files = keyed._listed(spark, keyed.state_of(spark, path))
+    live = keyed.read(spark, path).select(F.struct("a", "b").alias("k"), keyed._hashed(["a", "b"]).alias("h"))
+    met = live.join(files, (F.col("low") <= F.col("k")) & (F.col("k") <= F.col("high")))
+    assert met.select("k").distinct().count() == live.count() == len({r[:2] for r in rows})
+    listed = files.select(F.explode("words").alias("w")).select("w.*").groupBy("word").agg(F.bit_or("bits").alias("n"))
+    held = {(r.word, i) for r in listed.collect() for i in range(64) if r.n >> i & 1}
+    assert {64 * w + i for w, i in held} == {r.h for r in live.collect()}
+
+
 def test_two_writers(spark, tmp_path):
     path = f"{tmp_path}/t"
     apply(spark, path, [(0, 0, "a", "x", "I")])
