@@ -227,22 +227,31 @@ def contaminated_texts(
         text_key(text_column).alias("key"), whole_text(text_column).alias("text")
     )
     # Every window of every text is looked up, by its hash alone; places and values are
-    # taken from texts with a hit, and counted for the items that they hit.
-    touched = materialize(
-        window_hashes(texts, "key").join(probe, "hash").select("key", "item").distinct(),
-        "template-touched",
-    )
-    held = (
-        texts.join(touched.select("key").distinct(), "key", "left_semi")
+    # taken from texts with a hit, and counted for the items that they hit. A text goes along
+    # with its windows, as a reference, and only those with a hit are written and dealt out.
+    held = materialize(
+        window_hashes(texts, "key", "text")
+        .join(probe, "hash")
         .groupBy("key")
-        .agg(F.any_value("text").alias("text"))
+        .agg(
+            # A null item would be left out of a set, a struct of it is not.
+            F.collect_set(F.struct("item")).alias("items"),
+            F.any_value("text").alias("text"),
+        ),
+        "template-held",
     )
+    touched = held.select("key", F.inline("items"))
+    # Windows that no item has are left where they are.
+    asked_hashes = item_windows.select("hash").distinct()
+    if asked_hashes.count() <= BROADCAST_WINDOWS:
+        asked_hashes = F.broadcast(asked_hashes)
     touched_windows = touched.withColumnRenamed("item", "_item").join(
         item_windows, F.col("_item").eqNullSafe(F.col("item"))
     )
     hits = materialize(
-        _windowed(held, "key")
+        _windowed(held.select("key", "text"), "key")
         .select("key", "place", "hash", F.col("values").alias("given"))
+        .join(asked_hashes, "hash", "left_semi")
         .join(touched_windows.select("key", "item", "at", "hash", "asked"), ["key", "hash"])
         .select("key", "item", "at", "place", "asked", "given")
         .distinct()

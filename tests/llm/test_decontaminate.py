@@ -4,7 +4,13 @@ import re
 
 from pyspark.sql import functions as F
 
-from sparkingest.llm.decontaminate import _windowed, decontaminate, rarest_windows, window_hashes
+from sparkingest.llm.decontaminate import (
+    _windowed,
+    contaminated_texts,
+    decontaminate,
+    rarest_windows,
+    window_hashes,
+)
 from tests.llm.fixtures import awkward_rows, documents, no_documents, prose, with_extras
 
 ITEM = "item_id bigint, text string"
@@ -142,3 +148,23 @@ def test_a_beginning_that_all_items_share_makes_no_candidates(spark):
     got = by_id(decontaminate(documents(spark, rows), bench))
     assert all(got[i].items == [i % 40] for i in range(80))
     assert not any(got[100 + i].contaminated for i in range(40))
+
+
+def _shuffled(spark) -> int:
+    """Bytes that the session's stages have written to shuffles so far."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(
+        spark.sparkContext._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_texts_without_a_hit_are_not_shuffled(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = [(i, prose(1000 + i, 4000), "en", "s", 0) for i in range(40)]
+    rows.append((40, f"{prose(7, 30)}. {QUESTION} {prose(8, 30)}", "en", "s", 0))
+    whole = sum(len(r[1]) for r in rows)
+    docs, bench = documents(spark, rows).coalesce(2), items(spark, [(10, QUESTION)])
+    before = _shuffled(spark)
+    found = contaminated_texts(docs, bench, "item_id", "text", 0.8).collect()
+    assert [r.item for r in found] == [10]
+    assert _shuffled(spark) - before < whole / 10
