@@ -42,6 +42,10 @@ REGISTERS = BANDS * ROWS
 PLANES, DIFFERING = 4, 28
 # Members of a bucket that meet all others of it in one task.
 TILE = 256
+# A bucket is split if one in so many of its members is of a class with another one.
+KIN = 8
+# Shared shingles that go along with a rare one, so that a pair is not made for each.
+BEFORE = 4
 
 _FIRST, _REGISTER, _SIDE, _BAND, _PLANE = 1, 2, 3, 4, 1 << 20
 
@@ -227,9 +231,10 @@ def banded_classes(nodes: DataFrame, bags: DataFrame, similarity: float) -> Data
     split into finer ones, one for each later band, with leaders of their own, chosen by
     hash. Pairs above the similarity share several bands and meet again, while members that
     only share a passage part. From the third round on only members that are not of their
-    leader's class go on. A member may resemble others of a class than its leaders only, so at
-    last those that are still of different classes in a bucket are searched for pairs: see
-    ``apart_pairs``.
+    leader's class go on. Buckets where few have found one of their class, as of texts with a
+    passage in common, are not split. A member may resemble others of a class than its leaders
+    only, so at last those that are still of different classes in a bucket are searched for
+    pairs, whether their bucket was split or not: see ``apart_pairs``.
 
     Copies of a round are deleted once the next round is written.
     """
@@ -270,18 +275,30 @@ def banded_classes(nodes: DataFrame, bags: DataFrame, similarity: float) -> Data
         labels = _joined(labels, stored(verify(pairs), f"near-similar-{level}"))
         carried = members if level == 0 else members.where("root != least.root")
         rooted = carried.select("bucket", "last", "key").join(labels, "key")
-        apart = rooted.join(_mixed_buckets(rooted), "bucket").drop("root")
-        later = F.slice("bands", F.col("last") + 2, BANDS)
-        current = (
-            apart.join(nodes.select("key", "bands"), "key")
-            .select("bucket", "last", "key", F.posexplode(later).alias("step", "band"))
+        counts = F.count("*").alias("n"), F.count_distinct("root").alias("classes")
+        grown = _mixed_buckets(rooted, *counts).where(f"(n - classes) * {KIN} >= n")
+        apart = stored(rooted.join(grown.select("bucket"), "bucket").drop("root"), f"near-apart-{level}")
+        if level == 0:
+            # A finer bucket is part of the buckets of its bands, so it can only hold several
+            # classes where each of them does.
+            live = materialize(
+                apart.groupBy("key").agg(F.collect_list(F.struct("last", "bucket")).alias("live")),
+                "near-live",
+            )
+        later = F.filter("live", lambda band: band["last"] > F.col("last"))
+        finer = (
+            apart.join(live, "key")
+            .select("bucket", "key", later.alias("later"))
+            .where(F.size("later") > 0)
+            .select("bucket", "key", F.explode("later").alias("band"))
             .select(
                 "key",
-                (F.col("last") + F.col("step") + 1).alias("last"),
-                F.xxhash64("bucket", "band").alias("bucket"),
+                F.col("band.last").alias("last"),
+                F.xxhash64("bucket", "band.bucket").alias("bucket"),
             )
             .withColumn("rank", F.xxhash64("bucket", "key"))
         )
+        current = stored(finer, f"near-finer-{level}")
         level += 1
     spent.close()
     similar = stored(verify(apart_pairs(nodes, labels, bags, similarity)), "near-similar")
@@ -305,27 +322,35 @@ def _joined(labels: DataFrame, similar: DataFrame) -> DataFrame:
 
 
 def rarest_shingles(bags: DataFrame, similarity: float) -> DataFrame:
-    """``node, size, shared, shingle`` of ``bags(node, bag)``: of each bag the shingles that are rarest among all ``bags``, so
-    many that two bags of that similarity have one of them in common.
+    """``node, size, shared, place, before, shingle`` of ``bags(node, bag)``: of each bag the
+    shingles that are rarest among all ``bags``, so many that two bags of that similarity have
+    one of them in common. Those that no other bag has are counted, but are no rows.
 
     Two bags of that similarity share at least that part of either. If all but a smaller part of a
     bag is left out, in one order for all bags, some shared shingle remains on both sides, the
     first that they share. Texts that only have a passage in common share no rare one.
-    ``shared`` is how many of a bag's shingles any other bag has.
+    ``shared`` is how many of a bag's shingles any other bag has, ``place`` the place of the
+    shingle in the order of its bag, from 1, and ``before`` holds the last few rows before it.
     """
     rows = bags.select("node", F.size("bag").alias("size"), F.explode("bag").alias("shingle"))
-    seen = rows.groupBy("shingle").agg(F.count("*").alias("n"))
+    seen = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     order = Window.partitionBy("node").orderBy("n", "shingle")
-    ranked = rows.join(seen, "shingle").withColumns(
-        {
-            "place": F.row_number().over(order),
-            "shared": F.count_if(F.col("n") > 1).over(Window.partitionBy("node")),
-        }
+    # What no other bag has comes first in the order.
+    ranked = (
+        rows.join(seen, "shingle")
+        .withColumn("shared", F.count("*").over(Window.partitionBy("node")))
+        .where(F.col("shared") >= F.col("size") * F.lit(similarity) - F.lit(1e-9))
+        .withColumns(
+            {
+                "place": F.row_number().over(order) + F.col("size") - F.col("shared"),
+                "before": F.collect_list("shingle").over(order.rowsBetween(-BEFORE, -1)),
+            }
+        )
     )
     # Rounding that takes a little too many shingles is harmless, too few would lose pairs.
     taken = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)) + 1
     return ranked.where(F.col("place") <= taken).select(
-        "node", "size", "shared", "shingle"
+        "node", "size", "shared", "place", "before", "shingle"
     )
 
 
@@ -334,14 +359,18 @@ def apart_pairs(
 ) -> DataFrame:
     """``a, b, root_a, root_b`` of nodes of different classes that may be similar.
 
-    Searched are the nodes that share a band with one of another class. Two of them meet if
+    Searched are the nodes that share a band with one of another class, unless a bucket's two
+    members have met as leader and member. Two of them meet if
     they have one of their rarest shingles in common, which every pair of that similarity
-    has, and if their sizes, the number of shingles that others have at all and their registers
-    allow it. Where very many have a shingle, they are dealt out by
+    has, and if their sizes, the number of shingles that others have at all, the places of that
+    shingle and their registers allow it. The first shingle that they share has no more of
+    either bag behind it than they may have in common. Nodes that also share one of the few
+    before it have met there. Where very many have a shingle, they are dealt out by
     ``TILE`` members, each tile with all members.
     """
     rooted = nodes.select("key", F.explode("bands").alias("bucket")).join(labels, "key")
-    apart = rooted.join(_mixed_buckets(rooted), "bucket").select("key", "root").distinct()
+    larger = _mixed_buckets(rooted, F.count("*").alias("n")).where("n > 2").select("bucket")
+    apart = rooted.join(larger, "bucket").select("key", "root").distinct()
     # A number instead of the 32 bytes of a key goes with each shingle.
     apart = apart.join(nodes.select("key", "planes"), "key").withColumn(
         "node", F.monotonically_increasing_id()
@@ -363,6 +392,8 @@ def apart_pairs(
             F.col("root").alias(f"root_{name}"),
             F.col("size").alias(f"size_{name}"),
             F.col("shared").alias(f"shared_{name}"),
+            F.col("place").alias(f"place_{name}"),
+            F.col("before").alias(f"before_{name}"),
             *(F.col("planes")[p].alias(f"{name}_{p}") for p in range(PLANES)),
         )
 
@@ -374,6 +405,8 @@ def apart_pairs(
     both = left["size_a"] + right["size_b"]
     # What they share is among what others have: at most the lesser of the two numbers.
     overlap = F.least(left["shared_a"], right["shared_b"])
+    # And from the first that they share on, so is the rest of either bag.
+    behind = 1 + F.least(left["size_a"] - left["place_a"], right["size_b"] - right["place_b"])
     met = [
         left["bucket"] == right["bucket"],
         left["tile"] == right["tile"],
@@ -381,7 +414,9 @@ def apart_pairs(
         left["size_a"] >= right["size_b"] * F.lit(similarity) - F.lit(1e-9),
         right["size_b"] >= left["size_a"] * F.lit(similarity) - F.lit(1e-9),
         overlap * F.lit(1 + similarity) >= both * F.lit(similarity) - F.lit(1e-9),
+        behind * F.lit(1 + similarity) >= both * F.lit(similarity) - F.lit(1e-9),
         F.bit_count(differing) <= DIFFERING,
+        ~F.arrays_overlap("before_a", "before_b"),
     ]
     return left.join(right, met).select("a", "b", "root_a", "root_b").distinct()
 

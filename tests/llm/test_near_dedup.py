@@ -181,3 +181,49 @@ def test_registers_of_similar_texts_differ_in_few(spark):
     planes = near_dedup.register_planes(values)
     differing = int(np.bitwise_or.reduce(planes[0] ^ planes[1]))
     assert differing < 1 << 10 and differing.bit_count() >= 7
+
+
+def _searched(spark, bags: dict[int, list[int]], bands: dict[int, list[int]]) -> list[tuple]:
+    key = lambda n: bytes([n])
+    nodes = spark.createDataFrame(
+        [(key(n), b, [0] * near_dedup.PLANES) for n, b in bands.items()],
+        "key binary, bands array<bigint>, planes array<bigint>",
+    )
+    labels = nodes.selectExpr("key", "key AS root")
+    rows = spark.createDataFrame([(key(n), b) for n, b in bags.items()], "key binary, bag array<bigint>")
+    found = near_dedup.apart_pairs(nodes, labels, rows, 0.8).collect()
+    return sorted(tuple(sorted((r.a[0], r.b[0]))) for r in found)
+
+
+def test_search_makes_no_pairs_that_places_of_shingles_rule_out(spark):
+    """Texts 1 and 2 share 87 of 113 shingles, and each shares its other 13 with further texts."""
+    x, y, c = list(range(13)), list(range(100, 113)), list(range(200, 287))
+    bags = {
+        1: x + c,
+        2: y + c,
+        3: x + list(range(1000, 1087)),
+        4: y + list(range(2000, 2087)),
+        5: x + c[5:] + list(range(3000, 3005)),
+    }
+    assert _searched(spark, bags, {n: [7] for n in bags}) == [(1, 5)]
+    rare = near_dedup.rarest_shingles(
+        spark.createDataFrame(list(bags.items()), "node bigint, bag array<bigint>"), 0.8
+    ).collect()
+    # What one text alone has is no row, and texts that share too little have none.
+    assert {r.node for r in rare} == {1, 2, 5} and max(r.shingle for r in rare) < 1000
+    # Two texts alone in their bucket have met as leader and member.
+    assert _searched(spark, {1: x + c, 5: x + c}, {1: [7], 5: [7]}) == []
+
+
+def test_search_finds_every_similar_pair(spark):
+    chooser = random.Random(4)
+    bags = {
+        n: chooser.sample(range(140), chooser.randrange(90, 130)) + [1000 + n * 10 + i for i in range(n % 5)]
+        for n in range(60)
+    }
+    found = set(_searched(spark, bags, {n: [7] for n in bags}))
+    sets = {n: set(b) for n, b in bags.items()}
+    similar = {
+        (a, b) for a in bags for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    }
+    assert similar and {tuple(sorted(p)) for p in similar} <= found
