@@ -42,8 +42,8 @@ REGISTERS = BANDS * ROWS
 PLANES, DIFFERING = 4, 28
 # Members of a bucket that meet all others of it in one task.
 TILE = 256
-# A bucket is split if one in so many of its members is of a class with another one.
-KIN = 8
+# Leaders that a bucket has one after the other, a round each.
+ROUNDS = 4
 # Shared shingles that go along with a rare one, so that a pair is not made for each.
 BEFORE = 4
 
@@ -227,90 +227,58 @@ def banded_classes(nodes: DataFrame, bags: DataFrame, similarity: float) -> Data
     The members of a bucket are compared with its leader, so a bucket of copies costs one
     comparison a member, and members that are of one class already are not compared. Leader
     is the member whose buckets are largest in sum: among edited copies that is the text they
-    were made from, or what is nearest to it. Buckets that still hold several classes are
-    split into finer ones, one for each later band, with leaders of their own, chosen by
-    hash. Pairs above the similarity share several bands and meet again, while members that
-    only share a passage part. From the third round on only members that are not of their
-    leader's class go on. Buckets where few have found one of their class, as of texts with a
-    passage in common, are not split. A member may resemble others of a class than its leaders
-    only, so at last those that are still of different classes in a bucket are searched for
-    pairs, whether their bucket was split or not: see ``apart_pairs``.
-
-    Copies of a round are deleted once the next round is written.
+    were made from, or what is nearest to it. Where a bucket holds further classes, the first
+    member by that order that is not of a leader's class leads the next round, so that two
+    large classes are joined by some of their members. A round has a row for each band of a
+    node at most. A member may resemble others of a class than its leaders only, so at last
+    those that are still of different classes in a bucket are searched for pairs: see
+    ``apart_pairs``.
     """
-    spent, fresh = ExitStack(), ExitStack()
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        return fresh.enter_context(scratch_table(df, name))
-
-    verify = lambda pairs: similar_pairs(pairs, bags, similarity)
     labels = materialize(nodes.select("key", F.col("key").alias("root")), "near-labels")
-    current = nodes.select("key", F.posexplode("bands").alias("last", "bucket"))
+    current = nodes.select("key", F.explode("bands").alias("bucket"))
     sizes = current.groupBy("bucket").agg(F.count("*").alias("size"))
     popular = current.join(sizes, "bucket").groupBy("key").agg((-F.sum("size")).alias("rank"))
-    nodes = materialize(
-        nodes.select("key", "bands", "planes").join(popular, "key"), "near-ranked"
-    )
-    current = nodes.select("key", "rank", F.posexplode("bands").alias("last", "bucket"))
-    level = 0
-    while True:
-        rooted = current.join(labels, "key")
-        least = F.min(F.struct("rank", "key", "root")).alias("least")
-        members = stored(rooted.join(_mixed_buckets(rooted, least), "bucket"), f"near-members-{level}")
-        # What this round was made of is not needed any more.
-        spent.close()
-        spent, fresh = fresh, ExitStack()
-        if members.isEmpty():
-            break
-        pairs = (
-            members.where("root != least.root")
-            .select(
-                F.col("least.key").alias("a"),
-                F.col("key").alias("b"),
-                F.col("least.root").alias("root_a"),
-                F.col("root").alias("root_b"),
+    ranked = materialize(nodes.select("key", "bands").join(popular, "key"), "near-ranked")
+    current = ranked.select("key", "rank", F.explode("bands").alias("bucket"), F.lit(False).alias("led"))
+    with ExitStack() as copies:
+        for level in range(ROUNDS):
+            rooted = current.join(labels, "key")
+            least = F.min(F.when(~F.col("led"), F.struct("rank", "key", "root"))).alias("least")
+            mixed = _mixed_buckets(rooted, least).where("least IS NOT NULL")
+            members = copies.enter_context(
+                scratch_table(rooted.join(mixed, "bucket"), f"near-members-{level}")
             )
-            .distinct()
-        )
-        labels = _joined(labels, stored(verify(pairs), f"near-similar-{level}"))
-        carried = members if level == 0 else members.where("root != least.root")
-        rooted = carried.select("bucket", "last", "key").join(labels, "key")
-        counts = F.count("*").alias("n"), F.count_distinct("root").alias("classes")
-        grown = _mixed_buckets(rooted, *counts).where(f"(n - classes) * {KIN} >= n")
-        apart = stored(rooted.join(grown.select("bucket"), "bucket").drop("root"), f"near-apart-{level}")
-        if level == 0:
-            # A finer bucket is part of the buckets of its bands, so it can only hold several
-            # classes where each of them does.
-            live = materialize(
-                apart.groupBy("key").agg(F.collect_list(F.struct("last", "bucket")).alias("live")),
-                "near-live",
+            pairs = (
+                members.where("root != least.root")
+                .select(
+                    F.col("least.key").alias("a"),
+                    F.col("key").alias("b"),
+                    F.col("least.root").alias("root_a"),
+                    F.col("root").alias("root_b"),
+                )
+                .distinct()
             )
-        later = F.filter("live", lambda band: band["last"] > F.col("last"))
-        finer = (
-            apart.join(live, "key")
-            .select("bucket", "key", later.alias("later"))
-            .where(F.size("later") > 0)
-            .select("bucket", "key", F.explode("later").alias("band"))
-            .select(
-                "key",
-                F.col("band.last").alias("last"),
-                F.xxhash64("bucket", "band.bucket").alias("bucket"),
+            similar = copies.enter_context(
+                scratch_table(similar_pairs(pairs, bags, similarity), f"near-similar-{level}")
             )
-            .withColumn("rank", F.xxhash64("bucket", "key"))
-        )
-        current = stored(finer, f"near-finer-{level}")
-        level += 1
-    spent.close()
-    similar = stored(verify(apart_pairs(nodes, labels, bags, similarity)), "near-similar")
-    labels = _joined(labels, similar)
-    fresh.close()
-    return labels
+            if similar.isEmpty():
+                break
+            labels = _joined(labels, similar)
+            leaders = labels.select(F.col("key").alias("leader"), F.col("root").alias("leading"))
+            led = F.col("led") | (F.col("root") == F.col("leading"))
+            current = (
+                members.select("bucket", "key", "rank", "led", F.col("least.key").alias("leader"))
+                .join(labels, "key")
+                .join(leaders, "leader")
+                .select("bucket", "key", "rank", led.alias("led"))
+            )
+    found = similar_pairs(apart_pairs(nodes, labels, bags, similarity), bags, similarity)
+    with scratch_table(found, "near-similar") as similar:
+        return labels if similar.isEmpty() else _joined(labels, similar)
 
 
 def _joined(labels: DataFrame, similar: DataFrame) -> DataFrame:
     """``labels(key, root)`` after the links of ``similar(root_a, root_b)`` between classes."""
-    if similar.isEmpty():
-        return labels
     joined = components(similar.selectExpr("root_a AS a", "root_b AS b"), "near-links")
     joined = joined.select(F.col("key").alias("root"), F.col("root").alias("joined"))
     return materialize(

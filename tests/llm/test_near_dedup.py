@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
@@ -169,6 +170,31 @@ def test_copies_of_copies_in_a_large_family(spark):
     assert {(r.class_id, r.class_size) for r in got} == {(0, len(rows))}
 
 
+def test_a_round_has_a_row_for_each_band_of_a_text_at_most(spark, monkeypatch):
+    """Every third copy has more edits and resembles another such copy only."""
+    chooser = random.Random(12)
+    words = prose(27, 400).split()
+    rows = []
+    for i in range(120):
+        copy = list(words)
+        copy[chooser.randrange(200, 400)] = f"new{i}"
+        for n in range(0, 60, 6) if i % 3 == 0 else ():
+            copy[n] = f"newer{i // 6}x{n}"
+        rows.append((i, " ".join(copy), "en", "s", 0))
+    made = {}
+
+    @contextmanager
+    def counted(df, name, scratch=near_dedup.scratch_table):
+        with scratch(df, name) as out:
+            made[name] = out.count()
+            yield out
+
+    monkeypatch.setattr(near_dedup, "scratch_table", counted)
+    assert result(near_dedup.near_duplicates(documents(spark, rows))) == brute(rows)
+    rounds = [n for name, n in made.items() if name != "near-rarest"]
+    assert len(rounds) > 2 and max(rounds) <= near_dedup.BANDS * len(rows), made
+
+
 def test_registers_of_similar_texts_differ_in_few(spark):
     """At similarity 0.8 practically no pair is dropped by its registers."""
     chance = sum(
