@@ -160,3 +160,40 @@ def test_a_long_periodic_text_is_not_compared_place_by_place(spark):
     rows = [(i, " ".join(["again", "and"] * 4000), "en", "s", 0) for i in range(2)]
     rows.append((2, " ".join(["again", "and"] * 3000 + ["end"]), "en", "s", 0))
     assert sorted(spans(passages.repeated_passages(documents(spark, rows)))) == [0, 1, 2]
+
+
+def test_places_without_room_are_not_compared_in_full(spark, monkeypatch):
+    """Texts with a line in common that is shorter than a passage, and two that share a passage."""
+    import pyarrow as pa
+
+    words, line = prose(80_000, 60).split(), prose(80_001, 30).split()
+    texts = [[*prose(80_010 + i, 70).split(), *line, *prose(80_050 + i, 70).split()] for i in range(4)]
+    texts += [[*prose(80_090 + i, 70).split(), *words, *prose(80_095 + i, 70).split()] for i in range(2)]
+    place = pa.array([[{"at_a": 80, "at_b": 80}]] * 3)
+    full = []
+
+    def counted(*args, compare=passages.shared_passage):
+        full.append(args[4:6])
+        return compare(*args)
+
+    monkeypatch.setattr(passages, "shared_passage", counted)
+    join = lambda at: pa.array([" ".join(texts[i]) for i in at])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([b"a"] * 3), pa.array([b"b"] * 3), place, join((0, 2, 4)), join((1, 3, 5))],
+        names=["a", "b", "places", "text_a", "text_b"],
+    )
+    (out,) = passages._verify(46, 0.8)([batch])
+    assert out.column("similar").to_pylist() == [False, False, True]
+    assert out.column("a_low").to_pylist()[2] == 70 and out.column("a_high").to_pylist()[2] == 125
+    # Only the passage itself; before, each cost was tried at each place.
+    assert len(full) == 1
+    long = np.random.default_rng(5).random((40, 3000)) < 0.6
+    for hits in long:
+        for miss in passages.MISSES:
+            ends = []
+            for side in (hits[:1500][::-1], hits[1501:]):
+                score = np.cumsum(np.where(side, 1, -miss))
+                over = np.flatnonzero(np.maximum.accumulate(np.maximum(score, 0)) - score > passages.DROP)
+                score = score[: over[0]] if len(over) else score
+                ends.append(int(np.argmax(score)) + 1 if len(score) and score.max() > 0 else 0)
+            assert passages._extend(hits, 1500, miss) == (1500 - ends[0], 1500 + ends[1])
