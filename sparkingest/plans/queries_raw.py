@@ -626,7 +626,9 @@ def _lines_stored(spark, sf_dir) -> Landed:
         spec = None
         results = []
         for i, flag in enumerate(("A", "N", "R")):
-            part = lines(spark, sf_dir).where(F.col("l_returnflag") == flag).repartition(16)
+            part = lines(spark, sf_dir).where(F.col("l_returnflag") == flag)
+            # By key: rows dealt in turn are sorted first, so that a lost task deals them alike.
+            part = part.repartition(16, "l_orderkey", "l_linenumber")
             spec = SourceSpec(
                 metadata=Metadata("lineitem", "lineitem"),
                 connection=Connection("stream", reader=lambda _, part=part: part),

@@ -45,3 +45,17 @@ def test_clusters_need_a_shared_folder(spark):
 
     with pytest.raises(ConfigurationError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_runs_of_many_files_are_dealt_without_sorting_rows(spark, sf_dir, monkeypatch):
+    """Rows dealt in turn are sorted before; by key they are not."""
+    from sparkingest.plans import queries_raw
+
+    read = []
+    monkeypatch.setattr(queries_raw, "prepared", lambda spark, sf_dir, name, build: build("unused"))
+    monkeypatch.setattr(queries_raw, "ingest", lambda spark, spec, **_: read.append(spec))
+    queries_raw._lines_stored(spark, sf_dir)
+    frames = [spec.connection.reader(spark) for spec in read]
+    assert [f.rdd.getNumPartitions() for f in frames] == [16] * 3
+    assert not any("RoundRobin" in plan_of(f) for f in frames)
+    assert sum(f.count() for f in frames) == queries_raw.lines(spark, sf_dir).count()
