@@ -40,8 +40,9 @@ REGISTERS = BANDS * ROWS
 # 0.8 more than DIFFERING registers differ with a probability under 0.000005, far below that of
 # sharing no band; texts that have half of their shingles in common mostly differ in more.
 PLANES, DIFFERING = 4, 28
-# Members of a bucket that meet all others of it in one task.
-TILE = 256
+# A bucket is dealt out where it needs more comparisons than this, and then not into tiles of
+# fewer members than that.
+WORK, TILE = 1 << 22, 256
 # Leaders that a bucket has one after the other, a round each.
 ROUNDS = 4
 # Shared shingles that go along with a rare one, so that a pair is not made for each.
@@ -333,8 +334,9 @@ def apart_pairs(
     has, and if their sizes, the number of shingles that others have at all, the places of that
     shingle and their registers allow it. The first shingle that they share has no more of
     either bag behind it than they may have in common. Nodes that also share one of the few
-    before it have met there. Where very many have a shingle, they are dealt out by
-    ``TILE`` members, each tile with all members.
+    before it have met there. So in a bucket neither the members of its largest class need to meet
+    each other, nor those that have the same shingle just before it; whichever are more only
+    meet the other members. All are dealt out over the bucket's tiles, these others go into each.
     """
     rooted = nodes.select("key", F.explode("bands").alias("bucket")).join(labels, "key")
     larger = _mixed_buckets(rooted, F.count("*").alias("n")).where("n > 2").select("bucket")
@@ -347,15 +349,13 @@ def apart_pairs(
         numbered = bags.join(searched.select("key", "node"), "key").select("node", "bag")
         with scratch_table(rarest_shingles(numbered, similarity), "near-rarest") as rare:
             rooted = rare.withColumnRenamed("shingle", "bucket").join(searched, "node")
-            tiles = F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
-            members = materialize(
-                rooted.join(_mixed_buckets(rooted, tiles), "bucket"), "near-apart-members"
-            )
+            members = materialize(_dealt(rooted), "near-apart-members")
 
-    def side(name: str, tile: Column) -> DataFrame:
-        return members.select(
+    def side(name: str, rows: DataFrame, tile: Column) -> DataFrame:
+        return rows.select(
             "bucket",
             tile.alias("tile"),
+            F.col("common").alias(f"common_{name}"),
             F.col("key").alias(name),
             F.col("root").alias(f"root_{name}"),
             F.col("size").alias(f"size_{name}"),
@@ -365,8 +365,8 @@ def apart_pairs(
             *(F.col("planes")[p].alias(f"{name}_{p}") for p in range(PLANES)),
         )
 
-    left = side("a", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
-    right = side("b", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    left = side("a", members, F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
+    right = side("b", members.where("NOT common"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     differing = F.lit(0).cast("bigint")
     for p in range(PLANES):
         differing = differing.bitwiseOR(left[f"a_{p}"].bitwiseXOR(right[f"b_{p}"]))
@@ -378,7 +378,9 @@ def apart_pairs(
     met = [
         left["bucket"] == right["bucket"],
         left["tile"] == right["tile"],
-        left["root_a"] < right["root_b"],
+        # Two of the others meet twice.
+        (left["root_a"] < right["root_b"])
+        | (left["common_a"] & (left["root_a"] > right["root_b"])),
         left["size_a"] >= right["size_b"] * F.lit(similarity) - F.lit(1e-9),
         right["size_b"] >= left["size_a"] * F.lit(similarity) - F.lit(1e-9),
         overlap * F.lit(1 + similarity) >= both * F.lit(similarity) - F.lit(1e-9),
@@ -386,7 +388,50 @@ def apart_pairs(
         F.bit_count(differing) <= DIFFERING,
         ~F.arrays_overlap("before_a", "before_b"),
     ]
-    return left.join(right, met).select("a", "b", "root_a", "root_b").distinct()
+    one, other = (
+        F.struct(F.col(f"root_{x}").alias("root"), F.col(x).alias("key")) for x in ("a", "b")
+    )
+    ends = F.least(one, other).alias("low"), F.greatest(one, other).alias("high")
+    return (
+        left.join(right, met)
+        .select(*ends)
+        .selectExpr("low.key AS a", "high.key AS b", "low.root AS root_a", "high.root AS root_b")
+        .distinct()
+    )
+
+
+def _dealt(rooted: DataFrame) -> DataFrame:
+    """``rooted(bucket, root, before, ...)`` of the buckets with pairs to search, ``tiles`` of the
+    bucket and ``common``: no two of these members need to meet, see ``apart_pairs``."""
+    last = F.try_element_at("before", F.lit(-1))
+    counts = [
+        rooted.select("bucket", value.alias("value"))
+        .where("value IS NOT NULL")
+        .groupBy("bucket", "value")
+        .agg(F.count("*").alias("n"))
+        .groupBy("bucket")
+        .agg(F.max(F.struct("n", "value")).alias(name))
+        for name, value in (("class", F.col("root")), ("after", last))
+    ]
+    sizes = _mixed_buckets(rooted, F.count("*").alias("n"))
+    by_class = F.col("class.n") >= F.coalesce("after.n", F.lit(0))
+    others = F.col("n") - F.greatest("class.n", "after.n")
+    tiles = F.least(F.ceil(F.col("n") / TILE), F.ceil(F.col("n") * others / WORK)).cast("int")
+    buckets = (
+        sizes.join(counts[0], "bucket")
+        .join(counts[1], "bucket", "left")
+        .where(others > 0)
+        .select(
+            "bucket",
+            tiles.alias("tiles"),
+            F.when(by_class, F.col("class.value")).alias("_class"),
+            F.when(~by_class, F.col("after.value")).alias("_after"),
+        )
+    )
+    common = F.coalesce(F.col("root") == F.col("_class"), F.lit(False)) | F.coalesce(
+        last == F.col("_after"), F.lit(False)
+    )
+    return rooted.join(buckets, "bucket").withColumn("common", common).drop("_class", "_after")
 
 
 def _mixed_buckets(rooted: DataFrame, *more: Column) -> DataFrame:

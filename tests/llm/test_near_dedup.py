@@ -253,3 +253,32 @@ def test_search_finds_every_similar_pair(spark):
         (a, b) for a in bags for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
     }
     assert similar and {tuple(sorted(p)) for p in similar} <= found
+
+
+@pytest.mark.parametrize("work", [None, 50])
+def test_search_repeats_no_member_for_each_part_of_its_bucket(spark, monkeypatch, work):
+    """Copies of one text in a large class, and some with more edits that resemble none or one."""
+    chooser = random.Random(14)
+    words = prose(37, 400).split()
+    rows = []
+    for i in range(120):
+        copy = list(words)
+        copy[chooser.randrange(200, 400)] = f"new{i}"
+        for n in range(0, 60, 6) if i % 6 == 0 else ():
+            copy[n] = f"newer{i // 12}x{n}"
+        rows.append((i, " ".join(copy), "en", "s", 0))
+    made = {}
+
+    def counted(df, name, write=near_dedup.materialize):
+        made[name] = write(df, name)
+        return made[name]
+
+    monkeypatch.setattr(near_dedup, "materialize", counted)
+    monkeypatch.setattr(near_dedup, "TILE", 4)
+    if work:
+        monkeypatch.setattr(near_dedup, "WORK", work)
+    assert result(near_dedup.near_duplicates(documents(spark, rows))) == brute(rows)
+    members = made["near-apart-members"].collect()
+    repeated = sum(r.tiles for r in members if not getattr(r, "common", False))
+    assert members and (repeated <= len(members) if not work else repeated > 0)
+    assert not work or max(r.tiles for r in members) > 1
