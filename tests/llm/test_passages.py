@@ -197,3 +197,42 @@ def test_places_without_room_are_not_compared_in_full(spark, monkeypatch):
                 score = score[: over[0]] if len(over) else score
                 ends.append(int(np.argmax(score)) + 1 if len(score) and score.max() > 0 else 0)
             assert passages._extend(hits, 1500, miss) == (1500 - ends[0], 1500 + ends[1])
+
+
+def test_large_tables_go_when_they_are_used_and_texts_are_packed(spark, monkeypatch):
+    kept = {}
+
+    def counted(df, name, write=passages.materialize):
+        kept[name] = write(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(passages, "materialize", counted)
+    shared, line = prose(90_000, 400), prose(90_001, 30)
+    rows = [(i, f"{prose(90_010 + i, 40)} {shared}", "en", "s", 0) for i in range(3)]
+    rows += [(10 + i, f"{prose(90_020 + i, 60)} {line} {prose(90_040 + i, 60)} ퟿é", "en", "s", 0) for i in range(4)]
+    got = spans(passages.repeated_passages(documents(spark, rows)))
+    assert {i: [(r.first_word, r.last_word) for r in x] for i, x in got.items()} == {i: [(40, 439)] for i in range(3)}
+    # Windows, of which most stand in one text, are not kept to the end.
+    assert not {"passage-windows", "passage-finer"} & set(kept)
+    texts = {bytes(r.packed) for r in kept["passage-texts"].collect()}
+    assert {passages._text(t) for t in texts} <= {r[1] for r in rows}
+    assert sum(map(len, texts)) < 0.6 * sum(len(passages._text(t)) for t in texts)
+
+
+def test_windows_are_compared_with_the_least_text_of_their_value(spark):
+    chooser = random.Random(3)
+    rows = {
+        (bytes([chooser.randrange(4)]), chooser.randrange(9), c := chooser.randrange(50), c, c + chooser.randrange(4))
+        for _ in range(60)
+    }
+    found = passages._with_least(spark.createDataFrame(sorted(rows), passages._WINDOW)).collect()
+    groups = defaultdict(list)
+    for key, value, *ends in rows:
+        groups[value].append((key, *ends))
+    expected = []
+    for value, group in groups.items():
+        least, most = min(group), max(group)
+        for w in group if least[0] != most[0] else ():
+            other = most if w[0] == least[0] else least
+            expected.append((value, *w, w[:2] == least[:2], other))
+    assert sorted((r.value, bytes(r.key), *r[2:6], (bytes(r.other[0]), *r.other[1:])) for r in found) == sorted(expected)
