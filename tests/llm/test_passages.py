@@ -236,3 +236,65 @@ def test_windows_are_compared_with_the_least_text_of_their_value(spark):
             other = most if w[0] == least[0] else least
             expected.append((value, *w, w[:2] == least[:2], other))
     assert sorted((r.value, bytes(r.key), *r[2:6], (bytes(r.other[0]), *r.other[1:])) for r in found) == sorted(expected)
+
+
+def test_hashes_of_many_texts_are_those_of_each():
+    from sparkingest.llm import words
+
+    chooser = random.Random(11)
+    letters = "abcXYZ019_ .,\n\tßİΣσςéÉ中文𝔘ａ٣²Ⅷ'-̀‍"
+    texts = ["".join(chooser.choices(letters, k=chooser.randrange(60))) for _ in range(400)]
+    texts += ["", " ", "ΑΣ", "ΑΣ.", "x" * 200_000]
+    hashes, bounds = words.block_hashes(texts, {})
+    assert bounds[0] == 0 and bounds[-1] == len(hashes)
+    for i, text in enumerate(texts):
+        assert (hashes[bounds[i] : bounds[i + 1]] == words.word_hashes(text, words.HashedWords())).all(), text
+    assert words.block_hashes([], {})[1].tolist() == [0]
+
+
+def test_pairs_are_compared_without_reading_their_texts_again(monkeypatch):
+    """A text is read once; its pairs get the hashes of its words, and places that give one
+    stretch share its similarity."""
+    import pyarrow as pa
+
+    words = prose(95_000, 400).split()
+    edited = [w if i % 23 else f"other{i}" for i, w in enumerate(words)]
+    texts = [" ".join([*prose(95_001, 70).split(), *words]), " ".join([*prose(95_002, 30).split(), *edited])]
+    texts += [" ".join([*prose(95_003, 90).split(), *words[:60]]), prose(95_004, 120)]
+    (packed,) = passages._packed([pa.RecordBatch.from_arrays([pa.array([b"k"] * 4), pa.array(texts)], names=["key", "text"])])
+    # Places of the edited copy, of the quote, and of nothing.
+    at = [[{"at_a": 70 + 23 * k + 5, "at_b": 30 + 23 * k + 5} for k in range(16)], [{"at_a": 90, "at_b": 110}], [{"at_a": 90, "at_b": 50}]]
+    fields = [pa.array([b"a"] * 3), pa.array([b"b"] * 3), pa.array(at)]
+
+    def compared(column):
+        sides = column.take(pa.array([0, 0, 0])), column.take(pa.array([1, 2, 3]))
+        batch = pa.RecordBatch.from_arrays([*fields, *sides], names=["a", "b", "places", "text_a", "text_b"])
+        return next(passages._verify(46, 0.8)([batch])).to_pylist()
+
+    read, sorts = compared(pa.array(texts)), []
+    monkeypatch.setattr(passages, "word_hashes", None)
+    monkeypatch.setattr(passages.np, "sort", lambda v, sort=np.sort: (sorts.append(len(v)), sort(v))[1])
+    assert compared(packed.column("prints")) == read
+    assert [r["similar"] for r in read] == [False] * 16 + [True, False]
+    # One stretch of the edited copy for each cost at most, and the quote.
+    assert len(sorts) <= 2 * (len(passages.MISSES) * 2 + 1), sorts
+
+
+def test_shuffles_are_dropped_in_the_steps_alone(spark, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, before = [], spark.conf.get(name, None)
+
+    def watched(df, table, write=passages.materialize):
+        seen.append((table, spark.conf.get(name)))
+        return write(df, table)
+
+    monkeypatch.setattr(passages, "materialize", watched)
+    passage = prose(96_000, 60)
+    rows = [(i, f"{prose(96_010 + i, 30)} {passage}", "en", "s", 0) for i in range(6)]
+    found = passages.repeated_passages(documents(spark, rows))
+    assert spark.conf.get(name, None) == before
+    assert {on for _, on in seen} == {"true"}
+    # The pairs are compared in turns.
+    assert sum(table.startswith("passage-checked-") for table, _ in seen) == passages.TURNS > 1
+    # The result can be read more than once.
+    assert sorted(found.collect()) == sorted(found.collect()) and found.count() == 6
